@@ -237,3 +237,121 @@ def q_filter_english(spark, sf):
     docs = table(spark, sf, "documents")
     return docs.where(F.col("lang") == "en").select("doc_id", "source",
                                                     F.length("text").cast("bigint").alias("n_chars"))
+
+
+# =============================================================== 2.9 deduplication
+from ..operators import dedup_lines as DL  # noqa: E402
+from ..operators import minhash as MH  # noqa: E402
+from ..sources.tables import spread  # noqa: E402
+
+_LINES_SQL = """
+WITH p AS (
+  SELECT doc_id, string_split(replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)) AS parts
+  FROM documents
+), l AS (
+  SELECT doc_id, i AS pos,
+         CASE WHEN i < len(parts) THEN parts[i] || chr(10) ELSE parts[i] END AS line
+  FROM p, unnest(generate_series(1, len(parts))) AS t(i)
+), lines AS (SELECT * FROM l WHERE line <> '')"""
+
+
+@register("line_frequencies", _LINES_SQL + """
+SELECT md5(line) AS line_md5, CAST(count(*) AS BIGINT) AS n FROM lines GROUP BY 1""")
+def q_line_frequencies(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return DL.line_frequencies(docs)
+
+
+@register("dedup_lines", _LINES_SQL + """
+, freq AS (SELECT md5(line) AS h, count(*) AS c FROM lines GROUP BY 1)
+, keep AS (SELECT l.doc_id, l.pos, l.line FROM lines l JOIN freq f ON md5(l.line) = f.h WHERE f.c = 1)
+SELECT d.doc_id, coalesce(string_agg(k.line, '' ORDER BY k.pos), '') AS text
+FROM documents d LEFT JOIN keep k ON d.doc_id = k.doc_id GROUP BY d.doc_id""")
+def q_dedup_lines(spark, sf):
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return DL.dedup_lines(docs)
+
+
+# MinHash parameters of the reference's exact-duplicate test
+MH_PARAMS = MH.MinHashParams(num_hashes=100, num_bands=10, ngrams=5, threshold=0.8, mode="md5")
+
+
+def _minhash_sql(p: MH.MinHashParams) -> str:
+    n, h, r = p.ngrams, p.num_hashes, p.rows
+    return f"""
+WITH RECURSIVE nrm AS (SELECT doc_id, {S.normalize('text')} AS norm FROM documents),
+w AS (SELECT doc_id, norm, string_split(norm, ' ') AS words FROM nrm),
+g AS (
+  SELECT doc_id, CASE WHEN norm = '' THEN []::VARCHAR[]
+                      WHEN len(words) < {n} THEN [norm]
+                      ELSE list_distinct(list_transform(range(0, len(words) - {n} + 1),
+                             lambda i: array_to_string(words[i + 1:i + {n}], ' '))) END AS grams
+  FROM w),
+sh AS (SELECT doc_id, unnest(grams) AS s FROM g),
+sizes AS (SELECT doc_id, CAST(len(grams) AS BIGINT) AS k FROM g),
+sig AS (
+  SELECT sh.doc_id, r.i, min({S.md5_u32le("CAST(r.i AS VARCHAR) || '-' || sh.s")}) AS mh
+  FROM sh, range(0, {h}) r(i) GROUP BY sh.doc_id, r.i
+  UNION ALL
+  SELECT g.doc_id, r.i, CAST(0 AS BIGINT) FROM g, range(0, {h}) r(i) WHERE len(g.grams) = 0),
+bands AS (
+  SELECT doc_id, CAST(i // {r} AS INTEGER) AS band, string_agg(CAST(mh AS VARCHAR), ',' ORDER BY i) AS key
+  FROM sig GROUP BY doc_id, i // {r}),
+cand AS (
+  SELECT DISTINCT a.doc_id AS u, b.doc_id AS v FROM bands a JOIN bands b
+    ON a.band = b.band AND a.key = b.key AND a.doc_id < b.doc_id),
+inter AS (
+  SELECT c.u, c.v, count(*) AS ni FROM cand c JOIN sh x ON x.doc_id = c.u
+    JOIN sh y ON y.doc_id = c.v AND x.s = y.s GROUP BY c.u, c.v),
+jac AS (
+  SELECT c.u, c.v, coalesce(i.ni, 0) AS ni, su.k + sv.k - coalesce(i.ni, 0) AS nu
+  FROM cand c LEFT JOIN inter i ON c.u = i.u AND c.v = i.v
+  JOIN sizes su ON su.doc_id = c.u JOIN sizes sv ON sv.doc_id = c.v),
+edges AS (SELECT u, v FROM jac WHERE (CASE WHEN nu = 0 THEN 1.0 ELSE ni / nu END) >= {p.threshold}),
+e2 AS (SELECT u AS a, v AS b FROM edges UNION ALL SELECT v, u FROM edges),
+reach(node, comp) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT e2.b, reach.comp FROM reach JOIN e2 ON reach.node = e2.a),
+clusters AS (SELECT node AS doc_id, min(comp) AS component FROM reach GROUP BY node)
+"""
+
+
+@register("minhash_signature", _minhash_sql(MH_PARAMS) + """
+SELECT doc_id, CAST(i AS INTEGER) AS hash_idx, mh AS minhash FROM sig""")
+def q_minhash_signature(spark, sf):
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    sig = MH.signature_table(docs, MH_PARAMS)
+    return sig.select("doc_id", F.posexplode("sig").alias("hash_idx", "minhash"))
+
+
+@register("lsh_buckets", _minhash_sql(MH_PARAMS) + """
+SELECT band, key, CAST(count(*) AS BIGINT) AS n_docs FROM bands GROUP BY band, key HAVING count(*) >= 2""")
+def q_lsh_buckets(spark, sf):
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    sig = MH.signature_table(docs, MH_PARAMS)
+    return MH.lsh_buckets(sig, MH_PARAMS).select(F.col("band").cast("int").alias("band"), "key", "n_docs")
+
+
+def _clusters(spark, sf):
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return MH.duplicate_clusters(docs, MH_PARAMS)
+
+
+@register("duplicate_clusters", _minhash_sql(MH_PARAMS) + "SELECT doc_id, component FROM clusters")
+def q_duplicate_clusters(spark, sf):
+    return _clusters(spark, sf)
+
+
+@register("component_size", _minhash_sql(MH_PARAMS) + """
+SELECT component, CAST(count(*) AS BIGINT) AS n_docs FROM clusters GROUP BY component""")
+def q_component_size(spark, sf):
+    return _clusters(spark, sf).groupBy("component").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+@register("dedup_minhash", _minhash_sql(MH_PARAMS) + """
+SELECT d.doc_id, d.source FROM documents d JOIN clusters c ON d.doc_id = c.doc_id
+WHERE d.doc_id = c.component""")
+def q_dedup_minhash(spark, sf):
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text", "source"))
+    return MH.dedup_minhash(docs, MH_PARAMS).select("doc_id", "source")
