@@ -4,14 +4,17 @@ Stages
 ------
 1. ``signature_table``: normalise -> distinct word n-grams -> exact-set key
    (md5 of the sorted set) -> shingle hashes (for Jaccard) -> signature.
-   Row-local: no shuffle. Two hash families:
+   Two hash families:
 
    * ``md5``  -- parity with the reference: hash i of shingle s is the
      little-endian uint32 of the first 4 bytes of md5("{i}-{s}"); an empty set
-     signs as zeros. Built-in expressions (one fold over the shingles).
+     signs as zeros. Built-in expressions: H hash columns per (document,
+     shingle) row and a per-document min aggregate (one exchange of one row
+     per document after the map-side partial aggregate).
    * ``fast`` -- one xxhash64 per shingle in the JVM, then H multiply-add-shift
      hashes and their minima in numpy inside an Arrow UDF (vectorised per
-     batch). Results depend on the family; only md5 mode matches the oracle.
+     batch); row-local, no shuffle. Results depend on the family; only md5
+     mode matches the oracle.
 
 2. ``band_rows``: (band, key, doc) with key = the band's r signature values.
 3. Buckets are taken at *exact-set* granularity: documents with identical
@@ -42,9 +45,6 @@ from pyspark.sql import types as T
 from ..functions.text import normalize_text, word_ngrams
 from .components import connected_components
 
-U32_CEIL = 1 << 32
-
-
 @dataclass(frozen=True)
 class MinHashParams:
     num_hashes: int = 100
@@ -79,20 +79,6 @@ def _md5_u32le(key_col):
             .bitwiseOR(F.shiftright(v, 24).bitwiseAND(0xFF)))
 
 
-def md5_signature(sh_col, num_hashes: int):
-    """Signature in md5 mode: a streaming fold, O(H) memory per document."""
-    idx = F.array(*[F.lit(str(i) + "-") for i in range(num_hashes)])
-    init = F.array_repeat(F.lit(U32_CEIL).cast("bigint"), num_hashes)
-
-    def step(acc, s):
-        hv = F.transform(idx, lambda pre: _md5_u32le(F.concat(pre, s)))
-        return F.zip_with(acc, hv, lambda a, b: F.least(a, b))
-
-    sig = F.aggregate(sh_col, init, step)
-    return F.when(F.size(sh_col) == 0,
-                  F.array_repeat(F.lit(0).cast("bigint"), num_hashes)).otherwise(sig)
-
-
 def _fast_coefficients(num_hashes: int, seed: int):
     rng = np.random.default_rng(seed)
     a = rng.integers(1, 1 << 63, num_hashes, dtype=np.uint64) | np.uint64(1)

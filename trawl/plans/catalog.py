@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import gopher as G
 from ..operators import metrics as M
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from . import sqlfrag as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,14 +69,14 @@ _STAT_COLS_SQL = ", ".join(G.STAT_COLS)
 SELECT doc_id, {_GOPHER_REASON_SQL} AS reason, ({_GOPHER_REASON_SQL}) IS NULL AS keep,
        {_STAT_COLS_SQL} FROM r""")
 def q_gopher_filter(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
     out = G.gopher_filter(docs, keep_stats=True)
     return out.select("doc_id", "reason", "keep", *[F.col(f"gstats.{c}").alias(c) for c in G.STAT_COLS])
 
 
 def _rule_query(rule: str, stat_cols: list[str]):
     def q(spark, sf):
-        docs = table(spark, sf, "documents").select("doc_id", "text")
+        docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
         out = G.gopher_rule(docs, rule)
         return out.select("doc_id", *[F.col(f"gstats.{c}").alias(c) for c in stat_cols], "passes")
     return q
@@ -107,7 +107,7 @@ SELECT d.source AS source, CAST(count(*) AS BIGINT) AS n_docs,
 FROM documents d JOIN k ON d.doc_id = k.doc_id GROUP BY d.source""")
 def q_text_kept_ratio(spark, sf):
     """Minimum slice: Gopher decision per document -> kept share of text by source."""
-    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text", "source")
     return M.text_kept_ratio(G.gopher_filter(docs), "keep", by=["source"])
 
 
@@ -130,7 +130,7 @@ for _kind, _name in (("email", "mask_emails"), ("phone", "mask_phones"), ("ip",
 
     def _mk(kind):
         def q(spark, sf):
-            docs = table(spark, sf, "documents").select("doc_id", "text")
+            docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
             return PII.mask_one(docs, kind).select("doc_id", "masked", "n_masked")
         return q
 
@@ -140,14 +140,14 @@ for _kind, _name in (("email", "mask_emails"), ("phone", "mask_phones"), ("ip",
 @register("mask_pii", _pii_sql("documents", "doc_id") +
           "\nSELECT doc_id, masked, n_email, n_phone, n_ip FROM c")
 def q_mask_pii(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
     return PII.mask_pii(docs).select("doc_id", "masked", "n_email", "n_phone", "n_ip")
 
 
 @register("mask_pii_conversations", _pii_sql("conversations", "conv_id, turn, role") +
           "\nSELECT conv_id, turn, role, masked, n_email, n_phone, n_ip FROM c")
 def q_mask_pii_conversations(spark, sf):
-    conv = table(spark, sf, "conversations")
+    conv = spread(table(spark, sf, "conversations"))
     return PII.mask_pii(conv).select("conv_id", "turn", "role", "masked", "n_email", "n_phone", "n_ip")
 
 
@@ -157,7 +157,7 @@ SELECT source, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n_email) AS BIGINT)
        CAST(sum(CASE WHEN n_email + n_phone + n_ip > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_docs_with_pii
 FROM c GROUP BY source""")
 def q_pii_totals(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "source", "text")
     return PII.pii_totals(PII.mask_pii(docs), ["source"])
 
 
@@ -171,14 +171,14 @@ SELECT doc_id,
   lower({S.strip("replace(text, chr(10), ' ')")}) AS classifier_input
 FROM documents""")
 def q_preprocess(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
     return docs.select("doc_id", TX.preprocess_for_classifier("text", lower=False).alias("lang_input"),
                        TX.preprocess_for_classifier("text").alias("classifier_input"))
 
 
 @register("normalize_text", f"SELECT doc_id, {S.normalize('text')} AS norm FROM documents")
 def q_normalize(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
     return docs.select("doc_id", TX.normalize_text("text").alias("norm"))
 
 
@@ -196,7 +196,7 @@ g AS (
   FROM w)
 SELECT doc_id, unnest(grams) AS shingle FROM g""")
 def q_word_ngrams(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
     n = docs.select("doc_id", TX.normalize_text("text").alias("norm"))
     g = n.select("doc_id", TX.word_ngrams("norm", NGRAM_N).alias("g"))
     return g.select("doc_id", F.explode("g").alias("shingle"))
@@ -224,7 +224,7 @@ SELECT doc_id,
   substr(text, 1, 30) AS head30, CAST(length(text) AS BIGINT) AS n_chars
 FROM documents""")
 def q_preview(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
     return docs.select("doc_id", TX.preview("text").alias("preview"),
                        F.substring("text", 1, 30).alias("head30"),
                        F.length("text").cast("bigint").alias("n_chars"))
@@ -234,7 +234,7 @@ def q_preview(spark, sf):
 SELECT doc_id, source, CAST(length(text) AS BIGINT) AS n_chars FROM documents WHERE lang = 'en'""")
 def q_filter_english(spark, sf):
     """Label form of the English predicate (model form: see operators/classify.py)."""
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents"))
     return docs.where(F.col("lang") == "en").select("doc_id", "source",
                                                     F.length("text").cast("bigint").alias("n_chars"))
 
@@ -242,7 +242,6 @@ def q_filter_english(spark, sf):
 # =============================================================== 2.9 deduplication
 from ..operators import dedup_lines as DL  # noqa: E402
 from ..operators import minhash as MH  # noqa: E402
-from ..sources.tables import spread  # noqa: E402
 
 _LINES_SQL = """
 WITH p AS (
@@ -258,7 +257,7 @@ WITH p AS (
 @register("line_frequencies", _LINES_SQL + """
 SELECT md5(line) AS line_md5, CAST(count(*) AS BIGINT) AS n FROM lines GROUP BY 1""")
 def q_line_frequencies(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
     return DL.line_frequencies(docs)
 
 
