@@ -354,3 +354,143 @@ WHERE d.doc_id = c.component""")
 def q_dedup_minhash(spark, sf):
     docs = spread(table(spark, sf, "documents").select("doc_id", "text", "source"))
     return MH.dedup_minhash(docs, MH_PARAMS).select("doc_id", "source")
+
+
+# =============================================================== 2.2/2.4/2.6/2.8 pages
+from ..functions import html as H  # noqa: E402
+from ..operators import extraction as X  # noqa: E402
+from ..operators import urls as U  # noqa: E402
+
+_HOST_SQL = f"lower(regexp_extract(url, {S.lit(X.HOST_RE)}, 1))"
+_TITLE_SQL = f"regexp_extract(html, {S.lit(X.TITLE_RE)}, 1)"
+
+
+def _pages(spark, sf):
+    return spread(table(spark, sf, "pages"))
+
+
+@register("strip_tags", f"SELECT page_id, url, {S.strip_tags('html')} AS text FROM pages")
+def q_strip_tags(spark, sf):
+    return X.pages_to_text(_pages(spark, sf), builtin=True).select("page_id", "url", "text")
+
+
+@register("pages_to_text")
+def q_pages_to_text(spark, sf):
+    """Parser-based extraction (Arrow helper); rows-only check + golden test."""
+    return X.pages_to_text(_pages(spark, sf)).select("page_id", "url", "text")
+
+
+@register("compare_extractions")
+def q_compare_extractions(spark, sf):
+    """Parser extraction vs regex extraction of the same pages, by URL."""
+    p = _pages(spark, sf)
+    a = X.pages_to_text(p, out_col="text_a").select("url", "text_a")
+    b = X.pages_to_text(p, out_col="text_b", builtin=True).select("url", "text_b")
+    return X.compare_extractions(a, b)
+
+
+_PAIRS_SQL = f"""
+WITH a AS (SELECT url, {S.strip(S.strip_tags('html'))} AS ta FROM pages),
+b AS (SELECT url, {S.strip(_TITLE_SQL)} AS tb FROM pages),
+j AS (SELECT a.url, ta, tb FROM a JOIN b ON a.url = b.url WHERE ta <> '' AND tb <> '')
+SELECT url, CAST(length(ta) AS BIGINT) AS len_a, CAST(length(tb) AS BIGINT) AS len_b,
+  CASE WHEN length(ta) > 350 THEN substr(ta, 1, 350) || '...' ELSE ta END AS preview_a,
+  CASE WHEN length(tb) > 350 THEN substr(tb, 1, 350) || '...' ELSE tb END AS preview_b
+FROM j"""
+
+
+def _pair_sets(spark, sf):
+    p = _pages(spark, sf)
+    a = X.pages_to_text(p, out_col="text_a", builtin=True).select("url", "text_a")
+    b = p.select("url", F.regexp_extract("html", X.TITLE_RE, 1).alias("text_b"))
+    return X.compare_extractions(a, b)
+
+
+@register("filter_non_blank_pair", _PAIRS_SQL)
+def q_filter_non_blank_pair(spark, sf):
+    """F10 (+J1 shape): body text vs title text per URL, blank pairs dropped."""
+    return _pair_sets(spark, sf)
+
+
+@register("limit_pairs", _PAIRS_SQL + " ORDER BY url LIMIT 3")
+def q_limit_pairs(spark, sf):
+    return X.limit_pairs(_pair_sets(spark, sf), 3)
+
+
+@register("last_record_per_uri", f"""
+SELECT host, page_id, url FROM (
+  SELECT {_HOST_SQL} AS host, page_id, url,
+         row_number() OVER (PARTITION BY {_HOST_SQL} ORDER BY page_id DESC) AS rn FROM pages)
+WHERE rn = 1""")
+def q_last_record_per_uri(spark, sf):
+    """The last page (largest page_id) per host wins."""
+    p = table(spark, sf, "pages").select("page_id", "url").withColumn("host", X.host(F.col("url")))
+    return X.last_record_per_key(p, "host", "page_id", ["url"])
+
+
+@register("common_uris", f"""
+SELECT {_HOST_SQL} AS host FROM pages WHERE regexp_extract(html, {S.lit(X.LANG_RE)}, 1) = 'en'
+INTERSECT
+SELECT {_HOST_SQL} AS host FROM pages WHERE regexp_extract(html, {S.lit(X.LANG_RE)}, 1) = 'fr'""")
+def q_common_uris(spark, sf):
+    """Hosts serving both English and French pages."""
+    p = table(spark, sf, "pages")
+    lang = F.regexp_extract("html", X.LANG_RE, 1)
+    hosts = p.select(X.host(F.col("url")).alias("host"), lang.alias("lang"))
+    return X.common_keys(hosts.where("lang = 'en'"), hosts.where("lang = 'fr'"), "host")
+
+
+_HREF_RE = 'href="([^"]*)"'
+
+
+@register("distinct_sorted_names", f"""
+SELECT DISTINCT unnest(regexp_extract_all(html, {S.lit(_HREF_RE)}, 1)) AS name FROM pages ORDER BY name""")
+def q_distinct_sorted_names(spark, sf):
+    """U4: sorted distinct link targets over all pages."""
+    return U.distinct_sorted_matches(table(spark, sf, "pages"), "html", _HREF_RE)
+
+
+# ---- reference-URL lines derived from the pages (the HTML has no absolute links)
+def reference_lines(pages):
+    """(shard, line_no, line): a dump-style line per page with two escaped ref
+    tags (the page URL and a mirror URL with a trailing full stop) and a URL
+    outside the refs that must not be extracted."""
+    url = F.col("url")
+    mirror = F.concat(F.lit("https://mirror.example.org/"), X.host(url), F.lit("/p"),
+                      F.col("page_id").cast("string"))
+    line = F.concat(F.lit("* "), F.regexp_extract("html", X.TITLE_RE, 1),
+                    F.lit(" &lt;ref&gt;{{cite web |url="), url, F.lit(" |title=x}}&lt;/ref&gt; and "),
+                    F.lit("&lt;ref&gt;see "), mirror, F.lit(".&lt;/ref&gt; then http://outside.example.org/a."))
+    return pages.select(X.host(url).alias("shard"), F.col("page_id").alias("line_no"), line.alias("line"))
+
+
+_REF_LINES_SQL = f"""
+WITH lines AS (
+  SELECT {_HOST_SQL} AS shard, page_id AS line_no,
+    '* ' || {_TITLE_SQL} || ' &lt;ref&gt;{{{{cite web |url=' || url || ' |title=x}}}}&lt;/ref&gt; and '
+    || '&lt;ref&gt;see ' || 'https://mirror.example.org/' || {_HOST_SQL} || '/p' || CAST(page_id AS VARCHAR)
+    || '.&lt;/ref&gt; then http://outside.example.org/a.' AS line
+  FROM pages),
+u AS (SELECT shard, line_no, {S.reference_urls('line')} AS urls FROM lines),
+x AS (SELECT shard, line_no, CAST(p - 1 AS INTEGER) AS url_pos, urls[p] AS url
+      FROM u, unnest(generate_series(1, len(urls))) AS t(p))"""
+
+
+@register("extract_reference_urls", _REF_LINES_SQL + " SELECT shard, line_no, url_pos, url FROM x")
+def q_extract_reference_urls(spark, sf):
+    lines = reference_lines(table(spark, sf, "pages"))
+    return U.extract_reference_urls(lines, keep=["shard", "line_no"])
+
+
+@register("urls_per_shard", _REF_LINES_SQL + """
+SELECT shard, CAST(count(*) AS BIGINT) AS n_urls FROM x GROUP BY ROLLUP (shard)""")
+def q_urls_per_shard(spark, sf):
+    lines = reference_lines(table(spark, sf, "pages"))
+    return U.urls_per_shard(U.extract_reference_urls(lines, keep=["shard", "line_no"]))
+
+
+@register("first_n_shards", f"""
+SELECT DISTINCT {_HOST_SQL} AS shard FROM pages ORDER BY shard LIMIT 10""")
+def q_first_n_shards(spark, sf):
+    lines = reference_lines(table(spark, sf, "pages"))
+    return U.first_n(lines, "shard", 10)

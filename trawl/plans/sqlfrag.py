@@ -77,3 +77,32 @@ def mask(expr: str, kind: str) -> tuple[str, str]:
         pat, rep = _phone_guarded(), "\\1" + PHONE_MASK + "\\3"
     return (f"regexp_replace({expr}, {lit(pat)}, {lit(rep)}, 'g')",
             f"CAST(len(regexp_extract_all({expr}, {lit(pat)})) AS BIGINT)")
+
+
+# ------------------------------------------------------------------ HTML (RE2)
+def strip_tags(expr: str) -> str:
+    from ..functions.html import ENTITIES, STRIP_RULES, TIDY_RULES
+    from ..functions.patterns import re2_rep
+
+    out = f"coalesce({expr}, '')"
+    for pat, rep in STRIP_RULES:
+        out = f"regexp_replace({out}, {lit(pat)}, {lit(re2_rep(rep))}, 'g')"
+    for ent, ch in ENTITIES:
+        out = f"replace({out}, {lit(ent)}, {lit(ch)})"
+    for pat, rep in TIDY_RULES:
+        out = f"regexp_replace({out}, {lit(pat)}, {lit(re2_rep(rep))}, 'g')"
+    return out
+
+
+def reference_urls(line: str) -> str:
+    """List of URLs in a line's reference span. The lazy body + lookahead of
+    the URL pattern equals: maximal run of URL characters with trailing
+    '.:?-' trimmed (at least one character kept)."""
+    from ..functions.patterns import REF_TAG_RE
+
+    span = f"regexp_extract({line}, {lit(REF_TAG_RE)}, 0)"
+    raw = (f"regexp_extract_all({span}, "
+           + lit(r"\b(?:https?|telnet|gopher|file|wais|ftp):[\p{L}\p{N}_/#~:.?+=&%@!\\-]+") + ")")
+    fix = ("lambda u: substr(u, 1, strpos(u, ':')) || CASE WHEN rtrim(substr(u, strpos(u, ':') + 1), '.:?-') = '' "
+           "THEN substr(u, strpos(u, ':') + 1, 1) ELSE rtrim(substr(u, strpos(u, ':') + 1), '.:?-') END")
+    return f"list_transform({raw}, {fix})"
