@@ -64,3 +64,37 @@ def classification_report(pred: DataFrame, label: str = "label",
     out = per.unionByName(accuracy).unionByName(macro).unionByName(weighted)
     return out.select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")],
                       "support")
+
+
+WORD_RE = r"[\p{L}\p{N}_]{2,}"
+
+
+def document_frequency(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       top_k: int | None = 50_000, stop_words: list[str] | None = None) -> DataFrame:
+    """Corpus term frequency and document frequency of 1- and 2-grams.
+
+    Tokens are maximal runs of >= 2 word characters of the lower-cased text;
+    stop words (optional) are removed before bigrams are formed. Two-phase
+    aggregate: (doc, term) counts first, so a term present everywhere is
+    spread by document before its final sum; top_k by tf (term breaks ties).
+    """
+    toks = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RE), 0)
+    if stop_words:
+        sw = F.array(*[F.lit(w) for w in stop_words])
+        toks = F.filter(toks, lambda t: ~F.array_contains(sw, t))
+    t = df.select(F.col(id_col).alias("doc_id"), F.array_join(toks, " ").alias("ts"))
+    bigrams = F.regexp_extract_all("ts", F.lit(r"(?:^| )(?=([^ ]+ [^ ]+))"), 1)
+    unigrams = F.when(F.col("ts") == "", F.array().cast("array<string>")).otherwise(F.split("ts", " "))
+    terms = t.select("doc_id", F.explode(F.concat(unigrams, bigrams)).alias("term"))
+    per_doc = terms.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("c"))
+    out = per_doc.groupBy("term").agg(F.sum("c").cast("bigint").alias("tf"),
+                                      F.count(F.lit(1)).cast("bigint").alias("df"))
+    if top_k is not None:
+        out = out.orderBy(F.col("tf").desc(), F.col("term")).limit(top_k)
+    return out
+
+
+def corpus_summary(df: DataFrame, by: str = "source", text_col: str = "text") -> DataFrame:
+    """Number of files (documents) and their summed size in UTF-8 bytes."""
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n_files"),
+                              F.sum(F.octet_length(text_col)).cast("bigint").alias("total_bytes"))

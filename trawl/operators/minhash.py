@@ -264,11 +264,12 @@ def duplicate_clusters(docs: DataFrame, p: MinHashParams, id_col: str = "doc_id"
 
 
 def pick_per_component(clusters: DataFrame, keep: str = "min", seed: int = 0) -> DataFrame:
-    """One document per component (W2): smallest id, or smallest seeded hash."""
+    """One document per component (W2): smallest id, or smallest seeded md5
+    (``min_by`` in a partial + final aggregate: a huge cluster is reduced map-side)."""
     if keep == "min":
         return clusters.where(F.col("doc_id") == F.col("component")).select("doc_id", "component")
     if keep == "random":
-        h = F.xxhash64(F.col("doc_id"), F.lit(seed))
+        h = F.md5(F.concat(F.lit(f"{seed}:"), F.col("doc_id").cast("string")))
         return (clusters.groupBy("component")
                 .agg(F.min_by("doc_id", h).alias("doc_id")).select("doc_id", "component"))
     raise ValueError(f"unknown keep rule {keep!r}")

@@ -494,3 +494,107 @@ SELECT DISTINCT {_HOST_SQL} AS shard FROM pages ORDER BY shard LIMIT 10""")
 def q_first_n_shards(spark, sf):
     lines = reference_lines(table(spark, sf, "pages"))
     return U.first_n(lines, "shard", 10)
+
+
+# =============================================================== 2.7 sampling, 2.6 W2/W3, J5, A7-A9
+from ..operators import sampling as SM  # noqa: E402
+
+
+def _seeded_sql(col: str, seed: int) -> str:
+    return f"md5('{seed}:' || CAST({col} AS VARCHAR))"
+
+
+@register("sample_n", f"""
+SELECT doc_id, source FROM documents ORDER BY {_seeded_sql('doc_id', 0)}, doc_id LIMIT 100""")
+def q_sample_n(spark, sf):
+    """L1: 100 documents without replacement, seed 0."""
+    docs = table(spark, sf, "documents").select("doc_id", "source")
+    return SM.sample_n(docs, 100, "doc_id", seed=0)
+
+
+@register("seeded_prefix_sample", f"""
+SELECT url FROM pages ORDER BY {_seeded_sql('url', 336)}, url LIMIT 48""")
+def q_seeded_prefix_sample(spark, sf):
+    """L2: the page URLs as a path manifest, 50 requested -> 48 (multiple of 4)."""
+    return SM.seeded_prefix_sample(table(spark, sf, "pages").select("url"), 50, key="url")
+
+
+@register("assign_chunks", f"""
+SELECT CAST(rank AS BIGINT) AS rank, url, CAST((rank - 1) // 4 AS BIGINT) AS chunk FROM (
+  SELECT url, row_number() OVER (ORDER BY {_seeded_sql('url', 336)}, url) AS rank FROM pages)
+WHERE rank <= 48""")
+def q_assign_chunks(spark, sf):
+    """Consecutive chunks of 4 in the seeded order."""
+    out = SM.assign_chunks(table(spark, sf, "pages").select("url"), 50, key="url")
+    return out.select(F.col("rank").cast("bigint").alias("rank"), "url", "chunk")
+
+
+@register("train_test_split", f"""
+SELECT doc_id, CASE WHEN CAST(('0x' || substr({_seeded_sql('doc_id', 42)}, 1, 8))::UBIGINT AS BIGINT) % 5 = 0
+  THEN 'test' ELSE 'train' END AS split FROM labels""")
+def q_train_test_split(spark, sf):
+    """80/20 split of the labelled documents, seed 42."""
+    return SM.train_test_split(table(spark, sf, "labels").select("doc_id"), "doc_id")
+
+
+@register("pending_shards", f"""
+SELECT DISTINCT {_HOST_SQL} AS host FROM pages
+WHERE {_HOST_SQL} NOT IN (SELECT {_HOST_SQL} FROM pages WHERE regexp_extract(html, {S.lit(X.LANG_RE)}, 1) = 'en')""")
+def q_pending_shards(spark, sf):
+    """Hosts (shards) without a finished output; 'finished' = has an English page."""
+    p = table(spark, sf, "pages").select(X.host(F.col("url")).alias("host"),
+                                         F.regexp_extract("html", X.LANG_RE, 1).alias("lang"))
+    return SM.pending(p.select("host").distinct(), p.where("lang = 'en'"), "host")
+
+
+@register("corpus_summary", """
+SELECT source, CAST(count(*) AS BIGINT) AS n_files, CAST(sum(strlen(text)) AS BIGINT) AS total_bytes
+FROM documents GROUP BY source""")
+def q_corpus_summary(spark, sf):
+    return M.corpus_summary(table(spark, sf, "documents").select("source", "text"))
+
+
+@register("document_frequency", f"""
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), {S.lit(M.WORD_RE)}) AS toks FROM documents),
+g AS (SELECT doc_id, toks, list_transform(range(1, len(toks)), lambda i: toks[i] || ' ' || toks[i + 1]) AS bi FROM t),
+terms AS (SELECT doc_id, unnest(list_concat(toks, bi)) AS term FROM g),
+pd AS (SELECT doc_id, term, count(*) AS c FROM terms GROUP BY doc_id, term)
+SELECT term, CAST(sum(c) AS BIGINT) AS tf, CAST(count(*) AS BIGINT) AS df FROM pd
+GROUP BY term ORDER BY tf DESC, term LIMIT 50000""")
+def q_document_frequency(spark, sf):
+    """Vocabulary statistics, 1-2-grams, top 50,000 by corpus frequency."""
+    return M.document_frequency(spread(table(spark, sf, "documents")).select("doc_id", "text"))
+
+
+@register("classification_report", _GOPHER_STATS_SQL + f"""
+, pred AS (SELECT l.quality AS y, CASE WHEN ({_GOPHER_REASON_SQL}) IS NULL THEN 1 ELSE 0 END AS p
+           FROM r JOIN labels l ON l.doc_id = r.doc_id),
+conf AS (SELECT CAST(y AS VARCHAR) AS y, CAST(p AS VARCHAR) AS p, count(*) AS c FROM pred GROUP BY 1, 2),
+cls AS (SELECT y AS cls FROM conf UNION SELECT p FROM conf),
+per AS (SELECT cls,
+          coalesce((SELECT sum(c) FROM conf WHERE y = cls AND p = cls), 0) AS tp,
+          coalesce((SELECT sum(c) FROM conf WHERE y = cls), 0) AS sup,
+          coalesce((SELECT sum(c) FROM conf WHERE p = cls), 0) AS npred FROM cls),
+m AS (SELECT cls, CASE WHEN npred > 0 THEN tp / npred ELSE 0 END AS pr,
+             CASE WHEN sup > 0 THEN tp / sup ELSE 0 END AS rc, sup FROM per),
+m2 AS (SELECT *, CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0 END AS f FROM m)
+SELECT cls AS class, round(pr, 6) AS "precision", round(rc, 6) AS recall, round(f, 6) AS f1,
+       CAST(sup AS BIGINT) AS support FROM m2
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(CASE WHEN y = p THEN c ELSE 0 END) / sum(c), 6),
+       CAST(sum(c) AS BIGINT) FROM conf
+UNION ALL SELECT 'macro avg', round(avg(pr), 6), round(avg(rc), 6), round(avg(f), 6), CAST(sum(sup) AS BIGINT) FROM m2
+UNION ALL SELECT 'weighted avg', round(sum(pr * sup) / sum(sup), 6), round(sum(rc * sup) / sum(sup), 6),
+       round(sum(f * sup) / sum(sup), 6), CAST(sum(sup) AS BIGINT) FROM m2""")
+def q_classification_report(spark, sf):
+    """A8 on a fixed prediction rule: Gopher 'keep' as a predictor of labels.quality."""
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
+    pred = G.gopher_filter(docs).select("doc_id", F.col("keep").cast("int").alias("prediction"))
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    return M.classification_report(lab.join(pred, "doc_id"))
+
+
+@register("pick_per_component", _minhash_sql(MH_PARAMS) + f"""
+SELECT arg_min(doc_id, {_seeded_sql('doc_id', 7)}) AS doc_id, component FROM clusters GROUP BY component""")
+def q_pick_per_component(spark, sf):
+    """W2 with keep='random': one seeded choice per near-duplicate cluster."""
+    return MH.pick_per_component(_clusters(spark, sf), keep="random", seed=7)
