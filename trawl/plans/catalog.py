@@ -598,3 +598,95 @@ SELECT arg_min(doc_id, {_seeded_sql('doc_id', 7)}) AS doc_id, component FROM clu
 def q_pick_per_component(spark, sf):
     """W2 with keep='random': one seeded choice per near-duplicate cluster."""
     return MH.pick_per_component(_clusters(spark, sf), keep="random", seed=7)
+
+
+# =============================================================== 2.1 sources / 2.12 streaming
+from ..session import scratch_path  # noqa: E402
+from ..sources import files as FS  # noqa: E402
+from ..sources import warc as W  # noqa: E402
+
+
+def _warc_of_pages(spark, sf) -> str:
+    path = scratch_path(spark, "pages-warc")
+    W.pages_to_warc(table(spark, sf, "pages"), path)
+    return path
+
+
+@register("scan_warc")
+def q_scan_warc(spark, sf):
+    """S1 (+P1): pages written as a WARC archive by Spark, scanned back (HTML only)."""
+    recs = W.scan_warc(spark, _warc_of_pages(spark, sf), require_html=True)
+    return recs.select("uri", "content_type", F.octet_length("payload").alias("n_bytes"), "html")
+
+
+@register("filter_record_type")
+def q_filter_record_type(spark, sf):
+    """Record counts by type, and responses with a URI and an HTML type."""
+    recs, bad = W.read_records(spark, _warc_of_pages(spark, sf))
+    return recs.groupBy("warc_type").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+def _wet_of_pages(spark, sf, partition_by=None) -> str:
+    path = scratch_path(spark, "pages-wet")
+    p = table(spark, sf, "pages")
+    txt = X.pages_to_text(p, builtin=True).withColumn(
+        "chunk", F.regexp_extract("html", X.LANG_RE, 1))
+    W.text_to_wet(txt, path, partition_by=partition_by)
+    return path
+
+
+@register("scan_wet")
+def q_scan_wet(spark, sf):
+    """Extracted page text written as a WET archive, scanned back."""
+    return W.scan_wet(spark, _wet_of_pages(spark, sf)).select("uri", "text")
+
+
+@register("write_filtered_wet")
+def q_write_filtered_wet(spark, sf):
+    """S6 + A4: keep conversion records of pages whose lang is English; kept share per chunk."""
+    src = _wet_of_pages(spark, sf, partition_by="chunk")
+    recs, _ = W.read_records(spark, src)
+    recs = recs.withColumn("chunk", F.regexp_extract("file", r"chunk=([^/]+)", 1))
+    keep = F.col("chunk") == "en"
+    return W.write_filtered_wet(recs, keep, scratch_path(spark, "wet-filtered"))
+
+
+@register("scan_path_manifest")
+def q_scan_path_manifest(spark, sf):
+    """Page URLs written as a headerless gzip manifest, read back; first path."""
+    path = scratch_path(spark, "manifest")
+    table(spark, sf, "pages").select("url").write.option("compression", "gzip").csv(path)
+    return FS.first_path(FS.scan_path_manifest(spark, path))
+
+
+@register("scan_dump_lines")
+def q_scan_dump_lines(spark, sf):
+    """S5 + P11: reference lines written as bz2 text, read back, URLs extracted."""
+    path = scratch_path(spark, "dump-bz2")
+    reference_lines(table(spark, sf, "pages")).select("line").write.option(
+        "compression", "bzip2").text(path)
+    return U.extract_reference_urls(FS.scan_dump_lines(spark, path), keep=["file"]).select("url")
+
+
+@register("incremental_language_filter")
+def q_incremental_language_filter(spark, sf):
+    """A file stream over WET chunks, English conversion records appended
+    to parquet; the checkpoint makes reruns process only new files."""
+    src = _wet_of_pages(spark, sf, partition_by="chunk")
+    out, ck = scratch_path(spark, "r1-out"), scratch_path(spark, "r1-ckpt")
+    keep = F.col("file").contains("chunk=en")
+    W_stream.incremental_language_filter(spark, src + "/*", out, ck, keep)
+    return spark.read.parquet(out).select("uri", "text")
+
+
+@register("incremental_kept_ratio")
+def q_incremental_kept_ratio(spark, sf):
+    """R2: kept share per micro-batch and file, written idempotently per batch."""
+    src = _wet_of_pages(spark, sf, partition_by="chunk")
+    out, ck = scratch_path(spark, "r2-out"), scratch_path(spark, "r2-ckpt")
+    keep = F.col("file").contains("chunk=en")
+    W_stream.incremental_kept_ratio(spark, src + "/*", out, ck, keep)
+    return spark.read.parquet(out)
+
+
+from ..streaming import incremental as W_stream  # noqa: E402
