@@ -690,3 +690,70 @@ def q_incremental_kept_ratio(spark, sf):
 
 
 from ..streaming import incremental as W_stream  # noqa: E402
+
+
+# =============================================================== 2.10 classifiers (Spark ML)
+from ..operators import classify as C  # noqa: E402
+
+
+def _split_docs(spark, sf):
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text", "lang")
+    return SM.train_test_split(docs, "doc_id")
+
+
+@register("identify_language")
+def q_identify_language(spark, sf):
+    """M1: char n-gram naive Bayes trained on the 80 % split, applied to all documents."""
+    d = _split_docs(spark, sf)
+    model = C.train_language_id(d.where("split = 'train'"))
+    return C.identify_language(model, d, keep=["doc_id", "split"]).drop("score_raw")
+
+
+@register("filter_english_model")
+def q_filter_english_model(spark, sf):
+    """F9 model form: predicted 'en' with unrounded score >= 0.7."""
+    d = _split_docs(spark, sf)
+    model = C.train_language_id(d.where("split = 'train'"))
+    pred = C.identify_language(model, d, keep=["doc_id"])
+    return pred.where(C.is_english()).select("doc_id", "lang", "score")
+
+
+def _labelled(spark, sf):
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
+    lab = table(spark, sf, "labels")
+    return SM.train_test_split(docs.join(lab, "doc_id"), "doc_id")
+
+
+@register("classify_toxic")
+def q_classify_toxic(spark, sf):
+    """M3: toxic / non-toxic with probability, trained on labels.toxic (80 %)."""
+    d = _labelled(spark, sf)
+    model = C.train_binary_text(d.where("split = 'train'"), "toxic")
+    return C.classify_binary(model, d, C.TOXIC_LABELS, keep=["doc_id", "split", "toxic"])
+
+
+@register("classify_nsfw")
+def q_classify_nsfw(spark, sf):
+    """M2: nsfw / non-nsfw; no NSFW labels exist, labels.toxic is the stand-in."""
+    d = _labelled(spark, sf)
+    model = C.train_binary_text(d.where("split = 'train'"), "toxic")
+    return C.classify_binary(model, d, C.NSFW_LABELS, keep=["doc_id", "split"])
+
+
+def _quality(spark, sf):
+    d = _labelled(spark, sf).withColumnRenamed("quality", "label")
+    model = C.train_quality_classifier(d.where("split = 'train'"), balanced=True)
+    return C.classify_quality(model, d, keep=["doc_id", "split", F.col("label").alias("y")])
+
+
+@register("classify_quality")
+def q_classify_quality(spark, sf):
+    """M4 + M5: TF-IDF + logistic regression on labels.quality; wiki / cc with probability."""
+    return _quality(spark, sf)
+
+
+@register("evaluate_quality_classifier")
+def q_evaluate_quality_classifier(spark, sf):
+    """M6 (+A8): report on the 20 % held out."""
+    pred = _quality(spark, sf).where("split = 'test'")
+    return M.classification_report(pred, label="y", prediction="prediction")
