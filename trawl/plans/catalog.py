@@ -757,3 +757,35 @@ def q_evaluate_quality_classifier(spark, sf):
     """M6 (+A8): report on the 20 % held out."""
     pred = _quality(spark, sf).where("split = 'test'")
     return M.classification_report(pred, label="y", prediction="prediction")
+
+
+# =============================================================== 2.11 tokens
+from ..operators import tokens as K  # noqa: E402
+
+
+def _tokens(spark, sf):
+    return K.tokenize_corpus(spread(table(spark, sf, "documents")).select("doc_id", "text"))
+
+
+@register("tokenize_corpus")
+def q_tokenize_corpus(spark, sf):
+    """K1: byte-level BPE ids per document (end-of-text appended)."""
+    return _tokens(spark, sf).select("doc_id", "n_tokens", "tokens")
+
+
+@register("pack_windows")
+def q_pack_windows(spark, sf):
+    """K2: the concatenated token stream cut into (x, y) windows of 512."""
+    return K.pack_windows(_tokens(spark, sf))
+
+
+@register("sample_windows")
+def q_sample_windows(spark, sf):
+    """K3: 128 seeded random (x, y) windows."""
+    return K.sample_windows(_tokens(spark, sf), 128, seed=0)
+
+
+@register("token_budget")
+def q_token_budget(spark, sf):
+    """K4: the default run's token budget against the corpus."""
+    return K.token_budget(_tokens(spark, sf))
