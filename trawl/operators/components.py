@@ -3,9 +3,9 @@
 Min-label propagation with pointer jumping: every round each node takes the
 smallest label among itself and its neighbours, then the label of its label.
 Labels only decrease and stay inside the component, so the fixpoint is the
-component's smallest node. Each round is checkpointed to the shared folder
-(reliable checkpoint; lineage stays one round deep) and the only value
-brought to the driver is the count of changed labels.
+component's smallest node. Each round's labels are written as a table to
+the shared folder (lineage stays one round deep; survives executor loss) and
+the only value brought to the driver is the count of changed labels.
 
 Hot nodes (a hub adjacent to a third of the graph) meet joins whose other
 side has one row per key; AQE's skew-join split handles them.
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import materialize, shared_dir
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
@@ -32,10 +32,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
          .where(F.col("a") != F.col("b")).distinct())
     both = (e.select(F.col("a").alias("u"), F.col("b").alias("v"))
             .unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v"))))
-    both = both.checkpoint()
+    both = materialize(both, "both")
     labels = (both.groupBy("u").agg(F.min("v").alias("m"))
               .select(F.col("u").alias("node"), F.least("u", "m").alias("label")))
-    labels = labels.checkpoint()
+    labels = materialize(labels, "labels")
     for _ in range(max_rounds):
         nb = (both.join(labels.select(F.col("node").alias("v"), F.col("label").alias("lv")), "v")
               .groupBy("u").agg(F.min("lv").alias("m")))
@@ -45,7 +45,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
         ref = l1.select(F.col("node").alias("ref"), F.col("label").alias("jump"))
         l2 = (l1.join(ref, l1["label"] == ref["ref"], "left")
               .select("node", "old", F.least("label", F.coalesce("jump", "label")).alias("label")))
-        l2 = l2.checkpoint()
+        l2 = materialize(l2, "l2")
         changed = l2.where(F.col("old") != F.col("label")).count()
         labels = l2.select("node", "label")
         if changed == 0:

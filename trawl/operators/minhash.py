@@ -42,7 +42,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import normalize_text, word_ngrams
+from ..functions.text import (needs_python_normalize, normalize_text, normalize_text_builtin,
+                              word_ngrams)
+from ..session import materialize
 from .components import connected_components
 
 @dataclass(frozen=True)
@@ -86,18 +88,47 @@ def _fast_coefficients(num_hashes: int, seed: int):
     return a, b
 
 
-def fast_signature_udf(num_hashes: int, seed: int):
-    """Arrow UDF: array<bigint> shingle hashes -> array<bigint> signature."""
+def _shingles_py(norm: str, n: int) -> list[str]:
+    """word_ngrams in Python (used only for rows taking the normalisation fallback)."""
+    words = norm.split(" ") if norm else []
+    if not words:
+        return []
+    if len(words) < n:
+        return [norm]
+    return list(dict.fromkeys(" ".join(words[i:i + n]) for i in range(len(words) - n + 1)))
+
+
+def fast_signature_udf(num_hashes: int, seed: int, ngrams: int):
+    """Arrow UDF: (built-in shingles, raw text for fallback rows) ->
+    struct(set_key, n_sh, sig).
+
+    One Python step per batch: 64-bit xxhash per shingle, then H
+    multiply-add-shift hashes and their minima vectorised in numpy. Rows whose
+    text needs the Python normalisation fallback carry their raw text and are
+    re-shingled here, so no second Python step precedes this one.
+    """
+    import hashlib
+
+    import xxhash
+
+    from ..functions.text import normalize_text_py
+
     a, b = _fast_coefficients(num_hashes, seed)
     chunk = 1 << 17
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def sig(col: pd.Series) -> pd.Series:
-        n = len(col)
-        out = np.zeros((n, num_hashes), dtype=np.int64)
-        arrays = [np.asarray(x, dtype=np.int64) if x is not None else np.zeros(0, np.int64)
-                  for x in col]
+    schema = T.StructType([T.StructField("set_key", T.StringType()),
+                           T.StructField("n_sh", T.IntegerType()),
+                           T.StructField("sig", T.ArrayType(T.LongType()))])
+
+    @F.pandas_udf(schema)
+    def sig(sh: pd.Series, raw: pd.Series) -> pd.DataFrame:
+        n = len(sh)
+        sets = [list(x) if r is None else _shingles_py(normalize_text_py(r), ngrams)
+                for x, r in zip(sh, raw)]
+        keys = [hashlib.md5("\n".join(sorted(x)).encode()).hexdigest() for x in sets]
+        arrays = [np.fromiter((xxhash.xxh64_intdigest(s.encode()) for s in x), dtype=np.uint64,
+                              count=len(x)) for x in sets]
         lens = np.fromiter((len(x) for x in arrays), dtype=np.int64, count=n)
+        out = np.zeros((n, num_hashes), dtype=np.int64)
         i = 0
         while i < n:
             j, tot = i, 0
@@ -106,13 +137,12 @@ def fast_signature_udf(num_hashes: int, seed: int):
                 j += 1
             rows = [k for k in range(i, j) if lens[k] > 0]
             if rows:
-                x = np.concatenate([arrays[k] for k in rows]).view(np.uint64)
+                x = np.concatenate([arrays[k] for k in rows])
                 v = (a[:, None] * x[None, :] + b[:, None]) >> np.uint64(32)
                 offs = np.concatenate([[0], np.cumsum(lens[rows])[:-1]])
-                mins = np.minimum.reduceat(v, offs, axis=1)
-                out[rows] = mins.T.astype(np.int64)
+                out[rows] = np.minimum.reduceat(v, offs, axis=1).T.astype(np.int64)
             i = j
-        return pd.Series(list(out))
+        return pd.DataFrame({"set_key": keys, "n_sh": lens.astype(np.int32), "sig": list(out)})
 
     return sig
 
@@ -133,14 +163,17 @@ def signature_table(docs: DataFrame, p: MinHashParams, id_col: str = "doc_id",
     per (document, shingle) row and one ``min`` aggregate per document; the
     map-side partial aggregate leaves one row per document to exchange.
     """
+    if p.mode == "fast":
+        d = docs.select(F.col(id_col).alias("doc_id"),
+                        normalize_text_builtin(text_col).alias("norm"),
+                        needs_python_normalize(text_col).alias("raw"))
+        d = d.select("doc_id", word_ngrams("norm", p.ngrams).alias("sh"), "raw")
+        r = d.select("doc_id", fast_signature_udf(p.num_hashes, p.seed, p.ngrams)("sh", "raw").alias("r"))
+        return r.select("doc_id", "r.set_key", "r.n_sh", "r.sig")
     sh = shingle_table(docs, p, id_col, text_col)
     t = sh.select("doc_id",
                   F.md5(F.array_join(F.array_sort("sh"), "\n")).alias("set_key"),
                   F.size("sh").alias("n_sh"), "sh")
-    if p.mode == "fast":
-        hs = F.transform("sh", lambda s: F.xxhash64(s))
-        sig = fast_signature_udf(p.num_hashes, p.seed)(hs)
-        return t.select("doc_id", "set_key", "n_sh", sig.alias("sig"))
     rows = t.select("doc_id", "set_key", "n_sh", F.explode_outer("sh").alias("s"))
     hcols = [_md5_u32le(F.concat(F.lit(f"{i}-"), F.col("s"))).alias(f"h{i}")
              for i in range(p.num_hashes)]
@@ -220,7 +253,7 @@ def verified_edges(members: DataFrame, sets: DataFrame, p: MinHashParams) -> Dat
         mp = (members.join(piv, ["band", "key"]).join(sets_x, "x").join(sets_p, "p")
               .select("band", "key", "x", "p", _jaccard("hx", "nx", "hp", "np").alias("j")))
         mp = mp.withColumn("d", 1.0 - F.col("j")).withColumn("ok", F.col("j") >= p.threshold)
-        mp = mp.checkpoint()
+        mp = materialize(mp, "mp")
         inside = mp.where(F.col("ok") & (F.col("x") != F.col("p")))
         edges.append(inside.select(F.col("p").alias("src"), F.col("x").alias("dst")))
         out = mp.where(~F.col("ok"))
@@ -233,9 +266,9 @@ def verified_edges(members: DataFrame, sets: DataFrame, p: MinHashParams) -> Dat
         checked = (cand.join(sets_x, "x").join(sets_y, "y")
                    .where(_jaccard("hx", "nx", "hy", "ny") >= p.threshold)
                    .select(F.col("x").alias("src"), F.col("y").alias("dst")))
-        edges.append(checked.checkpoint())
-        members = out.select("band", "key", "x").checkpoint()
-        if members.isEmpty():
+        edges.append(checked)
+        members = materialize(out.select("band", "key", "x"), "members")
+        if members.isEmpty():  # reads the written table
             break
         if rounds > 100_000:
             raise RuntimeError("pivot rounds did not finish")
@@ -251,10 +284,11 @@ def duplicate_clusters(docs: DataFrame, p: MinHashParams, id_col: str = "doc_id"
                        text_col: str = "text", sig_tbl: DataFrame | None = None) -> DataFrame:
     """(doc_id, component) for every document; component = smallest doc id."""
     if sig_tbl is None:
-        sig_tbl = signature_table(docs, p, id_col, text_col).checkpoint()
-    members = bucket_members(sig_tbl, p).checkpoint()
+        sig_tbl = materialize(signature_table(docs, p, id_col, text_col), "sig_tbl")
+    members = materialize(bucket_members(sig_tbl, p), "members")
     sets = set_table(docs, p, members.select(F.col("x").alias("doc_id")).distinct(),
-                     id_col, text_col).checkpoint()
+                     id_col, text_col)
+    sets = materialize(sets, "sets")
     edges = verified_edges(members, sets, p)
     labels = connected_components(edges, "src", "dst", node_col="rep")
     reps = sig_tbl.groupBy("set_key").agg(F.min("doc_id").alias("rep"))

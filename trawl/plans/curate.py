@@ -15,6 +15,7 @@ from ..operators import dedup_lines as DL
 from ..operators import gopher as G
 from ..operators import minhash as MH
 from ..operators import pii as PII
+from ..session import materialize
 from ..sources.tables import spread, table
 
 FLAGSHIP_PARAMS = MH.MinHashParams(num_hashes=100, num_bands=10, ngrams=5,
@@ -28,17 +29,15 @@ def curate_corpus(docs: DataFrame, params: MH.MinHashParams = FLAGSHIP_PARAMS,
     outcome: 'non_<lang>', a Gopher rule name, 'near_duplicate' or 'kept';
     text is the PII-masked, line-deduplicated text of surviving documents.
     """
-    spark = docs.sparkSession
     base = docs.select("doc_id", "source", "lang", "text")
     judged = G.gopher_filter(base)
     judged = judged.withColumn(
         "outcome", F.when(F.col("lang") != lang, F.lit(f"non_{lang}")).otherwise(F.col("reason")))
-    judged = judged.checkpoint()
+    judged = materialize(judged, "judged")
     passing = judged.where(F.col("outcome").isNull()).select("doc_id", "text")
     masked = PII.mask_pii(passing).select("doc_id", F.col("masked").alias("text"))
-    clean = DL.dedup_lines(masked).checkpoint()
+    clean = materialize(DL.dedup_lines(masked), "clean")
     survivors = MH.dedup_minhash(clean, params).select("doc_id", "text")
-    _ = spark
     out = (judged.select("doc_id", "source", "outcome")
            .join(survivors, "doc_id", "left")
            .withColumn("outcome", F.coalesce(

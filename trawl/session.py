@@ -60,3 +60,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing a parquet table to the shared folder and reading it back.
+
+    Unlike an eager ``checkpoint()`` (which evaluates the plan once for the
+    count and again for the checkpoint write) the plan runs once; the table
+    survives executor loss and later stages read it with column pruning.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
