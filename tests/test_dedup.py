@@ -12,13 +12,14 @@ from trawl.operators.components import connected_components
 
 
 def _files(spark, sub):
-    d = os.path.join(REF_FIXTURES, sub)
-    rows = []
-    for i, name in enumerate(sorted(os.listdir(d))):
-        # universal-newline text mode, as the reference reads the files
-        with open(os.path.join(d, name), encoding="utf-8") as f:
-            rows.append((i, name, f.read()))
-    return spark.createDataFrame(rows, "doc_id long, name string, text string")
+    """The fixture files read as data by the text-corpus scan (S3)."""
+    from pyspark.sql import Window
+
+    from trawl.sources.files import scan_text_corpus
+
+    df = scan_text_corpus(spark, os.path.join(REF_FIXTURES, sub))
+    return df.select((F.row_number().over(Window.orderBy("name")) - 1).cast("long").alias("doc_id"),
+                     "name", "text")
 
 
 def test_exact_line_dedup_fixture(spark):

@@ -789,3 +789,15 @@ def q_sample_windows(spark, sf):
 def q_token_budget(spark, sf):
     """K4: the default run's token budget against the corpus."""
     return K.token_budget(_tokens(spark, sf))
+
+
+@register("write_url_list")
+def q_write_url_list(spark, sf):
+    """Extracted URLs written as one gzip list in (shard, line, position)
+    order by the executors, read back; the count comes from an observation."""
+    lines = reference_lines(table(spark, sf, "pages"))
+    urls = U.extract_reference_urls(lines, keep=["shard", "line_no"])
+    path = scratch_path(spark, "url-list")
+    n = U.write_url_list(urls, path)
+    back = spark.read.text(path)
+    return back.select(F.col("value").alias("url"), F.lit(n).cast("bigint").alias("n_written"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 def scan_text_corpus(spark: SparkSession, paths: str | list[str], whole: bool = True) -> DataFrame:
     """S3: (path, name, text) one row per file (``wholetext``), or (path, line)
     line-wise. Undecodable bytes become U+FFFD."""
-    df = spark.read.option("wholetext", whole).text(paths)
+    df = spark.read.text(paths, wholetext=whole)
     path = F.col("_metadata.file_path")
     out = df.select(path.alias("path"), F.make_valid_utf8("value").alias("text"))
     return out.withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1))
