@@ -801,3 +801,27 @@ def q_write_url_list(spark, sf):
     n = U.write_url_list(urls, path)
     back = spark.read.text(path)
     return back.select(F.col("value").alias("url"), F.lit(n).cast("bigint").alias("n_written"))
+
+
+# ---- oracles for the archive round trips: what Spark wrote from `pages` must read back
+ORACLES["scan_warc"] = """
+SELECT url AS uri, 'text/html; charset=utf-8' AS content_type, CAST(strlen(html) AS INTEGER) AS n_bytes, html
+FROM pages"""
+ORACLES["filter_record_type"] = """
+SELECT 'response' AS warc_type, CAST(count(*) AS BIGINT) AS n_records FROM pages
+UNION ALL SELECT 'warcinfo', CAST(1 AS BIGINT)"""
+ORACLES["scan_wet"] = f"SELECT url AS uri, {S.strip_tags('html')} AS text FROM pages"
+ORACLES["incremental_language_filter"] = f"""
+SELECT url AS uri, {S.strip_tags('html')} AS text FROM pages
+WHERE regexp_extract(html, {S.lit(X.LANG_RE)}, 1) = 'en'"""
+ORACLES["write_filtered_wet"] = f"""
+WITH w AS (SELECT regexp_extract(html, {S.lit(X.LANG_RE)}, 1) AS chunk,
+                  CAST(length({S.strip_tags('html')}) AS BIGINT) AS n FROM pages)
+SELECT chunk, CAST(sum(n) AS BIGINT) AS total_chars,
+       CAST(sum(CASE WHEN chunk <> 'en' THEN n ELSE 0 END) AS BIGINT) AS skipped_chars,
+       CASE WHEN sum(n) > 0 THEN round(100.0 * (sum(n) - sum(CASE WHEN chunk <> 'en' THEN n ELSE 0 END)) / sum(n), 2)
+            ELSE 0.0 END AS kept_pct
+FROM w GROUP BY chunk"""
+ORACLES["scan_dump_lines"] = _REF_LINES_SQL + " SELECT url FROM x"
+ORACLES["write_url_list"] = _REF_LINES_SQL + """
+SELECT url, (SELECT CAST(count(*) AS BIGINT) FROM x) AS n_written FROM x"""
