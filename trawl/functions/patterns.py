@@ -47,6 +47,13 @@ WS = "[" + WS_CHARS + "]"
 # whitespace that is not a line boundary (what strip() removes inside one line)
 WS_INLINE = "[" + r"\t \x1F\x{A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}" + "]"
 LINE_BREAK = r"(?:\r\n|[\n\r\x0B\f\x1C-\x1E\x{85}\x{2028}\x{2029}])"
+# whitespace outside ASCII (and \x1C-\x1F): mapped to ' ' before tokenising,
+# so the tokenizer rules only need the six ASCII whitespace characters
+RARE_WS = "".join(chr(c) for c in [0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680,
+                                   *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
+                                   0x205F, 0x3000])
+TWS_CHARS = r"\t\n\x0B\f\r "
+TWS = "[" + TWS_CHARS + "]"
 
 # ---------------------------------------------------------------------------
 # Word tokenizer: a Treebank-style replacement chain without lookaround, so
@@ -55,16 +62,14 @@ LINE_BREAK = r"(?:\r\n|[\n\r\x0B\f\x1C-\x1E\x{85}\x{2028}\x{2029}])"
 # one space and the string is split on it.
 # ---------------------------------------------------------------------------
 TOKEN_RULES = [
-    ("(^|[" + WS_CHARS + r"(\[{<])([\"“])", "{1} `` "),   # opening quotes
+    ("(^|[" + TWS_CHARS + r"(\[{<])([\"“])", "{1} `` "),   # opening quotes
     (r"([:,])([^0-9])", " {1} {2}"),                               # : and , not in numbers
     (r"([:,])\z", " {1}"),
     (r"\.{2,}", " ... "),                                          # ellipsis
-    ("[;!?*#$%&\"”“@<>(){}\\[\\]]", " {0} "),           # single punctuation
-    (r"--", " -- "),
-    (r"([^.])\.(" + WS + r"|\z)", "{1} .{2}"),                    # full stop before space/end
-    (r"([^'" + WS_CHARS + r"])('[sSmMdD]|')(" + WS + r"|\z)", "{1} {2}{3}"),
-    (r"([^'" + WS_CHARS + r"])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T)(" + WS + r"|\z)",
-     "{1} {2}{3}"),
+    ("[;!?*#$%&\"”“@<>(){}\\[\\]]|--", " {0} "),      # single punctuation, double dash
+    (r"([^.])\.(" + TWS + r"|\z)", "{1} .{2}"),                    # full stop before space/end
+    (r"([^'" + TWS_CHARS + r"])('[sSmMdD]|'ll|'LL|'re|'RE|'ve|'VE|n't|N'T|')(" + TWS + r"|\z)",
+     "{1} {2}{3}"),                                                # clitics and closing quote
 ]
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.patterns import (GOPHER_MAX_ELLIPSIS_SHARE, GOPHER_MAX_MEAN_LEN,
                                   GOPHER_MAX_WORDS, GOPHER_MIN_ALPHA_SHARE,
                                   GOPHER_MIN_MEAN_LEN, GOPHER_MIN_WORDS)
-from ..functions.text import line_stats, py_strip, token_stats, word_token_string
+from ..functions.text import line_stats, token_stats, word_token_string
 
 STAT_COLS = ("n_tokens", "token_chars", "n_alpha_tokens", "n_lines", "n_ellipsis_lines")
 
@@ -25,8 +25,9 @@ def gopher_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
     ts = token_stats(F.col("_tok"))
     ls = line_stats(F.col(text_col))
     stats = F.struct(*[ts[k].alias(k) for k in ts], *[ls[k].alias(k) for k in ls])
+    # blank after strip <=> no lines after strip (saves a pass over the text)
     return (df.withColumn("gstats", stats)
-              .withColumn("is_blank", py_strip(F.coalesce(F.col(text_col), F.lit(""))) == "")
+              .withColumn("is_blank", F.col("gstats.n_lines") == 0)
               .drop("_tok"))
 
 

@@ -7,8 +7,8 @@ the Spark expression where possible (arrays and lambdas instead of counts).
 
 from __future__ import annotations
 
-from ..functions.patterns import (LINE_BREAK, TOKEN_RULES, WS, WS_CHARS, WS_INLINE,
-                                  re2_rep)
+from ..functions.patterns import (LINE_BREAK, RARE_WS, TOKEN_RULES, TWS, WS, WS_CHARS,
+                                  WS_INLINE, re2_rep)
 
 
 def lit(s: str) -> str:
@@ -20,10 +20,10 @@ def strip(expr: str) -> str:
 
 
 def token_string(expr: str) -> str:
-    out = f"coalesce({expr}, '')"
+    out = f"translate(coalesce({expr}, ''), {lit(RARE_WS)}, {lit(' ' * len(RARE_WS))})"
     for pat, rep in TOKEN_RULES:
         out = f"regexp_replace({out}, {lit(pat)}, {lit(re2_rep(rep))}, 'g')"
-    out = f"regexp_replace({out}, {lit(WS + '+')}, ' ', 'g')"
+    out = f"regexp_replace({out}, {lit(TWS + '+')}, ' ', 'g')"
     return f"regexp_replace({out}, '^ | $', '', 'g')"
 
 
