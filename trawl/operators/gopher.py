@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.patterns import (GOPHER_MAX_ELLIPSIS_SHARE, GOPHER_MAX_MEAN_LEN,
                                   GOPHER_MAX_WORDS, GOPHER_MIN_ALPHA_SHARE,
                                   GOPHER_MIN_MEAN_LEN, GOPHER_MIN_WORDS)
-from ..functions.text import line_stats, token_stats, word_token_string
+from ..functions.text import line_stats, py_strip, token_stats, word_token_string
 
 STAT_COLS = ("n_tokens", "token_chars", "n_alpha_tokens", "n_lines", "n_ellipsis_lines")
 
@@ -21,14 +21,15 @@ STAT_COLS = ("n_tokens", "token_chars", "n_alpha_tokens", "n_lines", "n_ellipsis
 def gopher_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Add a ``gstats`` struct and an ``is_blank`` flag."""
     tok = word_token_string(F.col(text_col))
-    df = df.withColumn("_tok", tok)
+    df = df.withColumn("_tok", tok).withColumn(
+        "_stripped", py_strip(F.coalesce(F.col(text_col), F.lit(""))))
     ts = token_stats(F.col("_tok"))
-    ls = line_stats(F.col(text_col))
+    ls = line_stats(F.col(text_col), F.col("_stripped"))
     stats = F.struct(*[ts[k].alias(k) for k in ts], *[ls[k].alias(k) for k in ls])
     # blank after strip <=> no lines after strip (saves a pass over the text)
     return (df.withColumn("gstats", stats)
               .withColumn("is_blank", F.col("gstats.n_lines") == 0)
-              .drop("_tok"))
+              .drop("_tok", "_stripped"))
 
 
 def rule_columns(s: str = "gstats") -> dict[str, Column]:
