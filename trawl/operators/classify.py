@@ -95,8 +95,15 @@ def train_binary_text(df: DataFrame, label_col: str, text_col: str = "text") ->
                   F.col(label_col).cast("double").alias("label"))
     x = _balanced_weights(x.withColumn("grams", _word_grams(F.col("t"))), "label")
     tf = HashingTF(inputCol="grams", outputCol="features", numFeatures=NUM_FEATURES)
-    lr = LogisticRegression(weightCol="weight", maxIter=100, regParam=0.01)
-    return Pipeline(stages=[tf, lr]).fit(x)
+    feats = tf.transform(x).select("features", "label", "weight")
+    n = feats.count()
+    n_part = max(1, min(spark_parallelism(feats), -(-n // ROWS_PER_PARTITION)))
+    feats = feats.repartition(n_part).persist()   # iterations read vectors, not text
+    try:
+        lr = LogisticRegression(weightCol="weight", maxIter=100, regParam=0.01).fit(feats)
+    finally:
+        feats.unpersist()
+    return PipelineModel(stages=[tf, lr])
 
 
 def classify_binary(model: PipelineModel, df: DataFrame, names: tuple[str, str],
