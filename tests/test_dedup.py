@@ -98,3 +98,40 @@ def test_chain_only_neighbours_similar(spark):
     p = MH.MinHashParams(num_hashes=200, num_bands=50, ngrams=1, threshold=0.8)
     cl = {r.doc_id: r.component for r in MH.duplicate_clusters(df, p).collect()}
     assert cl == {1: 1, 2: 1, 3: 1}
+
+
+@pytest.mark.parametrize("mode", ["md5", "fast"])
+def test_lsh_recall_against_exact_jaccard(spark, mode):
+    """Clusters never join documents below the threshold (every edge is
+    verified) and keep >= 90 % of the exact near-duplicate pairs."""
+    from itertools import combinations
+
+    from conftest import SF_SMALL
+    from trawl.sources.tables import table
+
+    p = MH.MinHashParams(num_hashes=100, num_bands=10, ngrams=5, threshold=0.8, mode=mode)
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    sets = {r.doc_id: set(r.sh) for r in MH.shingle_table(docs, p).collect()}
+    exact = []
+    for a, b in combinations(sorted(sets), 2):
+        u = len(sets[a] | sets[b])
+        if (len(sets[a] & sets[b]) / u if u else 1.0) >= p.threshold:
+            exact.append((a, b))
+    comp = {r.doc_id: r.component for r in MH.duplicate_clusters(docs, p).collect()}
+    # union-find over exact edges: LSH components must refine exact components
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in exact:
+        parent[find(a)] = find(b)
+    for a in sets:
+        for b in sets:
+            if comp[a] == comp[b]:
+                assert find(a) == find(b)
+    kept = sum(1 for a, b in exact if comp[a] == comp[b])
+    assert exact and kept / len(exact) >= 0.9
