@@ -166,3 +166,60 @@ def classify_quality(model: PipelineModel, df: DataFrame, text_col: str = "text"
     return out.select(*(keep or []), F.when(pred == 1, F.lit(QUALITY_LABELS[1]))
                       .otherwise(F.lit(QUALITY_LABELS[0])).alias("label"),
                       F.element_at(prob, pred + 1).alias("score"), pred.alias("prediction"))
+
+
+# ------------------------------------------------------------------ M1, SQL form
+def char_trigram_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, gram, cnt): character trigrams of ' ' + lower(text with newlines as spaces) + ' '."""
+    t = F.concat(F.lit(" "), F.lower(preprocess_for_classifier(text_col, lower=False)), F.lit(" "))
+    g = df.select(F.col(id_col).alias("id"), F.explode(
+        F.regexp_extract_all(t, F.lit("(?s)(?=(...))"), 1)).alias("gram"))
+    return g.groupBy("id", "gram").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def train_langid_nb(train: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
+    """Multinomial naive Bayes with add-one smoothing as aggregates.
+
+    Returns (model, langs): model rows (gram, lang, lw = ln(count + 1)) -- one
+    per gram seen with a language, so its size is bounded by the vocabulary,
+    not the corpus -- and one row per language with prior and denominator.
+    """
+    g = char_trigram_counts(train, id_col, text_col)
+    lab = train.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
+    gl = g.join(lab, "id").groupBy("gram", "lang").agg(F.sum("cnt").alias("c"))
+    vocab = gl.select("gram").distinct().count()
+    n_docs = lab.groupBy("lang").agg(F.count(F.lit(1)).alias("nd"))
+    tot = gl.groupBy("lang").agg(F.sum("c").alias("nl"))
+    all_docs = lab.count()
+    langs = n_docs.join(tot, "lang").select(
+        "lang", F.log(F.col("nd") / F.lit(all_docs)).alias("prior"),
+        F.log(F.col("nl") + F.lit(vocab)).alias("logden"))
+    model = gl.select("gram", "lang", F.log(F.col("c") + 1).alias("lw"))
+    return model, langs
+
+
+def predict_langid_nb(model: DataFrame, langs: DataFrame, df: DataFrame,
+                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, lang): argmax over languages of prior + sum cnt * (lw - logden).
+
+    Grams outside the vocabulary are ignored; unseen (gram, lang) pairs count
+    ln 1 = 0 in the sparse sum. The language table has one row per language;
+    it is collected (a handful of rows) and expanded per document as a literal.
+    """
+    g = char_trigram_counts(df, id_col, text_col)
+    vocab = model.select("gram").distinct()
+    g = g.join(vocab, "gram", "left_semi")
+    sparse = (g.join(model, "gram").groupBy("id", "lang")
+              .agg(F.sum(F.col("cnt") * F.col("lw")).alias("s")))
+    n_in = g.groupBy("id").agg(F.sum("cnt").alias("n"))
+    lang_rows = langs.collect()
+    lits = F.array(*[F.struct(F.lit(r.lang).alias("lang"), F.lit(r.prior).alias("prior"),
+                              F.lit(r.logden).alias("logden")) for r in lang_rows])
+    base = (df.select(F.col(id_col).alias("id")).join(n_in, "id", "left")
+            .select("id", F.coalesce("n", F.lit(0)).alias("n"), F.explode(lits).alias("l"))
+            .select("id", "n", "l.lang", "l.prior", "l.logden"))
+    scored = (base.join(sparse, ["id", "lang"], "left")
+              .select("id", "lang", (F.col("prior") + F.coalesce("s", F.lit(0.0))
+                                     - F.col("n") * F.col("logden")).alias("score")))
+    return scored.groupBy("id").agg(F.max_by("lang", F.struct("score", "lang")).alias("lang"))

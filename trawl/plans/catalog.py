@@ -601,7 +601,7 @@ def q_pick_per_component(spark, sf):
 
 
 # =============================================================== 2.1 sources / 2.12 streaming
-from ..session import scratch_path  # noqa: E402
+from ..session import materialize, scratch_path  # noqa: E402
 from ..sources import files as FS  # noqa: E402
 from ..sources import warc as W  # noqa: E402
 
@@ -825,3 +825,41 @@ FROM w GROUP BY chunk"""
 ORACLES["scan_dump_lines"] = _REF_LINES_SQL + " SELECT url FROM x"
 ORACLES["write_url_list"] = _REF_LINES_SQL + """
 SELECT url, (SELECT CAST(count(*) AS BIGINT) FROM x) AS n_written FROM x"""
+
+
+_NB_GRAMS = """(SELECT {id} AS id, g AS gram, count(*) AS cnt FROM (
+   SELECT {id}, unnest(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) AS g
+   FROM (SELECT {id}, ' ' || lower({strip}) || ' ' AS t FROM {src})) GROUP BY 1, 2)"""
+
+
+def _nb_sql() -> str:
+    strip = S.strip("replace(text, chr(10), ' ')")
+    split = f"CASE WHEN CAST(('0x' || substr({_seeded_sql('doc_id', 42)}, 1, 8))::UBIGINT AS BIGINT) % 5 = 0 THEN 'test' ELSE 'train' END"
+    return f"""
+WITH d AS (SELECT doc_id, text, lang, {split} AS split FROM documents),
+tr AS (SELECT * FROM d WHERE split = 'train'),
+g AS {_NB_GRAMS.format(id='doc_id', strip=strip, src='tr')},
+gl AS (SELECT gram, lang, sum(cnt) AS c FROM g JOIN tr ON g.id = tr.doc_id GROUP BY gram, lang),
+v AS (SELECT count(DISTINCT gram) AS nv FROM gl),
+langs AS (SELECT n.lang, ln(n.nd / (SELECT count(*) FROM tr)) AS prior, ln(t.nl + (SELECT nv FROM v)) AS logden
+          FROM (SELECT lang, count(*) AS nd FROM tr GROUP BY lang) n
+          JOIN (SELECT lang, sum(c) AS nl FROM gl GROUP BY lang) t ON n.lang = t.lang),
+model AS (SELECT gram, lang, ln(c + 1) AS lw FROM gl),
+dg AS (SELECT * FROM {_NB_GRAMS.format(id='doc_id', strip=strip, src='d')} WHERE gram IN (SELECT gram FROM gl)),
+sparse AS (SELECT dg.id, m.lang, sum(dg.cnt * m.lw) AS s FROM dg JOIN model m ON dg.gram = m.gram GROUP BY 1, 2),
+nin AS (SELECT id, sum(cnt) AS n FROM dg GROUP BY id),
+base AS (SELECT d.doc_id AS id, coalesce(nin.n, 0) AS n, l.lang, l.prior, l.logden
+         FROM d LEFT JOIN nin ON d.doc_id = nin.id, langs l),
+scored AS (SELECT b.id, b.lang, b.prior + coalesce(s.s, 0.0) - b.n * b.logden AS score
+           FROM base b LEFT JOIN sparse s ON b.id = s.id AND b.lang = s.lang)
+SELECT id AS doc_id, arg_max(lang, score) AS lang FROM scored GROUP BY id"""
+
+
+@register("langid_nb_sql", _nb_sql())
+def q_langid_nb_sql(spark, sf):
+    """M1 in SQL form: character-trigram naive Bayes trained on the 80 % split."""
+    d = _split_docs(spark, sf)
+    model, langs = C.train_langid_nb(d.where("split = 'train'"))
+    model = materialize(model, "langid-model")
+    pred = C.predict_langid_nb(model, langs, d)
+    return pred.select(F.col("id").alias("doc_id"), "lang")
