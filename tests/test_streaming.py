@@ -33,5 +33,7 @@ def test_rerun_processes_only_new_files(spark):
     assert sorted(r.uri for r in spark.read.parquet(out).collect()) == ["http://a/1", "http://b/1", "http://b/2"]
     ratio_out, ratio_ck = os.path.join(base, "r2"), os.path.join(base, "r2ck")
     incremental_kept_ratio(spark, src, ratio_out, ratio_ck, keep)
-    r = spark.read.parquet(ratio_out).agg(F.sum("total_chars"), F.sum("skipped_chars")).first()
+    stats = spark.read.parquet(ratio_out)
+    r = stats.agg(F.sum("total_chars"), F.sum("skipped_chars")).first()
     assert tuple(r) == (6 + 5 + 6 + 8, 5)
+    assert stats.select("chunk").distinct().count() == 2     # one chunk per file here

@@ -190,7 +190,10 @@ def set_table(docs: DataFrame, p: MinHashParams, ids: DataFrame | None = None,
     """(doc_id, n_sh, hs): 64-bit hashes of the shingle set, for Jaccard checks.
 
     With ``ids`` only those documents are shingled again (a semi join on the
-    id), so sets are held for bucket members only, not for the corpus.
+    id), so sets are held for bucket members only, not for the corpus. The
+    id list is small next to the text: AQE broadcasts it when it fits the
+    threshold; otherwise the join is keyed on doc_id, which costs no text
+    shuffle when the document table is stored bucketed by doc_id.
     """
     if ids is not None:
         docs = docs.join(ids.select(F.col("doc_id").alias(id_col)), id_col, "left_semi")

@@ -863,3 +863,14 @@ def q_langid_nb_sql(spark, sf):
     model = materialize(model, "langid-model")
     pred = C.predict_langid_nb(model, langs, d)
     return pred.select(F.col("id").alias("doc_id"), "lang")
+
+ORACLES["scan_path_manifest"] = "SELECT url AS wet_path FROM pages LIMIT 1"
+ORACLES["incremental_kept_ratio"] = f"""
+WITH w AS (SELECT regexp_extract(html, {S.lit(X.LANG_RE)}, 1) AS chunk,
+                  CAST(length({S.strip_tags('html')}) AS BIGINT) AS n FROM pages)
+SELECT chunk, CAST(sum(n) AS BIGINT) AS total_chars,
+       CAST(sum(CASE WHEN chunk <> 'en' THEN n ELSE 0 END) AS BIGINT) AS skipped_chars,
+       CASE WHEN sum(n) > 0 THEN round(100.0 * (sum(n) - sum(CASE WHEN chunk <> 'en' THEN n ELSE 0 END)) / sum(n), 2)
+            ELSE 0.0 END AS kept_pct,
+       0 AS batch_id
+FROM w GROUP BY chunk"""

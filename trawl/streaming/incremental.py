@@ -52,10 +52,17 @@ def incremental_language_filter(spark: SparkSession, src: str, out: str, checkpo
     return len(q.recentProgress)
 
 
+def chunk_of_file(file: Column) -> Column:
+    """The chunk a file belongs to: its ``chunk=`` partition folder, else the file."""
+    part = F.regexp_extract(file, r"chunk=([^/]+)", 1)
+    return F.when(part != "", part).otherwise(file)
+
+
 def incremental_kept_ratio(spark: SparkSession, src: str, out: str, checkpoint: str,
                            keep: Callable[[DataFrame], Column] | Column,
-                           max_files: int | None = None) -> None:
-    """R2: per micro-batch and file, characters seen/skipped and kept percent.
+                           max_files: int | None = None,
+                           chunk: Callable[[Column], Column] = chunk_of_file) -> None:
+    """R2: per micro-batch and chunk, characters seen/skipped and kept percent.
 
     ``foreachBatch`` overwrites only its own ``batch_id`` partition (dynamic
     partition overwrite), so a replayed batch rewrites the same rows.
@@ -65,7 +72,7 @@ def incremental_kept_ratio(spark: SparkSession, src: str, out: str, checkpoint:
     def write(batch: DataFrame, batch_id: int) -> None:
         pred = keep(batch) if callable(keep) else keep
         n = F.length(F.coalesce("text", F.lit("")))
-        stats = (batch.withColumn("_k", pred).groupBy("file")
+        stats = (batch.withColumn("_k", pred).groupBy(chunk(F.col("file")).alias("chunk"))
                  .agg(F.sum(n).cast("bigint").alias("total_chars"),
                       F.sum(F.when(~F.col("_k"), n).otherwise(0)).cast("bigint").alias("skipped_chars"))
                  .withColumn("kept_pct", F.when(F.col("total_chars") > 0, F.round(
