@@ -3,10 +3,13 @@
 A line is kept only if it occurs exactly once in the whole corpus; its key
 includes the trailing newline. Every document is emitted, possibly as ''.
 
-Plan: explode lines -> aggregate by md5(line) carrying ``min(struct(doc,
-pos, line))`` (the single surviving occurrence *is* that struct, so no join
-back; hot lines collapse in the map-side partial aggregate) -> regroup
-survivors by document (a group is one document, bounded by its size).
+Plan: explode lines -> hash aggregate by md5(line) of fixed-width values
+only (count, min doc, min position: for a line seen once they are its single
+occurrence; a hot line collapses in the map-side partial aggregate and no
+line text is shuffled) -> kept positions collected per document -> one join
+with the documents on doc_id -> each document picks its kept lines by index
+from its own line array. The text crosses the network once (the join), the
+aggregate stays hash-based.
 """
 
 from __future__ import annotations
@@ -39,12 +42,13 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """(id, text) with every line that occurs more than once removed everywhere."""
     lines = split_lines(df, id_col, text_col)
     agg = (lines.groupBy(line_key().alias("k"))
-           .agg(F.count(F.lit(1)).alias("n"),
-                F.min(F.struct(F.col(id_col).alias("id"), "pos", "line")).alias("r")))
-    uniq = agg.where(F.col("n") == 1).select(F.col("r.id").alias(id_col), "r.pos", "r.line")
-    # one marker row per document so emptied documents are still emitted
-    marker = df.select(F.col(id_col), F.lit(-1).alias("pos"), F.lit("").alias("line"))
-    parts = uniq.unionByName(marker)
-    return parts.groupBy(id_col).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))),
-                                 lambda x: x["line"]), "").alias(text_col))
+           .agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("d"), F.min("pos").alias("p")))
+    kept = (agg.where(F.col("n") == 1)
+            .groupBy(F.col("d").alias(id_col)).agg(F.collect_list("p").alias("keep")))
+    t = normalize_newlines(F.coalesce(F.col(text_col), F.lit("")))
+    docs = df.select(id_col, F.regexp_extract_all(t, F.lit("[^\n]*\n|[^\n]+\\z"), 0).alias("lines"))
+    # the join is a plan boundary: `lines` is an attribute below, never re-split per element
+    j = docs.join(kept, id_col, "left")
+    pick = F.transform(F.array_sort(F.coalesce("keep", F.array().cast("array<int>"))),
+                       lambda i: F.element_at(F.col("lines"), i + 1))
+    return j.select(id_col, F.array_join(pick, "").alias(text_col))
