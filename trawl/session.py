@@ -33,6 +33,7 @@ def get_spark(app: str = "trawl", master: str | None = None,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -73,3 +74,27 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``trawl`` importable in the executors' Python workers (UDFs are
+    pickled by reference): zip the package once and ``addPyFile`` it."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="trawl-code-"), "trawl.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("trawl", os.path.relpath(full, pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
