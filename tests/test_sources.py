@@ -69,3 +69,14 @@ def test_scan_wet_invalid_utf8(spark):
     _write_multi_member(os.path.join(d, "x.warc.wet.gz"), recs)
     got = {r.uri: r.text for r in W.scan_wet(spark, d).collect()}
     assert got == {"http://u.example/": "héllo wörld", "http://bad.example/": "ab�cd"}
+
+
+def test_truncated_record_is_rejected_not_dropped(spark):
+    d = _fixture_dir()
+    good = _rec("response", "http://ok.example/", _http("text/html", b"<p>ok</p>"))
+    bad = (b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://cut.example/\r\n"
+           b"Content-Length: 999\r\n\r\nHTTP/1.1 200 OK\r\n\r\n<p>cut")
+    _write_multi_member(os.path.join(d, "x.warc.gz"), [good, bad])
+    recs, rejected = W.read_records(spark, d)
+    assert [r.uri for r in recs.collect()] == ["http://ok.example/"]
+    assert [r.uri for r in rejected.collect()] == ["http://cut.example/"]
