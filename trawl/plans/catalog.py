@@ -30,7 +30,6 @@ def register(name: str, sql: str | None = None):
 
 
 # =============================================================== 2.3 filters
-_STAT_SELECT = ", ".join(f"gstats.{c} AS {c}" for c in G.STAT_COLS)
 
 _GOPHER_STATS_SQL = f"""
 WITH t AS (
