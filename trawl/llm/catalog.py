@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import line_spread, mixing, quality_rules, url_filter
+from . import line_spread, mixing, quality_rules, simhash_cover, substring_cover, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -165,3 +165,34 @@ def op7(spark, sf):
     """Metrics and verdict of every document under the adaptive limits."""
     return quality_rules.judge_quality(table(spark, sf, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@register("op9_simhash")
+def op9(spark, sf):
+    """Fingerprint and component of every document."""
+    out = simhash_cover.near_duplicates(table(spark, sf, "documents"))
+    return out.select("doc_id", simhash_cover.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@register("op10_substring_dedup", rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents
+), w AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + {substring_cover.WINDOW - 1}], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - {substring_cover.WINDOW - 1})) AS i FROM d
+        WHERE len(ws) >= {substring_cover.WINDOW})
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + {substring_cover.WINDOW - 1})) AS p
+  FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM w) WHERE doc_id > least
+), l AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id
+), k AS (
+  SELECT doc_id, ws, coalesce(len(ps), 0) AS n, list_filter(list_transform(ws, lambda x, i:
+         CASE WHEN list_contains(ps, i) THEN NULL ELSE x END), lambda x: x IS NOT NULL) AS kept
+  FROM d LEFT JOIN l USING (doc_id)
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_removed,
+       sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+""")
+def op10(spark, sf):
+    """Words of every document, those removed as repeats, and the digest of the rest."""
+    out = substring_cover.dedup_substrings(table(spark, sf, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
