@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import line_spread, mixing, quality_rules, simhash_cover, substring_cover, url_filter
+from . import decontaminate, line_spread, mixing, quality_rules, simhash_cover, substring_cover, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -196,3 +196,37 @@ def op10(spark, sf):
     """Words of every document, those removed as repeats, and the digest of the rest."""
     out = substring_cover.dedup_substrings(table(spark, sf, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def _contamination_sql() -> str:
+    words = (r"list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
+    k = decontaminate.WINDOW
+    return f"""
+WITH it AS (SELECT CAST(item_id AS VARCHAR) AS item, {words} AS ws FROM benchmark
+), iw AS (
+  SELECT DISTINCT item, least(len(ws), {k}) AS n, array_to_string(ws[i:i + least(len(ws), {k}) - 1], ' ') AS g
+  FROM (SELECT item, ws, unnest(generate_series(1, greatest(len(ws) - {k} + 1, 1))) AS i FROM it WHERE len(ws) > 0)
+), d AS (SELECT doc_id, {words} AS ws FROM documents
+), dw AS (
+  SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS g FROM (
+    SELECT doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS i
+    FROM d, (SELECT DISTINCT n FROM iw) WHERE len(ws) >= n)
+), h AS (SELECT doc_id, item, i, dw.n FROM dw JOIN iw ON dw.g = iw.g AND dw.n = iw.n
+), c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+    SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM h) GROUP BY doc_id
+), m AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+         FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)"""
+
+
+@register("op4_decontaminate", _contamination_sql())
+def op4(spark, sf):
+    """Words of every document that benchmark windows hit, and the items they come from."""
+    out = decontaminate.match_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    n_hit = decontaminate.covered_words(F.col("spans"))
+    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
