@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import decontaminate, line_spread, mixing, quality_rules, simhash_cover, substring_cover, url_filter
+from . import (decontaminate, line_spread, mixing, quality_ordinal, quality_rules, simhash_cover, substring_cover,
+               token_cache, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -230,3 +231,23 @@ def op4(spark, sf):
     n_hit = decontaminate.covered_words(F.col("spans"))
     return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+@register("op3_token_counts")
+def op3(spark, sf):
+    """Bytes and tokens of every document, over a cache that starts empty."""
+    import public_tokenizers
+
+    counts = token_cache.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                                      token_cache.fresh_cache(spark))
+    return counts.withColumn("over_limit", F.col("n_tokens") > token_cache.TOKEN_LIMIT)
+
+
+@register("op5_quality_classifier")
+def op5(spark, sf):
+    """Expected grade, probability of the good grade and verdict of every document."""
+    docs = table(spark, sf, "documents")
+    grades = quality_ordinal.graded_labels(table(spark, sf, "labels"))
+    model = quality_ordinal.fit_ordinal(*quality_ordinal.labelled_features(docs, grades))
+    out = quality_ordinal.score_quality(docs, model, good_grade=2)
+    return out.withColumn("kept", F.col("tail_probability") >= 0.5)

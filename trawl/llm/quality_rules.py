@@ -136,20 +136,20 @@ def _limits(sketches: DataFrame, keys: list[str], spread: int, prefix: str) -> D
 
 def adaptive_limits(sketches: DataFrame, spread: int = SPREAD, min_group: int = MIN_GROUP) -> DataFrame:
     """(lang_key, source_key, limit_<metric>...) with the fallback to merged sketches."""
-    own = _limits(sketches, ["lang_key", "source_key"], spread, "own").withColumn("one", F.lit(1))
+    own = _limits(sketches, ["lang_key", "source_key"], spread, "own")
     lang = _limits(sketches, ["lang_key"], spread, "lang")
-    every = _limits(sketches.withColumn("one", F.lit(1)), ["one"], spread, "all")
-    j = own.join(lang, "lang_key").join(F.broadcast(every), "one")  # `every` is a single row
-    return j.select("lang_key", "source_key", *[
+    every = _limits(sketches.withColumn("one", F.lit(1)), ["one"], spread, "all").first()  # a row of numbers
+    return own.join(lang, "lang_key").select("lang_key", "source_key", *[
         F.when(F.col("own_n") >= min_group, F.col(f"own_{m}"))
         .when(F.col("lang_n") >= min_group, F.col(f"lang_{m}"))
-        .otherwise(F.col(f"all_{m}")).alias(f"limit_{m}") for m in METRICS])
+        .otherwise(F.lit(every[f"all_{m}"] if every else None).cast("long")).alias(f"limit_{m}") for m in METRICS])
 
 
 def judge_quality(docs: DataFrame, spread: int = SPREAD, min_group: int = MIN_GROUP) -> DataFrame:
     """Keys, metrics, limits, ``base_failed`` and ``kept`` for every row of ``docs``."""
     metrics = materialize(document_metrics(docs), "quality-metrics")
-    limits = adaptive_limits(quantile_sketches(metrics), spread, min_group)
+    sketches = materialize(quantile_sketches(metrics), "quality-sketches")
+    limits = adaptive_limits(sketches, spread, min_group)
     joined = (metrics.withColumn("lang_key", null_safe_key(F.col("lang")))
               .withColumn("source_key", null_safe_key(F.col("source")))
               .join(limits, ["lang_key", "source_key"]))
