@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import (decontaminate, line_spread, mixing, quality_ordinal, quality_rules, simhash_cover, substring_cover,
+from . import (attention_lm, decontaminate, line_spread, mixing, quality_ordinal, quality_rules, simhash_cover, substring_cover,
                token_cache, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -251,3 +251,13 @@ def op5(spark, sf):
     model = quality_ordinal.fit_ordinal(*quality_ordinal.labelled_features(docs, grades))
     out = quality_ordinal.score_quality(docs, model, good_grade=2)
     return out.withColumn("kept", F.col("tail_probability") >= 0.5)
+
+
+@register("op8_lm_scoring")
+def op8(spark, sf):
+    """Word-unigram base score and attention-model score of every document."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        tokenizer = f.read()
+    return attention_lm.score_texts(table(spark, sf, "documents"), tokenizer)
