@@ -35,11 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bytewords import NOT_SPACE, Words, as_bytes, chunks, ngram_hashes
+from .bytewords import NOT_SPACE, Words, as_bytes, chunks, mix64, ngram_hashes
 
 WINDOW, PERIOD, COVER = 13, 7, (0, 1, 3)
-#: Filter bits (a power of two): 32 MB; give about eight bits per shared anchor.
+#: Filter bits (a power of two): 32 MB; give about eight bits or more per shared anchor.
 FILTER_BITS_LOG2 = 28
+PROBES = 3
 RANGES_LOG2, RANGE_TEXT_BYTES = 10, 16 << 20
 _U = np.uint64
 
@@ -71,6 +72,13 @@ class _Anchors:
         self.hashes = grams[self.at]
 
 
+def _probes(key: np.ndarray, range_bits_log2: int) -> Iterator[np.ndarray]:
+    """Bit positions of the anchors inside their range's part of the filter."""
+    g = mix64(key)
+    for i in range(min(PROBES, 64 // range_bits_log2)):
+        yield ((g >> _U(i * range_bits_log2)) & _U((1 << range_bits_log2) - 1)).astype(np.int64)
+
+
 def _shared_filter(docs: DataFrame, window: int, period: int, cover: tuple[int, ...],
                    bits_log2: int, ranges_log2: int) -> np.ndarray:
     """Packed bits, set for the anchors that occur in two or more documents."""
@@ -103,10 +111,10 @@ def _shared_filter(docs: DataFrame, window: int, period: int, cover: tuple[int,
         key = h | _U(1)
         shared = (h & _U(1)).astype(bool)
         shared[1:] |= key[1:] == key[:-1]
-        part = int(pdf["part"].iloc[0])
         bits = np.zeros(1 << (bits_log2 - ranges_log2), dtype=bool)
-        bits[((key[shared] >> _U(64 - bits_log2)) - _U(part << (bits_log2 - ranges_log2))).astype(np.int64)] = True
-        return pd.DataFrame({"part": [part], "bits": [zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)]})
+        for at in _probes(key[shared], bits_log2 - ranges_log2):
+            bits[at] = True
+        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "bits": [zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)]})
 
     sent = docs.select("text").mapInArrow(send, "part long, hashes binary")
     rows = sent.groupBy("part").applyInPandas(keep_shared, "part long, bits binary")
@@ -135,8 +143,13 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, period: int = PERIO
             h1, h2, doc, start = [], [], [], []
             for first, texts in chunks(as_bytes(b.column(2))):
                 a = _Anchors(texts, window, period, cover)
-                slot = a.hashes >> _U(64 - bits_log2)
-                passed = a.at[(bits[(slot >> _U(3)).astype(np.int64)] >> (slot & _U(7)).astype(np.uint8)) & 1 == 1]
+                key = a.hashes | _U(1)
+                base = (key >> _U(64 - ranges_log2)).astype(np.int64) << (bits_log2 - ranges_log2)
+                ok = np.ones(len(key), dtype=bool)
+                for p in _probes(key, bits_log2 - ranges_log2):
+                    p += base
+                    ok &= (bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+                passed = a.at[ok]
                 near = np.zeros(len(a.words) + 1, dtype=np.int32)  # windows that contain a passed anchor
                 np.add.at(near, np.maximum(passed - (period - 1), a.words.first[a.text[passed]]), 1)
                 np.add.at(near, passed + 1, -1)
@@ -156,6 +169,7 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, period: int = PERIO
             new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
             least = own[new][np.cumsum(new) - 1]
             settled, open_ = own > least, np.flatnonzero(own == least)
+            open_ = open_[np.lexsort((start[open_], doc[open_]))]  # text order: rows of a document compress
             yield _rows(h1[open_], h2[open_], own[open_], keys[doc[open_]], start[open_], None)
             gone = np.flatnonzero(settled)
             if len(gone):
