@@ -8,7 +8,7 @@ positions a, b have an offset below m at which both are cover positions. So two
 windows share an aligned anchor of ``window - m + 1`` words, hashed only at cover
 positions (m = 7, D = {0, 1, 3}: three of seven positions, anchors of 7 words).
 
-1. Each batch sends its distinct anchor hashes once, packed per hash range (8 bytes an
+1. Each batch sends its distinct anchor hashes once, packed per hash range (5 bytes an
    anchor; hot anchors collapse in the batch), and each range keeps the hashes seen in two
    documents. They set bits in a filter of fixed size, broadcast: its size is a
    parameter, and when it fills up it only passes more candidates, never fewer.
@@ -72,6 +72,26 @@ class _Anchors:
         self.hashes = grams[self.at]
 
 
+#: Of an anchor's hash the upper 47 bits are compared (it only filters); bit 16 is a flag.
+_FLAG = _U(1 << 16)
+
+
+def _key(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> _U(16) << _U(16)) | _FLAG
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Five bytes a key: the lowest two are zero and the range tells the highest."""
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:7]).tobytes()
+
+
+def _unpacked(blob: bytes, part: int, ranges_log2: int) -> np.ndarray:
+    raw = np.zeros((len(blob) // 5, 8), dtype=np.uint8)
+    raw[:, 2:7] = np.frombuffer(blob, dtype=np.uint8).reshape(-1, 5)
+    raw[:, 7] = part >> (ranges_log2 - 8)
+    return raw.view("<u8").ravel()
+
+
 def _probes(key: np.ndarray, range_bits_log2: int) -> Iterator[np.ndarray]:
     """Bit positions of the anchors inside their range's part of the filter."""
     g = mix64(key)
@@ -87,7 +107,7 @@ def _shared_filter(docs: DataFrame, window: int, period: int, cover: tuple[int,
             found, of = [], []
             for first, texts in chunks(as_bytes(b.column(0))):
                 a = _Anchors(texts, window, period, cover)
-                found.append(a.hashes | _U(1))
+                found.append(_key(a.hashes))
                 of.append(a.text[a.at] + first)
             if not found:
                 continue
@@ -99,22 +119,23 @@ def _shared_filter(docs: DataFrame, window: int, period: int, cover: tuple[int,
             group = np.cumsum(new) - 1
             twice = np.zeros(int(new.sum()), dtype=bool)
             twice[group[1:][(h[1:] == h[:-1]) & (doc[1:] != doc[:-1])]] = True
-            h = h[new] ^ (~twice).astype(np.uint64)  # the lowest bit says: in two documents of this batch
+            h = np.where(twice, h[new], h[new] ^ _FLAG)  # the flag says: in two documents of this batch
             part = (h >> _U(64 - ranges_log2)).astype(np.int64)
             cuts = np.flatnonzero(np.diff(part, prepend=-1))
-            blobs = [x.tobytes() for x in np.split(h, cuts[1:])] if len(h) else []
+            blobs = [_packed(x) for x in np.split(h, cuts[1:])] if len(h) else []
             yield pa.RecordBatch.from_arrays([pa.array(part[cuts], type=pa.int64()), pa.array(blobs, type=pa.binary())],
                                              ["part", "hashes"])
 
     def keep_shared(pdf: pd.DataFrame) -> pd.DataFrame:
-        h = np.sort(np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in pdf["hashes"]]))
-        key = h | _U(1)
-        shared = (h & _U(1)).astype(bool)
+        part = int(pdf["part"].iloc[0])
+        h = np.sort(np.concatenate([_unpacked(x, part, ranges_log2) for x in pdf["hashes"]]))
+        key = h | _FLAG
+        shared = (h & _FLAG) > 0
         shared[1:] |= key[1:] == key[:-1]
         bits = np.zeros(1 << (bits_log2 - ranges_log2), dtype=bool)
         for at in _probes(key[shared], bits_log2 - ranges_log2):
             bits[at] = True
-        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "bits": [zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)]})
+        return pd.DataFrame({"part": [part], "bits": [zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)]})
 
     sent = docs.select("text").mapInArrow(send, "part long, hashes binary")
     rows = sent.groupBy("part").applyInPandas(keep_shared, "part long, bits binary")
@@ -143,7 +164,7 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, period: int = PERIO
             h1, h2, doc, start = [], [], [], []
             for first, texts in chunks(as_bytes(b.column(2))):
                 a = _Anchors(texts, window, period, cover)
-                key = a.hashes | _U(1)
+                key = _key(a.hashes)
                 base = (key >> _U(64 - ranges_log2)).astype(np.int64) << (bits_log2 - ranges_log2)
                 ok = np.ones(len(key), dtype=bool)
                 for p in _probes(key, bits_log2 - ranges_log2):
