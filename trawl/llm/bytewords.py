@@ -11,8 +11,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -28,21 +29,22 @@ _NGRAM_ODD = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)  # bases of the two n-gram
 _U = np.uint64
 
 
-def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
+def as_bytes(column: pa.Array) -> list[bytes]:
     """Texts of an Arrow string column as UTF-8; null is empty."""
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
-    """(index of the first text, texts) in runs of about ``limit`` bytes, a text never cut."""
-    first, total = 0, 0
-    for i, t in enumerate(texts):
-        total += len(t) + 1
-        if total >= limit:
-            yield first, texts[first:i + 1]
-            first, total = i + 1, 0
-    if first < len(texts):
-        yield first, texts[first:]
+def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """(index of the first text, texts) in runs of about ``limit`` bytes, a text never cut.
+    Only one run's texts are Python objects at a time."""
+    size = pc.fill_null(pc.binary_length(column.cast(pa.large_binary())), 0).to_numpy(zero_copy_only=False)
+    total = np.cumsum(size + 1)
+    first = 0
+    while first < len(column):
+        before = total[first - 1] if first else 0
+        n = int(np.searchsorted(total, before + limit)) + 1 - first
+        yield first, as_bytes(column.slice(first, n))
+        first += n
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

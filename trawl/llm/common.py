@@ -28,3 +28,11 @@ def split_words(col: Column) -> Column:
 def null_safe_key(col: Column) -> Column:
     """A non-null string key: '' for null, '+' before any value (keeps code-point order)."""
     return F.when(col.isNull(), F.lit("")).otherwise(F.concat(F.lit("+"), col.cast("string")))
+
+
+def private(columns: list[str], name: str) -> str:
+    """``name`` with as many leading underscores as it takes not to clash with ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import LETTERS_DIGITS, Words, as_bytes, chunks, mix64
+from .bytewords import LETTERS_DIGITS, Words, chunks, mix64
 from .common import ascii_lower, text_of
 
 WINDOW = 10
@@ -160,7 +160,7 @@ class Matcher:
         self.seen = np.zeros(1 << 20, dtype=bool)
         self.seen[(self.pairs >> _U(44)).astype(np.int64)] = True
         single = [vocabulary[a.ids[words[0]]] for _, words in items if len(words) == 1]
-        self.single = np.unique(np.array(single, dtype=np.uint64))
+        self.single = self.hashes if window == 1 else np.unique(np.array(single, dtype=np.uint64))
 
     @staticmethod
     def _pair(h: np.ndarray) -> np.ndarray:
@@ -235,7 +235,7 @@ def _match_block(docs: DataFrame, matcher) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n_words, hits = [], {}
-            for first, texts in chunks(as_bytes(b.column(2))):
+            for first, texts in chunks(b.column(2)):
                 words = Words(texts, LETTERS_DIGITS, lower=True)
                 n_words.append(np.diff(words.first))
                 hits.update((first + t, hit) for t, hit in matcher.value.match(words).items())
@@ -262,7 +262,8 @@ def covered_words(spans: Column) -> Column:
 def match_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 block_words: int = BLOCK_WORDS, piece_words: int = PIECE_WORDS) -> DataFrame:
     """(doc_id, text_hash, n_words, spans, items, longest) for every row of ``docs``: hit word
-    ranges, the ids (as strings, sorted) of items with windows there, the longest matching run."""
+    ranges, the ids (as strings, sorted) of items with windows there, the longest matching run.
+    Spans are disjoint with one benchmark block; those of several blocks may overlap."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     sc = docs.sparkSession.sparkContext
     parts = [_match_block(rows, sc.broadcast(Matcher(block, window)))
@@ -307,11 +308,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ma
 
         def work(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                texts = as_bytes(b.column(at))
-                hit = {first + t for first, part in chunks(texts)
-                       for t in matcher.value.match(Words(part, LETTERS_DIGITS, lower=True))}
-                if hit:
-                    new = {i: _cut(texts[i], matcher.value, max_coverage) for i in sorted(hit)}
+                new = {first + t: _cut(texts[t], matcher.value, max_coverage) for first, texts in chunks(b.column(at))
+                       for t in matcher.value.match(Words(texts, LETTERS_DIGITS, lower=True))}
+                if new:
                     old = b.column(at).to_pylist()
                     cut = pa.array([new[i].decode() if new.get(i) is not None else x for i, x in enumerate(old)],
                                    type=b.column(at).type)

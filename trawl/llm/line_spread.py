@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import SPACES, null_safe_key
+from .common import SPACES, null_safe_key, private
 
 MIN_SITES, LG_K, BAND = 5, 12, 0.1
 
@@ -65,13 +65,16 @@ def removed_lines(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K,
 
 def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K,
                 band: float = BAND) -> DataFrame:
-    """``docs`` with ``text`` rewritten, and ``_n_lines`` and ``_removed`` (line numbers or null) added."""
+    """``docs`` with ``text`` rewritten, and ``_n_lines`` and ``_removed`` (line numbers or null)
+    added (columns of these two names are replaced)."""
+    docs = docs.drop("_n_lines", "_removed")
+    id_, hash_, lines = (private(docs.columns, c) for c in ("_id", "_hash", "_lines"))
     gone = removed_lines(docs, min_sites, lg_k, band).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_removed"))
-    j = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_hash"]), "left")
-    j = j.withColumn("_n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long"))
-    return (j.withColumn("_lines", F.when(F.col("_removed").isNotNull(), F.split("text", "\n")))
-            .withColumn("text", F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(
-                F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_removed")),
-                            lambda i: F.get(F.col("_lines"), i)), "\n")))
-            .drop("_id", "_hash", "_lines"))
+        F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("removed").alias("_removed"))
+    j = docs.join(gone, docs["doc_id"].eqNullSafe(gone[id_]) & (F.xxhash64(docs["text"]) == gone[hash_]), "left")
+    j = (j.withColumn("_n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long"))
+         .withColumn(lines, F.when(F.col("_removed").isNotNull(), F.split("text", "\n"))))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
+    return (j.withColumn("text", F.when(F.col("_removed").isNull(), F.col("text")).otherwise(
+                F.array_join(F.transform(kept, lambda i: F.get(F.col(lines), i)), "\n")))
+            .drop(id_, hash_, lines))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import LETTERS_DIGITS, NOT_SPACE, Words, as_bytes, chunks
+from .bytewords import LETTERS_DIGITS, NOT_SPACE, Words, chunks
 
 SLOTS_LOG2, SHAPES = 20, 128
 MAX_ROWS, MIN_DOCS, EPOCHS, RATE, RIDGE = 12_000, 10, 120, 0.06, 2e-4
@@ -136,7 +136,7 @@ def labelled_features(docs: DataFrame, grades: DataFrame, max_rows: int = MAX_RO
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             grade = b.column(0).to_numpy(zero_copy_only=False)
-            for first, texts in chunks(as_bytes(b.column(1))):
+            for first, texts in chunks(b.column(1)):
                 slots, per, shape = features(texts)
                 cuts = np.cumsum(per)[:-1]
                 yield pa.RecordBatch.from_arrays(
@@ -157,7 +157,7 @@ def score_quality(docs: DataFrame, model: OrdinalModel, good_grade: int) -> Data
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tails = [sent.value.tails(sent.value.scores(*features(texts))) for _, texts in chunks(as_bytes(b.column(1)))]
+            tails = [sent.value.tails(sent.value.scores(*features(texts))) for _, texts in chunks(b.column(1))]
             t = np.concatenate(tails) if tails else np.zeros((0, len(sent.value.thresholds)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(t.sum(axis=1)), pa.array(t[:, good_grade - 1])],
                                              ["doc_id", "expected_grade", "tail_probability"])

@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..session import materialize
-from .bytewords import as_bytes, chunks
+from .bytewords import chunks
+from .common import private
 
 NGRAM, MAX_BITS, HASH_SEED = 3, 2, 42
 _LOWER = bytes(c + 32 if 65 <= c < 91 else c for c in range(256))
@@ -71,7 +72,7 @@ def fingerprints(docs: DataFrame, ngram: int = NGRAM) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = []
-            for _, texts in chunks(as_bytes(b.column(2)), 1 << 18):
+            for _, texts in chunks(b.column(2)):
                 each = [shingle_hashes(t, ngram) for t in texts]
                 flat = np.fromiter((h for e in each for h in e), dtype=np.uint64)
                 fps.append(majority_bits(flat, np.array([len(e) for e in each], dtype=np.int64)))
@@ -175,5 +176,6 @@ def keep_one_of_each(docs: DataFrame, ngram: int = NGRAM, max_bits: int = MAX_BI
              .select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash")))
     same = docs["doc_id"].eqNullSafe(first["_id"]) & (F.xxhash64(docs["text"]) == first["_hash"])
     copies = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1))
-    return (docs.join(first, same, "left_semi").withColumn("_copy", F.row_number().over(copies))
-            .where("_copy = 1").drop("_copy"))
+    copy = private(docs.columns, "_copy")
+    return (docs.join(first, same, "left_semi").withColumn(copy, F.row_number().over(copies))
+            .where(F.col(copy) == 1).drop(copy))

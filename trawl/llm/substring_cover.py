@@ -105,7 +105,7 @@ def _shared_filter(docs: DataFrame, window: int, period: int, cover: tuple[int,
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found, of = [], []
-            for first, texts in chunks(as_bytes(b.column(0))):
+            for first, texts in chunks(b.column(0)):
                 a = _Anchors(texts, window, period, cover)
                 found.append(_key(a.hashes))
                 of.append(a.text[a.at] + first)
@@ -162,7 +162,7 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, period: int = PERIO
             ids = b.column(0).to_numpy(zero_copy_only=False)
             keys = b.column(1).to_numpy(zero_copy_only=False)
             h1, h2, doc, start = [], [], [], []
-            for first, texts in chunks(as_bytes(b.column(2))):
+            for first, texts in chunks(b.column(2)):
                 a = _Anchors(texts, window, period, cover)
                 key = _key(a.hashes)
                 base = (key >> _U(64 - ranges_log2)).astype(np.int64) << (bits_log2 - ranges_log2)
