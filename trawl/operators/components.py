@@ -16,27 +16,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, shared_dir
+from ..session import drop_table, materialize
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
-                         nodes: DataFrame | None = None, node_col: str = "node",
-                         max_rounds: int = 200) -> DataFrame:
+                         nodes: DataFrame | None = None, node_col: str = "node") -> DataFrame:
     """(node, component) with component = smallest node id of the component.
 
-    Nodes only present in ``nodes`` (no edges) are their own component.
+    Nodes only present in ``nodes`` (no edges) are their own component. The
+    loop runs to the fixpoint; a round's table is dropped when the next one
+    is written.
     """
-    spark = edges.sparkSession
-    shared_dir(spark)
     e = (edges.select(F.least(src, dst).alias("a"), F.greatest(src, dst).alias("b"))
          .where(F.col("a") != F.col("b")).distinct())
     both = (e.select(F.col("a").alias("u"), F.col("b").alias("v"))
             .unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v"))))
     both = materialize(both, "both")
-    labels = (both.groupBy("u").agg(F.min("v").alias("m"))
-              .select(F.col("u").alias("node"), F.least("u", "m").alias("label")))
-    labels = materialize(labels, "labels")
-    for _ in range(max_rounds):
+    first = (both.groupBy("u").agg(F.min("v").alias("m"))
+             .select(F.col("u").alias("node"), F.least("u", "m").alias("label")))
+    table = materialize(first.withColumn("old", F.col("node")), "labels")
+    changed = 1
+    while changed:
+        labels = table.select("node", "label")
         nb = (both.join(labels.select(F.col("node").alias("v"), F.col("label").alias("lv")), "v")
               .groupBy("u").agg(F.min("lv").alias("m")))
         l1 = (labels.join(nb.withColumnRenamed("u", "node"), "node", "left")
@@ -45,14 +46,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
         ref = l1.select(F.col("node").alias("ref"), F.col("label").alias("jump"))
         l2 = (l1.join(ref, l1["label"] == ref["ref"], "left")
               .select("node", "old", F.least("label", F.coalesce("jump", "label")).alias("label")))
-        l2 = materialize(l2, "l2")
-        changed = l2.where(F.col("old") != F.col("label")).count()
-        labels = l2.select("node", "label")
-        if changed == 0:
-            break
-    else:
-        raise RuntimeError("connected_components did not converge")
-    out = labels.select(F.col("node").alias(node_col), F.col("label").alias("component"))
+        previous, table = table, materialize(l2, "labels")
+        drop_table(previous)
+        changed = table.where(F.col("old") != F.col("label")).count()
+    drop_table(both)
+    out = table.select(F.col("node").alias(node_col), F.col("label").alias("component"))
     if nodes is not None:
         lone = nodes.select(F.col(node_col)).join(out.select(node_col), node_col, "left_anti")
         out = out.unionByName(lone.select(node_col, F.col(node_col).alias("component")))

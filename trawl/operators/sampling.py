@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import CHUNK_GROUP_SIZE, SHARD_SHUFFLE_SEED, SPLIT_SEED
+from ..session import materialize
 
 
 def seeded_key(col, seed: int) -> Column:
@@ -32,22 +33,37 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 0, check: bool = True)
     return df.orderBy(seeded_key(key, seed), F.col(key)).limit(n)
 
 
-def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank") -> DataFrame:
-    """1-based consecutive rank in a global order without a single-partition window.
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` in a global order, written once with its row number inside (_pid, _idx).
 
-    Range-partitioned sort -> (partition, index) from monotonically_increasing_id
-    -> per-partition counts (one row per partition) -> exclusive prefix sum
-    over those few rows -> broadcast offsets (size bounded by the partition count).
+    Row numbers of a plan that runs twice may differ (column pruning and
+    adaptive coalescing change its partitions). So the sorted rows and their
+    numbers are one written table, and everything later reads that table.
     """
     s = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
-    s = s.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
-        "_idx", F.col("_mid").bitwiseAND((1 << 33) - 1))
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    return materialize(s.withColumn("_pid", F.shiftright("_mid", 33))
+                       .withColumn("_idx", F.col("_mid").bitwiseAND((1 << 33) - 1)).drop("_mid"), name)
+
+
+def partition_offsets(rows: DataFrame, total: Column) -> DataFrame:
+    """(_pid, _off): sum of ``total`` over earlier partitions (a row per partition)."""
+    per = rows.groupBy("_pid").agg(total.alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    return per.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+
+
+def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank") -> DataFrame:
+    """1-based consecutive rank in a global order without a single-partition window.
+
+    Range-partitioned sort, written once -> per-partition counts -> prefix
+    over one row per partition -> broadcast offsets (size bounded by the
+    partition count).
+    """
+    s = numbered(df, order, "ranked")
+    offs = partition_offsets(s, F.count(F.lit(1)))
     return (s.join(F.broadcast(offs), "_pid")
             .withColumn(rank_col, F.col("_off") + F.col("_idx") + 1)
-            .drop("_mid", "_pid", "_idx", "_off"))
+            .drop("_pid", "_idx", "_off"))
 
 
 def seeded_prefix_sample(paths: DataFrame, n_files: int, key: str = "path",
@@ -55,16 +71,15 @@ def seeded_prefix_sample(paths: DataFrame, n_files: int, key: str = "path",
                          group_size: int = CHUNK_GROUP_SIZE) -> DataFrame:
     """L2: shuffled order with a fixed seed, first n (rounded down to a multiple
     of group_size). A larger n always returns a superset of a smaller n."""
-    n = n_files - (n_files % group_size)
-    k = seeded_key(key, seed)
-    return paths.withColumn("_k", k).orderBy("_k", key).limit(n).drop("_k")
+    return assign_chunks(paths, n_files, key, seed, group_size).drop("rank", "chunk")
 
 
 def assign_chunks(paths: DataFrame, n_files: int, key: str = "path",
                   seed: int = SHARD_SHUFFLE_SEED, group_size: int = CHUNK_GROUP_SIZE) -> DataFrame:
-    """(rank, path, chunk) -- consecutive groups of ``group_size`` in shuffled order."""
-    sel = seeded_prefix_sample(paths, n_files, key, seed, group_size)
-    ranked = global_rank(sel, [seeded_key(key, seed), F.col(key)])
+    """(path, rank, chunk) -- consecutive groups of ``group_size`` in shuffled order.
+    One distributed sort ranks all paths; n only filters on the rank."""
+    n = n_files - (n_files % group_size)
+    ranked = global_rank(paths, [seeded_key(key, seed), F.col(key)]).where(F.col("rank") <= n)
     return ranked.withColumn("chunk", F.floor((F.col("rank") - 1) / group_size).cast("bigint"))
 
 

@@ -1,13 +1,16 @@
-"""Tokenising and packing training windows (K1-K4).
+"""Tokenising and packing training windows.
 
 K1: byte-level BPE ids (50,257 entries, end-of-text 50256 after every
-document) from an Arrow UDF; one encoder per Python worker.
+document) from an Arrow UDF, or word ids by corpus frequency over the same
+id range (``word_token_ids``), which SQL can check. Packing takes either; the
+token table is written once and read by every later step.
 K2: documents' token counts -> global offsets by a two-level prefix sum
 (per-partition totals, a prefix over those few rows, a running sum inside
 each partition) -> each document emits one *segment* per window it touches
 (never one row per token) -> segments regrouped by window (a group holds at
 most context_length + 1 tokens) -> (x, y) with y shifted by one.
-K3: seeded uniform start offsets, gathered from the two windows they span.
+K3: seeded uniform start offsets; offsets tell the documents each sample
+touches, and only their tokens are fetched.
 K4: token budget arithmetic over the corpus token count.
 """
 
@@ -16,16 +19,20 @@ from __future__ import annotations
 import functools
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .sampling import numbered, partition_offsets, seeded_key
+
 # ---------------------------------------------------------------------------
 # FIXED VALUES -- vocabulary size, end-of-text id, default context length.
 # ---------------------------------------------------------------------------
 VOCAB_SIZE = 50_257
 END_OF_TEXT = 50_256
 CONTEXT_LENGTH = 512
+#: Word ids: the most frequent words, then one id for all other words, then end-of-text.
+OTHER_WORD = END_OF_TEXT - 1
 
 
 @functools.lru_cache(maxsize=1)
@@ -44,8 +51,7 @@ def _encoder():
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _encode(s: pd.Series) -> pd.Series:
     enc = _encoder()
-    ids = enc.encode_ordinary_batch([t or "" for t in s])
-    return pd.Series([x + [END_OF_TEXT] for x in ids])
+    return pd.Series([enc.encode_ordinary(t or "") + [END_OF_TEXT] for t in s])
 
 
 def tokenize_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -54,23 +60,51 @@ def tokenize_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return t.withColumn("n_tokens", F.size("tokens").cast("bigint"))
 
 
+def words(text: Column) -> Column:
+    """Lower-cased words separated by ASCII white space."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[^\x20\x09-\x0D]+"), 0)
+
+
+def word_vocabulary(docs: DataFrame, text_col: str = "text", size: int = OTHER_WORD) -> DataFrame:
+    """(word, id): the ``size`` most frequent words, ids from 0 by falling count, then word."""
+    counts = (docs.select(F.explode(words(F.col(text_col))).alias("word"))
+              .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    top = counts.orderBy(F.col("n").desc(), "word").limit(size)
+    rank = F.row_number().over(Window.orderBy(F.col("n").desc(), "word"))  # over the top ``size`` only
+    return top.select("word", (rank - 1).cast("int").alias("id"))
+
+
+def word_token_ids(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """(doc_id, tokens, n_tokens): vocabulary ids of the words, end-of-text last.
+
+    The vocabulary has at most ``OTHER_WORD`` rows, so it is sent to the
+    workers; documents are not shuffled.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(
+        {r["word"]: r["id"] for r in vocabulary.limit(OTHER_WORD).toLocalIterator()})
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def ids(s: pd.Series) -> pd.Series:
+        get = sent.value.get
+        return s.map(lambda ws: [get(w, OTHER_WORD) for w in ws] + [END_OF_TEXT])
+    t = docs.select(F.col(id_col).alias("doc_id"), ids(words(F.col(text_col))).alias("tokens"))
+    return t.withColumn("n_tokens", F.size("tokens").cast("bigint"))
+
+
 def exclusive_offsets(df: DataFrame, order_col: str, value_col: str, out: str = "offset") -> DataFrame:
     """(order_col, value, offset) with offset = sum of values of earlier rows.
 
-    Range-partitioned sort; per-partition totals (one row per partition)
-    prefixed over those few rows and broadcast; a running sum inside each
-    sorted partition. No single-partition step over the data.
+    Range-partitioned sort, written once; per-partition totals (one row per
+    partition) prefixed over those few rows and broadcast; a running sum
+    inside each sorted partition. No single-partition step over the data.
     """
-    s = (df.select(order_col, value_col).orderBy(order_col)
-         .withColumn("_mid", F.monotonically_increasing_id())
-         .withColumn("_pid", F.shiftright("_mid", 33)))
-    tot = s.groupBy("_pid").agg(F.sum(value_col).alias("_t"))
-    w_all = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    part_off = tot.select("_pid", F.coalesce(F.sum("_t").over(w_all), F.lit(0)).alias("_po"))
-    w_in = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+    s = numbered(df.select(order_col, value_col), [F.col(order_col)], "offsets")
+    offs = partition_offsets(s, F.sum(value_col))
+    w_in = Window.partitionBy("_pid").orderBy("_idx").rowsBetween(Window.unboundedPreceding, -1)
     local = s.withColumn("_lo", F.coalesce(F.sum(value_col).over(w_in), F.lit(0)))
-    return (local.join(F.broadcast(part_off), "_pid")
-            .select(order_col, value_col, (F.col("_po") + F.col("_lo")).cast("bigint").alias(out)))
+    return (local.join(F.broadcast(offs), "_pid")
+            .select(order_col, value_col, (F.col("_off") + F.col("_lo")).cast("bigint").alias(out)))
 
 
 def window_segments(tok: DataFrame, ctx: int = CONTEXT_LENGTH) -> DataFrame:
@@ -89,38 +123,49 @@ def window_segments(tok: DataFrame, ctx: int = CONTEXT_LENGTH) -> DataFrame:
     return t.select("window", start.alias("start"), seg.alias("seg")).where(F.size("seg") > 0)
 
 
+def _joined(segments: Column) -> Column:
+    """Segments (start, seg) of one span in order, as one array."""
+    return F.flatten(F.transform(F.array_sort(segments), lambda s: s["seg"]))
+
+
 def pack_windows(tok: DataFrame, ctx: int = CONTEXT_LENGTH) -> DataFrame:
     """K2: (window, x, y) for every complete window of the concatenated stream."""
     segs = window_segments(tok, ctx)
-    xy = segs.groupBy("window").agg(F.flatten(F.transform(
-        F.array_sort(F.collect_list(F.struct("start", "seg"))), lambda s: s["seg"])).alias("xy"))
+    xy = segs.groupBy("window").agg(_joined(F.collect_list(F.struct("start", "seg"))).alias("xy"))
     xy = xy.where(F.size("xy") == ctx + 1)
     return xy.select("window", F.slice("xy", 1, ctx).alias("x"), F.slice("xy", 2, ctx).alias("y"))
 
 
+def write_token_windows(tok: DataFrame, path: str, ctx: int = CONTEXT_LENGTH) -> None:
+    """Parquet of (window, tokens) for the trainer, every complete window."""
+    pack_windows(tok, ctx).select("window", F.col("x").alias("tokens")).write.mode("overwrite").parquet(path)
+
+
 def sample_windows(tok: DataFrame, batch_size: int, ctx: int = CONTEXT_LENGTH,
                    seed: int = 0) -> DataFrame:
-    """K3: ``batch_size`` (x, y) pairs at uniform start offsets in [0, L - ctx),
-    with replacement, seeded; each gathered from the two windows it spans."""
+    """K3: (i, s, x, y): ``batch_size`` pairs at uniform start offsets s in [0, L - ctx),
+    with replacement, seeded. Samples and documents meet on cells of ``ctx`` positions."""
     spark = tok.sparkSession
     total = tok.agg(F.sum("n_tokens")).first()[0] or 0
     if total <= ctx:
         raise ValueError("token stream shorter than the context length")
-    u = (F.xxhash64(F.lit(seed), F.col("id")).bitwiseAND((1 << 53) - 1) / float(1 << 53))
+    u = F.conv(F.substring(seeded_key("id", seed), 1, 12), 16, 10).cast("double") / float(1 << 48)
     starts = spark.range(batch_size).select(F.col("id").alias("i"),
                                             F.floor(u * (total - ctx)).cast("bigint").alias("s"))
-    segs = window_segments(tok, ctx)
-    full = segs.groupBy("window").agg(F.flatten(F.transform(
-        F.array_sort(F.collect_list(F.struct("start", "seg"))), lambda s: s["seg"])).alias("xy"))
-    # x of window w = positions [w*ctx, (w+1)*ctx); a sample needs windows w and w+1
-    xs = full.select("window", F.slice("xy", 1, ctx).alias("x"))
-    need = starts.select("i", "s", F.explode(F.array(F.floor(F.col("s") / ctx),
-                                                    F.floor(F.col("s") / ctx) + 1)).alias("window"))
-    got = need.join(xs, "window", "left").groupBy("i", "s").agg(F.flatten(F.transform(
-        F.array_sort(F.collect_list(F.struct("window", F.coalesce("x", F.array().cast("array<int>")).alias("x")))),
-        lambda r: r["x"])).alias("span"))
-    off = (F.col("s") % ctx + 1).cast("int")
-    return got.select("i", "s", F.slice("span", off, ctx).alias("x"), F.slice("span", off + 1, ctx).alias("y"))
+    cells = starts.select("i", "s", F.explode(F.sequence(F.floor(F.col("s") / ctx), F.floor((F.col("s") + ctx) / ctx))).alias("cell"))
+    offs = exclusive_offsets(tok.select("doc_id", "n_tokens"), "doc_id", "n_tokens").where("n_tokens > 0")
+    last = F.col("offset") + F.col("n_tokens") - 1
+    spans = offs.select("doc_id", "n_tokens", "offset", F.explode(F.sequence(
+        F.floor(F.col("offset") / ctx), F.floor(last / ctx))).alias("cell"))
+    touched = (spans.join(cells, "cell").where((F.col("offset") <= F.col("s") + ctx) & (last >= F.col("s")))
+               .select("i", "s", "doc_id", "offset", "n_tokens").distinct())
+    start = F.greatest(F.col("s"), F.col("offset"))
+    end = F.least(F.col("s") + ctx, F.col("offset") + F.col("n_tokens") - 1)
+    seg = F.slice("tokens", (start - F.col("offset") + 1).cast("int"), (end - start + 1).cast("int"))
+    got = (tok.select("doc_id", "tokens").join(touched, "doc_id")
+           .select("i", "s", F.struct(start.alias("start"), seg.alias("seg")).alias("x"))
+           .groupBy("i", "s").agg(_joined(F.collect_list("x")).alias("xy")))
+    return got.select("i", "s", F.slice("xy", 1, ctx).alias("x"), F.slice("xy", 2, ctx).alias("y"))
 
 
 def token_budget(tok: DataFrame, steps: int = 16_384, batch_size: int = 128,

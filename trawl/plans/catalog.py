@@ -762,32 +762,78 @@ def q_evaluate_quality_classifier(spark, sf):
 from ..operators import tokens as K  # noqa: E402
 
 
-def _tokens(spark, sf):
-    return K.tokenize_corpus(spread(table(spark, sf, "documents")).select("doc_id", "text"))
-
-
 @register("tokenize_corpus")
 def q_tokenize_corpus(spark, sf):
     """K1: byte-level BPE ids per document (end-of-text appended)."""
-    return _tokens(spark, sf).select("doc_id", "n_tokens", "tokens")
+    return K.tokenize_corpus(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "n_tokens", "tokens")
+
+
+_WORD_IDS_SQL = f"""
+WITH w AS (SELECT doc_id, ws, generate_subscripts(ws, 1) AS pos, unnest(ws) AS word FROM (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws FROM documents)
+), v AS (SELECT word, row_number() OVER (ORDER BY count(*) DESC, word) - 1 AS id FROM w GROUP BY word
+), t AS (
+  SELECT doc_id, pos, CAST(CASE WHEN id < {K.OTHER_WORD} THEN id ELSE {K.OTHER_WORD} END AS INTEGER) AS tok FROM w JOIN v USING (word)
+  UNION ALL SELECT doc_id, 1000000000, {K.END_OF_TEXT} FROM documents
+), f AS (SELECT tok, row_number() OVER (ORDER BY doc_id, pos) - 1 AS p FROM t)"""
+_PACKED_SQL = _WORD_IDS_SQL + f"""
+, x AS (SELECT CAST(p // {K.CONTEXT_LENGTH} AS BIGINT) AS "window", list(tok ORDER BY p) AS x, max(p) AS last FROM f
+        GROUP BY 1 HAVING count(*) = {K.CONTEXT_LENGTH})"""
+
+
+def _word_ids(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return materialize(K.word_token_ids(docs, K.word_vocabulary(docs)), "word-ids")
+
 
+@register("word_token_ids", _WORD_IDS_SQL + """
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_tokens, list(tok ORDER BY pos) AS tokens FROM t GROUP BY doc_id""")
+def q_word_token_ids(spark, sf):
+    """K1 over words: ids by corpus frequency, end-of-text appended."""
+    return _word_ids(spark, sf).select("doc_id", "n_tokens", "tokens")
 
-@register("pack_windows")
+
+@register("pack_windows", _PACKED_SQL + """
+SELECT "window", x, list_append(x[2:], f.tok) AS y FROM x JOIN f ON f.p = x.last + 1""")
 def q_pack_windows(spark, sf):
     """K2: the concatenated token stream cut into (x, y) windows of 512."""
-    return K.pack_windows(_tokens(spark, sf))
+    return K.pack_windows(_word_ids(spark, sf))
+
+
+@register("write_token_windows", _PACKED_SQL + """
+SELECT "window", x AS tokens FROM x JOIN f ON f.p = x.last + 1""")
+def q_write_token_windows(spark, sf):
+    """Complete windows written for the trainer and read back."""
+    path = scratch_path(spark, "token-windows")
+    K.write_token_windows(_word_ids(spark, sf), path)
+    return spark.read.parquet(path)
 
 
-@register("sample_windows")
+@register("sample_windows", _WORD_IDS_SQL + f"""
+, s AS (SELECT i, CAST(floor(CAST(('0x' || substr({_seeded_sql('i', 0)}, 1, 12))::UBIGINT AS DOUBLE) / 281474976710656.0
+                             * ((SELECT count(*) FROM f) - {K.CONTEXT_LENGTH})) AS BIGINT) AS s
+        FROM generate_series(0, 127) AS g(i))
+SELECT i, s, list(tok ORDER BY p) FILTER (p < s + {K.CONTEXT_LENGTH}) AS x, list(tok ORDER BY p) FILTER (p > s) AS y
+FROM s JOIN f ON p BETWEEN s AND s + {K.CONTEXT_LENGTH} GROUP BY i, s""")
 def q_sample_windows(spark, sf):
     """K3: 128 seeded random (x, y) windows."""
-    return K.sample_windows(_tokens(spark, sf), 128, seed=0)
+    return K.sample_windows(_word_ids(spark, sf), 128, seed=0)
 
 
-@register("token_budget")
+@register("token_budget", _WORD_IDS_SQL + """
+SELECT CAST(524288 AS BIGINT) AS tokens_per_step, CAST(8589934592 AS BIGINT) AS tokens_needed,
+       CAST(count(*) AS BIGINT) AS available_tokens, 8589934592.0::DOUBLE / count(*) AS epochs_needed FROM t""")
 def q_token_budget(spark, sf):
     """K4: the default run's token budget against the corpus."""
-    return K.token_budget(_tokens(spark, sf))
+    return K.token_budget(_word_ids(spark, sf))
+
+
+@register("global_rank_documents", f"""
+SELECT doc_id, source, row_number() OVER (ORDER BY {_seeded_sql('doc_id', 11)}, doc_id) AS rank FROM documents""")
+def q_global_rank_documents(spark, sf):
+    """W3's ranking over all documents in a seeded order."""
+    docs = table(spark, sf, "documents").select("doc_id", "source")
+    return SM.global_rank(docs, [SM.seeded_key("doc_id", 11), F.col("doc_id")])
 
 
 @register("write_url_list")

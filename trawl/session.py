@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,16 +42,19 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and intermediate tables.
 
     Taken from ``spark.checkpoint.dir`` (or a checkpoint dir already set on
-    the context). Only when neither exists -- local tests -- a fresh
-    scratch folder is created and registered.
+    the context). Only with a local master (tests), where the driver's disk is
+    the executors' disk, is a scratch folder made when neither is set;
+    elsewhere that would lose data, so it is an error.
     """
     sc = spark.sparkContext
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
     jdir = sc._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         return jdir.get()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="trawl-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc._jsc.sc().getCheckpointDir().get()
@@ -73,7 +77,16 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.table_path = path
+    return out
+
+
+def drop_table(df) -> None:
+    """Delete a table that ``materialize`` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.table_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _SHIPPED: set[str] = set()
