@@ -79,6 +79,20 @@ def test_mix_is_near_its_targets_and_repeatable(spark):
     assert abs(sum(t for _, t in taken.values()) - 1.5 * sum(r["size"] for r in a)) < 1e-6
 
 
+def test_shards_hold_their_quotas(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    size = {"block_words": 16, "shard_blocks": 300}
+    mix = mixing.mix_sources(docs, **size).cache()
+    quotas = mixing.shard_quotas(mixing.source_targets(mixing.document_sizes(docs)), **size).cache()
+    pieces = mixing.shard_pieces(mix, quotas, **size).cache()
+    n = F.sum(F.col("to_word") - F.col("from_word")).alias("n")
+    taken = {r["doc_id"]: r["t"] for r in mix.select("doc_id", mixing.taken_words(F.col("takes")).alias("t")).collect() if r["t"]}
+    assert {r["doc_id"]: r["n"] for r in pieces.groupBy("doc_id").agg(n).collect()} == taken
+    quota = {(r["shard"], r["src"]): r["quota"] * 16 for r in quotas.collect() if r["quota"]}
+    held = {(r["shard"], "+" + r["source"]): r["n"] for r in pieces.groupBy("shard", "source").agg(n).collect()}
+    assert held.keys() <= quota.keys() and all(0 <= quota[k] - held.get(k, 0) <= 16 for k in quota)
+
+
 # ---------------------------------------------------------------- decontamination
 
 @given(st.lists(st.lists(st.integers(0, 3), max_size=9), min_size=1, max_size=6),

@@ -134,3 +134,33 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int
 def taken_words(takes):
     return F.aggregate(takes, F.lit(0).cast("long"),
                        lambda a, x: a + x["copies"] * (x["to_word"] - x["from_word"]))
+
+
+def shard_pieces(mix: DataFrame, quotas: DataFrame, block_words: int = BLOCK_WORDS,
+                 shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
+    """(doc_id, source, shard, copy, from_word, to_word): the mix written out shard by shard.
+
+    ``mix`` and ``quotas`` come from ``mix_sources`` and ``shard_quotas`` with the same
+    parameters. Blocks of a source go to shards in order, and spans meet the shards' block
+    ranges on cells of ``shard_blocks`` blocks (a span or a range touches a few cells).
+    """
+    spans = (mix.select("doc_id", "source", null_safe_key(F.col("source")).alias("src"), "source_size", "stream_start",
+                        F.posexplode("takes").alias("nth", "t"), F.col("takes")[0]["copies"].alias("whole"))
+             .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("t.copies") - 1)).alias("i")))
+    copy = F.col("i") + F.when(F.col("nth") > 0, F.col("whole")).otherwise(0)
+    first = copy * F.col("source_size") + F.col("stream_start") + F.col("t.from_word")
+    spans = spans.select("doc_id", "source", "src", copy.alias("copy"), F.col("t.from_word").alias("word"),
+                         first.alias("first"), (first + F.col("t.to_word") - F.col("t.from_word")).alias("end"))
+    cell = shard_blocks * block_words
+    cells = lambda a, b: F.explode(F.sequence(F.floor(a / cell), F.floor((b - 1) / cell))).alias("cell")
+    spans = spans.select("*", cells(F.col("first"), F.col("end")))
+    ranges = quotas.where("quota > 0").select(
+        "shard", "src", (F.col("first_block") * block_words).alias("a"),
+        ((F.col("first_block") + F.col("quota")) * block_words).alias("b"))
+    ranges = ranges.select("*", cells(F.col("a"), F.col("b")))
+    here = ((F.col("first") < F.col("b")) & (F.col("end") > F.col("a"))
+            & (F.floor(F.greatest("first", "a") / cell) == F.col("cell")))  # a pair is found in one cell only
+    start, stop = F.greatest("first", "a"), F.least("end", "b")
+    return (spans.join(ranges, ["src", "cell"]).where(here)
+            .select("doc_id", "source", "shard", "copy", (F.col("word") + start - F.col("first")).alias("from_word"),
+                    (F.col("word") + stop - F.col("first")).alias("to_word")))
