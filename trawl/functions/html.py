@@ -176,8 +176,8 @@ def _decode_udf(b: pd.Series, cs: pd.Series) -> pd.Series:
 
 
 def declared_charset(http_content_type: Column, payload: Column) -> Column:
-    """charset= from the Content-Type header, else from a <meta> in the first 2 KB."""
-    head = F.substring(payload.cast("string"), 1, 2048)
+    """charset= from the Content-Type header, else from a <meta> before the body."""
+    head = F.regexp_extract(payload.cast("string"), r"(?is)^(.*?)(?:</head|<body|\z)", 1)
     from_header = F.regexp_extract(http_content_type, r"(?i)charset=[\"']?([A-Za-z0-9_.:-]+)", 1)
     from_meta = F.regexp_extract(head, r"(?i)<meta[^>]+charset=[\"']?([A-Za-z0-9_.:-]+)", 1)
     return F.lower(F.coalesce(F.nullif(from_header, F.lit("")), F.nullif(from_meta, F.lit(""))))

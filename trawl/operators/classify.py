@@ -1,33 +1,38 @@
-"""Classifiers as Spark ML pipelines (M1-M6).
+"""Classifiers (M1-M6).
 
 The reference calls pretrained fastText models that are not available
-offline. fastText is a linear model over hashed n-gram features; the same
-shape here is HashingTF over character or word n-grams with a linear model,
-trained on the labels of the given tables and applied with a batch
-``transform`` (the fitted model is shipped to executors once).
+offline. fastText is a linear model over n-gram features; the same shape here:
+character trigrams with naive Bayes weights for language (M1), and Spark ML
+logistic regressions over words (and the look of the text) for toxicity and
+quality, trained on the labels of the given tables. A fitted model is shipped
+to executors once and applied to any text, labelled or not.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, NaiveBayes
-from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, HashingTF,
-                                IndexToString, NGram, Normalizer, RegexTokenizer,
-                                SQLTransformer, StopWordsRemover, StringIndexer)
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer,
+                                RegexTokenizer, SQLTransformer, StopWordsRemover, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.patterns import ENGLISH_MIN_SCORE
 from ..functions.text import preprocess_for_classifier
+from ..session import drop_table, materialize
 
-NUM_FEATURES = 1 << 18
-ROWS_PER_PARTITION = 50_000
-
-
-def spark_parallelism(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism
+#: Rows of feature vectors per training task.
+ROWS_PER_PARTITION = 2_000
+#: Words in fewer training documents carry no weight (they are memorised, not learned).
+MIN_DOCS = 4
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES -- label names of the reference's classifiers.
@@ -37,20 +42,6 @@ TOXIC_LABELS = ("non-toxic", "toxic")
 QUALITY_LABELS = ("cc", "wiki")
 
 
-def _char_grams(text: Column) -> Column:
-    """Character 2- and 3-grams of ' ' + text + ' ' (overlapping, via lookahead)."""
-    t = F.concat(F.lit(" "), text, F.lit(" "))
-    return F.concat(F.regexp_extract_all(t, F.lit("(?s)(?=(..))"), 1),
-                    F.regexp_extract_all(t, F.lit("(?s)(?=(...))"), 1))
-
-
-def _word_grams(text: Column) -> Column:
-    """Word unigrams and bigrams of a lower-cased text."""
-    toks = F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}_']+"), 0)
-    ts = F.array_join(toks, " ")
-    return F.concat(toks, F.regexp_extract_all(ts, F.lit(r"(?:^| )(?=([^ ]+ [^ ]+))"), 1))
-
-
 def _balanced_weights(df: DataFrame, label: str) -> DataFrame:
     """weight = n / (k * n_class): classes count equally (the labels are skewed)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
@@ -61,72 +52,187 @@ def _balanced_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ M1 language
-def train_language_id(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> PipelineModel:
-    df = docs.select(preprocess_for_classifier(text_col, lower=False).alias("t"), F.col(lang_col))
-    df = df.withColumn("grams", _char_grams(F.col("t")))
-    idx = StringIndexer(inputCol=lang_col, outputCol="label")
-    tf = HashingTF(inputCol="grams", outputCol="features", numFeatures=NUM_FEATURES)
-    nb = NaiveBayes(modelType="multinomial", smoothing=1.0)
-    model = Pipeline(stages=[idx, tf, nb]).fit(df)
-    labels = model.stages[0].labels
-    return PipelineModel(stages=model.stages[1:] + [
-        IndexToString(inputCol="prediction", outputCol="pred_label", labels=labels)])
-
-
-def identify_language(model: PipelineModel, df: DataFrame, text_col: str = "text",
+#: Overlapping trigrams of running text are not independent: a text counts as the evidence
+#: of this many average trigrams, so its score says how clear the language is, not how long the text.
+EVIDENCE = 1
+#: The model goes to every worker: this many trigrams at most, the most frequent ones.
+MAX_GRAMS = 1 << 20
+
+
+def language_text(text_col: str | Column) -> Column:
+    """What the language model sees: newlines as spaces, stripped, lower-cased, a space on both ends."""
+    return F.concat(F.lit(" "), F.lower(preprocess_for_classifier(text_col, lower=False)), F.lit(" "))
+
+
+def trigram_codes(text: str) -> np.ndarray:
+    """A code per character trigram, in text order."""
+    c = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    return (c[:-2] << np.uint64(42)) | (c[1:-1] << np.uint64(21)) | c[2:]
+
+
+class LanguageModel(NamedTuple):
+    """Multinomial naive Bayes with add-one smoothing over trigrams."""
+
+    langs: list[str]
+    prior: np.ndarray
+    codes: np.ndarray  # sorted
+    weights: np.ndarray  # [trigram, lang] log likelihoods
+
+    def scores(self, text: str) -> np.ndarray:
+        """Probability of every language."""
+        c = trigram_codes(text)
+        at = np.minimum(np.searchsorted(self.codes, c), max(len(self.codes) - 1, 0))
+        at = at[self.codes[at] == c] if len(self.codes) else at[:0]
+        n = np.bincount(at, minlength=len(self.codes))
+        used = np.flatnonzero(n)
+        total = n[used] @ self.weights[used]
+        s = self.prior + total / max(len(at), 1) * min(len(at), EVIDENCE)
+        e = np.exp(s - s.max())
+        return e / e.sum()
+
+
+def trigram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, code, n): counted inside each batch, then one aggregate."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            by_lang: dict[str, list[np.ndarray]] = {}
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                by_lang.setdefault(lang, []).append(trigram_codes(text))
+            for lang, codes in by_lang.items():
+                u, n = np.unique(np.concatenate(codes), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(u), type=pa.string()), pa.array(u.view(np.int64)),
+                                                  pa.array(n.astype(np.int64))], ["lang", "code", "n"])
+    return (docs.select(lang_col, language_text(text_col).alias("t")).mapInArrow(work, "lang string, code long, n long")
+            .groupBy("lang", "code").agg(F.sum("n").alias("n")))
+
+
+def train_language_id(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
+                      max_grams: int = MAX_GRAMS) -> LanguageModel:
+    """Fit on labelled texts: one aggregate; the driver gets a row per trigram and language."""
+    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    per_doc = {r[lang_col]: r["n"] for r in labelled.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = materialize(trigram_counts(labelled, text_col, lang_col), "trigrams")
+    totals = {r["lang"]: (r["n"], r["grams"]) for r in counts.groupBy("lang").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("grams")).collect()}
+    vocabulary = counts.groupBy("code").agg(F.sum("n").alias("all"))
+    n_vocabulary = vocabulary.count()
+    top = vocabulary.orderBy(F.col("all").desc(), "code").limit(max_grams)
+    rows = counts.join(top, "code").select("lang", "code", "n").toPandas()
+    langs = sorted(per_doc)
+    codes = np.unique(rows["code"].to_numpy(dtype=np.int64).view(np.uint64))
+    weights = np.zeros((len(codes), len(langs)))
+    at = np.searchsorted(codes, rows["code"].to_numpy(dtype=np.int64).view(np.uint64))
+    weights[at, np.array([langs.index(x) for x in rows["lang"]], dtype=np.int64)] = np.log(rows["n"].to_numpy() + 1.0)
+    weights -= np.log(np.array([totals.get(x, (0, 0))[0] for x in langs], dtype=float) + n_vocabulary)
+    prior = np.log(np.array([per_doc[x] for x in langs], dtype=float) / sum(per_doc.values()))
+    drop_table(counts)
+    return LanguageModel(langs, prior, codes, weights)
+
+
+def language_of(spark: SparkSession, model: LanguageModel, text_col: str | Column = "text") -> Column:
+    """struct(lang, score) of a text column: the most probable language and its probability."""
+    sent = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("lang string, score double")
+    def judge(texts: pd.Series) -> pd.DataFrame:
+        p = [sent.value.scores(t) for t in texts]
+        best = [int(x.argmax()) for x in p]
+        return pd.DataFrame({"lang": [sent.value.langs[i] for i in best],
+                             "score": [float(x[i]) for x, i in zip(p, best, strict=True)]})
+    return judge(F.coalesce(language_text(text_col), F.lit("  ")))
+
+
+def identify_language(model: LanguageModel, df: DataFrame, text_col: str = "text",
                       keep: list[str] | None = None) -> DataFrame:
     """(…, lang, score, score_raw): top-1 language; score rounded to 4 places."""
-    x = df.withColumn("grams", _char_grams(preprocess_for_classifier(text_col, lower=False)))
-    out = model.transform(x)
-    p = F.array_max(vector_to_array("probability"))
-    return out.select(*(keep or []), F.col("pred_label").alias("lang"),
-                      F.round(p, 4).alias("score"), p.alias("score_raw"))
+    out = df.withColumn("_l", language_of(df.sparkSession, model, text_col))
+    return out.select(*(keep or []), F.col("_l.lang").alias("lang"),
+                      F.round("_l.score", 4).alias("score"), F.col("_l.score").alias("score_raw"))
 
 
-def is_english(lang: str = "lang", score_raw: str = "score_raw") -> Column:
+def is_english(lang: str | Column = "lang", score_raw: str | Column = "score_raw") -> Column:
     """label 'en' and unrounded score >= 0.7."""
-    return (F.col(lang) == "en") & (F.col(score_raw) >= ENGLISH_MIN_SCORE)
+    lang, score = (F.col(x) if isinstance(x, str) else x for x in (lang, score_raw))
+    return (lang == "en") & (score >= ENGLISH_MIN_SCORE)
+
+
+def english_text(spark: SparkSession, model: LanguageModel, text_col: str = "text") -> Column:
+    """F9 as a predicate on any text column."""
+    judged = language_of(spark, model, text_col)
+    return is_english(judged["lang"], judged["score"])
 
 
 # ------------------------------------------------------------------ M2/M3 content
-def train_binary_text(df: DataFrame, label_col: str, text_col: str = "text") -> PipelineModel:
-    """Word uni+bigram hashed features, class-balanced logistic regression."""
-    x = df.select(preprocess_for_classifier(text_col).alias("t"),
-                  F.col(label_col).cast("double").alias("label"))
-    x = _balanced_weights(x.withColumn("grams", _word_grams(F.col("t"))), "label")
-    tf = HashingTF(inputCol="grams", outputCol="features", numFeatures=NUM_FEATURES)
-    feats = tf.transform(x).select("features", "label", "weight")
-    n = feats.count()
-    n_part = max(1, min(spark_parallelism(feats), -(-n // ROWS_PER_PARTITION)))
-    feats = feats.repartition(n_part).persist()   # iterations read vectors, not text
+def _partitioned(vectors: DataFrame) -> DataFrame:
+    """Feature vectors in tasks of ROWS_PER_PARTITION rows, kept for the iterations."""
+    n = vectors.count()
+    return vectors.repartition(max(1, -(-n // ROWS_PER_PARTITION))).persist()
+
+
+def train_binary_text(df: DataFrame, label_col: str, text_col: str = "text",
+                      min_docs: int = MIN_DOCS) -> PipelineModel:
+    """Presence of words (in at least ``min_docs`` training documents), class-balanced
+    logistic regression; the L1 penalty keeps the few words that matter."""
+    x = df.where(F.col(label_col).isNotNull()).select(
+        preprocess_for_classifier(text_col).alias("t"), F.col(label_col).cast("double").alias("label"))
+    x = _balanced_weights(x, "label").persist()
+    tok = RegexTokenizer(inputCol="t", outputCol="words", pattern=r"(?U)\b\w\w+\b", gaps=False)
+    cv = CountVectorizer(inputCol="words", outputCol="features", binary=True, minDF=float(min_docs), vocabSize=1 << 18)
+    feat = Pipeline(stages=[tok, cv]).fit(x)
+    vectors = _partitioned(feat.transform(x).select("features", "label", "weight"))
     try:
-        lr = LogisticRegression(weightCol="weight", maxIter=100, regParam=0.01).fit(feats)
+        lr = LogisticRegression(weightCol="weight", maxIter=200, regParam=0.003, elasticNetParam=1.0,
+                                standardization=False).fit(vectors)
     finally:
-        feats.unpersist()
-    return PipelineModel(stages=[tf, lr])
+        vectors.unpersist()
+        x.unpersist()
+    return PipelineModel(stages=[*feat.stages, lr])
 
 
 def classify_binary(model: PipelineModel, df: DataFrame, names: tuple[str, str],
                     text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(…, label, score): label name of the predicted class and its probability."""
-    x = df.withColumn("grams", _word_grams(preprocess_for_classifier(text_col)))
-    out = model.transform(x)
+    out = model.transform(df.withColumn("t", preprocess_for_classifier(F.coalesce(F.col(text_col), F.lit("")))))
     prob = vector_to_array("probability")
     pred = F.col("prediction").cast("int")
     return out.select(*(keep or []), F.when(pred == 1, F.lit(names[1])).otherwise(F.lit(names[0])).alias("label"),
                       F.element_at(prob, pred + 1).alias("score"), pred.alias("prediction"))
 
 
+def relabel(classified: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The same decisions under other label names (M2 is M3 with NSFW labels)."""
+    new = F.col("label")
+    for old, name in names.items():
+        new = F.when(F.col("label") == old, name).otherwise(new)
+    return classified.withColumn("label", new)
+
+
 # ------------------------------------------------------------------ M4/M5 quality
+#: Shares of a text's characters that are neither letters nor spaces, capitals, and symbols
+#: (all near zero in prose, so that the fit starts well conditioned).
+LOOK = ("look_others", "look_capitals", "look_symbols")
+LOOK_SCALE = 10.0
+
+
+def with_look(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """Adds the LOOK columns, on the scale of a unit-length term vector times LOOK_SCALE."""
+    n = F.greatest(F.length(text_col), F.lit(1))
+    for name, pattern in zip(LOOK, (r"[^\p{L} ]", r"\p{Lu}", r"[^\p{L}\p{N}\s.,;:'\-]"), strict=True):
+        df = df.withColumn(name, F.coalesce(
+            (F.length(text_col) - F.length(F.regexp_replace(text_col, pattern, ""))) / n * LOOK_SCALE, F.lit(0.0)))
+    return df
+
+
 def train_quality_classifier(train: DataFrame, text_col: str = "text", label_col: str = "label",
-                             vocab_size: int = 50_000, max_iter: int = 1000,
+                             vocab_size: int = 50_000, max_iter: int = 100,
                              balanced: bool = False) -> PipelineModel:
-    """TF-IDF (English stop words, 1-2-grams, top vocab by corpus frequency)
-    + L2 logistic regression, parameterised like the reference's C=1 model:
-    idf = ln((1+n)/(1+df)) + 1 (tf * (idf_spark + 1)), rows L2-normalised,
-    regParam = 1/n_train, no standardisation."""
-    x = train.select(F.col(text_col).alias("text"), F.col(label_col).cast("double").alias("label"))
-    x = x.persist()                        # read by the vocabulary, idf and count passes
+    """The look of the text beside TF-IDF (English stop words, 1-2-grams, top vocab by corpus
+    frequency): idf = ln((1+n)/(1+df)) + 1 (tf * (idf_spark + 1)), rows L2-normalised. The
+    logistic regression has an elastic-net penalty: a plain L2 fit over 50,000 mostly rare
+    terms neither converges nor finds the minority class among a few hundred labels."""
+    x = train.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(
+        F.col(text_col).alias("text"), F.col(label_col).cast("double").alias("label"))
+    x = with_look(x).persist()                        # read by the vocabulary, idf and count passes
     tok = RegexTokenizer(inputCol="text", outputCol="tok", pattern=r"(?U)\b\w\w+\b", gaps=False)
     sw = StopWordsRemover(inputCol="tok", outputCol="words")
     bi = NGram(n=2, inputCol="words", outputCol="bigrams")
@@ -137,89 +243,29 @@ def train_quality_classifier(train: DataFrame, text_col: str = "text", label_col
     idf = IDF(inputCol="tf", outputCol="_idf").fit(tfed)
     scale = ElementwiseProduct(inputCol="tf", outputCol="tfidf",
                                scalingVec=Vectors.dense([v + 1.0 for v in idf.idf.toArray()]))
-    norm = Normalizer(inputCol="tfidf", outputCol="features", p=2.0)
-    n_train = x.count()
-    lr = LogisticRegression(maxIter=max_iter, tol=1e-4, regParam=1.0 / max(n_train, 1),
-                            elasticNetParam=0.0, standardization=False)
+    norm = Normalizer(inputCol="tfidf", outputCol="terms_unit", p=2.0)
+    both = VectorAssembler(inputCols=["terms_unit", *LOOK], outputCol="features")
+    lr = LogisticRegression(maxIter=max_iter, regParam=0.01, elasticNetParam=0.5)
     if balanced:
         lr.setWeightCol("weight")
-    prepared = norm.transform(scale.transform(tfed)).select("features", "label")
+    prepared = both.transform(norm.transform(scale.transform(tfed))).select("features", "label")
     if balanced:
         prepared = _balanced_weights(prepared, "label")
-    # partitions sized by rows: each iteration is one aggregation job, so tiny
-    # partitions only add scheduling cost; large inputs keep their parallelism
-    n_part = max(1, min(spark_parallelism(prepared), -(-n_train // ROWS_PER_PARTITION)))
-    prepared = prepared.repartition(n_part).persist()  # iterations read vectors, not text
+    prepared = _partitioned(prepared)  # iterations read vectors, not text
     try:
         lr_model = lr.fit(prepared)
     finally:
         prepared.unpersist()
-    return PipelineModel(stages=[feat, scale, norm, lr_model])
+        x.unpersist()
+    return PipelineModel(stages=[feat, scale, norm, both, lr_model])
 
 
 def classify_quality(model: PipelineModel, df: DataFrame, text_col: str = "text",
                      keep: list[str] | None = None) -> DataFrame:
     """M5: (…, label in {wiki, cc}, score = probability of that label, prediction)."""
-    out = model.transform(df.withColumnRenamed(text_col, "text") if text_col != "text" else df)
+    out = model.transform(with_look(df.withColumn("text", F.coalesce(F.col(text_col), F.lit("")))))
     prob = vector_to_array("probability")
     pred = F.col("prediction").cast("int")
     return out.select(*(keep or []), F.when(pred == 1, F.lit(QUALITY_LABELS[1]))
                       .otherwise(F.lit(QUALITY_LABELS[0])).alias("label"),
                       F.element_at(prob, pred + 1).alias("score"), pred.alias("prediction"))
-
-
-# ------------------------------------------------------------------ M1, SQL form
-def char_trigram_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, gram, cnt): character trigrams of ' ' + lower(text with newlines as spaces) + ' '."""
-    t = F.concat(F.lit(" "), F.lower(preprocess_for_classifier(text_col, lower=False)), F.lit(" "))
-    g = df.select(F.col(id_col).alias("id"), F.explode(
-        F.regexp_extract_all(t, F.lit("(?s)(?=(...))"), 1)).alias("gram"))
-    return g.groupBy("id", "gram").agg(F.count(F.lit(1)).alias("cnt"))
-
-
-def train_langid_nb(train: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
-    """Multinomial naive Bayes with add-one smoothing as aggregates.
-
-    Returns (model, langs): model rows (gram, lang, lw = ln(count + 1)) -- one
-    per gram seen with a language, so its size is bounded by the vocabulary,
-    not the corpus -- and one row per language with prior and denominator.
-    """
-    g = char_trigram_counts(train, id_col, text_col)
-    lab = train.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-    gl = g.join(lab, "id").groupBy("gram", "lang").agg(F.sum("cnt").alias("c"))
-    vocab = gl.select("gram").distinct().count()
-    n_docs = lab.groupBy("lang").agg(F.count(F.lit(1)).alias("nd"))
-    tot = gl.groupBy("lang").agg(F.sum("c").alias("nl"))
-    all_docs = lab.count()
-    langs = n_docs.join(tot, "lang").select(
-        "lang", F.log(F.col("nd") / F.lit(all_docs)).alias("prior"),
-        F.log(F.col("nl") + F.lit(vocab)).alias("logden"))
-    model = gl.select("gram", "lang", F.log(F.col("c") + 1).alias("lw"))
-    return model, langs
-
-
-def predict_langid_nb(model: DataFrame, langs: DataFrame, df: DataFrame,
-                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang): argmax over languages of prior + sum cnt * (lw - logden).
-
-    Grams outside the vocabulary are ignored; unseen (gram, lang) pairs count
-    ln 1 = 0 in the sparse sum. The language table has one row per language;
-    it is collected (a handful of rows) and expanded per document as a literal.
-    """
-    g = char_trigram_counts(df, id_col, text_col)
-    vocab = model.select("gram").distinct()
-    g = g.join(vocab, "gram", "left_semi")
-    sparse = (g.join(model, "gram").groupBy("id", "lang")
-              .agg(F.sum(F.col("cnt") * F.col("lw")).alias("s")))
-    n_in = g.groupBy("id").agg(F.sum("cnt").alias("n"))
-    lang_rows = langs.collect()
-    lits = F.array(*[F.struct(F.lit(r.lang).alias("lang"), F.lit(r.prior).alias("prior"),
-                              F.lit(r.logden).alias("logden")) for r in lang_rows])
-    base = (df.select(F.col(id_col).alias("id")).join(n_in, "id", "left")
-            .select("id", F.coalesce("n", F.lit(0)).alias("n"), F.explode(lits).alias("l"))
-            .select("id", "n", "l.lang", "l.prior", "l.logden"))
-    scored = (base.join(sparse, ["id", "lang"], "left")
-              .select("id", "lang", (F.col("prior") + F.coalesce("s", F.lit(0.0))
-                                     - F.col("n") * F.col("logden")).alias("score")))
-    return scored.groupBy("id").agg(F.max_by("lang", F.struct("score", "lang")).alias("lang"))

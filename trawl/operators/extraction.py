@@ -3,6 +3,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,3 +59,19 @@ def last_record_per_key(df: DataFrame, key: str, pos: str, cols: list[str]) -> D
 def common_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Distinct keys present in both inputs (INTERSECT)."""
     return a.select(key).intersect(b.select(key))
+
+
+def filter_by(df: DataFrame, keep: Column | Callable[[str], bool], text_col: str = "text",
+              flag: str | None = None) -> DataFrame:
+    """Rows that ``keep`` accepts: a Column (built-in expression or Arrow UDF), or a plain
+    ``str -> bool`` function, which runs over Arrow batches. Null counts as not kept. With
+    ``flag`` every row stays and the verdict is a column of that name."""
+    if not isinstance(keep, Column):
+        predicate = keep
+
+        @F.pandas_udf("boolean")
+        def judged(texts: pd.Series) -> pd.Series:
+            return texts.map(lambda t: t is not None and bool(predicate(t))).astype(bool)
+        keep = judged(F.col(text_col))
+    verdict = F.coalesce(keep, F.lit(False))
+    return df.where(verdict) if flag is None else df.withColumn(flag, verdict)

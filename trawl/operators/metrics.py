@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def text_kept_ratio(df: DataFrame, keep: Column | str, by: list[str] | None = None,
                     text_col: str = "text") -> DataFrame:
@@ -31,39 +33,34 @@ def classification_report(pred: DataFrame, label: str = "label",
                           prediction: str = "prediction") -> DataFrame:
     """Per-class precision/recall/F1/support, plus accuracy, macro and weighted avg.
 
-    One aggregate of the confusion counts (tiny), then arithmetic.
+    One aggregate of the confusion counts, written (a row per label pair);
+    everything after it is arithmetic over that table, and the input runs once.
     """
-    conf = pred.groupBy(F.col(label).cast("string").alias("y"),
-                        F.col(prediction).cast("string").alias("p")).agg(F.count(F.lit(1)).alias("c"))
-    tp = conf.where("y = p").groupBy("y").agg(F.sum("c").alias("tp"))
-    sup = conf.groupBy("y").agg(F.sum("c").alias("support"))
-    npred = conf.groupBy(F.col("p").alias("y")).agg(F.sum("c").alias("n_pred"))
-    classes = sup.select("y").union(npred.select("y")).distinct()
-    per = (classes.join(tp, "y", "left").join(sup, "y", "left").join(npred, "y", "left")
-           .na.fill(0, ["tp", "support", "n_pred"]))
-    prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(0.0)
-    rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
-    per = per.withColumn("precision", prec).withColumn("recall", rec)
-    per = per.withColumn("f1", F.when(F.col("precision") + F.col("recall") > 0,
-                                      2 * F.col("precision") * F.col("recall")
-                                      / (F.col("precision") + F.col("recall"))).otherwise(0.0))
-    per = per.select(F.col("y").alias("class"), "precision", "recall", "f1",
-                     F.col("support").cast("bigint").alias("support"))
-    acc = (conf.agg((F.sum(F.when(F.col("y") == F.col("p"), F.col("c")).otherwise(0))
-                     / F.sum("c")).alias("accuracy"), F.sum("c").alias("n")))
-    macro = per.agg(F.lit("macro avg").alias("class"), F.avg("precision").alias("precision"),
-                    F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
+    conf = materialize(pred.groupBy(F.col(label).cast("string").alias("y"), F.col(prediction).cast("string").alias("p"))
+                       .agg(F.count(F.lit(1)).alias("c")), "confusion")
+    hit = F.when(F.col("y") == F.col("p"), F.col("c")).otherwise(0)
+    sides = (conf.select(F.col("y").alias("class"), hit.alias("tp"), F.col("c").alias("support"), F.lit(0).alias("n_pred"))
+             .unionByName(conf.select(F.col("p").alias("class"), F.lit(0).alias("tp"), F.lit(0).alias("support"),
+                                      F.col("c").alias("n_pred"))))
+    per = sides.groupBy("class").agg(*[F.sum(x).cast("bigint").alias(x) for x in ("tp", "support", "n_pred")])
+
+    def ratio(a, b):
+        return F.when(b > 0, a / b).otherwise(0.0)
+    per = (per.withColumn("precision", ratio(F.col("tp"), F.col("n_pred")))
+           .withColumn("recall", ratio(F.col("tp"), F.col("support"))))
+    per = per.withColumn("f1", ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
+    per = per.select("class", "precision", "recall", "f1", "support")
+    measures = ("precision", "recall", "f1")
+    macro = per.agg(F.lit("macro avg").alias("class"), *[F.avg(m).alias(m) for m in measures],
                     F.sum("support").cast("bigint").alias("support"))
     weighted = per.agg(F.lit("weighted avg").alias("class"),
-                       *[(F.sum(F.col(m) * F.col("support")) / F.sum("support")).alias(m)
-                         for m in ("precision", "recall", "f1")],
+                       *[(F.sum(F.col(m) * F.col("support")) / F.sum("support")).alias(m) for m in measures],
                        F.sum("support").cast("bigint").alias("support"))
-    accuracy = acc.select(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
-                          F.lit(None).cast("double").alias("recall"), F.col("accuracy").alias("f1"),
-                          F.col("n").cast("bigint").alias("support"))
+    nothing = F.lit(None).cast("double")
+    accuracy = conf.agg(F.lit("accuracy").alias("class"), F.first(nothing).alias("precision"), F.first(nothing).alias("recall"),
+                        (F.sum(hit) / F.sum("c")).alias("f1"), F.sum("c").cast("bigint").alias("support"))
     out = per.unionByName(accuracy).unionByName(macro).unionByName(weighted)
-    return out.select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")],
-                      "support")
+    return out.select("class", *[F.round(c, 6).alias(c) for c in measures], "support")
 
 
 WORD_RE = r"[\p{L}\p{N}_]{2,}"
@@ -74,9 +71,10 @@ def document_frequency(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Corpus term frequency and document frequency of 1- and 2-grams.
 
     Tokens are maximal runs of >= 2 word characters of the lower-cased text;
-    stop words (optional) are removed before bigrams are formed. Two-phase
-    aggregate: (doc, term) counts first, so a term present everywhere is
-    spread by document before its final sum; top_k by tf (term breaks ties).
+    stop words (optional) are removed before bigrams are formed. Terms are
+    counted inside the row (sorted array, run lengths), so a document sends
+    one row per distinct term into a single map-side combined aggregate;
+    top_k by tf (term breaks ties).
     """
     toks = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RE), 0)
     if stop_words:
@@ -85,10 +83,15 @@ def document_frequency(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     t = df.select(F.col(id_col).alias("doc_id"), F.array_join(toks, " ").alias("ts"))
     bigrams = F.regexp_extract_all("ts", F.lit(r"(?:^| )(?=([^ ]+ [^ ]+))"), 1)
     unigrams = F.when(F.col("ts") == "", F.array().cast("array<string>")).otherwise(F.split("ts", " "))
-    terms = t.select("doc_id", F.explode(F.concat(unigrams, bigrams)).alias("term"))
-    per_doc = terms.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("c"))
-    out = per_doc.groupBy("term").agg(F.sum("c").cast("bigint").alias("tf"),
-                                      F.count(F.lit(1)).cast("bigint").alias("df"))
+    t = t.select(F.sort_array(F.concat(unigrams, bigrams)).alias("s"))
+    # starts of runs of equal terms; a run's length is the distance to the next start
+    t = t.select("s", F.filter(F.sequence(F.lit(0), F.size("s") - 1), lambda i: (i == 0) | (
+        F.get("s", i) != F.get("s", F.greatest(i - 1, F.lit(0))))).alias("at")).where(F.size("s") > 0)
+    runs = t.select(F.explode(F.transform("at", lambda i, k: F.struct(
+        F.get("s", i).alias("term"),
+        (F.coalesce(F.get("at", k + 1), F.size("s")) - i).alias("c")))).alias("r"))
+    out = runs.groupBy("r.term").agg(F.sum("r.c").cast("bigint").alias("tf"),
+                                     F.count(F.lit(1)).cast("bigint").alias("df"))
     if top_k is not None:
         out = out.orderBy(F.col("tf").desc(), F.col("term")).limit(top_k)
     return out

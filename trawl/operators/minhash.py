@@ -11,23 +11,18 @@ Stages
      signs as zeros. Built-in expressions: H hash columns per (document,
      shingle) row and a per-document min aggregate (one exchange of one row
      per document after the map-side partial aggregate).
-   * ``fast`` -- one xxhash64 per shingle in the JVM, then H multiply-add-shift
-     hashes and their minima in numpy inside an Arrow UDF (vectorised per
-     batch); row-local, no shuffle. Results depend on the family; only md5
+   * ``fast`` -- one xxhash64 per shingle in the JVM (8 bytes each to Python),
+     then H multiply-add-shift hashes and their minima in numpy inside an
+     Arrow UDF (vectorised per batch); row-local, no shuffle. Results depend on the family; only md5
      mode matches the oracle.
 
 2. ``band_rows``: (band, key, doc) with key = the band's r signature values.
 3. Buckets are taken at *exact-set* granularity: documents with identical
    shingle sets have identical signatures and Jaccard 1, so they collapse to
    their smallest id before any pairing (lossless for the clusters).
-4. ``verified_edges``: pivot rounds per bucket instead of all pairs. In a
-   round every bucket with >= 2 open members takes its smallest member p,
-   checks J(p, x) for every member (star edges when J >= t), and only pairs
-   (x in p's cluster, y outside) that the Jaccard-distance triangle bound
-   d(p,y) - d(p,x) <= 1 - t allows are verified. Members outside the cluster
-   go on to the next round. Components equal those of all verified candidate
-   pairs: an edge x-y that is never checked either joins two members of the
-   same star or is excluded by the triangle inequality.
+4. ``verified_edges``: per bucket components are grown from pivots instead of
+   comparing all pairs; connectivity equals that of all verified candidate
+   pairs (argument in its docstring).
 5. ``connected_components`` over the verified edges, then every document gets
    its exact-set representative's component; one survivor per component.
 """
@@ -38,13 +33,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import (needs_python_normalize, normalize_text, normalize_text_builtin,
-                              word_ngrams)
-from ..session import materialize
+from ..functions.text import normalize_text, word_ngrams
+from ..session import drop_table, materialize
 from .components import connected_components
 
 @dataclass(frozen=True)
@@ -58,7 +52,7 @@ class MinHashParams:
 
     def __post_init__(self):
         if self.num_hashes % self.num_bands != 0:
-            raise ValueError("num_hashes must be evenly divisible by num_bands.")
+            raise ValueError(f"{self.num_hashes} hashes do not fill {self.num_bands} bands of equal size")
         if self.mode not in ("md5", "fast"):
             raise ValueError(f"unknown mode {self.mode!r}")
 
@@ -88,61 +82,28 @@ def _fast_coefficients(num_hashes: int, seed: int):
     return a, b
 
 
-def _shingles_py(norm: str, n: int) -> list[str]:
-    """word_ngrams in Python (used only for rows taking the normalisation fallback)."""
-    words = norm.split(" ") if norm else []
-    if not words:
-        return []
-    if len(words) < n:
-        return [norm]
-    return list(dict.fromkeys(" ".join(words[i:i + n]) for i in range(len(words) - n + 1)))
+def fast_signature_udf(num_hashes: int, seed: int):
+    """Arrow UDF: 64-bit shingle hashes (8 bytes each, made in the JVM) -> signature.
 
-
-def fast_signature_udf(num_hashes: int, seed: int, ngrams: int):
-    """Arrow UDF: (built-in shingles, raw text for fallback rows) ->
-    struct(set_key, n_sh, sig).
-
-    One Python step per batch: 64-bit xxhash per shingle, then H
-    multiply-add-shift hashes and their minima vectorised in numpy. Rows whose
-    text needs the Python normalisation fallback carry their raw text and are
-    re-shingled here, so no second Python step precedes this one.
+    H multiply-add-shift hashes and their minima, vectorised in numpy over
+    runs of documents with a bounded number of shingles.
     """
-    import hashlib
-
-    import xxhash
-
-    from ..functions.text import normalize_text_py
-
     a, b = _fast_coefficients(num_hashes, seed)
-    chunk = 1 << 17
-    schema = T.StructType([T.StructField("set_key", T.StringType()),
-                           T.StructField("n_sh", T.IntegerType()),
-                           T.StructField("sig", T.ArrayType(T.LongType()))])
-
-    @F.pandas_udf(schema)
-    def sig(sh: pd.Series, raw: pd.Series) -> pd.DataFrame:
-        n = len(sh)
-        sets = [list(x) if r is None else _shingles_py(normalize_text_py(r), ngrams)
-                for x, r in zip(sh, raw)]
-        keys = [hashlib.md5("\n".join(sorted(x)).encode()).hexdigest() for x in sets]
-        arrays = [np.fromiter((xxhash.xxh64_intdigest(s.encode()) for s in x), dtype=np.uint64,
-                              count=len(x)) for x in sets]
-        lens = np.fromiter((len(x) for x in arrays), dtype=np.int64, count=n)
-        out = np.zeros((n, num_hashes), dtype=np.int64)
-        i = 0
-        while i < n:
-            j, tot = i, 0
-            while j < n and (tot == 0 or tot + lens[j] <= chunk):
-                tot += lens[j]
-                j += 1
-            rows = [k for k in range(i, j) if lens[k] > 0]
-            if rows:
-                x = np.concatenate([arrays[k] for k in rows])
+    run = 1 << 17
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def sig(hashes: pd.Series) -> pd.Series:
+        size = hashes.map(len).to_numpy(dtype=np.int64)
+        out = np.zeros((len(size), num_hashes), dtype=np.int64)
+        some = np.flatnonzero(size)
+        cuts = np.flatnonzero(np.diff(np.cumsum(size[some]) // run, prepend=-1))
+        for rows in np.split(some, cuts[1:]):
+            if len(rows):
+                x = np.concatenate([hashes.iloc[i] for i in rows]).astype(np.int64).view(np.uint64)
+                at = np.concatenate([[0], np.cumsum(size[rows])[:-1]])
                 v = (a[:, None] * x[None, :] + b[:, None]) >> np.uint64(32)
-                offs = np.concatenate([[0], np.cumsum(lens[rows])[:-1]])
-                out[rows] = np.minimum.reduceat(v, offs, axis=1).T.astype(np.int64)
-            i = j
-        return pd.DataFrame({"set_key": keys, "n_sh": lens.astype(np.int32), "sig": list(out)})
+                out[rows] = np.minimum.reduceat(v, at, axis=1).T.astype(np.int64)
+        return pd.Series(list(out))
 
     return sig
 
@@ -163,17 +124,12 @@ def signature_table(docs: DataFrame, p: MinHashParams, id_col: str = "doc_id",
     per (document, shingle) row and one ``min`` aggregate per document; the
     map-side partial aggregate leaves one row per document to exchange.
     """
+    t = shingle_table(docs, p, id_col, text_col).select(
+        "doc_id", F.md5(F.array_join(F.array_sort("sh"), "\n")).alias("set_key"),
+        F.size("sh").alias("n_sh"), "sh")
     if p.mode == "fast":
-        d = docs.select(F.col(id_col).alias("doc_id"),
-                        normalize_text_builtin(text_col).alias("norm"),
-                        needs_python_normalize(text_col).alias("raw"))
-        d = d.select("doc_id", word_ngrams("norm", p.ngrams).alias("sh"), "raw")
-        r = d.select("doc_id", fast_signature_udf(p.num_hashes, p.seed, p.ngrams)("sh", "raw").alias("r"))
-        return r.select("doc_id", "r.set_key", "r.n_sh", "r.sig")
-    sh = shingle_table(docs, p, id_col, text_col)
-    t = sh.select("doc_id",
-                  F.md5(F.array_join(F.array_sort("sh"), "\n")).alias("set_key"),
-                  F.size("sh").alias("n_sh"), "sh")
+        hashes = F.transform("sh", lambda s: F.xxhash64(s))
+        return t.select("doc_id", "set_key", "n_sh", fast_signature_udf(p.num_hashes, p.seed)(hashes).alias("sig"))
     rows = t.select("doc_id", "set_key", "n_sh", F.explode_outer("sh").alias("s"))
     hcols = [_md5_u32le(F.concat(F.lit(f"{i}-"), F.col("s"))).alias(f"h{i}")
              for i in range(p.num_hashes)]
@@ -238,48 +194,60 @@ def bucket_members(sig_tbl: DataFrame, p: MinHashParams) -> DataFrame:
     return br.join(live, ["band", "key"], "left_semi").select("band", "key", "x")
 
 
+#: Connected members that a bucket compares its open members with in one round.
+PIVOTS = 16
+
+
 def verified_edges(members: DataFrame, sets: DataFrame, p: MinHashParams) -> DataFrame:
-    """(src, dst) edges between exact-set representatives with J >= threshold."""
-    eps = 1.0 - p.threshold
-    tol = 1e-9
-    sets_x = sets.select(F.col("doc_id").alias("x"), F.col("hs").alias("hx"),
-                            F.col("n_sh").alias("nx"))
-    sets_p = sets_x.select(F.col("x").alias("p"), F.col("hx").alias("hp"), F.col("nx").alias("np"))
-    sets_y = sets_x.select(F.col("x").alias("y"), F.col("hx").alias("hy"), F.col("nx").alias("ny"))
-
-    edges = []
-    rounds = 0
+    """(src, dst) edges between exact-set representatives with J >= threshold, enough to
+    connect what all verified pairs of all buckets connect.
+
+    A bucket grows one component at a time. Its smallest open member starts; in a round up
+    to PIVOTS members of the component that were not pivots yet are compared with the open
+    members; those found similar get one edge and join the component. When no pivot is left,
+    the component is complete in this bucket and the next one starts. So two similar members
+    are compared or already connected. A family of near copies is taken in by its first
+    pivots: no round holds more than PIVOTS rows per open member. Only ids are exchanged; a
+    pair that several buckets (or earlier rounds) ask for is verified once.
+    """
+    sets_x = sets.select(F.col("doc_id").alias("x"), F.col("hs").alias("hx"), F.col("n_sh").alias("nx"))
+    sets_p = sets.select(F.col("doc_id").alias("p"), F.col("hs").alias("hp"), F.col("n_sh").alias("np"))
+    bucket = ["band", "key"]
+    state = members.select(*bucket, "x", F.lit(True).alias("open"))
+    edges, before = [], None
     while True:
-        rounds += 1
-        piv = members.groupBy("band", "key").agg(F.min("x").alias("p"), F.count(F.lit(1)).alias("k"))
-        piv = piv.where(F.col("k") >= 2).select("band", "key", "p")
-        mp = (members.join(piv, ["band", "key"]).join(sets_x, "x").join(sets_p, "p")
-              .select("band", "key", "x", "p", _jaccard("hx", "nx", "hp", "np").alias("j")))
-        mp = mp.withColumn("d", 1.0 - F.col("j")).withColumn("ok", F.col("j") >= p.threshold)
-        mp = materialize(mp, "mp")
-        inside = mp.where(F.col("ok") & (F.col("x") != F.col("p")))
-        edges.append(inside.select(F.col("p").alias("src"), F.col("x").alias("dst")))
-        out = mp.where(~F.col("ok"))
-        near = out.where(F.col("d") <= 2 * eps + tol).select(
-            "band", "key", F.col("x").alias("y"), F.col("d").alias("dy"))
-        cand = (inside.select("band", "key", "x", F.col("d").alias("dx"))
-                .join(near, ["band", "key"])
-                .where(F.col("dx") >= F.col("dy") - eps - tol)
-                .select("x", "y").distinct())
-        checked = (cand.join(sets_x, "x").join(sets_y, "y")
-                   .where(_jaccard("hx", "nx", "hy", "ny") >= p.threshold)
-                   .select(F.col("x").alias("src"), F.col("y").alias("dst")))
-        edges.append(checked)
-        members = materialize(out.select("band", "key", "x"), "members")
-        if members.isEmpty():  # reads the written table
+        # a pivot is a connected member, or the smallest open one when there is none
+        order = Window.partitionBy(*bucket).orderBy("open", "x")
+        ranked = state.select("*", F.row_number().over(order).alias("place"),
+                              F.min("open").over(Window.partitionBy(*bucket)).alias("fresh"))
+        pivot = (F.col("place") <= PIVOTS) & (~F.col("open") | (F.col("fresh") & (F.col("place") == 1)))
+        ranked = materialize(ranked.select(*bucket, "x", "open", pivot.alias("pivot")), "ranked")
+        rest = ranked.where(~F.col("pivot"))
+        asked = (rest.where("open").join(ranked.where("pivot").select(*bucket, F.col("x").alias("p")), bucket)
+                 .select(*bucket, "x", "p"))
+        similar = (asked.select(F.least("x", "p").alias("x"), F.greatest("x", "p").alias("p")).distinct()
+                   .join(sets_x, "x").join(sets_p, "p")
+                   .where(_jaccard("hx", "nx", "hp", "np") >= p.threshold).select("x", "p"))
+        similar = materialize(similar, "similar")
+        edges.append(similar.select(F.col("x").alias("src"), F.col("p").alias("dst")))
+        either = similar.unionByName(similar.select(F.col("p").alias("x"), F.col("x").alias("p")))
+        joined = asked.join(either, ["x", "p"]).select(*bucket, "x").distinct().withColumn("hit", F.lit(True))
+        after = (rest.join(joined, [*bucket, "x"], "left")
+                 .select(*bucket, "x", (F.col("open") & F.col("hit").isNull()).alias("open")))
+        # a bucket is done when nobody is open, or one member is open and nobody is left to ask
+        alive = (after.groupBy(*bucket).agg(F.max("open").alias("o"), F.count(F.lit(1)).alias("n"))
+                 .where(F.col("o") & (F.col("n") > 1)).select(*bucket))
+        state = materialize(after.join(alive, bucket, "left_semi"), "members")
+        drop_table(ranked)
+        if before is not None:
+            drop_table(before)
+        before = state
+        if state.isEmpty():  # reads the written table
             break
-        if rounds > 100_000:
-            raise RuntimeError("pivot rounds did not finish")
-    res = edges[0]
+    out = edges[0]
     for e in edges[1:]:
-        res = res.unionByName(e)
-    return res.select(F.least("src", "dst").alias("src"),
-                      F.greatest("src", "dst").alias("dst")).distinct()
+        out = out.unionByName(e)
+    return out.distinct()
 
 
 # ------------------------------------------------------------------ stage 5

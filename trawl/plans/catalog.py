@@ -599,63 +599,229 @@ def q_pick_per_component(spark, sf):
     return MH.pick_per_component(_clusters(spark, sf), keep="random", seed=7)
 
 
+# =============================================================== 2.10 M1 language
+from ..operators import classify as C  # noqa: E402
+
+
+def _split_docs(spark, sf):
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text", "lang")
+    return SM.train_test_split(docs, "doc_id")
+
+
+def _language_model(spark, sf):
+    return C.train_language_id(_split_docs(spark, sf).where("split = 'train'"))
+
+
+def _grams_sql(src: str, cols: str) -> str:
+    strip = S.strip("replace(text, chr(10), ' ')")
+    return (f"SELECT {cols}, unnest(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) AS gram "
+            f"FROM (SELECT {cols}, ' ' || lower({strip}) || ' ' AS t FROM {src})")
+
+
+def _language_sql(texts: str) -> str:
+    """CTEs ending in judged(id, lang, score) over ``texts``, a query of (id, text)."""
+    return f"""
+WITH d AS (SELECT doc_id, text, lang, CASE WHEN CAST(('0x' || substr({_seeded_sql('doc_id', 42)}, 1, 8))::UBIGINT AS BIGINT) % 5 = 0
+  THEN 'test' ELSE 'train' END AS split FROM documents),
+gl AS (SELECT gram, lang, count(*) AS c FROM ({_grams_sql("(SELECT * FROM d WHERE split = 'train')", "lang")}) GROUP BY gram, lang),
+langs AS (SELECT lang, ln(nd / sum(nd) OVER ()) AS prior, ln(nl + (SELECT count(DISTINCT gram) FROM gl)) AS logden
+          FROM (SELECT lang, count(*) AS nd FROM d WHERE split = 'train' GROUP BY lang) JOIN
+               (SELECT lang, sum(c) AS nl FROM gl GROUP BY lang) USING (lang)),
+x AS ({texts}),
+g AS (SELECT id, gram, count(*) AS cnt FROM ({_grams_sql("x", "id")}) WHERE gram IN (SELECT gram FROM gl) GROUP BY id, gram),
+sparse AS (SELECT id, lang, sum(cnt * ln(c + 1)) AS s FROM g JOIN gl USING (gram) GROUP BY id, lang),
+nin AS (SELECT id, sum(cnt) AS n FROM g GROUP BY id),
+base AS (SELECT x.id, l.lang, prior + CASE WHEN n IS NULL THEN 0 ELSE
+           (coalesce(s, 0) - n * logden) / n * least(n, {C.EVIDENCE}) END AS score
+         FROM x CROSS JOIN langs l LEFT JOIN nin ON nin.id = x.id LEFT JOIN sparse p ON p.id = x.id AND p.lang = l.lang),
+judged AS (SELECT id, arg_max(lang, score) AS lang, 1 / sum(exp(score - top)) AS score
+           FROM (SELECT *, max(score) OVER (PARTITION BY id) AS top FROM base) GROUP BY id)"""
+
+
+_DOC_LANGUAGE_SQL = _language_sql("SELECT doc_id AS id, text FROM documents")
+
+
+@register("identify_language", _DOC_LANGUAGE_SQL + """
+SELECT id AS doc_id, split, judged.lang AS lang, round(score, 4) AS score FROM judged JOIN d ON d.doc_id = id""")
+def q_identify_language(spark, sf):
+    """M1: character-trigram model trained on the 80 % split, applied to all documents."""
+    pred = C.identify_language(_language_model(spark, sf), _split_docs(spark, sf), keep=["doc_id", "split"])
+    return pred.drop("score_raw")
+
+
+@register("langid_nb_sql", _DOC_LANGUAGE_SQL + "SELECT id AS doc_id, lang FROM judged")
+def q_langid_nb_sql(spark, sf):
+    """M1, the label alone."""
+    return C.identify_language(_language_model(spark, sf), _split_docs(spark, sf), keep=["doc_id"]).select("doc_id", "lang")
+
+
+@register("filter_english_model", _DOC_LANGUAGE_SQL + """
+SELECT id AS doc_id, lang, round(score, 4) AS score FROM judged WHERE lang = 'en' AND score >= 0.7""")
+def q_filter_english_model(spark, sf):
+    """F9 model form: predicted 'en' with unrounded score >= 0.7."""
+    pred = C.identify_language(_language_model(spark, sf), _split_docs(spark, sf), keep=["doc_id"])
+    return pred.where(C.is_english()).select("doc_id", "lang", "score")
+
+
+@register("filter_by", f"SELECT doc_id FROM documents WHERE length(text) - length(replace(text, 'the', '')) > 0")
+def q_filter_by(spark, sf):
+    """§2.13: a plain ``str -> bool`` predicate over all documents."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return X.filter_by(docs, lambda t: "the" in t).select("doc_id")
+
+
 # =============================================================== 2.1 sources / 2.12 streaming
 from ..session import materialize, scratch_path  # noqa: E402
 from ..sources import files as FS  # noqa: E402
 from ..sources import warc as W  # noqa: E402
+from ..streaming import incremental as W_stream  # noqa: E402
+
+
+def _mixed_responses(spark, sf):
+    """(t, u, b): the pages as responses; every 5th has no URI, every 7th is not HTML, every
+    11th holds bytes that are no UTF-8, every 13th an embedded record."""
+    p = table(spark, sf, "pages")
+    k = F.col("page_id")
+    ctype = F.when(k % 7 == 0, "image/png").otherwise("text/html; charset=windows-1252")
+    inner = F.when(k % 13 == 0, "WARC/1.0\r\nWARC-Type: conversion\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n").otherwise("")
+    body = F.concat(F.col("html"), inner).cast("binary")
+    body = F.concat(body, F.when(k % 11 == 0, F.unhex(F.lit("E9"))).otherwise(F.unhex(F.lit(""))))
+    http = F.concat(F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: "), ctype, F.lit("\r\n\r\n")).cast("binary"), body)
+    return p.select(F.lit("response").alias("t"), F.when(k % 5 != 0, F.col("url")).alias("u"), http.alias("b"))
 
 
 def _warc_of_pages(spark, sf) -> str:
     path = scratch_path(spark, "pages-warc")
-    W.pages_to_warc(table(spark, sf, "pages"), path)
+    info = table(spark, sf, "pages").limit(1).select(F.lit("warcinfo").alias("t"), F.lit(None).cast("string").alias("u"),
+                                                     F.lit("software: trawl\r\n").cast("binary").alias("b"))
+    recs = info.unionByName(_mixed_responses(spark, sf))
+    W.write_archive(recs, path, F.col("t"), F.col("u"), F.col("b"))
     return path
 
 
-@register("scan_warc")
+_RESPONSES_SQL = """
+WITH r AS (SELECT page_id, CASE WHEN page_id % 5 <> 0 THEN url END AS uri,
+  CASE WHEN page_id % 7 = 0 THEN 'image/png' ELSE 'text/html; charset=windows-1252' END AS content_type,
+  html || CASE WHEN page_id % 13 = 0 THEN 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: conversion' || chr(13) || chr(10)
+    || 'Content-Length: 3' || chr(13) || chr(10) || chr(13) || chr(10) || 'abc' || chr(13) || chr(10) || chr(13) || chr(10) ELSE '' END AS body
+  FROM pages)
+SELECT uri, content_type, CAST(strlen(body) + CASE WHEN page_id % 11 = 0 THEN 1 ELSE 0 END AS INTEGER) AS n_bytes,
+       CASE WHEN page_id % 11 = 0 THEN NULL ELSE body END AS html FROM r"""
+
+
+def _scanned(recs):
+    # a page with an invalid byte is decoded as windows-1252; tests hold its text, SQL its size
+    broken = ~F.is_valid_utf8(F.col("payload").cast("string"))
+    return recs.select("uri", "content_type", F.octet_length("payload").alias("n_bytes"),
+                       F.when(~broken, F.col("html")).alias("html"))
+
+
+@register("scan_warc", _RESPONSES_SQL + " WHERE uri IS NOT NULL AND content_type LIKE '%text/html%'")
 def q_scan_warc(spark, sf):
-    """S1 (+P1): pages written as a WARC archive by Spark, scanned back (HTML only)."""
-    recs = W.scan_warc(spark, _warc_of_pages(spark, sf), require_html=True)
-    return recs.select("uri", "content_type", F.octet_length("payload").alias("n_bytes"), "html")
+    """S1 variant B (+P1, F8): pages written as a WARC archive by Spark, scanned back, HTML with a URI only."""
+    return _scanned(W.scan_warc(spark, _warc_of_pages(spark, sf), require_html=True)[0])
 
 
-@register("filter_record_type")
+@register("scan_warc_all", _RESPONSES_SQL)
+def q_scan_warc_all(spark, sf):
+    """S1 variant A: every response."""
+    return _scanned(W.scan_warc(spark, _warc_of_pages(spark, sf), require_html=False)[0])
+
+
+@register("filter_record_type", """
+SELECT 'response' AS warc_type, CAST(count(*) AS BIGINT) AS n_records FROM pages
+UNION ALL SELECT 'warcinfo', CAST(1 AS BIGINT)""")
 def q_filter_record_type(spark, sf):
-    """Record counts by type, and responses with a URI and an HTML type."""
-    recs, bad = W.read_records(spark, _warc_of_pages(spark, sf))
-    return recs.groupBy("warc_type").agg(F.count(F.lit(1)).alias("n_records"))
+    """record counts by type; rejected rows count as 'rejected: <reason>'."""
+    rows = W.parse_archive(spark, _warc_of_pages(spark, sf))
+    kind = F.coalesce(F.concat(F.lit("rejected: "), F.col("reason")), F.col("warc_type"))
+    return rows.groupBy(kind.alias("warc_type")).agg(F.count(F.lit(1)).alias("n_records"))
 
 
 def _wet_of_pages(spark, sf, partition_by=None) -> str:
+    """Texts of pages and documents as WET records in 8 chunks that mix languages."""
     path = scratch_path(spark, "pages-wet")
-    p = table(spark, sf, "pages")
-    txt = X.pages_to_text(p, builtin=True).withColumn(
-        "chunk", F.regexp_extract("html", X.LANG_RE, 1))
+    txt = X.pages_to_text(_pages(spark, sf), builtin=True).select("url", "text")
+    docs = table(spark, sf, "documents").select(F.concat(F.lit("doc:"), F.col("doc_id")).alias("url"), "text")
+    txt = txt.unionByName(docs).withColumn("chunk", F.concat(F.lit("c"), F.substring(F.md5("url"), 1, 1)))
     W.text_to_wet(txt, path, partition_by=partition_by)
     return path
 
 
-@register("scan_wet")
+_WET_SQL = f"""SELECT url AS id, {S.strip_tags('html')} AS text FROM pages
+UNION ALL SELECT 'doc:' || doc_id AS id, text FROM documents"""
+
+
+@register("scan_wet", f"SELECT id AS uri, text FROM ({_WET_SQL})")
 def q_scan_wet(spark, sf):
-    """Extracted page text written as a WET archive, scanned back."""
-    return W.scan_wet(spark, _wet_of_pages(spark, sf)).select("uri", "text")
+    """Extracted texts written as a WET archive, scanned back."""
+    return W.scan_wet(spark, _wet_of_pages(spark, sf))[0].select("uri", "text")
 
 
-@register("write_filtered_wet")
-def q_write_filtered_wet(spark, sf):
-    """S6 + A4: keep conversion records of pages whose lang is English; kept share per chunk."""
+_KEPT_SHARE_SQL = _language_sql(_WET_SQL) + """
+, w AS (SELECT 'c' || substr(md5(x.id), 1, 1) AS chunk, CAST(length(text) AS BIGINT) AS n,
+               lang = 'en' AND score >= 0.7 AS keep FROM x JOIN judged USING (id))
+SELECT chunk, CAST(sum(n) AS BIGINT) AS total_chars, CAST(sum(CASE WHEN keep THEN 0 ELSE n END) AS BIGINT) AS skipped_chars,
+       CASE WHEN sum(n) > 0 THEN round(100.0 * (sum(n) - sum(CASE WHEN keep THEN 0 ELSE n END)) / sum(n), 2)
+            ELSE 0.0 END AS kept_pct"""
+
+
+def _filtered_wet(spark, sf):
     src = _wet_of_pages(spark, sf, partition_by="chunk")
-    recs, _ = W.read_records(spark, src)
-    recs = recs.withColumn("chunk", F.regexp_extract("file", r"chunk=([^/]+)", 1))
-    keep = F.col("chunk") == "en"
-    return W.write_filtered_wet(recs, keep, scratch_path(spark, "wet-filtered"))
+    recs = W.read_records(spark, src)[0].withColumn("chunk", W_stream.chunk_of_file(F.col("file")))
+    text = F.make_valid_utf8(F.col("block").cast("string"))
+    judged = C.language_of(spark, _language_model(spark, sf), text)
+    recs = recs.withColumn("_l", judged)
+    out = scratch_path(spark, "wet-filtered")
+    share = W.write_filtered_wet(recs, C.is_english(F.col("_l.lang"), F.col("_l.score")), out)
+    return share, out
+
+
+@register("write_filtered_wet", _KEPT_SHARE_SQL + " FROM w GROUP BY chunk")
+def q_write_filtered_wet(spark, sf):
+    """S6 + A4: conversion records that the language model calls English are kept; kept share per chunk."""
+    return _filtered_wet(spark, sf)[0]
+
+
+@register("filtered_wet_records", _language_sql(_WET_SQL) + """
+SELECT 'c' || substr(md5(x.id), 1, 1) AS chunk, x.id AS uri, text FROM x JOIN judged USING (id)
+WHERE lang = 'en' AND score >= 0.7""")
+def q_filtered_wet_records(spark, sf):
+    """The written records, read back."""
+    out = _filtered_wet(spark, sf)[1]
+    return spark.read.parquet(out).select("chunk", "uri", F.col("block").cast("string").alias("text"))
 
 
-@register("scan_path_manifest")
+@register("scan_path_manifest", """
+SELECT url AS wet_path, row_number() OVER (ORDER BY page_id) AS line_no FROM pages""")
 def q_scan_path_manifest(spark, sf):
-    """Page URLs written as a headerless gzip manifest, read back; first path."""
+    """Page URLs written as one headerless gzip manifest in page order, read back with line numbers."""
     path = scratch_path(spark, "manifest")
-    table(spark, sf, "pages").select("url").write.option("compression", "gzip").csv(path)
-    return FS.first_path(FS.scan_path_manifest(spark, path))
+    (table(spark, sf, "pages").repartition(1).sortWithinPartitions("page_id").select("url")  # a manifest is one file
+     .write.option("compression", "gzip").text(path))
+    return FS.scan_path_manifest(spark, path).select("wet_path", "line_no")
+
+
+@register("scan_text_corpus", """
+SELECT substr(md5(CAST(doc_id AS VARCHAR)), 1, 2) AS part, string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS text
+FROM documents GROUP BY 1""")
+def q_scan_text_corpus(spark, sf):
+    """S3: documents written as text files by the executors, scanned back a row per file."""
+    path = scratch_path(spark, "text-corpus")
+    part = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 2)
+    (table(spark, sf, "documents").select(part.alias("part"), "doc_id", "text").repartition("part")
+     .sortWithinPartitions("part", "doc_id").select("part", "text").write.partitionBy("part").text(path))
+    return FS.scan_text_corpus(spark, path + "/*").select(
+        F.regexp_extract("path", r"part=([^/]+)/", 1).alias("part"), "text")
+
+
+@register("write_documents", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END AS text FROM documents")
+def q_write_documents(spark, sf):
+    """Surviving documents written with emptied ones as '', read back."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "documents")
+    FS.write_documents(docs.where("doc_id % 3 <> 0"), path, every=docs)
+    return spark.read.parquet(path)
 
 
 @register("scan_dump_lines")
@@ -667,76 +833,49 @@ def q_scan_dump_lines(spark, sf):
     return U.extract_reference_urls(FS.scan_dump_lines(spark, path), keep=["file"]).select("url")
 
 
-@register("incremental_language_filter")
+@register("incremental_language_filter", _language_sql(_WET_SQL) + """
+SELECT x.id AS uri, text FROM x JOIN judged USING (id) WHERE lang = 'en' AND score >= 0.7""")
 def q_incremental_language_filter(spark, sf):
-    """A file stream over WET chunks, English conversion records appended
+    """New WET chunks, English conversion records (language model) appended
     to parquet; the checkpoint makes reruns process only new files."""
     src = _wet_of_pages(spark, sf, partition_by="chunk")
     out, ck = scratch_path(spark, "r1-out"), scratch_path(spark, "r1-ckpt")
-    keep = F.col("file").contains("chunk=en")
-    W_stream.incremental_language_filter(spark, src + "/*", out, ck, keep)
+    W_stream.incremental_language_filter(spark, src + "/*", out, ck, C.english_text(spark, _language_model(spark, sf)))
     return spark.read.parquet(out).select("uri", "text")
 
 
-@register("incremental_kept_ratio")
+@register("incremental_kept_ratio", _KEPT_SHARE_SQL + ", 0 AS batch_id FROM w GROUP BY chunk")
 def q_incremental_kept_ratio(spark, sf):
-    """R2: kept share per micro-batch and file, written idempotently per batch."""
+    """R2: kept share per micro-batch and chunk, written idempotently per batch."""
     src = _wet_of_pages(spark, sf, partition_by="chunk")
     out, ck = scratch_path(spark, "r2-out"), scratch_path(spark, "r2-ckpt")
-    keep = F.col("file").contains("chunk=en")
-    W_stream.incremental_kept_ratio(spark, src + "/*", out, ck, keep)
+    W_stream.incremental_kept_ratio(spark, src + "/*", out, ck, C.english_text(spark, _language_model(spark, sf)))
     return spark.read.parquet(out)
 
 
-from ..streaming import incremental as W_stream  # noqa: E402
-
-
 # =============================================================== 2.10 classifiers (Spark ML)
-from ..operators import classify as C  # noqa: E402
-
-
-def _split_docs(spark, sf):
-    docs = spread(table(spark, sf, "documents")).select("doc_id", "text", "lang")
-    return SM.train_test_split(docs, "doc_id")
-
-
-@register("identify_language")
-def q_identify_language(spark, sf):
-    """M1: char n-gram naive Bayes trained on the 80 % split, applied to all documents."""
-    d = _split_docs(spark, sf)
-    model = C.train_language_id(d.where("split = 'train'"))
-    return C.identify_language(model, d, keep=["doc_id", "split"]).drop("score_raw")
-
-
-@register("filter_english_model")
-def q_filter_english_model(spark, sf):
-    """F9 model form: predicted 'en' with unrounded score >= 0.7."""
-    d = _split_docs(spark, sf)
-    model = C.train_language_id(d.where("split = 'train'"))
-    pred = C.identify_language(model, d, keep=["doc_id"])
-    return pred.where(C.is_english()).select("doc_id", "lang", "score")
-
-
 def _labelled(spark, sf):
+    """All documents with their labels where they have some; a fifth of the labelled ones held out."""
     docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
-    lab = table(spark, sf, "labels")
-    return SM.train_test_split(docs.join(lab, "doc_id"), "doc_id")
+    return SM.train_test_split(docs.join(table(spark, sf, "labels"), "doc_id", "left"), "doc_id")
 
 
-@register("classify_toxic")
-def q_classify_toxic(spark, sf):
-    """M3: toxic / non-toxic with probability, trained on labels.toxic (80 %)."""
+def _toxic(spark, sf):
     d = _labelled(spark, sf)
     model = C.train_binary_text(d.where("split = 'train'"), "toxic")
     return C.classify_binary(model, d, C.TOXIC_LABELS, keep=["doc_id", "split", "toxic"])
 
 
+@register("classify_toxic")
+def q_classify_toxic(spark, sf):
+    """M3: toxic / non-toxic with probability for every document, trained on labels.toxic (80 %)."""
+    return _toxic(spark, sf)
+
+
 @register("classify_nsfw")
 def q_classify_nsfw(spark, sf):
-    """M2: nsfw / non-nsfw; no NSFW labels exist, labels.toxic is the stand-in."""
-    d = _labelled(spark, sf)
-    model = C.train_binary_text(d.where("split = 'train'"), "toxic")
-    return C.classify_binary(model, d, C.NSFW_LABELS, keep=["doc_id", "split"])
+    """M2: nsfw / non-nsfw; no NSFW labels exist, so M3's decisions under the NSFW label names."""
+    return C.relabel(_toxic(spark, sf), dict(zip(C.TOXIC_LABELS, C.NSFW_LABELS, strict=True))).drop("toxic")
 
 
 def _quality(spark, sf):
@@ -747,14 +886,15 @@ def _quality(spark, sf):
 
 @register("classify_quality")
 def q_classify_quality(spark, sf):
-    """M4 + M5: TF-IDF + logistic regression on labels.quality; wiki / cc with probability."""
+    """M4 + M5: the look of the text and TF-IDF + logistic regression on labels.quality; wiki / cc with
+    probability for every document."""
     return _quality(spark, sf)
 
 
 @register("evaluate_quality_classifier")
 def q_evaluate_quality_classifier(spark, sf):
     """M6 (+A8): report on the 20 % held out."""
-    pred = _quality(spark, sf).where("split = 'test'")
+    pred = _quality(spark, sf).where("split = 'test' AND y IS NOT NULL")
     return M.classification_report(pred, label="y", prediction="prediction")
 
 
@@ -848,74 +988,7 @@ def q_write_url_list(spark, sf):
     return back.select(F.col("value").alias("url"), F.lit(n).cast("bigint").alias("n_written"))
 
 
-# ---- oracles for the archive round trips: what Spark wrote from `pages` must read back
-ORACLES["scan_warc"] = """
-SELECT url AS uri, 'text/html; charset=utf-8' AS content_type, CAST(strlen(html) AS INTEGER) AS n_bytes, html
-FROM pages"""
-ORACLES["filter_record_type"] = """
-SELECT 'response' AS warc_type, CAST(count(*) AS BIGINT) AS n_records FROM pages
-UNION ALL SELECT 'warcinfo', CAST(1 AS BIGINT)"""
-ORACLES["scan_wet"] = f"SELECT url AS uri, {S.strip_tags('html')} AS text FROM pages"
-ORACLES["incremental_language_filter"] = f"""
-SELECT url AS uri, {S.strip_tags('html')} AS text FROM pages
-WHERE regexp_extract(html, {S.lit(X.LANG_RE)}, 1) = 'en'"""
-ORACLES["write_filtered_wet"] = f"""
-WITH w AS (SELECT regexp_extract(html, {S.lit(X.LANG_RE)}, 1) AS chunk,
-                  CAST(length({S.strip_tags('html')}) AS BIGINT) AS n FROM pages)
-SELECT chunk, CAST(sum(n) AS BIGINT) AS total_chars,
-       CAST(sum(CASE WHEN chunk <> 'en' THEN n ELSE 0 END) AS BIGINT) AS skipped_chars,
-       CASE WHEN sum(n) > 0 THEN round(100.0 * (sum(n) - sum(CASE WHEN chunk <> 'en' THEN n ELSE 0 END)) / sum(n), 2)
-            ELSE 0.0 END AS kept_pct
-FROM w GROUP BY chunk"""
+# ---- oracles for the round trips: what Spark wrote from `pages` must read back
 ORACLES["scan_dump_lines"] = _REF_LINES_SQL + " SELECT url FROM x"
 ORACLES["write_url_list"] = _REF_LINES_SQL + """
 SELECT url, (SELECT CAST(count(*) AS BIGINT) FROM x) AS n_written FROM x"""
-
-
-_NB_GRAMS = """(SELECT {id} AS id, g AS gram, count(*) AS cnt FROM (
-   SELECT {id}, unnest(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) AS g
-   FROM (SELECT {id}, ' ' || lower({strip}) || ' ' AS t FROM {src})) GROUP BY 1, 2)"""
-
-
-def _nb_sql() -> str:
-    strip = S.strip("replace(text, chr(10), ' ')")
-    split = f"CASE WHEN CAST(('0x' || substr({_seeded_sql('doc_id', 42)}, 1, 8))::UBIGINT AS BIGINT) % 5 = 0 THEN 'test' ELSE 'train' END"
-    return f"""
-WITH d AS (SELECT doc_id, text, lang, {split} AS split FROM documents),
-tr AS (SELECT * FROM d WHERE split = 'train'),
-g AS {_NB_GRAMS.format(id='doc_id', strip=strip, src='tr')},
-gl AS (SELECT gram, lang, sum(cnt) AS c FROM g JOIN tr ON g.id = tr.doc_id GROUP BY gram, lang),
-v AS (SELECT count(DISTINCT gram) AS nv FROM gl),
-langs AS (SELECT n.lang, ln(n.nd / (SELECT count(*) FROM tr)) AS prior, ln(t.nl + (SELECT nv FROM v)) AS logden
-          FROM (SELECT lang, count(*) AS nd FROM tr GROUP BY lang) n
-          JOIN (SELECT lang, sum(c) AS nl FROM gl GROUP BY lang) t ON n.lang = t.lang),
-model AS (SELECT gram, lang, ln(c + 1) AS lw FROM gl),
-dg AS (SELECT * FROM {_NB_GRAMS.format(id='doc_id', strip=strip, src='d')} WHERE gram IN (SELECT gram FROM gl)),
-sparse AS (SELECT dg.id, m.lang, sum(dg.cnt * m.lw) AS s FROM dg JOIN model m ON dg.gram = m.gram GROUP BY 1, 2),
-nin AS (SELECT id, sum(cnt) AS n FROM dg GROUP BY id),
-base AS (SELECT d.doc_id AS id, coalesce(nin.n, 0) AS n, l.lang, l.prior, l.logden
-         FROM d LEFT JOIN nin ON d.doc_id = nin.id, langs l),
-scored AS (SELECT b.id, b.lang, b.prior + coalesce(s.s, 0.0) - b.n * b.logden AS score
-           FROM base b LEFT JOIN sparse s ON b.id = s.id AND b.lang = s.lang)
-SELECT id AS doc_id, arg_max(lang, score) AS lang FROM scored GROUP BY id"""
-
-
-@register("langid_nb_sql", _nb_sql())
-def q_langid_nb_sql(spark, sf):
-    """M1 in SQL form: character-trigram naive Bayes trained on the 80 % split."""
-    d = _split_docs(spark, sf)
-    model, langs = C.train_langid_nb(d.where("split = 'train'"))
-    model = materialize(model, "langid-model")
-    pred = C.predict_langid_nb(model, langs, d)
-    return pred.select(F.col("id").alias("doc_id"), "lang")
-
-ORACLES["scan_path_manifest"] = "SELECT url AS wet_path FROM pages LIMIT 1"
-ORACLES["incremental_kept_ratio"] = f"""
-WITH w AS (SELECT regexp_extract(html, {S.lit(X.LANG_RE)}, 1) AS chunk,
-                  CAST(length({S.strip_tags('html')}) AS BIGINT) AS n FROM pages)
-SELECT chunk, CAST(sum(n) AS BIGINT) AS total_chars,
-       CAST(sum(CASE WHEN chunk <> 'en' THEN n ELSE 0 END) AS BIGINT) AS skipped_chars,
-       CASE WHEN sum(n) > 0 THEN round(100.0 * (sum(n) - sum(CASE WHEN chunk <> 'en' THEN n ELSE 0 END)) / sum(n), 2)
-            ELSE 0.0 END AS kept_pct,
-       0 AS batch_id
-FROM w GROUP BY chunk"""

@@ -17,23 +17,42 @@ def scan_text_corpus(spark: SparkSession, paths: str | list[str], whole: bool =
 
 
 def scan_path_manifest(spark: SparkSession, path: str, col: str = "wet_path") -> DataFrame:
-    """Headerless (gzip) CSV -> one named string column, with file order kept
-    as ``line_no`` (monotonically increasing within the file)."""
-    df = spark.read.schema(f"{col} string").option("header", False).csv(path)
-    return df.withColumn("line_no", F.monotonically_increasing_id())
+    """Headerless gzip list of paths -> (path, file, line_no), line_no from 1 in file order.
+
+    A gzip file is read by one task in order, so numbers are counted there;
+    with several files the order is (file, line_no).
+    """
+    def number(batches):
+        import pyarrow as pa
+
+        file, n = None, 0
+        for b in batches:
+            numbers = []
+            for f in b.column(0).to_pylist():
+                n = n + 1 if f == file else 1
+                file = f
+                numbers.append(n)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(numbers, type=pa.int64())],
+                                             ["file", col, "line_no"])
+    df = spark.read.text(path)
+    if not all(f.endswith(".gz") for f in df.inputFiles()):
+        raise ValueError("a path manifest is a gzip file")
+    rows = df.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias(col))
+    return rows.mapInArrow(number, f"file string, {col} string, line_no long")
 
 
 def first_path(manifest: DataFrame, col: str = "wet_path") -> DataFrame:
     """The first path of a manifest (smallest file position)."""
-    return manifest.orderBy("line_no").limit(1).select(col)
+    return manifest.orderBy("file", "line_no").limit(1).select(col)
 
 
 def scan_dump_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of (bz2, splittable) text dumps; invalid UTF-8 bytes dropped."""
     df = spark.read.text(path)
-    raw = F.col("value")
+    raw, genuine = F.col("value"), F.lit("\u0001FFFD\u0002")  # a U+FFFD of the text itself stays
+    marked = F.make_valid_utf8(F.replace(raw, F.lit("\ufffd"), genuine))
     fixed = F.when(F.is_valid_utf8(raw), raw).otherwise(
-        F.replace(F.make_valid_utf8(raw), F.lit("�"), F.lit("")))
+        F.replace(F.replace(marked, F.lit("\ufffd"), F.lit("")), genuine, F.lit("\ufffd")))
     return df.select(F.input_file_name().alias("file"), fixed.alias("line"))
 
 
@@ -46,3 +65,4 @@ def write_documents(docs: DataFrame, path: str, id_col: str = "doc_id",
         out = every.select(id_col).join(out, id_col, "left").select(
             id_col, F.coalesce(text_col, F.lit("")).alias(text_col))
     out.write.mode("overwrite").parquet(path)
+

@@ -1,17 +1,10 @@
 """WARC / WET archives as DataFrames (S1, S2, S6) with the built-in text source.
 
-Scan: ``spark.read.text`` with ``lineSep = "WARC/1.0\\r\\n"`` yields one row
-per record (gzip, including multi-member gzip, is decoded by the codec; one
-.gz file is one task, so the scan is repartitioned when it has fewer tasks
-than cores). Headers are read with regexes; the payload is cut to
-``Content-Length`` *bytes* from the binary form of the row, so invalid UTF-8
-survives unchanged.
-
-A payload that itself holds a ``WARC/1.0\\r\\n`` line splits its record in
-two. Such a record is shorter than its Content-Length; it is re-joined with
-the piece(s) that follow it in the same file (ordered by the position id the
-scan assigns within a file); whatever still does not add up goes to
-``rejected`` and is counted, never silently dropped.
+``parse_archive`` reads an archive once with ``lineSep = "WARC/1."`` and splits
+it losslessly into records (``sources/records.py``); rows that are no whole
+record carry a reason and are returned by every scan as its second frame. A
+.gz file (also multi-member) is one task; uncompressed files are split, and
+only the pieces at split edges are shuffled, by file.
 """
 
 from __future__ import annotations
@@ -19,131 +12,94 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.html import decode_bytes
+from ..functions.html import declared_charset, decode_bytes
+from .records import SCHEMA, join_edges, split_records
 from .tables import spread
 
-SEP = "WARC/1.0\r\n"
+VERSION_LINE = "WARC/1.0\r\n"
 CRLF2 = "\r\n\r\n"
+_UNSPLITTABLE = (".gz", ".zst", ".deflate", ".snappy")
 
 
 def _hdr(block_text: Column, name: str) -> Column:
     return F.nullif(F.regexp_extract(block_text, r"(?im)^" + name + r":[ \t]*([^\r\n]*)", 1), F.lit(""))
 
 
-def _raw_records(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.option("lineSep", SEP).text(path).select(
-        F.col("value"), F.input_file_name().alias("file"),
-        F.monotonically_increasing_id().alias("seq"))
-    return raw.where(F.length("value") > 0)
+def parse_archive(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, split, seq, warc_type, uri, content_length, block, reason): records in file
+    order by (split, seq); ``reason`` is null for whole records, else why a row is none."""
+    raw = spark.read.option("lineSep", "WARC/1.").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.col("value").cast("binary").alias("value"))
+    if all(f.endswith(_UNSPLITTABLE) for f in raw.inputFiles()):
+        return raw.mapInArrow(split_records(edges=False), SCHEMA)
+    rows = raw.mapInArrow(split_records(edges=True), SCHEMA)
+    edge = F.coalesce(F.col("reason") == "edge", F.lit(False))
+    joined = rows.where(edge).groupBy("file").applyInArrow(join_edges, SCHEMA)
+    return rows.where(~edge).unionByName(joined)
 
 
-def _parse(df: DataFrame) -> DataFrame:
-    head = F.substring_index(F.col("value"), CRLF2, 1)
-    hlen = F.octet_length(head) + 4
-    clen = _hdr(head, "Content-Length").cast("bigint")
-    body = F.col("value").cast("binary")
-    out = df.select(
-        "file", "seq",
-        _hdr(head, "WARC-Type").alias("warc_type"),
-        _hdr(head, "WARC-Target-URI").alias("uri"),
-        clen.alias("content_length"),
-        F.substring(body, hlen + 1, 2_147_483_647).alias("_rest"))
-    return out.withColumn("_short", F.octet_length("_rest") < F.col("content_length"))
+def read_records(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """(records, rejected): whole records, and every other byte of the archive with a reason."""
+    rows = parse_archive(spark, path)
+    return rows.where(F.col("reason").isNull()).drop("reason"), rows.where(F.col("reason").isNotNull())
 
 
-BROADCAST_ROW_LIMIT = 1_000_000
-
-
-def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(records, rejected). records: file, seq, warc_type, uri, content_length, block.
-
-    Short records (payload cut by an embedded separator) are rare: their keys
-    are counted, and joined to the next piece of the same file -- broadcast
-    when the count is within BROADCAST_ROW_LIMIT, a shuffle join beyond it.
-    The scan itself is never shuffled for this.
-    """
-    raw = _raw_records(spark, path)
-    p = _parse(raw)
-    short = p.where("_short").select("file", (F.col("seq") + 1).alias("nseq"))
-    n_short = short.count()
-    if n_short == 0:
-        fixed = p.withColumn("_rest2", F.col("_rest"))
-    else:
-        small = F.broadcast(short) if n_short <= BROADCAST_ROW_LIMIT else short
-        nxt = (raw.select("file", F.col("seq").alias("nseq"), F.col("value").cast("binary").alias("nval"))
-               .join(small, ["file", "nseq"], "left_semi"))
-        nxt_b = F.broadcast(nxt) if n_short <= BROADCAST_ROW_LIMIT else nxt
-        fixed = p.join(nxt_b.withColumn("seq", F.col("nseq") - 1), ["file", "seq"], "left")
-        rest = F.when(F.col("_short") & F.col("nval").isNotNull(),
-                      F.concat(F.col("_rest"), F.lit(SEP).cast("binary"), F.col("nval"))
-                      ).otherwise(F.col("_rest"))
-        fixed = fixed.withColumn("_rest2", rest)
-        # a piece glued to its predecessor is not a record of its own
-        glued = nxt.select("file", F.col("nseq").alias("seq"))
-        fixed = fixed.join(F.broadcast(glued) if n_short <= BROADCAST_ROW_LIMIT else glued,
-                           ["file", "seq"], "left_anti")
-    ok = F.octet_length("_rest2") >= F.col("content_length")
-    good = fixed.where(ok & F.col("warc_type").isNotNull()).select(
-        "file", "seq", "warc_type", "uri", "content_length",
-        F.substring("_rest2", 1, F.col("content_length")).alias("block"))
-    bad = fixed.where(~ok | F.col("warc_type").isNull()).select("file", "seq", "warc_type", "uri")
-    return good, bad
-
-
-def scan_warc(spark: SparkSession, path: str, require_html: bool = True,
-              record_type: str = "response") -> DataFrame:
-    """(uri, content_type, payload binary, text) of ``response`` records.
+def scan_warc(spark: SparkSession, path: str | list[str], require_html: bool = True,
+              record_type: str = "response") -> tuple[DataFrame, DataFrame]:
+    """((file, split, seq, uri, content_type, payload binary, html), rejected) of ``response`` records.
 
     ``require_html`` (variant B): URI present and Content-Type containing
     'text/html'; otherwise every response is kept (variant A). The header
     filter runs before any decoding; text is decoded only for kept rows.
     """
-    recs, _ = read_records(spark, path)
+    recs, rejected = read_records(spark, path)
     recs = spread(recs.where(F.col("warc_type") == record_type))
-    btext = F.col("block").cast("string")
-    hhead = F.substring_index(btext, CRLF2, 1)
+    hhead = F.substring_index(F.col("block").cast("string"), CRLF2, 1)
     ctype = F.coalesce(_hdr(hhead, "Content-Type"), F.lit(""))
     payload = F.substring("block", F.octet_length(hhead) + 5, 2_147_483_647)
-    out = recs.select("file", "seq", "uri", ctype.alias("content_type"), payload.alias("payload"))
+    out = recs.select("file", "split", "seq", "uri", ctype.alias("content_type"), payload.alias("payload"))
     if require_html:
         out = out.where(F.col("uri").isNotNull() & F.col("content_type").contains("text/html"))
-    from ..functions.html import declared_charset
-
     cs = declared_charset(F.col("content_type"), F.col("payload"))
-    return out.withColumn("html", decode_bytes(F.col("payload"), cs))
+    return out.withColumn("html", decode_bytes(F.col("payload"), cs)), rejected
+
+
+def conversions(records: DataFrame) -> DataFrame:
+    """(file, split, seq, uri, text) of ``conversion`` records, URI required, UTF-8 with U+FFFD replacement."""
+    recs = records.where((F.col("warc_type") == "conversion") & F.col("uri").isNotNull())
+    return recs.select("file", "split", "seq", "uri", F.make_valid_utf8(F.col("block").cast("string")).alias("text"))
 
 
-def scan_wet(spark: SparkSession, path: str) -> DataFrame:
-    """(file, seq, uri, text) of ``conversion`` records, URI required,
-    UTF-8 with U+FFFD replacement."""
-    recs, _ = read_records(spark, path)
-    recs = recs.where((F.col("warc_type") == "conversion") & F.col("uri").isNotNull())
-    return recs.select("file", "seq", "uri", F.make_valid_utf8(F.col("block").cast("string")).alias("text"))
+def scan_wet(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """(texts of ``conversion`` records, rejected)."""
+    recs, rejected = read_records(spark, path)
+    return conversions(recs), rejected
 
 
 def last_per_uri(df: DataFrame, cols: list[str]) -> DataFrame:
-    """W1 on archives: the last record of a repeated URI wins (by file, seq)."""
+    """W1 on archives: the last record of a repeated URI wins (by file, split, seq)."""
     rec = F.struct(*[F.col(c) for c in cols])
-    pos = F.struct("file", "seq")
+    pos = F.struct("file", "split", "seq")
     return (df.groupBy("uri").agg(F.max_by(rec, pos).alias("_r"))
             .select("uri", *[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
 # ---------------------------------------------------------------- writers
-def _record(warc_type: Column, uri: Column, block: Column, extra: str = "") -> Column:
-    """One WARC record as text: headers, blank line, block, record separator."""
-    n = F.octet_length(block)
-    head = F.concat(F.lit(SEP + "WARC-Type: "), warc_type, F.lit("\r\n"),
+def _record(warc_type: Column, uri: Column, block: Column) -> Column:
+    """One WARC record: headers, blank line, block (text or bytes, unchanged)."""
+    block = block.cast("binary")
+    head = F.concat(F.lit(VERSION_LINE + "WARC-Type: "), warc_type, F.lit("\r\n"),
                     F.when(uri.isNotNull(), F.concat(F.lit("WARC-Target-URI: "), uri, F.lit("\r\n")))
                     .otherwise(F.lit("")),
-                    F.lit(extra), F.lit("Content-Length: "), n.cast("string"), F.lit("\r\n\r\n"))
-    return F.concat(head, block)
+                    F.lit("Content-Length: "), F.octet_length(block).cast("string"), F.lit("\r\n\r\n"))
+    return F.concat(head.cast("binary"), block)
 
 
 def write_archive(df: DataFrame, path: str, warc_type: Column, uri: Column, block: Column,
                   partition_by: str | None = None) -> None:
     """Write records as gzip text (records end with the blank-line separator)."""
-    rec = _record(warc_type, uri, block)
+    rec = _record(warc_type, uri, F.coalesce(block.cast("binary"), F.lit(b""))).cast("string")
     out = df.select(*([partition_by] if partition_by else []), rec.alias("value"))
     w = out.write.mode("overwrite").option("lineSep", CRLF2).option("compression", "gzip")
     if partition_by:
@@ -151,16 +107,6 @@ def write_archive(df: DataFrame, path: str, warc_type: Column, uri: Column, bloc
     w.text(path)
 
 
-def pages_to_warc(pages: DataFrame, path: str) -> None:
-    """Derived archive: each page as a ``response`` record with HTTP headers."""
-    http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"),
-                    F.col("html"))
-    info = pages.limit(1).select(F.lit("warcinfo").alias("t"), F.lit(None).cast("string").alias("u"),
-                                 F.lit("software: trawl\r\n").alias("b"))
-    resp = pages.select(F.lit("response").alias("t"), F.col("url").alias("u"), http.alias("b"))
-    write_archive(info.unionByName(resp), path, F.col("t"), F.col("u"), F.col("b"))
-
-
 def text_to_wet(docs: DataFrame, path: str, uri_col: str = "url", text_col: str = "text",
                 partition_by: str | None = None) -> None:
     """Derived WET archive: one ``conversion`` record per text."""
@@ -175,12 +121,17 @@ def write_filtered_wet(recs: DataFrame, keep: Column, path: str, chunk_col: str
     through unfiltered, payload bytes unchanged; parquet partitioned by chunk.
     Returns the per-chunk kept ratio (A4) of the conversion text."""
     is_conv = F.col("warc_type") == "conversion"
-    flagged = recs.withColumn("_keep", ~is_conv | keep)
-    flagged.where("_keep").drop("_keep").write.mode("overwrite").partitionBy(chunk_col).parquet(path)
+    flagged = recs.withColumn("_keep", ~is_conv | F.coalesce(keep, F.lit(False)))
     n = F.when(is_conv, F.length(F.make_valid_utf8(F.col("block").cast("string")))).otherwise(0)
-    return (flagged.groupBy(chunk_col)
+    flagged.where("_keep").drop("_keep").write.mode("overwrite").partitionBy(chunk_col).parquet(path)
+    return kept_share(flagged, chunk_col, n, F.col("_keep"))
+
+
+def kept_share(df: DataFrame, chunk_col: str, n: Column, keep: Column) -> DataFrame:
+    """(chunk, total_chars, skipped_chars, kept_pct)."""
+    return (df.groupBy(chunk_col)
             .agg(F.sum(n).cast("bigint").alias("total_chars"),
-                 F.sum(F.when(~F.col("_keep"), n).otherwise(0)).cast("bigint").alias("skipped_chars"))
+                 F.sum(F.when(~keep, n).otherwise(0)).cast("bigint").alias("skipped_chars"))
             .withColumn("kept_pct", F.when(F.col("total_chars") > 0, F.round(
                 100.0 * (F.col("total_chars") - F.col("skipped_chars")) / F.col("total_chars"), 2))
                 .otherwise(F.lit(0.0))))

@@ -1,10 +1,12 @@
 """Incremental processing of newly arrived archive files.
 
-A file-stream source over the archive folder remembers in its checkpoint
-which files it has consumed, so a rerun with ``trigger(availableNow=True)``
-processes only the new files and extends the output -- the Spark form of
-"completed chunks are reused". Output and checkpoint live in the shared
-folder given by the caller.
+A file stream that lists the archive folder (names only, no contents)
+remembers in its checkpoint which files it has handed out, so a rerun with
+``trigger(availableNow=True)`` processes only new files and extends the
+output -- the Spark form of "completed chunks are reused". Every micro-batch
+reads its files with the batch archive reader: the same repair, the same
+rejects. Each batch writes partitions named by its id and replaces them when
+it is replayed. Output and checkpoint live in folders given by the caller.
 """
 
 from __future__ import annotations
@@ -14,42 +16,48 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.warc import CRLF2, SEP, _hdr
-
-
-def stream_records(spark: SparkSession, src: str, max_files: int | None = None) -> DataFrame:
-    """Streaming (file, warc_type, uri, text) of the archive records in ``src``."""
-    r = spark.readStream.option("lineSep", SEP)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    raw = r.text(src).where(F.length("value") > 0)
-    head = F.substring_index(F.col("value"), CRLF2, 1)
-    clen = _hdr(head, "Content-Length").cast("bigint")
-    body = F.substring(F.col("value").cast("binary"), F.octet_length(head) + 5, 2_147_483_647)
-    return raw.select(
-        F.input_file_name().alias("file"),
-        _hdr(head, "WARC-Type").alias("warc_type"),
-        _hdr(head, "WARC-Target-URI").alias("uri"),
-        F.make_valid_utf8(F.substring(body, 1, clen).cast("string")).alias("text"))
-
-
-def incremental_language_filter(spark: SparkSession, src: str, out: str, checkpoint: str,
-                                keep: Callable[[DataFrame], Column] | Column,
-                                max_files: int | None = None) -> int:
-    """Conversion records passing ``keep`` appended to parquet at ``out``.
-
-    ``keep`` is a Column or a function DataFrame -> Column (e.g. a fitted
-    language model's prediction). Returns the number of micro-batches run.
-    """
-    recs = stream_records(spark, src, max_files)
-    recs = recs.where((F.col("warc_type") == "conversion") & F.col("uri").isNotNull())
-    pred = keep(recs) if callable(keep) else keep
-    q = (recs.where(pred).select("file", "uri", "text")
-         .writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", checkpoint)
+from ..operators.extraction import filter_by
+from ..sources.warc import conversions, kept_share, read_records
+
+#: Files of a micro-batch: their names go through the driver.
+MAX_FILES = 1000
+Keep = Column | Callable
+
+
+def new_archives(spark: SparkSession, src: str, checkpoint: str,
+                 process: Callable[[list[str], int], None], max_files: int = MAX_FILES) -> int:
+    """Hand the names of files not seen before to ``process(files, batch_id)``; number of batches run."""
+    names = (spark.readStream.format("binaryFile").option("maxFilesPerTrigger", max_files)
+             .schema("path string, modificationTime timestamp, length long, content binary")
+             .load(src).select("path"))
+    ran = []
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        files = sorted(r["path"] for r in df.collect())  # max_files names at most
+        if files:
+            process(files, batch_id)
+            ran.append(batch_id)
+    q = (names.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return len(q.recentProgress)
+    return len(ran)
+
+
+def _write(df: DataFrame, out: str, batch_id: int) -> None:
+    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out))
+
+
+def incremental_language_filter(spark: SparkSession, src: str, out: str, checkpoint: str, keep: Keep,
+                                rejected: str | None = None, max_files: int = MAX_FILES) -> int:
+    """Conversion records passing ``keep`` (see ``filter_by``) appended to parquet at ``out``
+    as (file, uri, text, batch_id); rows that are no whole record go to ``rejected``
+    (default: ``out`` + "-rejected"). Returns the number of micro-batches run."""
+    def process(files: list[str], batch_id: int) -> None:
+        recs, bad = read_records(spark, files)
+        _write(filter_by(conversions(recs), keep).select("file", "uri", "text"), out, batch_id)
+        _write(bad, rejected or out.rstrip("/") + "-rejected", batch_id)
+    return new_archives(spark, src, checkpoint, process, max_files)
 
 
 def chunk_of_file(file: Column) -> Column:
@@ -58,30 +66,12 @@ def chunk_of_file(file: Column) -> Column:
     return F.when(part != "", part).otherwise(file)
 
 
-def incremental_kept_ratio(spark: SparkSession, src: str, out: str, checkpoint: str,
-                           keep: Callable[[DataFrame], Column] | Column,
-                           max_files: int | None = None,
-                           chunk: Callable[[Column], Column] = chunk_of_file) -> None:
-    """R2: per micro-batch and chunk, characters seen/skipped and kept percent.
-
-    ``foreachBatch`` overwrites only its own ``batch_id`` partition (dynamic
-    partition overwrite), so a replayed batch rewrites the same rows.
-    """
-    recs = stream_records(spark, src, max_files).where(F.col("warc_type") == "conversion")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        pred = keep(batch) if callable(keep) else keep
-        n = F.length(F.coalesce("text", F.lit("")))
-        stats = (batch.withColumn("_k", pred).groupBy(chunk(F.col("file")).alias("chunk"))
-                 .agg(F.sum(n).cast("bigint").alias("total_chars"),
-                      F.sum(F.when(~F.col("_k"), n).otherwise(0)).cast("bigint").alias("skipped_chars"))
-                 .withColumn("kept_pct", F.when(F.col("total_chars") > 0, F.round(
-                     100.0 * (F.col("total_chars") - F.col("skipped_chars")) / F.col("total_chars"), 2))
-                     .otherwise(F.lit(0.0)))
-                 .withColumn("batch_id", F.lit(batch_id)))
-        (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out))
-
-    q = (recs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+def incremental_kept_ratio(spark: SparkSession, src: str, out: str, checkpoint: str, keep: Keep,
+                           max_files: int = MAX_FILES,
+                           chunk: Callable[[Column], Column] = chunk_of_file) -> int:
+    """R2: per micro-batch and chunk, characters seen, characters skipped and kept percent."""
+    def process(files: list[str], batch_id: int) -> None:
+        recs, _ = read_records(spark, files)
+        judged = filter_by(conversions(recs).withColumn("chunk", chunk(F.col("file"))), keep, flag="_k")
+        _write(kept_share(judged, "chunk", F.length("text"), F.col("_k")), out, batch_id)
+    return new_archives(spark, src, checkpoint, process, max_files)
