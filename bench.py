@@ -18,26 +18,15 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from trawl.operators import minhash as MH  # noqa: E402
-from trawl.plans import curate  # noqa: E402
 from trawl.plans.catalog import QUERIES  # noqa: E402
 from trawl.session import get_spark  # noqa: E402
-from trawl.sources.tables import spread, table  # noqa: E402
+from trawl.sources.tables import table  # noqa: E402
 
 HEADLINE = ["gopher_filter", "text_kept_ratio", "mask_pii", "pii_totals", "normalize_text",
-            "line_frequencies", "dedup_lines", "strip_tags", "pages_to_text",
-            ]
-
-
-def _fast_dedup(spark, sf):
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text", "source"))
-    return MH.dedup_minhash(docs, curate.FLAGSHIP_PARAMS).select("doc_id", "source")
-
-
-EXTRA = {
-    "dedup_minhash_fast": _fast_dedup,
-    "curate_summary": curate.curate_summary,
-}
+            "line_frequencies", "dedup_lines", "strip_tags", "pages_to_text", "dedup_minhash_fast",
+            "curate_summary_fast", "dedup_minhash", "scan_warc", "scan_wet", "write_filtered_wet",
+            "identify_language", "classify_toxic", "document_frequency", "pack_windows", "sample_windows",
+            "global_rank_documents"]
 
 
 def main() -> None:
@@ -51,8 +40,7 @@ def main() -> None:
     if os.path.isdir(small):
         for name in ("gopher_filter", "mask_pii", "pages_to_text"):
             QUERIES[name](spark, small).write.format("noop").mode("overwrite").save()
-    jobs = {k: QUERIES[k] for k in HEADLINE if k in QUERIES}
-    jobs.update(EXTRA)
+    jobs = {k: QUERIES[k] for k in HEADLINE}
     times = {}
     for name, fn in jobs.items():
         t0 = time.time()

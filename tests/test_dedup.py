@@ -1,37 +1,33 @@
-"""Line dedup and MinHash dedup: the reference's fixtures plus missing cases."""
+"""Line dedup and MinHash dedup on generated corpora, against brute force."""
 
-import os
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import REF_FIXTURES
 from trawl.operators import dedup_lines as DL
 from trawl.operators import minhash as MH
 from trawl.operators.components import connected_components
 
 
-def _files(spark, sub):
-    """The fixture files read as data by the text-corpus scan (S3)."""
-    from pyspark.sql import Window
+def lines_of(rng, n):
+    return [" ".join(f"t{rng.randrange(900)}" for _ in range(6)) for _ in range(n)]
 
-    from trawl.sources.files import scan_text_corpus
 
-    df = scan_text_corpus(spark, os.path.join(REF_FIXTURES, sub))
-    return df.select((F.row_number().over(Window.orderBy("name")) - 1).cast("long").alias("doc_id"),
-                     "name", "text")
+def line_corpus():
+    """Five documents, the first two alike, the others sharing some lines; all end in a newline."""
+    rng = random.Random(11)
+    common, twin = lines_of(rng, 3), lines_of(rng, 5)
+    own = [lines_of(rng, 6) for _ in range(3)]
+    texts = [twin, twin, own[0][:3] + common[:2] + own[0][3:], common + own[1], own[2] + common[1:3]]
+    return [("\n".join(t) + "\n") for t in texts], [("".join(x + "\n" for x in t)) for t in ([], [], *own)]
 
 
-def test_exact_line_dedup_fixture(spark):
-    docs = _files(spark, "documents_with_line_duplicates")
-    out = DL.dedup_lines(docs).collect()
-    assert len(out) == 5
-    got = sorted(r.text for r in out)
-    expected = []
-    for name in ("doc3.txt", "doc4.txt", "doc5.txt"):
-        with open(os.path.join(REF_FIXTURES, "documents_line_deduplicated", name), encoding="utf-8") as f:
-            expected.append(f.read())
-    assert got == sorted(expected + ["", ""])
+def test_line_dedup_of_generated_corpus(spark):
+    texts, expected = line_corpus()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.text for r in DL.dedup_lines(docs).orderBy("doc_id").collect()] == expected
 
 
 def test_line_key_includes_newline_and_crlf(spark):
@@ -42,27 +38,26 @@ def test_line_key_includes_newline_and_crlf(spark):
     assert out == {1: "x1\n", 2: "y2\nsame", 3: "z3\n"}
 
 
-def _mh(spark, sub, p):
-    docs = _files(spark, sub)
-    kept = MH.dedup_minhash(docs, p).select("name").collect()
-    return sorted(r.name for r in kept)
+def kept_ids(spark, texts, p):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sorted(r.doc_id for r in MH.dedup_minhash(docs, p).select("doc_id").collect())
 
 
 @pytest.mark.parametrize("mode", ["md5", "fast"])
 def test_minhash_exact_duplicates(spark, mode):
     p = MH.MinHashParams(num_hashes=100, num_bands=10, ngrams=5, threshold=0.8, mode=mode)
-    kept = _mh(spark, "documents_with_line_duplicates", p)
-    assert len(kept) == 4
-    assert ("doc1.txt" in kept) != ("doc2.txt" in kept)
+    assert kept_ids(spark, line_corpus()[0], p) == [0, 2, 3, 4]
 
 
 @pytest.mark.parametrize("mode", ["md5", "fast"])
-def test_minhash_fuzzy_duplicates(spark, mode):
+def test_minhash_near_duplicates(spark, mode):
+    """A notice with another name and year in it is a copy; another notice is not."""
+    rng = random.Random(3)
+    notice = [f"n{rng.randrange(10**6)}" for _ in range(170)]
+    copy = ["Other", "Holder", "2031", *notice[3:]]
+    texts = [" ".join(notice), " ".join(copy), " ".join(f"m{rng.randrange(10**6)}" for _ in range(150))]
     p = MH.MinHashParams(num_hashes=500, num_bands=50, ngrams=5, threshold=0.8, mode=mode)
-    kept = _mh(spark, "documents_with_fuzzy_duplicates", p)
-    assert len(kept) == 2
-    assert "pytorch_license.txt" in kept
-    assert ("rails_mit_license.txt" in kept) != ("react_mit_license.txt" in kept)
+    assert kept_ids(spark, texts, p) == [0, 2]
 
 
 def test_num_hashes_not_divisible():
@@ -135,3 +130,58 @@ def test_lsh_recall_against_exact_jaccard(spark, mode):
                 assert find(a) == find(b)
     kept = sum(1 for a, b in exact if comp[a] == comp[b])
     assert exact and kept / len(exact) >= 0.9
+
+
+def jaccard_components(sets, members_of, threshold):
+    """Components of all verified pairs that share a bucket."""
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for bucket in members_of:
+        for i, a in enumerate(bucket):
+            for b in bucket[i + 1:]:
+                if len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]):
+                    x, y = sorted((find(a), find(b)))
+                    parent[y] = x
+    return {d: find(d) for d in sets}
+
+
+def test_pivots_connect_what_all_pairs_connect(spark):
+    """One bucket with chains, stars and strangers around the threshold."""
+    rng = random.Random(8)
+    sets = {}
+    for family in range(4):
+        base = set(range(family * 1000, family * 1000 + 60))
+        for k in range(30):
+            sets[family * 100 + k] = set(rng.sample(sorted(base), 60 - rng.randrange(9))) | {10**6 + rng.randrange(500) for _ in range(rng.randrange(4))}
+    members = spark.createDataFrame([(0, "k", x) for x in sets], "band int, key string, x long")
+    table = spark.createDataFrame([(x, len(s), sorted(s)) for x, s in sets.items()], "doc_id long, n_sh int, hs array<long>")
+    p = MH.MinHashParams(threshold=0.8)
+    edges = [tuple(r) for r in MH.verified_edges(members, table, p).collect()]
+    assert all(len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for a, b in edges)
+    assert (jaccard_components(sets, [sorted(sets)], 0.8) == jaccard_components(sets, [list(e) for e in edges], 0.8))
+
+
+def test_large_template_family_is_not_quadratic(spark):
+    """2,000 fills of one template around J = 0.8 in one bucket: pairs asked for stay a few per member."""
+    rng = random.Random(4)
+    base = list(range(100))
+    sets = [(i, 100, sorted(rng.sample(base, 89) + [1000 + 50 * i + j for j in range(11)])) for i in range(2000)]
+    table = spark.createDataFrame(sets, "doc_id long, n_sh int, hs array<long>").cache()
+    members = table.select(F.lit(0).alias("band"), F.lit("k").alias("key"), F.col("doc_id").alias("x"))
+    began = time.time()
+    edges = MH.verified_edges(members, table, MH.MinHashParams(threshold=0.65))
+    assert edges.count() < 2000 * MH.PIVOTS and time.time() - began < 120
+
+
+def test_fast_clusters_are_sound(spark):
+    """Fast mode over a whole table: every cluster is connected by exact Jaccard alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    p = MH.MinHashParams(mode="fast")
+    sets = {r.doc_id: set(r.sh) for r in MH.shingle_table(docs, p).collect()}
+    exact = jaccard_components(sets, [sorted(sets)], p.threshold)
+    for r in MH.duplicate_clusters(docs, p).collect():
+        assert exact[r.doc_id] == exact[r.component]

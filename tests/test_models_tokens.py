@@ -1,19 +1,58 @@
-"""Classifiers (language id on the golden text) and token windows (brute force)."""
+"""Classifiers (held-out rows) and token windows (brute force)."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, read_fixture
+from conftest import SF_SMALL
 from trawl.operators import classify as C
 from trawl.operators import tokens as K
+from trawl.operators.extraction import filter_by
 from trawl.sources.tables import table
 
+SF = "/root/testdata/sf0.01"
 
-def test_language_id_moby(spark):
-    docs = table(spark, "/root/testdata/sf0.01", "documents")
-    model = C.train_language_id(docs)
-    df = spark.createDataFrame([(read_fixture("moby_extracted.txt"),)], "text string")
-    r = C.identify_language(model, df).first()
-    assert r.lang == "en" and r.score > 0
+
+@pytest.fixture(scope="module")
+def language(spark):
+    return C.train_language_id(table(spark, SF, "documents"))
+
+
+def test_language_scores_lie_on_both_sides_of_the_limit(spark, language):
+    docs = table(spark, SF, "documents").where("lang in ('en', 'fr')").orderBy("doc_id").limit(200)
+    by_lang = {l: [r.text for r in docs.where(F.col("lang") == l).limit(10).collect()] for l in ("en", "fr")}
+    mixed = [a[:300] + " " + b[:300] for a, b in zip(by_lang["en"], by_lang["fr"])]
+    texts = [(i, t) for i, t in enumerate(by_lang["en"] + mixed)]
+    got = C.identify_language(language, spark.createDataFrame(texts, "i long, text string"), keep=["i"]).orderBy("i").collect()
+    pure, both = got[:len(by_lang["en"])], got[len(by_lang["en"]):]
+    assert all(r.lang == "en" and r.score_raw >= 0.7 for r in pure)
+    assert any(r.score_raw < 0.7 for r in both) and max(r.score_raw for r in both) < min(r.score_raw for r in pure)
+
+
+def test_language_of_blank_and_null(spark, language):
+    df = spark.createDataFrame([("",), (None,), ("  ",), ("ab",)], "text string")
+    assert all(0 < r.score < 1 for r in C.identify_language(language, df).collect())
+
+
+def test_filter_by_takes_columns_and_functions(spark, language):
+    df = spark.createDataFrame([(1, "alpha beta"), (2, None), (3, "gamma")], "i long, text string")
+    ids = lambda d: [r.i for r in d.orderBy("i").collect()]
+    assert ids(filter_by(df, F.col("text").contains("beta"))) == [1]
+    assert ids(filter_by(df, lambda t: len(t) == 5)) == [3]
+    assert [r.k for r in filter_by(df, str.islower, flag="k").orderBy("i").collect()] == [True, False, True]
+    english = filter_by(table(spark, SF, "documents"), C.english_text(spark, language))
+    assert english.where("lang = 'en'").count() > 0.95 * english.count() > 0
+
+
+def test_content_classifiers_find_every_class_on_held_out_rows(spark):
+    from trawl.plans import catalog
+
+    toxic = catalog.QUERIES["classify_toxic"](spark, SF)
+    assert toxic.count() == table(spark, SF, "documents").count()
+    quality = catalog.QUERIES["classify_quality"](spark, SF)
+    for pred, y in ((toxic, "toxic"), (quality, "y")):
+        held = pred.where(F.col("split") == "test").where(F.col(y).isNotNull())
+        right = {r[y]: r.share for r in held.groupBy(y).agg(F.avg((F.col(y) == F.col("prediction")).cast("int")).alias("share")).collect()}
+        assert len(right) == 2 and min(right.values()) > 0.25 and max(right.values()) > 0.9
 
 
 def test_language_id_beats_majority_on_holdout(spark):

@@ -33,3 +33,28 @@ def test_global_rank_is_consecutive(spark):
     df = spark.range(0, 1000, 1, 7).select((F.col("id") * 7919 % 1000).alias("k"))
     ranks = sorted((r.k, r.rank) for r in SM.global_rank(df, [F.col("k")]).collect())
     assert [r for _, r in ranks] == list(range(1, 1001))
+
+
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_ranks_and_offsets_of_many_wide_rows(spark, coalesce, tmp_path):
+    """200,000 rows with columns beside the key, several sort partitions: nothing is lost, counted or written."""
+    from trawl.operators.tokens import exclusive_offsets
+
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        n = 200_000
+        df = spark.range(0, n, 1, 9).select(F.md5(F.col("id").cast("string")).alias("k"), "id",
+                                            F.repeat(F.lit("x"), 60).alias("wide"), (F.col("id") % 7).alias("v"))
+        ranked = SM.global_rank(df, [F.col("k")])
+        assert ranked.count() == n
+        ranked.write.parquet(str(tmp_path / "ranked"))
+        back = spark.read.parquet(str(tmp_path / "ranked"))
+        assert tuple(back.agg(F.count("*"), F.countDistinct("rank"), F.min("rank"), F.max("rank")).first()) == (n, n, 1, n)
+        assert [r["id"] for r in back.orderBy("rank").limit(50).collect()] == [r["id"] for r in df.orderBy("k").limit(50).collect()]
+        offs = exclusive_offsets(df, "id", "v")
+        assert offs.count() == n
+        bad = offs.where(F.col("offset") != F.floor(F.col("id") / 7) * 21 + (F.col("id") % 7) * (F.col("id") % 7 - 1) / 2)
+        assert bad.count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)

@@ -31,9 +31,18 @@ def test_rerun_processes_only_new_files(spark):
     _wet(os.path.join(src, "b.warc.wet.gz"), [("http://b/1", "EN two"), ("http://b/2", "EN three")])
     incremental_language_filter(spark, src, out, ck, keep)
     assert sorted(r.uri for r in spark.read.parquet(out).collect()) == ["http://a/1", "http://b/1", "http://b/2"]
+    body = "EN x\r\nWARC/1.0\r\ny"
+    _wet(os.path.join(src, "c.warc.wet.gz"), [("http://c/1", body)])
+    with open(os.path.join(src, "d.warc.wet.gz"), "wb") as f:
+        f.write(gzip.compress(b"WARC/1.0\r\nWARC-Type: conversion\r\nContent-Length: 99\r\n\r\nEN cut"))
+    incremental_language_filter(spark, src, out, ck, keep)
+    rows = {r.uri: r.text for r in spark.read.parquet(out).collect()}
+    assert len(rows) == 4 and rows["http://c/1"] == body        # a payload with a separator is whole
+    assert [r.reason for r in spark.read.parquet(out + "-rejected").collect()] == ["truncated"]
+    assert incremental_language_filter(spark, src, out, ck, lambda t: True) == 0
     ratio_out, ratio_ck = os.path.join(base, "r2"), os.path.join(base, "r2ck")
     incremental_kept_ratio(spark, src, ratio_out, ratio_ck, keep)
     stats = spark.read.parquet(ratio_out)
     r = stats.agg(F.sum("total_chars"), F.sum("skipped_chars")).first()
-    assert tuple(r) == (6 + 5 + 6 + 8, 5)
-    assert stats.select("chunk").distinct().count() == 2     # one chunk per file here
+    assert tuple(r) == (6 + 5 + 6 + 8 + len(body), 5)
+    assert stats.select("chunk").distinct().count() == 3     # one chunk per file here

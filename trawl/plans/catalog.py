@@ -379,8 +379,8 @@ def q_pages_to_text(spark, sf):
     return X.pages_to_text(_pages(spark, sf)).select("page_id", "url", "text")
 
 
-@register("compare_extractions")
-def q_compare_extractions(spark, sf):
+@register("compare_parser_extraction")
+def q_compare_parser_extraction(spark, sf):
     """Parser extraction vs regex extraction of the same pages, by URL."""
     p = _pages(spark, sf)
     a = X.pages_to_text(p, out_col="text_a").select("url", "text_a")
@@ -411,6 +411,12 @@ def q_filter_non_blank_pair(spark, sf):
     return _pair_sets(spark, sf)
 
 
+@register("compare_extractions", _PAIRS_SQL)
+def q_compare_extractions(spark, sf):
+    """Regex extraction vs title of the same pages, by URL."""
+    return _pair_sets(spark, sf)
+
+
 @register("limit_pairs", _PAIRS_SQL + " ORDER BY url LIMIT 3")
 def q_limit_pairs(spark, sf):
     return X.limit_pairs(_pair_sets(spark, sf), 3)
@@ -988,6 +994,49 @@ def q_write_url_list(spark, sf):
     return back.select(F.col("value").alias("url"), F.lit(n).cast("bigint").alias("n_written"))
 
 
+# =============================================================== flagship
+from . import curate as CU  # noqa: E402
+
+_LINE_DEDUP_SQL = ORACLES["dedup_lines"]
+
+
+def _curate_sql(p: MH.MinHashParams) -> str:
+    lines = _LINE_DEDUP_SQL.replace("FROM documents", "FROM masked")
+    clusters = _minhash_sql(p).replace("FROM documents", "FROM filled")
+    return f"""
+WITH judged AS ({_GOPHER_STATS_SQL} SELECT doc_id, {_GOPHER_REASON_SQL} AS reason FROM r),
+base AS (SELECT doc_id, text, CASE WHEN coalesce(lang = 'en', FALSE) THEN reason ELSE 'non_en' END AS outcome
+         FROM documents JOIN judged USING (doc_id)),
+passing AS (SELECT doc_id, text FROM base WHERE outcome IS NULL),
+masked AS ({_pii_sql("passing", "doc_id")} SELECT doc_id, masked AS text FROM c),
+clean AS ({lines}),
+filled AS (SELECT * FROM clean WHERE text <> ''),
+clus AS ({clusters} SELECT doc_id, component FROM clusters),
+done AS (SELECT b.doc_id, coalesce(b.outcome, CASE WHEN c.text = '' THEN 'emptied' WHEN k.component <> k.doc_id
+           THEN 'near_duplicate' ELSE 'kept' END) AS outcome, CASE WHEN k.component = k.doc_id THEN length(c.text) ELSE 0 END AS n
+         FROM base b LEFT JOIN clean c USING (doc_id) LEFT JOIN clus k USING (doc_id))
+SELECT outcome, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS kept_chars FROM done GROUP BY outcome"""
+
+
+@register("curate_summary", _curate_sql(MH_PARAMS))
+def q_curate_summary(spark, sf):
+    """The flagship chain with md5 MinHash: documents and characters per outcome."""
+    return CU.curate_summary(spark, sf, MH_PARAMS)
+
+
+@register("curate_summary_fast")
+def q_curate_summary_fast(spark, sf):
+    """The flagship chain with fast MinHash."""
+    return CU.curate_summary(spark, sf)
+
+
+@register("dedup_minhash_fast")
+def q_dedup_minhash_fast(spark, sf):
+    """D2 with the fast hash family (tests hold its clusters to exact Jaccard)."""
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text", "source"))
+    return MH.dedup_minhash(docs, CU.FLAGSHIP_PARAMS).select("doc_id", "source")
+
+
 # ---- oracles for the round trips: what Spark wrote from `pages` must read back
 ORACLES["scan_dump_lines"] = _REF_LINES_SQL + " SELECT url FROM x"
 ORACLES["write_url_list"] = _REF_LINES_SQL + """
