@@ -48,13 +48,9 @@ def write_url_list(urls: DataFrame, path: str, shard_col: str = "shard",
     """One gzip text output, shards in sorted order, URLs in file order.
 
     Written by the executors (range-partitioned sort, many part files whose
-    concatenation is the global order); the row count comes from an
-    observation on the same job, not a second pass.
+    concatenation is the global order); the row count is that of the written
+    files. (An observation would save that small pass, but a session that made
+    one no longer serialises, and fitted models carry their session along.)
     """
-    from pyspark.sql import Observation
-
-    obs = Observation("url_list")
-    ordered = urls.orderBy(shard_col, *order_cols).select("url").observe(
-        obs, F.count(F.lit(1)).alias("n"))
-    ordered.write.mode("overwrite").text(path, compression="gzip")
-    return int(obs.get["n"])
+    urls.orderBy(shard_col, *order_cols).select("url").write.mode("overwrite").text(path, compression="gzip")
+    return urls.sparkSession.read.text(path).count()

@@ -985,7 +985,7 @@ def q_global_rank_documents(spark, sf):
 @register("write_url_list")
 def q_write_url_list(spark, sf):
     """Extracted URLs written as one gzip list in (shard, line, position)
-    order by the executors, read back; the count comes from an observation."""
+    order by the executors, read back with the count of written rows."""
     lines = reference_lines(table(spark, sf, "pages"))
     urls = U.extract_reference_urls(lines, keep=["shard", "line_no"])
     path = scratch_path(spark, "url-list")
