@@ -121,17 +121,24 @@ def write_filtered_wet(recs: DataFrame, keep: Column, path: str, chunk_col: str
     through unfiltered, payload bytes unchanged; parquet partitioned by chunk.
     Returns the per-chunk kept ratio (A4) of the conversion text."""
     is_conv = F.col("warc_type") == "conversion"
-    flagged = recs.withColumn("_keep", ~is_conv | F.coalesce(keep, F.lit(False)))
+    recs.where(~is_conv | F.coalesce(keep, F.lit(False))).write.mode("overwrite").partitionBy(chunk_col).parquet(path)
     n = F.when(is_conv, F.length(F.make_valid_utf8(F.col("block").cast("string")))).otherwise(0)
-    flagged.where("_keep").drop("_keep").write.mode("overwrite").partitionBy(chunk_col).parquet(path)
-    return kept_share(flagged, chunk_col, n, F.col("_keep"))
+    chunk = F.col(chunk_col).cast("string").alias(chunk_col)
+    # kept characters from what was written: the predicate (a model, often) runs once
+    written = recs.sparkSession.read.parquet(path).select(chunk, n.alias("n"))
+    kept = written.groupBy(chunk_col).agg(F.sum("n").cast("bigint").alias("kept_chars"))
+    seen = recs.groupBy(chunk).agg(F.sum(n).cast("bigint").alias("total_chars"))
+    skipped = F.col("total_chars") - F.coalesce("kept_chars", F.lit(0))
+    return _with_percent(seen.join(kept, chunk_col, "left").select(chunk_col, "total_chars", skipped.alias("skipped_chars")))
+
+
+def _with_percent(share: DataFrame) -> DataFrame:
+    return share.withColumn("kept_pct", F.when(F.col("total_chars") > 0, F.round(
+        100.0 * (F.col("total_chars") - F.col("skipped_chars")) / F.col("total_chars"), 2)).otherwise(F.lit(0.0)))
 
 
 def kept_share(df: DataFrame, chunk_col: str, n: Column, keep: Column) -> DataFrame:
     """(chunk, total_chars, skipped_chars, kept_pct)."""
-    return (df.groupBy(chunk_col)
-            .agg(F.sum(n).cast("bigint").alias("total_chars"),
-                 F.sum(F.when(~keep, n).otherwise(0)).cast("bigint").alias("skipped_chars"))
-            .withColumn("kept_pct", F.when(F.col("total_chars") > 0, F.round(
-                100.0 * (F.col("total_chars") - F.col("skipped_chars")) / F.col("total_chars"), 2))
-                .otherwise(F.lit(0.0))))
+    return _with_percent(df.groupBy(chunk_col).agg(
+        F.sum(n).cast("bigint").alias("total_chars"),
+        F.sum(F.when(~keep, n).otherwise(0)).cast("bigint").alias("skipped_chars")))
