@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+from edge_tables import edge_dir, empty_dir  # noqa: E402, F401  (fixtures)
 from trawl.llm.catalog import ORACLES, QUERIES  # noqa: E402
 
 
