@@ -14,7 +14,7 @@ positions (m = 7, D = {0, 1, 3}: three of seven positions, anchors of 7 words).
    parameter, and when it fills up it only passes more candidates, never fewer.
 2. Extension: around every anchor that the filter passes, the windows that contain it are
    candidates. A batch settles its own copies (all but the smallest document of equal
-   windows) and sends one row per distinct window on: 128-bit hash and smallest doc_id.
+   windows) and sends one row per distinct window on: 96-bit hash and smallest doc_id.
    The smallest doc_id per window over the corpus decides the rest exactly; a window
    has at most a row per batch, whatever its number of copies.
 3. Window starts meet their text by document, and the covered words are cut.
@@ -177,7 +177,7 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, period: int = PERIO
                 at = np.flatnonzero((np.cumsum(near[:-1]) > 0) & (a.left >= window))
                 if len(at):
                     h1.append(ngram_hashes(a.word_hashes, window, 0)[at])
-                    h2.append(ngram_hashes(a.words.hashes(1), window, 1)[at])
+                    h2.append(ngram_hashes(a.words.hashes(1), window, 1)[at] >> _U(32))
                     doc.append(a.text[at] + first)
                     start.append((at - a.words.first[a.text[at]]).astype(np.int32))
             if not h1:
