@@ -42,3 +42,11 @@ def test_every_window_of_every_training_text_is_trained_on(spark):
     want, _ = attention_lm.windows_of(np.concatenate(each), np.array([len(x) for x in each]))
     assert got.real.sum() == sum(map(len, each)) and runs["windows"].sum() == len(want.inputs)
     assert rows_of(got) == rows_of(want)
+
+
+def test_shards_grow_in_number_and_not_in_size(spark):
+    runs = spark.range(6000).select((F.xxhash64("id").bitwiseAND(F.lit((1 << 44) - 1))).alias("draw"), F.lit(20).cast("long").alias("windows"),
+                                    F.lit(True).alias("initial"), F.lit(b"").alias("ids"))
+    for n in (600, 6000):
+        got = attention_lm.dealt(runs.limit(n), shard_windows=800, rounds=3).groupBy("round", "shard").count().collect()
+        assert len(got) == n * 20 // 800 and max(r["count"] for r in got) < 2 * 800 / 20
