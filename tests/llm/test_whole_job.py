@@ -1,10 +1,12 @@
 """Each test fails where an operator does less than its whole job."""
 
+import random
+
 import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from trawl.llm import attention_lm, bytewords
+from trawl.llm import attention_lm, bytewords, decontaminate
 
 
 # ---------------------------------------------------------------- language model
@@ -50,3 +52,24 @@ def test_shards_grow_in_number_and_not_in_size(spark):
     for n in (600, 6000):
         got = attention_lm.dealt(runs.limit(n), shard_windows=800, rounds=3).groupBy("round", "shard").count().collect()
         assert len(got) == n * 20 // 800 and max(r["count"] for r in got) < 2 * 800 / 20
+
+
+# ---------------------------------------------------------------- decontamination
+
+def test_blocks_remove_what_one_block_removes(spark):
+    rng = random.Random(4)
+    items = [[f"i{k}x{j}" for j in range(20)] for k in range(12)]
+
+    def prose(n):
+        return [f"d{rng.randrange(10**6)}" for _ in range(n)]
+    texts = [prose(40) + items[a] + prose(n) + items[b] for a in range(12) for b in range(12) for n in (10, 60)]
+    texts += [items[a][:9] + items[b] + items[a][9:] + prose(50) for a in range(12) for b in range(12) if a != b]  # joined by a cut
+    texts += [prose(30), [], items[0]]
+    rows = [(i, " ".join(ws), "x") for i, ws in enumerate(texts)] + [(0, " ".join(texts[0]), "x"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string").repartition(3)
+    bench = spark.createDataFrame([(k, " ".join(ws)) for k, ws in enumerate(items)], "item_id long, text string")
+    want = decontaminate.remove_spans(docs, bench)
+    got = decontaminate.remove_spans(docs, bench, block_words=40)
+    assert got.columns == docs.columns
+    assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
+    assert decontaminate.match_items(got, bench).where(F.size("spans") > 0).count() == 0

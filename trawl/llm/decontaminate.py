@@ -10,7 +10,9 @@ splitting, hashing and the pair test are vectorised.
 
 The benchmark is measured before anything is sent: its item pieces go in blocks of at most
 about ``block_words`` words, an automaton (a broadcast of bounded size) and a pass per
-block; results are merged per document. Documents are never shuffled with one block.
+block; results are merged per document. Documents are never shuffled with one block. With
+several, ``remove_spans`` judges and cuts a document on the spans of all blocks together and
+scans what was cut again over all blocks until none hits: the result of one large block.
 
 Defined results: null texts and items have no words; an item without words has no window;
 a null item_id is listed as ''; repeated items count once by id; rows repeating a doc_id
@@ -29,8 +31,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .bytewords import LETTERS_DIGITS, Words, chunks, mix64
-from .common import ascii_lower, text_of
+from .common import ascii_lower, private, text_of
 
 WINDOW = 10
 BLOCK_WORDS, PIECE_WORDS = 200_000, 20_000
@@ -281,6 +284,13 @@ def match_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     return per.withColumn("_copy", F.explode(copies)).drop("_rows", "_copy")  # a row per repeated row
 
 
+def _without(text: bytes, words: Words, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the spans of its words."""
+    for a, b in reversed(merged(spans)):
+        text = text[:words.starts[a]] + text[words.ends[b - 1]:]
+    return text
+
+
 def _cut(text: bytes, matcher: Matcher, max_coverage: float) -> bytes | None:
     """The text without hit spans, scanned again until clean; None beyond ``max_coverage``."""
     first = True
@@ -292,30 +302,72 @@ def _cut(text: bytes, matcher: Matcher, max_coverage: float) -> bytes | None:
         if first and hit.words() > max_coverage * len(words):
             return None
         first = False
-        for a, b in reversed(merged(hit.spans)):
-            text = text[:words.starts[a]] + text[words.ends[b - 1]:]
+        text = _without(text, words, hit.spans)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE,
                  block_words: int = BLOCK_WORDS, piece_words: int = PIECE_WORDS) -> DataFrame:
     """``docs`` with hit spans cut from ``text``; documents hit in more than ``max_coverage``
-    of their words go. Every span is a window or a whole shorter item at least. With several
-    benchmark blocks, each judges what the blocks before it left."""
-    at, schema = docs.columns.index("text"), docs.schema
+    of their words go. Every span is a window or a whole shorter item at least."""
     sc = docs.sparkSession.sparkContext
-    for block in item_blocks(benchmark, window, block_words, piece_words):
-        matcher = sc.broadcast(Matcher(block, window))
-
-        def work(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                new = {first + t: _cut(texts[t], matcher.value, max_coverage) for first, texts in chunks(b.column(at))
-                       for t in matcher.value.match(Words(texts, LETTERS_DIGITS, lower=True))}
-                if new:
-                    old = b.column(at).to_pylist()
-                    cut = pa.array([new[i].decode() if new.get(i) is not None else x for i, x in enumerate(old)],
-                                   type=b.column(at).type)
-                    b = b.set_column(at, b.schema.field(at), cut)
-                    b = b.filter(pa.array([new.get(i, b"") is not None for i in range(len(b))]))
-                yield b
-        docs = docs.mapInArrow(work, schema)
-    return docs
+    matchers = [sc.broadcast(Matcher(block, window))
+                for block in item_blocks(benchmark, window, block_words, piece_words)]
+    if len(matchers) > 1:
+        return _remove_by_blocks(docs, matchers, max_coverage)
+    at, schema, matcher = docs.columns.index("text"), docs.schema, matchers[0]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            new = {first + t: _cut(texts[t], matcher.value, max_coverage) for first, texts in chunks(b.column(at))
+                   for t in matcher.value.match(Words(texts, LETTERS_DIGITS, lower=True))}
+            if new:
+                old = b.column(at).to_pylist()
+                cut = pa.array([new[i].decode() if new.get(i) is not None else x for i, x in enumerate(old)],
+                               type=b.column(at).type)
+                b = b.set_column(at, b.schema.field(at), cut)
+                b = b.filter(pa.array([new.get(i, b"") is not None for i in range(len(b))]))
+            yield b
+    return docs.mapInArrow(work, schema)
+
+
+def _cut_once(rows: DataFrame, limit: float) -> DataFrame:
+    """``rows(row, text, spans)`` without their spans; null text where these exceed ``limit`` of the words."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for text, spans in zip(b.column(1), b.column(2), strict=True):
+                raw = text.as_py().encode()
+                words, hit = Words([raw], LETTERS_DIGITS, lower=True), merged([(x["from_word"], x["to_word"]) for x in spans.as_py()])
+                gone = sum(y - x for x, y in hit) > limit * len(words)
+                out.append(None if gone else _without(raw, words, hit).decode())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, type=pa.string())], ["row", "text"])
+    return rows.mapInArrow(work, "row long, text string")
+
+
+def _remove_by_blocks(docs: DataFrame, matchers: list, max_coverage: float) -> DataFrame:
+    """``remove_spans`` over several blocks: a pass per block, one automaton in a worker at a time."""
+    row, new = private(docs.columns, "_row"), private(docs.columns, "_new")
+    every = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "spans-docs")
+    left, limit = every.select(F.col(row).alias("row"), "text"), max_coverage
+    done = None
+    while True:
+        texts = left.select(F.col("row").alias("doc_id"), F.lit(0).cast("long").alias("text_hash"), "text")
+        hits = None
+        for m in matchers:
+            hit = materialize(_match_block(texts, m).where(F.size("spans") > 0)
+                              .select(F.col("doc_id").alias("row"), "spans"), "spans-hits")
+            hits = hit if hits is None else hits.unionByName(hit)
+        spans = hits.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        cut = materialize(_cut_once(left.join(spans, "row").select("row", "text", "spans"), limit), "spans-cut")
+        if done is not None:  # what was cut before and is clean now
+            clean = materialize(left.join(hits.select("row").distinct(), "row", "left_anti"), "spans-clean")
+            done = done.unionByName(clean)
+        else:
+            done = cut.where(F.col("text").isNull())
+        left, limit = cut.where(F.col("text").isNotNull()), 1.0  # coverage is judged on the whole text alone
+        if left.isEmpty():
+            break
+    done = done.select(F.col("row").alias(row), F.col("text").alias(new), F.lit(True).alias(new + "_cut"))
+    text = F.when(F.col(new + "_cut"), F.col(new)).otherwise(F.col("text"))
+    return (every.join(done, row, "left").where(F.col(new + "_cut").isNull() | F.col(new).isNotNull())
+            .withColumn("text", text).select(*docs.columns))
