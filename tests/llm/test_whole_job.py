@@ -73,3 +73,10 @@ def test_blocks_remove_what_one_block_removes(spark):
     assert got.columns == docs.columns
     assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
     assert decontaminate.match_items(got, bench).where(F.size("spans") > 0).count() == 0
+
+
+def test_whole_short_items_are_removed_and_nothing_says_otherwise(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "C"), (2, "e f g")], "item_id long, text string")
+    assert decontaminate.remove_spans(docs, bench).first()["text"].split() == ["a", "b", "d", "e", "f"]
+    assert not hasattr(decontaminate, "MIN_SPAN")

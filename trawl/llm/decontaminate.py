@@ -37,8 +37,8 @@ from .common import ascii_lower, private, text_of
 
 WINDOW = 10
 BLOCK_WORDS, PIECE_WORDS = 200_000, 20_000
-#: A removed span is at least this long; a document with a larger share of hit words goes.
-MIN_SPAN, MAX_COVERAGE = 10, 0.5
+#: A document with a larger share of hit words goes.
+MAX_COVERAGE = 0.5
 _U = np.uint64
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -308,7 +308,8 @@ def _cut(text: bytes, matcher: Matcher, max_coverage: float) -> bytes | None:
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE,
                  block_words: int = BLOCK_WORDS, piece_words: int = PIECE_WORDS) -> DataFrame:
     """``docs`` with hit spans cut from ``text``; documents hit in more than ``max_coverage``
-    of their words go. Every span is a window or a whole shorter item at least."""
+    of their words go. There is no other limit on length: every window goes, and every whole
+    item that is shorter than one, even of one word."""
     sc = docs.sparkSession.sparkContext
     matchers = [sc.broadcast(Matcher(block, window))
                 for block in item_blocks(benchmark, window, block_words, piece_words)]
