@@ -9,6 +9,7 @@ DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text"
 PAGES = "page_id long, url string, html string"
 ITEMS = "item_id long, text string"
 LABELS = "doc_id long, quality int, toxic int"
+VECTORS = "vec_id long, embedding array<float>, label int"
 
 
 def prose(rng, n, words=400):
@@ -34,6 +35,18 @@ def edge_rows():
     return [(i, t, lang, src, len(t) if t else None) for i, (t, lang, src) in enumerate(rows)], item
 
 
+def edge_vectors():
+    """Groups, ties, repeated rows and ids, and vectors that do not count."""
+    rng = random.Random(8)
+    middles = [[rng.uniform(-1, 1) for _ in range(64)] for _ in range(5)]
+    rows = [(i, [m + rng.gauss(0, 0.1) for m in middles[i % 5]], 0) for i in range(150)]
+    rows += [(500 + i, [0.5] * 64, 1) for i in range(60)] + [rows[3]] * 4 + [(None, rows[4][1], None), (7, [-0.25] * 64, 2)]
+    odd = [0.0] * 63
+    return rows + [(900, None, 0), (901, [], 0), (902, [0.5] * 63, 0), (903, [0.5] * 65, 0), (904, [None, *odd], 0),
+                   (905, [float("nan"), *odd], 0), (906, [float("inf"), *odd], 0), (907, [-float("inf"), *odd], 0),
+                   (908, [131071.99, *odd], 0), (909, [131072.0, *odd], 0), (910, [3e38, *odd], 0)]
+
+
 @pytest.fixture(scope="session")
 def edge_dir(spark, tmp_path_factory):
     """documents, benchmark and pages with edge cases, as one Parquet folder each."""
@@ -47,6 +60,7 @@ def edge_dir(spark, tmp_path_factory):
             "http://casino.example.org/en/1", "ftp://h/p?://q", "a://é.Ä.com/ß#://"]
     spark.createDataFrame(list(zip(range(len(urls)), urls, ["h"] * len(urls), strict=True)), PAGES).coalesce(1).write.parquet(
         f"{d}/pages.parquet")
+    spark.createDataFrame(edge_vectors(), VECTORS).repartition(3).write.parquet(f"{d}/embeddings.parquet")
     spark.createDataFrame([(i, i % 2, int(i % 3 == 0)) for i in range(len(rows))], LABELS).coalesce(1).write.parquet(
         f"{d}/labels.parquet")
     return d
@@ -55,6 +69,7 @@ def edge_dir(spark, tmp_path_factory):
 @pytest.fixture(scope="session")
 def empty_dir(spark, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("empty"))
-    for name, schema in (("documents", DOCS), ("benchmark", ITEMS), ("pages", PAGES), ("labels", LABELS)):
+    for name, schema in (("documents", DOCS), ("benchmark", ITEMS), ("pages", PAGES), ("labels", LABELS),
+                         ("embeddings", VECTORS)):
         spark.createDataFrame([], schema).write.parquet(f"{d}/{name}.parquet")
     return d

@@ -1,4 +1,4 @@
-"""Queries op1..op10 of this subpackage: name -> (spark, sf_dir) -> DataFrame, and DuckDB oracles."""
+"""Queries op1..op13 of this subpackage: name -> (spark, sf_dir) -> DataFrame, and DuckDB oracles."""
 
 from __future__ import annotations
 
@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import (attention_lm, decontaminate, line_spread, mixing, quality_ordinal, quality_rules, simhash_cover, substring_cover,
-               token_cache, url_filter)
+from . import (attention_lm, centroid_walk, decontaminate, exact_tree, line_spread, mixing, periodic_runs, quality_ordinal,
+               quality_rules, simhash_cover, substring_cover, token_cache, url_filter)
+from .common import split_words, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -261,3 +262,78 @@ def op8(spark, sf):
     with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
         tokenizer = f.read()
     return attention_lm.score_texts(table(spark, sf, "documents"), tokenizer)
+
+
+@register("op11_exact_dedup", r"""
+WITH t AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER g = 1 AS kept, sha256(t) AS text_sha256
+FROM t WINDOW g AS (PARTITION BY t ORDER BY doc_id NULLS LAST)""")
+def op11(spark, sf):
+    """The row that stays, group size and digest of every document, dropped ones too."""
+    out = exact_tree.exact_groups(table(spark, sf, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
+                      F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+def _clusters_sql() -> str:
+    """Every round spelled out: all distances, the smallest with the smallest number, exact floors of the means."""
+    c = centroid_walk
+    vector = f"list_transform(embedding, lambda x: CAST(floor({c.SCALE} * CAST(x AS DOUBLE)) AS BIGINT))"
+    fine = (f"len(embedding) = {c.DIMS} AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) "
+            f"OR abs(x) >= {c.LIMIT})) = 0")
+    parts = [f"""s AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{c.SEED}' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS r, vec_id, v
+  FROM (SELECT vec_id, {vector} AS v FROM embeddings WHERE {fine})
+), x AS MATERIALIZED (SELECT r, unnest(v) AS v, generate_subscripts(v, 1) AS d FROM s
+), c0 AS MATERIALIZED (SELECT r AS k, d, v AS c FROM x WHERE r < {c.K})"""]
+    for i in range(c.ROUNDS + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, k, dist FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY dist, k) AS place FROM (
+    SELECT r, k, CAST(sum((v - c) * (v - c)) AS BIGINT) AS dist FROM x JOIN c{i} USING (d) GROUP BY r, k)) WHERE place = 1)""")
+        if i < c.ROUNDS:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT k, d, coalesce(m, c) AS c FROM c{i} LEFT JOIN (
+    SELECT k, d, CAST((t - ((t % n) + n) % n) // n AS BIGINT) AS m FROM (
+      SELECT k, d, sum(v) AS t, count(*) AS n FROM a{i} JOIN x USING (r) GROUP BY k, d)) USING (k, d))""")
+    last = c.ROUNDS
+    return f"""WITH {", ".join(parts)}, h AS (
+  SELECT k, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{last} GROUP BY k)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, dist AS distance, CAST(sum(dist) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(dist) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{last} JOIN s USING (r) JOIN h USING (k)"""
+
+
+@register("op12_centroid_clusters", _clusters_sql())
+def op12(spark, sf):
+    """Cluster and squared distance of every usable vector after ten rounds."""
+    out = centroid_walk.cluster_vectors(table(spark, sf, "embeddings"))
+    return out.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+                      centroid_walk.centroid_digest(F.col("centroid")).alias("centroid_sha256"))
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): texts of ids with crc32 divisible by 10 become periodic from word a on, with period p."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    words, n = split_words(F.col("t")), F.size("words")
+    d = docs.select("doc_id", text_of(F.col("text")).alias("t"), F.floor(h / 10).alias("g"), (h % 10 == 0).alias("chosen"))
+    d = d.withColumn("words", F.when(F.col("chosen"), words))
+    a = (F.col("g") % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int")
+    unit = F.slice("words", a + 1, p)
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    whole = F.array_join(F.concat(F.slice("words", F.lit(1), a), tail), " ")
+    return d.select("doc_id", F.when(F.col("chosen") & (n > 0), whole).otherwise(F.col("t")).alias("text"))
+
+
+@register("op13_periodic_runs")
+def op13(spark, sf):
+    """Periodic runs of every document (with the planted ones), the strongest, and digests of runs and collapsed text."""
+    out = periodic_runs.collapse_runs(planted_runs(table(spark, sf, "documents")))
+    best = periodic_runs.strongest(F.col("runs"))
+    return (out.withColumn("best", best).select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        periodic_runs.runs_digest(F.col("runs")).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")))
