@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from trawl.operators import classify as C
+from trawl.operators import language as L
 from trawl.operators import tokens as K
 from trawl.operators.extraction import filter_by
 from trawl.sources.tables import table
@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="module")
 def language(spark):
-    return C.train_language_id(table(spark, SF, "documents"))
+    return L.train_language_id(table(spark, SF, "documents"))
 
 
 def test_language_scores_lie_on_both_sides_of_the_limit(spark, language):
@@ -22,7 +22,7 @@ def test_language_scores_lie_on_both_sides_of_the_limit(spark, language):
     by_lang = {l: [r.text for r in docs.where(F.col("lang") == l).limit(10).collect()] for l in ("en", "fr")}
     mixed = [a[:300] + " " + b[:300] for a, b in zip(by_lang["en"], by_lang["fr"])]
     texts = [(i, t) for i, t in enumerate(by_lang["en"] + mixed)]
-    got = C.identify_language(language, spark.createDataFrame(texts, "i long, text string"), keep=["i"]).orderBy("i").collect()
+    got = L.identify_language(language, spark.createDataFrame(texts, "i long, text string"), keep=["i"]).orderBy("i").collect()
     pure, both = got[:len(by_lang["en"])], got[len(by_lang["en"]):]
     assert all(r.lang == "en" and r.score_raw >= 0.7 for r in pure)
     assert any(r.score_raw < 0.7 for r in both) and max(r.score_raw for r in both) < min(r.score_raw for r in pure)
@@ -30,7 +30,28 @@ def test_language_scores_lie_on_both_sides_of_the_limit(spark, language):
 
 def test_language_of_blank_and_null(spark, language):
     df = spark.createDataFrame([("",), (None,), ("  ",), ("ab",)], "text string")
-    assert all(0 < r.score < 1 for r in C.identify_language(language, df).collect())
+    assert all(0 < r.score < 1 for r in L.identify_language(language, df).collect())
+
+
+def test_trigrams_outside_the_head_count(spark, language):
+    """A head far below the vocabulary: the same scores, by way of the join."""
+    docs = table(spark, SF, "documents")
+    small = L.train_language_id(docs, head_grams=200)
+    assert language.rest is None and small.rest and 0 < len(small.codes) <= 200 < len(language.codes)
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "zq"), (-4, "\u4f60\u597d \U0001f600 " * 9), (-5, "the end")], "doc_id long, text string")
+    texts = docs.select("doc_id", "text").unionByName(odd).unionByName(odd).withColumn("key", F.lit("x")).withColumn("n", F.lit(1))
+    want = {r.doc_id: (r.lang, r.score_raw) for r in L.identify_language(language, texts, keep=["doc_id"]).collect()}
+    got = L.identify_language(small, texts, keep=["doc_id"]).collect()
+    assert len(got) == texts.count()
+    assert all(r.lang == want[r.doc_id][0] and abs(r.score_raw - want[r.doc_id][1]) < 1e-9 for r in got)
+    flagged = filter_by(texts, L.English(small), flag="k")
+    assert flagged.columns == [*texts.columns, "k"]
+    assert flagged.where("k").count() == sum(l == "en" and s >= 0.7 for l, s in (want[r.doc_id] for r in got))
+
+
+def test_a_model_needs_labelled_texts(spark):
+    with pytest.raises(ValueError, match="language"):
+        L.train_language_id(spark.createDataFrame([("a", None), (None, "en")], "text string, lang string"))
 
 
 def test_filter_by_takes_columns_and_functions(spark, language):
@@ -39,7 +60,7 @@ def test_filter_by_takes_columns_and_functions(spark, language):
     assert ids(filter_by(df, F.col("text").contains("beta"))) == [1]
     assert ids(filter_by(df, lambda t: len(t) == 5)) == [3]
     assert [r.k for r in filter_by(df, str.islower, flag="k").orderBy("i").collect()] == [True, False, True]
-    english = filter_by(table(spark, SF, "documents"), C.english_text(spark, language))
+    english = filter_by(table(spark, SF, "documents"), L.English(language))
     assert english.where("lang = 'en'").count() > 0.95 * english.count() > 0
 
 
@@ -59,9 +80,9 @@ def test_language_id_beats_majority_on_holdout(spark):
     from trawl.operators.sampling import train_test_split
 
     docs = train_test_split(table(spark, "/root/testdata/sf0.01", "documents"), "doc_id")
-    model = C.train_language_id(docs.where("split = 'train'"))
+    model = L.train_language_id(docs.where("split = 'train'"))
     test = docs.where("split = 'test'")
-    pred = C.identify_language(model, test.withColumnRenamed("lang", "gold"), keep=["gold"])
+    pred = L.identify_language(model, test.withColumnRenamed("lang", "gold"), keep=["gold"])
     acc = pred.agg(F.avg((F.col("gold") == F.col("lang")).cast("double"))).first()[0]
     majority = test.groupBy("lang").count().agg(F.max("count")).first()[0] / test.count()
     assert acc > majority

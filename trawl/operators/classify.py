@@ -1,33 +1,24 @@
-"""Classifiers (M1-M6).
+"""Content classifiers (M2-M6); language identification is in ``language.py``.
 
 The reference calls pretrained fastText models that are not available
 offline. fastText is a linear model over n-gram features; the same shape here:
-character trigrams with naive Bayes weights for language (M1), and Spark ML
-logistic regressions over words (and the look of the text) for toxicity and
+Spark ML logistic regressions over words (and the look of the text) for toxicity and
 quality, trained on the labels of the given tables. A fitted model is shipped
 to executors once and applied to any text, labelled or not.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import NamedTuple
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer,
                                 RegexTokenizer, SQLTransformer, StopWordsRemover, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.patterns import ENGLISH_MIN_SCORE
 from ..functions.text import preprocess_for_classifier
-from ..session import drop_table, materialize
 
 #: Rows of feature vectors per training task.
 ROWS_PER_PARTITION = 2_000
@@ -51,117 +42,6 @@ def _balanced_weights(df: DataFrame, label: str) -> DataFrame:
     return df.join(F.broadcast(w), label)  # one row per class
 
 
-# ------------------------------------------------------------------ M1 language
-#: Overlapping trigrams of running text are not independent: a text counts as the evidence
-#: of this many average trigrams, so its score says how clear the language is, not how long the text.
-EVIDENCE = 1
-#: The model goes to every worker: this many trigrams at most, the most frequent ones.
-MAX_GRAMS = 1 << 20
-
-
-def language_text(text_col: str | Column) -> Column:
-    """What the language model sees: newlines as spaces, stripped, lower-cased, a space on both ends."""
-    return F.concat(F.lit(" "), F.lower(preprocess_for_classifier(text_col, lower=False)), F.lit(" "))
-
-
-def trigram_codes(text: str) -> np.ndarray:
-    """A code per character trigram, in text order."""
-    c = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    return (c[:-2] << np.uint64(42)) | (c[1:-1] << np.uint64(21)) | c[2:]
-
-
-class LanguageModel(NamedTuple):
-    """Multinomial naive Bayes with add-one smoothing over trigrams."""
-
-    langs: list[str]
-    prior: np.ndarray
-    codes: np.ndarray  # sorted
-    weights: np.ndarray  # [trigram, lang] log likelihoods
-
-    def scores(self, text: str) -> np.ndarray:
-        """Probability of every language."""
-        c = trigram_codes(text)
-        at = np.minimum(np.searchsorted(self.codes, c), max(len(self.codes) - 1, 0))
-        at = at[self.codes[at] == c] if len(self.codes) else at[:0]
-        n = np.bincount(at, minlength=len(self.codes))
-        used = np.flatnonzero(n)
-        total = n[used] @ self.weights[used]
-        s = self.prior + total / max(len(at), 1) * min(len(at), EVIDENCE)
-        e = np.exp(s - s.max())
-        return e / e.sum()
-
-
-def trigram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, code, n): counted inside each batch, then one aggregate."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            by_lang: dict[str, list[np.ndarray]] = {}
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                by_lang.setdefault(lang, []).append(trigram_codes(text))
-            for lang, codes in by_lang.items():
-                u, n = np.unique(np.concatenate(codes), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(u), type=pa.string()), pa.array(u.view(np.int64)),
-                                                  pa.array(n.astype(np.int64))], ["lang", "code", "n"])
-    return (docs.select(lang_col, language_text(text_col).alias("t")).mapInArrow(work, "lang string, code long, n long")
-            .groupBy("lang", "code").agg(F.sum("n").alias("n")))
-
-
-def train_language_id(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                      max_grams: int = MAX_GRAMS) -> LanguageModel:
-    """Fit on labelled texts: one aggregate; the driver gets a row per trigram and language."""
-    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    per_doc = {r[lang_col]: r["n"] for r in labelled.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).collect()}
-    counts = materialize(trigram_counts(labelled, text_col, lang_col), "trigrams")
-    totals = {r["lang"]: (r["n"], r["grams"]) for r in counts.groupBy("lang").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("grams")).collect()}
-    vocabulary = counts.groupBy("code").agg(F.sum("n").alias("all"))
-    n_vocabulary = vocabulary.count()
-    top = vocabulary.orderBy(F.col("all").desc(), "code").limit(max_grams)
-    rows = counts.join(top, "code").select("lang", "code", "n").toPandas()
-    langs = sorted(per_doc)
-    codes = np.unique(rows["code"].to_numpy(dtype=np.int64).view(np.uint64))
-    weights = np.zeros((len(codes), len(langs)))
-    at = np.searchsorted(codes, rows["code"].to_numpy(dtype=np.int64).view(np.uint64))
-    weights[at, np.array([langs.index(x) for x in rows["lang"]], dtype=np.int64)] = np.log(rows["n"].to_numpy() + 1.0)
-    weights -= np.log(np.array([totals.get(x, (0, 0))[0] for x in langs], dtype=float) + n_vocabulary)
-    prior = np.log(np.array([per_doc[x] for x in langs], dtype=float) / sum(per_doc.values()))
-    drop_table(counts)
-    return LanguageModel(langs, prior, codes, weights)
-
-
-def language_of(spark: SparkSession, model: LanguageModel, text_col: str | Column = "text") -> Column:
-    """struct(lang, score) of a text column: the most probable language and its probability."""
-    sent = spark.sparkContext.broadcast(model)
-
-    @F.pandas_udf("lang string, score double")
-    def judge(texts: pd.Series) -> pd.DataFrame:
-        p = [sent.value.scores(t) for t in texts]
-        best = [int(x.argmax()) for x in p]
-        return pd.DataFrame({"lang": [sent.value.langs[i] for i in best],
-                             "score": [float(x[i]) for x, i in zip(p, best, strict=True)]})
-    return judge(F.coalesce(language_text(text_col), F.lit("  ")))
-
-
-def identify_language(model: LanguageModel, df: DataFrame, text_col: str = "text",
-                      keep: list[str] | None = None) -> DataFrame:
-    """(…, lang, score, score_raw): top-1 language; score rounded to 4 places."""
-    out = df.withColumn("_l", language_of(df.sparkSession, model, text_col))
-    return out.select(*(keep or []), F.col("_l.lang").alias("lang"),
-                      F.round("_l.score", 4).alias("score"), F.col("_l.score").alias("score_raw"))
-
-
-def is_english(lang: str | Column = "lang", score_raw: str | Column = "score_raw") -> Column:
-    """label 'en' and unrounded score >= 0.7."""
-    lang, score = (F.col(x) if isinstance(x, str) else x for x in (lang, score_raw))
-    return (lang == "en") & (score >= ENGLISH_MIN_SCORE)
-
-
-def english_text(spark: SparkSession, model: LanguageModel, text_col: str = "text") -> Column:
-    """F9 as a predicate on any text column."""
-    judged = language_of(spark, model, text_col)
-    return is_english(judged["lang"], judged["score"])
-
-
 # ------------------------------------------------------------------ M2/M3 content
 def _partitioned(vectors: DataFrame) -> DataFrame:
     """Feature vectors in tasks of ROWS_PER_PARTITION rows, kept for the iterations."""

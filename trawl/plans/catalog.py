@@ -607,6 +607,7 @@ def q_pick_per_component(spark, sf):
 
 # =============================================================== 2.10 M1 language
 from ..operators import classify as C  # noqa: E402
+from ..operators import language as LG  # noqa: E402
 
 
 def _split_docs(spark, sf):
@@ -615,7 +616,7 @@ def _split_docs(spark, sf):
 
 
 def _language_model(spark, sf):
-    return C.train_language_id(_split_docs(spark, sf).where("split = 'train'"))
+    return LG.train_language_id(_split_docs(spark, sf).where("split = 'train'"))
 
 
 def _grams_sql(src: str, cols: str) -> str:
@@ -638,7 +639,7 @@ g AS (SELECT id, gram, count(*) AS cnt FROM ({_grams_sql("x", "id")}) WHERE gram
 sparse AS (SELECT id, lang, sum(cnt * ln(c + 1)) AS s FROM g JOIN gl USING (gram) GROUP BY id, lang),
 nin AS (SELECT id, sum(cnt) AS n FROM g GROUP BY id),
 base AS (SELECT x.id, l.lang, prior + CASE WHEN n IS NULL THEN 0 ELSE
-           (coalesce(s, 0) - n * logden) / n * least(n, {C.EVIDENCE}) END AS score
+           (coalesce(s, 0) - n * logden) / n * least(n, {LG.EVIDENCE}) END AS score
          FROM x CROSS JOIN langs l LEFT JOIN nin ON nin.id = x.id LEFT JOIN sparse p ON p.id = x.id AND p.lang = l.lang),
 judged AS (SELECT id, arg_max(lang, score) AS lang, 1 / sum(exp(score - top)) AS score
            FROM (SELECT *, max(score) OVER (PARTITION BY id) AS top FROM base) GROUP BY id)"""
@@ -651,22 +652,22 @@ _DOC_LANGUAGE_SQL = _language_sql("SELECT doc_id AS id, text FROM documents")
 SELECT id AS doc_id, split, judged.lang AS lang, round(score, 4) AS score FROM judged JOIN d ON d.doc_id = id""")
 def q_identify_language(spark, sf):
     """M1: character-trigram model trained on the 80 % split, applied to all documents."""
-    pred = C.identify_language(_language_model(spark, sf), _split_docs(spark, sf), keep=["doc_id", "split"])
+    pred = LG.identify_language(_language_model(spark, sf), _split_docs(spark, sf), keep=["doc_id", "split"])
     return pred.drop("score_raw")
 
 
 @register("langid_nb_sql", _DOC_LANGUAGE_SQL + "SELECT id AS doc_id, lang FROM judged")
 def q_langid_nb_sql(spark, sf):
     """M1, the label alone."""
-    return C.identify_language(_language_model(spark, sf), _split_docs(spark, sf), keep=["doc_id"]).select("doc_id", "lang")
+    return LG.identify_language(_language_model(spark, sf), _split_docs(spark, sf), keep=["doc_id"]).select("doc_id", "lang")
 
 
 @register("filter_english_model", _DOC_LANGUAGE_SQL + """
 SELECT id AS doc_id, lang, round(score, 4) AS score FROM judged WHERE lang = 'en' AND score >= 0.7""")
 def q_filter_english_model(spark, sf):
     """F9 model form: predicted 'en' with unrounded score >= 0.7."""
-    pred = C.identify_language(_language_model(spark, sf), _split_docs(spark, sf), keep=["doc_id"])
-    return pred.where(C.is_english()).select("doc_id", "lang", "score")
+    pred = LG.identify_language(_language_model(spark, sf), _split_docs(spark, sf), keep=["doc_id"])
+    return pred.where(LG.is_english()).select("doc_id", "lang", "score")
 
 
 @register("filter_by", f"SELECT doc_id FROM documents WHERE length(text) - length(replace(text, 'the', '')) > 0")
@@ -678,6 +679,7 @@ def q_filter_by(spark, sf):
 
 # =============================================================== 2.1 sources / 2.12 streaming
 from ..session import materialize, scratch_path  # noqa: E402
+from ..sources import archive_format as AF  # noqa: E402
 from ..sources import files as FS  # noqa: E402
 from ..sources import warc as W  # noqa: E402
 from ..streaming import incremental as W_stream  # noqa: E402
@@ -774,18 +776,14 @@ SELECT chunk, CAST(sum(n) AS BIGINT) AS total_chars, CAST(sum(CASE WHEN keep THE
 
 def _filtered_wet(spark, sf):
     src = _wet_of_pages(spark, sf, partition_by="chunk")
-    recs = W.read_records(spark, src)[0].withColumn("chunk", W_stream.chunk_of_file(F.col("file")))
-    text = F.make_valid_utf8(F.col("block").cast("string"))
-    judged = C.language_of(spark, _language_model(spark, sf), text)
-    recs = recs.withColumn("_l", judged)
+    recs = AF.read_archive(spark, src).where("reason IS NULL").withColumn("chunk", W_stream.chunk_of_file(F.col("file")))
     out = scratch_path(spark, "wet-filtered")
-    share = W.write_filtered_wet(recs, C.is_english(F.col("_l.lang"), F.col("_l.score")), out)
-    return share, out
+    return W.write_filtered_wet(recs, LG.English(_language_model(spark, sf)), out), out
 
 
 @register("write_filtered_wet", _KEPT_SHARE_SQL + " FROM w GROUP BY chunk")
 def q_write_filtered_wet(spark, sf):
-    """S6 + A4: conversion records that the language model calls English are kept; kept share per chunk."""
+    """S6 + A4: conversion records that the language model calls English are written as archives; kept share per chunk."""
     return _filtered_wet(spark, sf)[0]
 
 
@@ -793,9 +791,9 @@ def q_write_filtered_wet(spark, sf):
 SELECT 'c' || substr(md5(x.id), 1, 1) AS chunk, x.id AS uri, text FROM x JOIN judged USING (id)
 WHERE lang = 'en' AND score >= 0.7""")
 def q_filtered_wet_records(spark, sf):
-    """The written records, read back."""
-    out = _filtered_wet(spark, sf)[1]
-    return spark.read.parquet(out).select("chunk", "uri", F.col("block").cast("string").alias("text"))
+    """The written archives, read back."""
+    recs = AF.read_archive(spark, _filtered_wet(spark, sf)[1])
+    return recs.select(W_stream.chunk_of_file(F.col("file")).alias("chunk"), "uri", F.col("block").cast("string").alias("text"))
 
 
 @register("scan_path_manifest", """
@@ -846,7 +844,7 @@ def q_incremental_language_filter(spark, sf):
     to parquet; the checkpoint makes reruns process only new files."""
     src = _wet_of_pages(spark, sf, partition_by="chunk")
     out, ck = scratch_path(spark, "r1-out"), scratch_path(spark, "r1-ckpt")
-    W_stream.incremental_language_filter(spark, src + "/*", out, ck, C.english_text(spark, _language_model(spark, sf)))
+    W_stream.incremental_language_filter(spark, src + "/*", out, ck, LG.English(_language_model(spark, sf)))
     return spark.read.parquet(out).select("uri", "text")
 
 
@@ -855,7 +853,7 @@ def q_incremental_kept_ratio(spark, sf):
     """R2: kept share per micro-batch and chunk, written idempotently per batch."""
     src = _wet_of_pages(spark, sf, partition_by="chunk")
     out, ck = scratch_path(spark, "r2-out"), scratch_path(spark, "r2-ckpt")
-    W_stream.incremental_kept_ratio(spark, src + "/*", out, ck, C.english_text(spark, _language_model(spark, sf)))
+    W_stream.incremental_kept_ratio(spark, src + "/*", out, ck, LG.English(_language_model(spark, sf)))
     return spark.read.parquet(out)
 
 

@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.html import declared_charset, decode_bytes
+from ..operators.extraction import filter_by
+from ..session import materialize
+from .archive_format import write_records
 from .records import SCHEMA, join_edges, split_records
 from .tables import spread
 
@@ -116,20 +119,21 @@ def text_to_wet(docs: DataFrame, path: str, uri_col: str = "url", text_col: str
     write_archive(docs.select(*cols), path, F.col("t"), F.col("u"), F.col("b"), partition_by)
 
 
-def write_filtered_wet(recs: DataFrame, keep: Column, path: str, chunk_col: str = "chunk") -> DataFrame:
-    """Keep passing ``conversion`` records, pass every other record type
-    through unfiltered, payload bytes unchanged; parquet partitioned by chunk.
-    Returns the per-chunk kept ratio (A4) of the conversion text."""
+def write_filtered_wet(recs: DataFrame, keep, path: str) -> DataFrame:
+    """Archives of the ``conversion`` records that ``keep`` accepts (see ``filter_by``; judged on ``text``) and of all
+    records of other types, heads and payloads unchanged, a folder per chunk. Returns the
+    per-chunk kept ratio (A4) of the conversion text.
+
+    ``recs``: chunk, warc_type, uri, head, block, as ``archive_format.read_archive`` gives them. Records are read, parsed
+    and judged once, into a table; archives and ratio come from it, the ratio from three narrow columns.
+    """
     is_conv = F.col("warc_type") == "conversion"
-    recs.where(~is_conv | F.coalesce(keep, F.lit(False))).write.mode("overwrite").partitionBy(chunk_col).parquet(path)
-    n = F.when(is_conv, F.length(F.make_valid_utf8(F.col("block").cast("string")))).otherwise(0)
-    chunk = F.col(chunk_col).cast("string").alias(chunk_col)
-    # kept characters from what was written: the predicate (a model, often) runs once
-    written = recs.sparkSession.read.parquet(path).select(chunk, n.alias("n"))
-    kept = written.groupBy(chunk_col).agg(F.sum("n").cast("bigint").alias("kept_chars"))
-    seen = recs.groupBy(chunk).agg(F.sum(n).cast("bigint").alias("total_chars"))
-    skipped = F.col("total_chars") - F.coalesce("kept_chars", F.lit(0))
-    return _with_percent(seen.join(kept, chunk_col, "left").select(chunk_col, "total_chars", skipped.alias("skipped_chars")))
+    text = F.when(is_conv, F.make_valid_utf8(F.col("block").cast("string")))
+    few = recs.select(F.col("chunk").cast("string").alias("chunk"), "warc_type", "uri", "head", "block", text.alias("text"))
+    judged = filter_by(few, keep, flag="kept").withColumn("n", F.coalesce(F.length("text"), F.lit(0)))
+    judged = materialize(judged.withColumn("kept", ~is_conv | F.col("kept")).drop("text"), "judged")
+    write_records(judged.where("kept"), path)
+    return kept_share(judged, "chunk", F.col("n"), F.col("kept"))
 
 
 def _with_percent(share: DataFrame) -> DataFrame:
