@@ -32,16 +32,11 @@ def test_edge_cases_match_sql(spark, edge_dir, name):
     assert rows_of(QUERIES[name](spark, edge_dir).toPandas()) == rows_of(con.execute(ORACLES[name]).df())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op5_quality_classifier"}))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables_give_empty_results(spark, empty_dir, name):
     assert QUERIES[name](spark, empty_dir).count() == 0
 
 
-def test_classifier_needs_labels(spark, empty_dir):
-    with pytest.raises(ValueError, match="labelled"):
-        QUERIES["op5_quality_classifier"](spark, empty_dir)
-
-
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op1_url_filters", "op12_centroid_clusters"}))
 def test_a_row_per_document(spark, edge_dir, name):
     got = QUERIES[name](spark, edge_dir).select("doc_id").toPandas()["doc_id"].tolist()

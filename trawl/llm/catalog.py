@@ -103,9 +103,8 @@ UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """)
 def op6(spark, sf):
     """Lines of every document, those removed as cross-site boilerplate, and the digest of what stays."""
-    out = line_spread.dedup_lines(table(spark, sf, "documents"))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"),
-                      F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("n_removed"),
+    out = line_spread.dedup_lines(table(spark, sf, "documents"), n_lines="n_lines", removed="removed")
+    return out.select("doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
                       F.md5("text").alias("text_md5"))
 
 
@@ -249,7 +248,7 @@ def op5(spark, sf):
     """Expected grade, probability of the good grade and verdict of every document."""
     docs = table(spark, sf, "documents")
     grades = quality_ordinal.graded_labels(table(spark, sf, "labels"))
-    model = quality_ordinal.fit_ordinal(*quality_ordinal.labelled_features(docs, grades))
+    model = quality_ordinal.fit_ordinal(*quality_ordinal.labelled_features(docs, grades), n_grades=3)
     out = quality_ordinal.score_quality(docs, model, good_grade=2)
     return out.withColumn("kept", F.col("tail_probability") >= 0.5)
 

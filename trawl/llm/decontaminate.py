@@ -348,6 +348,7 @@ def _cut_once(rows: DataFrame, limit: float) -> DataFrame:
 def _remove_by_blocks(docs: DataFrame, matchers: list, max_coverage: float) -> DataFrame:
     """``remove_spans`` over several blocks: a pass per block, one automaton in a worker at a time."""
     row, new = private(docs.columns, "_row"), private(docs.columns, "_new")
+    cut = private(docs.columns, "_cut")
     every = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "spans-docs")
     left, limit = every.select(F.col(row).alias("row"), "text"), max_coverage
     done = None
@@ -368,7 +369,7 @@ def _remove_by_blocks(docs: DataFrame, matchers: list, max_coverage: float) -> D
         left, limit = cut.where(F.col("text").isNotNull()), 1.0  # coverage is judged on the whole text alone
         if left.isEmpty():
             break
-    done = done.select(F.col("row").alias(row), F.col("text").alias(new), F.lit(True).alias(new + "_cut"))
-    text = F.when(F.col(new + "_cut"), F.col(new)).otherwise(F.col("text"))
-    return (every.join(done, row, "left").where(F.col(new + "_cut").isNull() | F.col(new).isNotNull())
+    done = done.select(F.col("row").alias(row), F.col("text").alias(new), F.lit(True).alias(cut))
+    text = F.when(F.col(cut), F.col(new)).otherwise(F.col("text"))
+    return (every.join(done, row, "left").where(F.col(cut).isNull() | F.col(new).isNotNull())
             .withColumn("text", text).select(*docs.columns))

@@ -63,18 +63,21 @@ def removed_lines(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K,
             .groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("removed")))
 
 
-def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K,
-                band: float = BAND) -> DataFrame:
-    """``docs`` with ``text`` rewritten, and ``_n_lines`` and ``_removed`` (line numbers or null)
-    added (columns of these two names are replaced)."""
-    docs = docs.drop("_n_lines", "_removed")
-    id_, hash_, lines = (private(docs.columns, c) for c in ("_id", "_hash", "_lines"))
+def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, band: float = BAND,
+                n_lines: str | None = None, removed: str | None = None) -> DataFrame:
+    """``docs`` with ``text`` rewritten. Given their names, columns with the number of lines and with the removed
+    lines' numbers (null: none) are added; columns of ``docs`` by these two names are replaced."""
+    docs = docs.drop(*(c for c in (n_lines, removed) if c))
+    id_, hash_, lines, gone_ = (private(docs.columns, c) for c in ("_id", "_hash", "_lines", "_removed"))
     gone = removed_lines(docs, min_sites, lg_k, band).select(
-        F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("removed").alias("_removed"))
+        F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("removed").alias(gone_))
     j = docs.join(gone, docs["doc_id"].eqNullSafe(gone[id_]) & (F.xxhash64(docs["text"]) == gone[hash_]), "left")
-    j = (j.withColumn("_n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long"))
-         .withColumn(lines, F.when(F.col("_removed").isNotNull(), F.split("text", "\n"))))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
-    return (j.withColumn("text", F.when(F.col("_removed").isNull(), F.col("text")).otherwise(
-                F.array_join(F.transform(kept, lambda i: F.get(F.col(lines), i)), "\n")))
-            .drop(id_, hash_, lines))
+    if n_lines:
+        j = j.withColumn(n_lines, F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long"))
+    j = j.withColumn(lines, F.when(F.col(gone_).isNotNull(), F.split("text", "\n")))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone_))
+    j = j.withColumn("text", F.when(F.col(gone_).isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(kept, lambda i: F.get(F.col(lines), i)), "\n")))
+    if removed:
+        j = j.withColumn(removed, F.col(gone_))
+    return j.drop(id_, hash_, lines, gone_)

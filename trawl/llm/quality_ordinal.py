@@ -16,8 +16,8 @@ with a broadcast of fixed size: no shuffle of texts.
 
 Defined results: null and empty texts have no features and get the thresholds' own
 probabilities; rows repeating an id are scored row by row, and labels repeating an id count
-each; null grades are not fitted; without labelled rows the fit raises ValueError; an empty
-table gives an empty result; extra columns are ignored.
+each; null grades are not fitted; without labelled rows, or with one grade only, all texts get the same
+probabilities (``fit_ordinal``); an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -83,42 +83,57 @@ class OrdinalModel(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(scores[:, None] - self.thresholds[None, :], -60, 60)))
 
 
+def loss_and_gradient(p: np.ndarray, width: int, col: np.ndarray, doc: np.ndarray, shape: np.ndarray,
+                      grades: np.ndarray, ridge: float) -> tuple[float, np.ndarray]:
+    """Mean negative log-likelihood with the ridge, and its gradient.
+
+    ``p``: ``width`` word weights, shape weights, the first threshold, logarithms of the gaps to the next ones;
+    ``col`` and ``doc``: word weight and row of every feature.
+    """
+    n, at = len(grades), width + shape.shape[1]
+    rows, top = np.arange(n), len(p) - at
+    w, s, gaps = p[:width], p[width:at], np.exp(p[at + 1:])
+    theta = p[at] + np.concatenate([[0.0], np.cumsum(gaps)])
+    score = np.bincount(doc, weights=w[col], minlength=n) + shape @ s
+    tail = 1 / (1 + np.exp(-np.clip(score[:, None] - theta[None, :], -60, 60)))
+    full = np.concatenate([np.ones((n, 1)), tail, np.zeros((n, 1))], axis=1)
+    prob = np.maximum(full[rows, grades] - full[rows, grades + 1], 1e-9)
+    slope = np.concatenate([np.zeros((n, 1)), tail * (1 - tail), np.zeros((n, 1))], axis=1)
+    lo, hi = slope[rows, grades] / prob, slope[rows, grades + 1] / prob
+    d_score = (hi - lo) / n
+    d_theta = np.zeros((n, top + 2))
+    d_theta[rows, grades] += lo / n
+    d_theta[rows, grades + 1] -= hi / n
+    later = np.cumsum(d_theta.sum(axis=0)[1:-1][::-1])[::-1]
+    g = np.concatenate([np.bincount(col, weights=d_score[doc], minlength=width) + ridge * w,
+                        shape.T @ d_score + ridge * s, [later[0]], later[1:] * gaps])
+    return float(-np.log(prob).mean() + ridge / 2 * ((w ** 2).sum() + (s ** 2).sum())), g
+
+
 def fit_ordinal(slots: np.ndarray, per: np.ndarray, shape: np.ndarray, grades: np.ndarray,
                 min_docs: int = MIN_DOCS, epochs: int = EPOCHS, rate: float = RATE,
-                ridge: float = RIDGE) -> OrdinalModel:
-    """Maximum likelihood with a ridge on the weights, by Adam over the whole sample."""
-    n, top = len(grades), int(grades.max()) if len(grades) else 0
-    if n == 0 or top == 0:
-        raise ValueError("the fit needs labelled rows of at least two grades")
+                ridge: float = RIDGE, n_grades: int = 2) -> OrdinalModel:
+    """Maximum likelihood with a ridge on the weights, by Adam over the whole sample.
+
+    There are at least ``n_grades`` grades, seen or not. Without labelled rows, or with rows of one grade only,
+    nothing tells texts apart: all get the same probabilities, the grades' shares (a half each without rows).
+    """
+    n = len(grades)
+    top = max(int(grades.max()) if n else 0, n_grades - 1)
+    share = np.array([(grades >= k).mean() if n else 0.5 for k in range(1, top + 1)]).clip(1e-4, 1 - 1e-4)
+    # thresholds as a first value and log gaps: they stay ordered
+    t0 = -np.log(share / (1 - share))
+    if n == 0 or grades.min() == grades.max():
+        return OrdinalModel(np.zeros(1 << SLOTS_LOG2, dtype=np.float32), np.zeros(SHAPES, dtype=np.float32), t0)
     df = np.bincount(slots, minlength=1 << SLOTS_LOG2)
     used = df[slots] >= min_docs
     doc = np.repeat(np.arange(n), per)[used]
     slots, number = slots[used], np.cumsum(df >= min_docs) - 1
     col, width = number[slots], int(number[-1]) + 1
-    share = np.array([(grades >= k).mean() for k in range(1, top + 1)]).clip(1e-4, 1 - 1e-4)
-    # thresholds as a first value and log gaps: they stay ordered
-    t0 = -np.log(share / (1 - share))
     p = np.concatenate([np.zeros(width + SHAPES), [t0[0]], np.log(np.maximum(np.diff(t0), 0.05))])
     m, v = np.zeros_like(p), np.zeros_like(p)
-    rows = np.arange(n)
     for step in range(1, epochs + 1):
-        w, s = p[:width], p[width:width + SHAPES]
-        gaps = np.exp(p[width + SHAPES + 1:])
-        theta = p[width + SHAPES] + np.concatenate([[0.0], np.cumsum(gaps)])
-        score = np.bincount(doc, weights=w[col], minlength=n) + shape @ s
-        tail = 1 / (1 + np.exp(-np.clip(score[:, None] - theta[None, :], -60, 60)))
-        full = np.concatenate([np.ones((n, 1)), tail, np.zeros((n, 1))], axis=1)
-        prob = np.maximum(full[rows, grades] - full[rows, grades + 1], 1e-9)
-        slope = np.concatenate([np.zeros((n, 1)), tail * (1 - tail), np.zeros((n, 1))], axis=1)
-        lo, hi = slope[rows, grades] / prob, slope[rows, grades + 1] / prob
-        d_score = (hi - lo) / n  # of the negative log-likelihood
-        d_theta = np.zeros((n, top + 2))
-        d_theta[rows, grades] += lo / n
-        d_theta[rows, grades + 1] -= hi / n
-        d_theta = d_theta.sum(axis=0)[1:-1]
-        later = np.cumsum(d_theta[::-1])[::-1]
-        g = np.concatenate([np.bincount(col, weights=d_score[doc], minlength=width) + ridge * w,
-                            shape.T @ d_score + ridge * s, [later[0]], later[1:] * gaps])
+        _, g = loss_and_gradient(p, width, col, doc, shape, grades, ridge)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     weights = np.zeros(1 << SLOTS_LOG2, dtype=np.float32)
