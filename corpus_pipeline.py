@@ -32,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: cross-site boilerplate lines stay at their first place only."""
-    return _with_length(line_spread.dedup_lines(docs).drop("_n_lines", "_removed")).select(*docs.columns)
+    return _with_length(line_spread.dedup_lines(docs)).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
