@@ -67,7 +67,7 @@ def filter_by(df: DataFrame, keep: Column | Callable[[str], bool], text_col: str
     ``str -> bool`` function, which runs over Arrow batches, or a predicate that needs joins (an object
     with ``flag(df, text_col, name)``, such as ``language.English``). Null counts as not kept. With
     ``flag`` every row stays and the verdict is a column of that name."""
-    if hasattr(keep, "flag"):
+    if not isinstance(keep, Column) and hasattr(keep, "flag"):
         name = flag or "_" + "_".join(df.columns)  # no column of df
         judged = keep.flag(df, text_col, name).withColumn(name, F.coalesce(name, F.lit(False)))
         return judged if flag else judged.where(name).drop(name)

@@ -20,19 +20,6 @@ def seeded_key(col, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string")))
 
 
-def sample_n(df: DataFrame, n: int, key: str, seed: int = 0, check: bool = True) -> DataFrame:
-    """L1: n rows without replacement (smallest seeded keys; TakeOrdered, no full sort).
-
-    ``check`` raises like ``random.sample`` when n exceeds the population
-    (one count on the driver).
-    """
-    if check:
-        total = df.count()
-        if n > total:
-            raise ValueError("Sample larger than population or is negative")
-    return df.orderBy(seeded_key(key, seed), F.col(key)).limit(n)
-
-
 def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """``df`` in a global order, written once with its row number inside (_pid, _idx).
 
@@ -66,12 +53,48 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank") -> D
             .drop("_pid", "_idx", "_off"))
 
 
+#: Buckets of a seeded key (its first hex digits) that the histogram of a selection counts.
+KEY_DIGITS = 4
+
+
+def smallest_keys(df: DataFrame, n: int, key: str, seed: int = 0) -> tuple[DataFrame, int]:
+    """(the n rows with the smallest seeded keys, the population), for n of any size.
+
+    A histogram of key prefixes (65,536 rows at most) tells which bucket holds the n-th key: rows of smaller buckets are taken
+    where they lie, and only the boundary bucket is ranked. Null keys come first.
+    """
+    k = F.coalesce(seeded_key(key, seed), F.lit(""))
+    bucket = F.substring(k, 1, KEY_DIGITS)
+    sizes = sorted((r["b"], r["n"]) for r in df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+    total, left = sum(x for _, x in sizes), n
+    for b, size in sizes:
+        if size >= left:
+            break
+        left -= size
+    else:
+        return df, total
+    rank = "_" + "_".join(df.columns)  # no column of df
+    edge = global_rank(df.where(bucket == b), [k, F.col(key)], rank).where(F.col(rank) <= left).select(*df.columns)
+    return df.where(bucket < b).unionByName(edge), total
+
+
+def sample_n(df: DataFrame, n: int, key: str, seed: int = 0, check: bool = True) -> DataFrame:
+    """L1: n rows without replacement (smallest seeded keys), selected in place whatever n is.
+
+    ``check`` raises like ``random.sample`` when n exceeds the population.
+    """
+    chosen, total = smallest_keys(df, n, key, seed)
+    if check and n > total:
+        raise ValueError("Sample larger than population or is negative")
+    return chosen
+
+
 def seeded_prefix_sample(paths: DataFrame, n_files: int, key: str = "path",
                          seed: int = SHARD_SHUFFLE_SEED,
                          group_size: int = CHUNK_GROUP_SIZE) -> DataFrame:
-    """L2: shuffled order with a fixed seed, first n (rounded down to a multiple
-    of group_size). A larger n always returns a superset of a smaller n."""
-    return assign_chunks(paths, n_files, key, seed, group_size).drop("rank", "chunk")
+    """L2: the first n paths (rounded down to a multiple of group_size) of a shuffled order with a fixed
+    seed. A larger n always returns a superset of a smaller n. No sort: see ``smallest_keys``."""
+    return smallest_keys(paths, n_files - n_files % group_size, key, seed)[0]
 
 
 def assign_chunks(paths: DataFrame, n_files: int, key: str = "path",

@@ -274,8 +274,7 @@ def q_dedup_lines(spark, sf):
 MH_PARAMS = MH.MinHashParams(num_hashes=100, num_bands=10, ngrams=5, threshold=0.8, mode="md5")
 
 
-def _minhash_sql(p: MH.MinHashParams) -> str:
-    n, h, r = p.ngrams, p.num_hashes, p.rows
+def _shingles_sql(n: int) -> str:
     return f"""
 WITH RECURSIVE nrm AS (SELECT doc_id, {S.normalize('text')} AS norm FROM documents),
 w AS (SELECT doc_id, norm, string_split(norm, ' ') AS words FROM nrm),
@@ -284,7 +283,12 @@ g AS (
                       WHEN len(words) < {n} THEN [norm]
                       ELSE list_distinct(list_transform(range(0, len(words) - {n} + 1),
                              lambda i: array_to_string(words[i + 1:i + {n}], ' '))) END AS grams
-  FROM w),
+  FROM w)"""
+
+
+def _minhash_sql(p: MH.MinHashParams) -> str:
+    h, r = p.num_hashes, p.rows
+    return _shingles_sql(p.ngrams) + f""",
 sh AS (SELECT doc_id, unnest(grams) AS s FROM g),
 sizes AS (SELECT doc_id, CAST(len(grams) AS BIGINT) AS k FROM g),
 sig AS (
@@ -355,6 +359,65 @@ def q_dedup_minhash(spark, sf):
     return MH.dedup_minhash(docs, MH_PARAMS).select("doc_id", "source")
 
 
+# --------------------------------------------------------------- 2.9 exact similarity join
+from ..operators import setjoin as SJ  # noqa: E402
+from ..session import materialize  # noqa: E402
+
+
+def _similar_sql() -> str:
+    """CTEs who(doc_id, rep) and pairs(x, y, common, total): all pairs of distinct sets that share a shingle, compared."""
+    return _shingles_sql(SJ.NGRAMS) + f""",
+k AS (SELECT doc_id, grams, len(grams) AS n, min(doc_id) OVER (PARTITION BY array_to_string(list_sort(grams), chr(10)), len(grams)) AS rep
+      FROM g),
+who AS (SELECT doc_id, rep FROM k),
+one AS (SELECT rep, n, unnest(grams) AS s FROM k WHERE doc_id = rep),
+pairs AS (
+  SELECT a.rep AS x, b.rep AS y, count(*) AS common, a.n + b.n - count(*) AS total
+  FROM one a JOIN one b ON a.s = b.s AND a.rep < b.rep GROUP BY a.rep, b.rep, a.n, b.n
+  HAVING count(*) >= {SJ.THRESHOLD} * (a.n + b.n - count(*)))"""
+
+
+@register("exact_jaccard_pairs", _similar_sql() + """
+SELECT x, y, CAST(common AS BIGINT) AS common, CAST(total AS BIGINT) AS total, round(common / total, 6) AS jaccard FROM pairs""")
+def q_exact_jaccard_pairs(spark, sf):
+    """All pairs of distinct shingle sets (5 words) with Jaccard >= 0.8, by their representatives."""
+    found, _ = SJ.similar_pairs(spread(table(spark, sf, "documents").select("doc_id", "text")))
+    return found.select("x", "y", "common", "total", F.round("jaccard", 6).alias("jaccard"))
+
+
+@register("exact_jaccard_documents", _similar_sql() + """,
+e2 AS (SELECT x AS a, y AS b FROM pairs UNION ALL SELECT y, x FROM pairs),
+reach(node, comp) AS (SELECT DISTINCT rep, rep FROM who UNION SELECT e2.b, reach.comp FROM reach JOIN e2 ON reach.node = e2.a),
+parts AS (SELECT node, min(comp) AS component FROM reach GROUP BY node),
+links AS (SELECT a, count(*) AS n FROM e2 GROUP BY a)
+SELECT doc_id, rep, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component
+FROM who JOIN parts ON node = rep LEFT JOIN links ON a = rep""")
+def q_exact_jaccard_documents(spark, sf):
+    """Every document's set, the number of other sets similar to it, and its component."""
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return SJ.linked_documents(*SJ.similar_pairs(docs))
+
+
+def _recall(spark, sf, p: MH.MinHashParams):
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    bands = MH.band_rows(materialize(MH.signature_table(docs, p), "sig_tbl"), p)
+    return SJ.lsh_recall(*SJ.similar_pairs(docs), bands)
+
+
+@register("lsh_recall_md5", _minhash_sql(MH_PARAMS) + "," + _similar_sql().removeprefix(_shingles_sql(SJ.NGRAMS) + ",") + """,
+met AS (SELECT DISTINCT a.doc_id AS x, b.doc_id AS y FROM bands a JOIN bands b ON a.band = b.band AND a.key = b.key)
+SELECT count(*) AS n_pairs, count(m.x) AS n_found FROM pairs p LEFT JOIN met m ON m.x = p.x AND m.y = p.y""")
+def q_lsh_recall_md5(spark, sf):
+    """Of all similar pairs of distinct sets, those that the md5 bands make candidates."""
+    return _recall(spark, sf, MH_PARAMS)
+
+
+@register("lsh_recall_fast")
+def q_lsh_recall_fast(spark, sf):
+    """Of all similar pairs of distinct sets, those that the fast bands make candidates."""
+    return _recall(spark, sf, MH.MinHashParams(100, 10, 5, 0.8, "fast"))
+
+
 # =============================================================== 2.2/2.4/2.6/2.8 pages
 from ..functions import html as H  # noqa: E402
 from ..operators import extraction as X  # noqa: E402
@@ -517,6 +580,14 @@ def q_sample_n(spark, sf):
     return SM.sample_n(docs, 100, "doc_id", seed=0)
 
 
+@register("sample_half", f"""
+SELECT doc_id, source FROM documents ORDER BY {_seeded_sql('doc_id', 5)}, doc_id LIMIT (SELECT count(*) // 2 FROM documents)""")
+def q_sample_half(spark, sf):
+    """L1 at large n: half of all documents, without a sort of the corpus or a one-task top-n."""
+    docs = table(spark, sf, "documents").select("doc_id", "source")
+    return SM.sample_n(docs, docs.count() // 2, "doc_id", seed=5)
+
+
 @register("seeded_prefix_sample", f"""
 SELECT url FROM pages ORDER BY {_seeded_sql('url', 336)}, url LIMIT 48""")
 def q_seeded_prefix_sample(spark, sf):
