@@ -97,3 +97,64 @@ def test_stages_on_an_empty_table(spark, empty_dir):
         docs = spark.read.parquet(f"{empty_dir}/documents.parquet")
         assert stage(spark, docs, empty_dir).count() == 0
     assert corpus_pipeline.run(spark, empty_dir).count() == 0
+
+
+# ---------------------------------------------------------------- adaptive limits
+
+def brute_limits(rows, spread, prior):
+    """Quantiles of a group's own texts, its language's with weight prior / n_lang and the corpus' inside those, by fractions."""
+    from fractions import Fraction
+
+    def binned(x):
+        return x - x % 2 ** max(x.bit_length() - 6, 0)
+
+    def blend(own, parent):
+        total = len(own) + prior
+        return {b: (sum(x == b for x in own) + prior * parent[b]) / Fraction(total) for b in parent}
+    out = {}
+    every = [binned(x) for _, _, x in rows]
+    corpus = {b: Fraction(every.count(b), len(every)) for b in set(every)}
+    for lang, src in {(a, b) for a, b, _ in rows}:
+        shares = blend([binned(x) for a, b, x in rows if (a, b) == (lang, src)],
+                       blend([binned(x) for a, _, x in rows if a == lang], corpus))
+
+        def quantile(p):
+            total = 0
+            for b in sorted(shares):
+                total += shares[b]
+                if total >= p:
+                    return b
+        q50, q90 = quantile(Fraction(1, 2)), quantile(Fraction(9, 10))
+        out[lang, src] = q90 + spread * (q90 - q50) + 2 ** max(q90.bit_length() - 6, 0)
+    return out
+
+
+@pytest.mark.parametrize("prior", [0, 1, 200])
+def test_limits_follow_the_groups_own_sketch(spark, prior):
+    from trawl.llm import quality_rules as R
+
+    rng = np.random.default_rng(prior)
+    rows = [(f"+l{i % 3}", f"+s{i % 7}", int(abs(rng.normal(0, 3 + 40 * (i % 7))))) for i in range(900)] + [("", "", 900)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, lang_key string, source_key string, x int")
+    each = df.select("lang_key", "source_key", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), R.sketch_bin(F.col("x").cast("long")).alias("bin"))
+                                                                   for m in R.METRICS])).alias("e"))
+    sketches = each.groupBy("lang_key", "source_key", "e.metric", "e.bin").agg(F.count(F.lit(1)).alias("n"))
+    want = brute_limits(rows, 3, prior)
+    for r in R.adaptive_limits(sketches, 3, prior).collect():
+        assert {r[f"limit_{m}"] for m in R.METRICS} == {want[r.lang_key, r.source_key]}
+
+
+def test_spread_decides_and_good_documents_stay(spark):
+    from trawl.llm import quality_rules as R
+    from trawl.sources.tables import table
+
+    sf = "/root/testdata/sf0.1"
+    out = R.judge_quality(table(spark, sf, "documents")).persist()
+    limits = out.select("lang", "source", *[f"limit_{m}" for m in R.METRICS]).distinct().collect()
+    by_spread = [sum(r[f"limit_{m}"] > 2 for m in R.METRICS) for r in limits]  # more than a unit above zero
+    assert sum(n >= 2 for n in by_spread) > 0.9 * len(limits) and len({tuple(r)[2:] for r in limits}) > 40
+    labels = table(spark, sf, "labels")
+    share = {(r.quality, r.toxic): r.kept for r in out.where("not base_failed").join(labels, "doc_id").groupBy("quality", "toxic").agg(
+        F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert share[1, 0] > 0.97 and share[0, 0] < 0.05
+    out.unpersist()

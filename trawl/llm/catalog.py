@@ -109,25 +109,16 @@ def op6(spark, sf):
 
 
 def _quality_sql() -> str:
-    m, slack = list(quality_rules.METRICS), quality_rules.METRICS
-
-    def level(name, keys):
-        by = "".join(f"{k}, " for k in keys)
-        on = f"PARTITION BY {by}metric"
-        return f"""{name} AS (
-  SELECT {by}max(n_all) AS n{''.join(f", max(lim) FILTER (metric = '{x}') AS {x}" for x in m)} FROM (
-    SELECT {by}metric, max(n_all) AS n_all,
-           min(bin) FILTER (4 * cum >= 3 * n_all) + greatest({quality_rules.SPREAD} * (
-             min(bin) FILTER (4 * cum >= 3 * n_all) - min(bin) FILTER (4 * cum >= n_all)), max(slack)) AS lim
-    FROM (SELECT {by}metric, slack, bin, sum(n) OVER ({on}) AS n_all,
-                 sum(n) OVER ({on} ORDER BY bin ROWS UNBOUNDED PRECEDING) AS cum
-          FROM (SELECT {by}metric, slack, bin, count(*) AS n FROM x GROUP BY {by}metric, slack, bin))
-    GROUP BY {by}metric) {"GROUP BY " + by[:-2] if keys else ""})"""
-    pick = ", ".join(f"CASE WHEN o.n >= {quality_rules.MIN_GROUP} THEN o.{x} "
-                     f"WHEN g.n >= {quality_rules.MIN_GROUP} THEN g.{x} ELSE a.{x} END AS limit_{x}" for x in m)
-    stack = " UNION ALL ".join(
-        f"SELECT lk, sk, '{x}' AS metric, {slack[x]} AS slack, {x} - {x} % CAST(pow(2, greatest(length(bin({x})) - 6, 0)) "
-        f"AS BIGINT) AS bin FROM q" for x in m)
+    m, prior = quality_rules.METRICS, quality_rules.PRIOR
+
+    def unit(x):
+        return f"CAST(pow(2, greatest(length(bin({x})) - 6, 0)) AS BIGINT)"
+
+    def share(n, of):
+        return f"CASE WHEN {of} > 0 THEN CAST(floor(1000 * greatest({n} - 2 * sqrt({n}), 0.0::DOUBLE) / {of}) AS BIGINT) ELSE 0 END"
+    stack = " UNION ALL ".join(f"SELECT lk, sk, '{x}' AS metric, {x} - {x} % {unit(x)} AS bin FROM q" for x in m)
+    limit = f"q90 + {quality_rules.SPREAD} * (q90 - q50) + {unit('q90')}"
+    pick = ", ".join(f"max({limit}) FILTER (metric = '{x}') AS limit_{x}" for x in m)
     return rf"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t, coalesce('+' || lang, '') AS lk, coalesce('+' || source, '') AS sk,
@@ -149,13 +140,26 @@ WITH w AS (
          CAST(coalesce(r, 0) AS BIGINT) AS n_repeat_words, len(regexp_extract_all(t, '[A-Z]')) AS n_caps
   FROM w LEFT JOIN rep USING (doc_id)
 ), q AS (
-  SELECT *, CASE WHEN word_chars > 0 THEN 1000 * n_symbols // word_chars ELSE 0 END AS symbol_mille,
-         CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // n_lines ELSE 0 END AS dup_line_mille,
-         CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END AS repeat_mille,
-         CASE WHEN word_chars > 0 THEN 1000 * n_caps // word_chars ELSE 0 END AS caps_mille,
+  SELECT *, {share('n_symbols', 'word_chars')} AS symbol_mille, {share('n_dup_lines', 'n_lines')} AS dup_line_mille,
+         {share('n_repeat_words', 'n_words')} AS repeat_mille, {share('n_caps', 'word_chars')} AS caps_mille,
          n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b
-), x AS ({stack}), {level("o", ["lk", "sk"])}, {level("g", ["lk"])}, {level("a", [])},
-lim AS (SELECT o.lk, o.sk, {pick} FROM o JOIN g USING (lk), a)
+), x AS ({stack}
+), ca AS (SELECT metric, bin, CAST(count(*) AS HUGEINT) AS c_all FROM x GROUP BY ALL
+), cl AS (SELECT lk, metric, bin, CAST(count(*) AS HUGEINT) AS c FROM x GROUP BY ALL
+), co AS (SELECT lk, sk, metric, bin, CAST(count(*) AS HUGEINT) AS c FROM x GROUP BY ALL
+), nl AS (SELECT lk, CAST(count(*) AS HUGEINT) AS n FROM q GROUP BY lk
+), no AS (SELECT lk, sk, CAST(count(*) AS HUGEINT) AS n FROM q GROUP BY lk, sk
+), t AS (SELECT CAST(count(*) AS HUGEINT) AS n FROM q
+), bl AS (
+  SELECT nl.lk, ca.metric, ca.bin, t.n * (nl.n + {prior}) AS total, coalesce(c, 0) * t.n + {prior} * c_all AS c
+  FROM nl, ca, t LEFT JOIN cl ON cl.lk = nl.lk AND cl.metric = ca.metric AND cl.bin = ca.bin
+), bo AS (
+  SELECT no.lk, no.sk, bl.metric, bl.bin, total * (no.n + {prior}) AS total, coalesce(co.c, 0) * total + {prior} * bl.c AS c
+  FROM no JOIN bl ON bl.lk = no.lk LEFT JOIN co ON co.lk = no.lk AND co.sk = no.sk AND co.metric = bl.metric AND co.bin = bl.bin
+), cum AS (SELECT *, sum(c) OVER (PARTITION BY lk, sk, metric ORDER BY bin ROWS UNBOUNDED PRECEDING) AS s FROM bo
+), qs AS (SELECT lk, sk, metric, min(bin) FILTER (2 * s >= total) AS q50, min(bin) FILTER (10 * s >= 9 * total) AS q90
+          FROM cum GROUP BY lk, sk, metric
+), lim AS (SELECT lk, sk, {pick} FROM qs GROUP BY lk, sk)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed{"".join(f" AND {x} <= limit_{x}" for x in m)} AS kept
 FROM q JOIN lim USING (lk, sk)"""

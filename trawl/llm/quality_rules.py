@@ -7,11 +7,14 @@ quantile read from the sketch is off by under 1/32 of its value. Sketches are pl
 counts: they merge by addition, pre-aggregate before the shuffle (a hot source sends at
 most a row per bin and task) and give the same thresholds at any partitioning.
 
-A limit is a quartile fence: upper quartile + ``spread`` * interquartile range, at least a
-slack of the metric above the quartile. Groups of fewer than ``min_group`` documents take
-the limits of their language's merged sketch, and languages as small those of the whole
-corpus. The limits are joined to the metrics; a document above any limit goes. Unlike a
-fixed share, a fence rejects nothing in a group without outliers.
+A share that a few occurrences make says little: metrics are lower bounds, (x - 2 sqrt(x)) / n for x occurrences among
+n. A limit is a fence from the upper part of the group's own sketch: q90 + ``spread`` * (q90 - q50), and one
+unit of the sketch, which it cannot tell apart. Where nine texts in ten have nothing of a metric, any share that is
+more than chance is beyond the fence; where a group's texts spread, its limit spreads with them. There is no switch for small groups: a
+group's counts are blended with its language's as if ``prior`` texts of the language were among its own, and a
+language's with the whole corpus' alike, so a group follows its own texts by the weight n / (n + prior). Weights are
+exact integers. The limits are joined to the metrics in ``SALTS`` copies, so that a hot source's texts spread over tasks;
+a document above any limit goes.
 
 Defined results: null text has no words (it fails the base rule); null language or source
 is a group of its own; rows repeating an id are judged one by one; an empty table gives an
@@ -30,9 +33,10 @@ from .common import SPACES, UPPER, null_safe_key, split_words, text_of
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-SPREAD, MIN_GROUP = 3, 200
-#: metric (in thousandths) -> least distance of its limit from the upper quartile.
-METRICS = {"symbol_mille": 20, "dup_line_mille": 300, "repeat_mille": 300, "caps_mille": 150}
+SPREAD, PRIOR, SALTS = 3, 200, 16
+#: Shares in thousandths, as lower bounds.
+METRICS = ("symbol_mille", "dup_line_mille", "repeat_mille", "caps_mille")
+_EXACT = "decimal(38,0)"
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -88,7 +92,8 @@ def document_metrics(docs: DataFrame) -> DataFrame:
         F.when(F.col("pairs").isNotNull(), _covered(_repeat_starts(F.col("pairs")))), F.lit(0).cast("long")))
 
     def mille(n: str, of: str) -> Column:
-        return F.when(F.col(of) > 0, F.floor(1000 * F.col(n) / F.col(of))).otherwise(F.lit(0)).cast("long")
+        sure = F.greatest(F.col(n) - 2 * F.sqrt(n), F.lit(0.0))
+        return F.when(F.col(of) > 0, F.floor(1000 * sure / F.col(of))).otherwise(F.lit(0)).cast("long")
     return t.select("doc_id", "lang", "source", "text_hash", "n_words", "word_chars", "n_symbols",
                     "n_dup_lines", "n_repeat_words",
                     mille("n_symbols", "word_chars").alias("symbol_mille"),
@@ -102,10 +107,14 @@ def base_failed() -> Column:
             | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
 
+def _unit(x: Column) -> Column:
+    """The width of the bin that holds x."""
+    return F.pow(F.lit(2.0), F.greatest(F.length(F.bin(x)) - 6, F.lit(0))).cast("long")
+
+
 def sketch_bin(x: Column) -> Column:
     """The value with its six leading bits kept (exact below 64)."""
-    unit = F.pow(F.lit(2.0), F.greatest(F.length(F.bin(x)) - 6, F.lit(0))).cast("long")
-    return x - x % unit
+    return x - x % _unit(x)
 
 
 def quantile_sketches(metrics: DataFrame) -> DataFrame:
@@ -117,50 +126,60 @@ def quantile_sketches(metrics: DataFrame) -> DataFrame:
             .groupBy("lang_key", "source_key", "x.metric", "x.bin").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _limits(sketches: DataFrame, keys: list[str], spread: int, prefix: str) -> DataFrame:
-    """One row per group: its size and the limit of each metric, from sketches merged to ``keys``."""
-    merged = sketches.groupBy(*keys, "metric", "bin").agg(F.sum("n").alias("n"))
-    group = Window.partitionBy(*keys, "metric")
-    up_to = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    cum = merged.select(*keys, "metric", "bin", F.sum("n").over(up_to).alias("cum"),
-                        F.sum("n").over(group).alias("all"))
-    q = cum.groupBy(*keys, "metric").agg(
-        F.max("all").alias("all"),
-        F.min(F.when(4 * F.col("cum") >= F.col("all"), F.col("bin"))).alias("q1"),
-        F.min(F.when(4 * F.col("cum") >= 3 * F.col("all"), F.col("bin"))).alias("q3"))
-    slack = reduce(lambda e, m: e.when(F.col("metric") == m[0], m[1]), METRICS.items(), F.when(F.lit(False), 0))
-    limit = F.col("q3") + F.greatest(spread * (F.col("q3") - F.col("q1")), slack)
-    return q.groupBy(*keys).agg(F.max("all").alias(f"{prefix}_n"), *[
-        F.max(F.when(F.col("metric") == m, limit)).alias(f"{prefix}_{m}") for m in METRICS])
-
-
-def adaptive_limits(sketches: DataFrame, spread: int = SPREAD, min_group: int = MIN_GROUP) -> DataFrame:
-    """(lang_key, source_key, limit_<metric>...) with the fallback to merged sketches."""
-    own = _limits(sketches, ["lang_key", "source_key"], spread, "own")
-    lang = _limits(sketches, ["lang_key"], spread, "lang")
-    every = _limits(sketches.withColumn("one", F.lit(1)), ["one"], spread, "all").first()  # a row of numbers
-    return own.join(lang, "lang_key").select("lang_key", "source_key", *[
-        F.when(F.col("own_n") >= min_group, F.col(f"own_{m}"))
-        .when(F.col("lang_n") >= min_group, F.col(f"lang_{m}"))
-        .otherwise(F.lit(every[f"all_{m}"] if every else None).cast("long")).alias(f"limit_{m}") for m in METRICS])
-
-
-def judge_quality(docs: DataFrame, spread: int = SPREAD, min_group: int = MIN_GROUP) -> DataFrame:
+def adaptive_limits(sketches: DataFrame, spread: int = SPREAD, prior: int = PRIOR) -> DataFrame:
+    """(lang_key, source_key, limit_<metric>...): fences of the blended sketches.
+
+    With c texts in a bin, N texts in all and s = ``prior``, a language's blended count is c * N_all + s * c_all (of
+    N_all * (N + s)), a source's c * N_all * (N_lang + s) + s * (that of its language).
+    """
+    sketches = sketches.withColumn("n", F.col("n").cast(_EXACT))
+    s = F.lit(prior).cast(_EXACT)
+    one = sketches.where(F.col("metric") == METRICS[0])  # every text is once in each metric
+    n_all = one.agg(F.sum("n").cast(_EXACT)).first()[0]
+    whole = F.lit(n_all if n_all is not None else 0).cast(_EXACT)
+    # shares of a thousand have 224 bins at most: this is under a thousand rows
+    corpus = F.broadcast(sketches.groupBy("metric", "bin").agg(F.sum("n").cast(_EXACT).alias("c_all")))
+    in_lang = sketches.groupBy("lang_key", "metric", "bin").agg(F.sum("n").cast(_EXACT).alias("c"))
+    n_lang = one.groupBy("lang_key").agg(F.sum("n").cast(_EXACT).alias("n_lang"))
+    n_own = one.groupBy("lang_key", "source_key").agg(F.sum("n").cast(_EXACT).alias("n_own"))
+    metrics = F.explode(F.array(*map(F.lit, METRICS))).alias("metric")
+    by_lang = (n_lang.select("lang_key", "n_lang", metrics).join(corpus, "metric")
+               .join(in_lang, ["lang_key", "metric", "bin"], "left")
+               .select("lang_key", "metric", "bin", (whole * (F.col("n_lang") + s)).cast(_EXACT).alias("lang_total"),
+                       (F.coalesce("c", F.lit(0).cast(_EXACT)) * whole + s * F.col("c_all")).cast(_EXACT).alias("lang_c")))
+    keys = ["lang_key", "source_key", "metric"]
+    own = sketches.select(*keys, "bin", "n")
+    blended = (n_own.select("lang_key", "source_key", "n_own", metrics).join(by_lang, ["lang_key", "metric"])
+               .join(own, [*keys, "bin"], "left")
+               .select(*keys, "bin", (F.col("lang_total") * (F.col("n_own") + s)).cast(_EXACT).alias("total"),
+                       (F.coalesce("n", F.lit(0).cast(_EXACT)) * F.col("lang_total") + s * F.col("lang_c")).cast(_EXACT).alias("c")))
+    up_to = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    q = blended.select(*keys, "bin", "total", F.sum("c").over(up_to).alias("cum")).groupBy(*keys).agg(
+        F.min(F.when(2 * F.col("cum") >= F.col("total"), F.col("bin"))).alias("q50"),
+        F.min(F.when(10 * F.col("cum") >= 9 * F.col("total"), F.col("bin"))).alias("q90"))
+    limit = F.col("q90") + spread * (F.col("q90") - F.col("q50")) + _unit(F.col("q90"))
+    return q.groupBy("lang_key", "source_key").agg(*[
+        F.max(F.when(F.col("metric") == m, limit)).alias(f"limit_{m}") for m in METRICS])
+
+
+def judge_quality(docs: DataFrame, spread: int = SPREAD, prior: int = PRIOR) -> DataFrame:
     """Keys, metrics, limits, ``base_failed`` and ``kept`` for every row of ``docs``."""
     metrics = materialize(document_metrics(docs), "quality-metrics")
     sketches = materialize(quantile_sketches(metrics), "quality-sketches")
-    limits = adaptive_limits(sketches, spread, min_group)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    limits = adaptive_limits(sketches, spread, prior).withColumn("salt", salts)
+    salt = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int")
     joined = (metrics.withColumn("lang_key", null_safe_key(F.col("lang")))
-              .withColumn("source_key", null_safe_key(F.col("source")))
-              .join(limits, ["lang_key", "source_key"]))
+              .withColumn("source_key", null_safe_key(F.col("source"))).withColumn("salt", salt)
+              .join(limits, ["lang_key", "source_key", "salt"]).drop("salt"))
     within = reduce(lambda a, m: a & (F.col(m) <= F.col(f"limit_{m}")), METRICS, F.lit(True))
     return (joined.drop("lang_key", "source_key").withColumn("base_failed", base_failed())
             .withColumn("kept", ~F.col("base_failed") & within))
 
 
-def keep_good(docs: DataFrame, spread: int = SPREAD, min_group: int = MIN_GROUP) -> DataFrame:
+def keep_good(docs: DataFrame, spread: int = SPREAD, prior: int = PRIOR) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns unchanged."""
-    good = judge_quality(docs, spread, min_group).where("kept").select(
+    good = judge_quality(docs, spread, prior).where("kept").select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
         F.col("lang").alias("_lang"), F.col("source").alias("_source"))
     same = (docs["doc_id"].eqNullSafe(good["_id"]) & (F.xxhash64(docs["text"]) == good["_hash"])
