@@ -817,13 +817,17 @@ def q_filter_record_type(spark, sf):
     return rows.groupBy(kind.alias("warc_type")).agg(F.count(F.lit(1)).alias("n_records"))
 
 
-def _wet_of_pages(spark, sf, partition_by=None) -> str:
-    """Texts of pages and documents as WET records in 8 chunks that mix languages."""
-    path = scratch_path(spark, "pages-wet")
+def _wet_texts(spark, sf):
+    """(url, text, chunk): texts of pages and documents in 16 chunks that mix languages."""
     txt = X.pages_to_text(_pages(spark, sf), builtin=True).select("url", "text")
     docs = table(spark, sf, "documents").select(F.concat(F.lit("doc:"), F.col("doc_id")).alias("url"), "text")
-    txt = txt.unionByName(docs).withColumn("chunk", F.concat(F.lit("c"), F.substring(F.md5("url"), 1, 1)))
-    W.text_to_wet(txt, path, partition_by=partition_by)
+    return txt.unionByName(docs).withColumn("chunk", F.concat(F.lit("c"), F.substring(F.md5("url"), 1, 1)))
+
+
+def _wet_of_pages(spark, sf, partition_by=None) -> str:
+    """The texts as WET records, by the text writer."""
+    path = scratch_path(spark, "pages-wet")
+    W.text_to_wet(_wet_texts(spark, sf), path, partition_by=partition_by)
     return path
 
 
@@ -846,7 +850,9 @@ SELECT chunk, CAST(sum(n) AS BIGINT) AS total_chars, CAST(sum(CASE WHEN keep THE
 
 
 def _filtered_wet(spark, sf):
-    src = _wet_of_pages(spark, sf, partition_by="chunk")
+    src = scratch_path(spark, "wet")
+    AF.write_records(_wet_texts(spark, sf).select(F.lit("conversion").alias("warc_type"), F.col("url").alias("uri"),
+                                                  F.col("text").cast("binary").alias("block"), "chunk"), src)
     recs = AF.read_archive(spark, src).where("reason IS NULL").withColumn("chunk", W_stream.chunk_of_file(F.col("file")))
     out = scratch_path(spark, "wet-filtered")
     return W.write_filtered_wet(recs, LG.English(_language_model(spark, sf)), out), out
@@ -867,6 +873,49 @@ def q_filtered_wet_records(spark, sf):
     return recs.select(W_stream.chunk_of_file(F.col("file")).alias("chunk"), "uri", F.col("block").cast("string").alias("text"))
 
 
+def _archive_of_pages(spark, sf) -> str:
+    """The mixed responses as an archive, a gzip member a record."""
+    path = scratch_path(spark, "pages-archive")
+    recs = _mixed_responses(spark, sf).select(F.col("t").alias("warc_type"), F.col("u").alias("uri"), F.col("b").alias("block"))
+    AF.write_records(recs, path)
+    return path
+
+
+_BLOCK_SQL = """
+WITH r AS (SELECT page_id, CASE WHEN page_id % 5 <> 0 THEN url END AS uri,
+  encode('HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: ' ||
+    CASE WHEN page_id % 7 = 0 THEN 'image/png' ELSE 'text/html; charset=windows-1252' END || chr(13) || chr(10) || chr(13) || chr(10) || html
+  || CASE WHEN page_id % 13 = 0 THEN 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: conversion' || chr(13) || chr(10)
+    || 'Content-Length: 3' || chr(13) || chr(10) || chr(13) || chr(10) || 'abc' || chr(13) || chr(10) || chr(13) || chr(10) ELSE '' END)
+  || CASE WHEN page_id % 11 = 0 THEN unhex('E9') ELSE ''::BLOB END AS block, html FROM pages)"""
+
+
+@register("archive_records", _BLOCK_SQL + """
+SELECT 'response' AS warc_type, uri, CAST(octet_length(block) AS BIGINT) AS content_length, sha256(block) AS block_sha256 FROM r""")
+def q_archive_records(spark, sf):
+    """S1 through ``format("warc")``: pages written as records, read back byte for byte, the type filter in the scan."""
+    recs = AF.read_archive(spark, _archive_of_pages(spark, sf)).where("warc_type = 'response'")
+    return recs.select("warc_type", "uri", "content_length", F.sha2("block", 256).alias("block_sha256"))
+
+
+_SAMPLED_PAGES = "SELECT url, html FROM pages ORDER BY " + _seeded_sql("url", 11) + ", url LIMIT (SELECT count(*) // 10 FROM pages)"
+
+
+@register("sampled_archive_masks", f"""
+WITH s AS (SELECT url, {S.strip_tags('html')} AS text FROM ({_SAMPLED_PAGES})),
+""" + _pii_sql("s", "url").replace("WITH a AS", "a AS", 1) + " SELECT url AS uri, masked, n_email, n_phone, n_ip FROM c")
+def q_sampled_archive_masks(spark, sf):
+    """One in ten records of an archive drawn from its index, only those members read, text extracted, personal data masked."""
+    path = scratch_path(spark, "sampled-archive")
+    pages = table(spark, sf, "pages").select(F.lit("response").alias("warc_type"), F.col("url").alias("uri"), F.concat(
+        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"), "html").cast("binary").alias("block"))
+    AF.write_records(pages, path)
+    index = materialize(AF.index_records(spark, path), "record-index")
+    chosen = SM.sample_n(index, index.count() // 10, "uri", seed=11)
+    texts = AF.read_at(chosen).select("uri", H.strip_tags(AF.payload_text()).alias("text"))
+    return PII.mask_pii(texts).select("uri", "masked", "n_email", "n_phone", "n_ip")
+
+
 @register("scan_path_manifest", """
 SELECT url AS wet_path, row_number() OVER (ORDER BY page_id) AS line_no FROM pages""")
 def q_scan_path_manifest(spark, sf):

@@ -1,6 +1,6 @@
 """WARC / WET archives as a Spark data source: ``format("warc")`` reads and writes them.
 
-Reading. A file is dealt in byte ranges (option ``rangeBytes``); a range owns the records whose first stored
+Reading. A file is dealt in byte ranges (at most ``rangeBytes``), small files together; a range owns the records whose first stored
 byte lies in it. A task finds the first record of its range by walking from up to ``LOOKBACK`` bytes before it, so
 that a record inside another record's payload is passed over with its carrier, and reads on to the end of the
 last record it owns. In a gzip file the unit is the member (one or many records). Bytes that belong to
@@ -41,6 +41,8 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
 from pyspark.sql.types import StructType
 
 RANGE_BYTES = 128 << 20
+MIN_TASKS, LEAST_BYTES = 64, 1 << 20  # smaller inputs get smaller shares, so that there are tasks for all cores
+OPEN_BYTES = 1 << 16  # what opening a file counts for in a task's share
 LOOKBACK = 8 << 20
 BATCH_BYTES = 8 << 20  # payload bytes of a batch of rows, about
 HEAD_LIMIT = 1 << 20  # a longer head is none
@@ -303,13 +305,20 @@ class _Rows:
 
 
 @dataclass
-class FileRange(InputPartition):
+class FileRange:
     file: str
     lo: int
     hi: int
     size: int
 
 
+@dataclass
+class Share(InputPartition):
+    """What a task reads."""
+
+    ranges: list[FileRange]
+
+
 class ArchiveReader(DataSourceReader):
     def __init__(self, path: str, columns: tuple[str, ...], range_bytes: int):
         unknown = set(columns) - set(_TYPES)
@@ -334,16 +343,29 @@ class ArchiveReader(DataSourceReader):
             yield x
         self.wanted = Wanted(self.wanted.columns, tuple(equal), tuple(prefix))
 
-    def partitions(self) -> list[FileRange]:
-        out = []
-        for file, size in list_files(self.path):
-            step = self.range_bytes or max(size, 1)
-            out += [FileRange(file, lo, min(lo + step, size), size) for lo in range(0, size, step)]
-        return out
-
-    def read(self, part: FileRange) -> Iterator[pa.RecordBatch]:
-        if not isinstance(part, FileRange):  # no files: Spark reads once, without a partition
-            return
+    def partitions(self) -> list[Share]:
+        """Ranges of large files, and small files together, up to a share's bytes."""
+        files = list_files(self.path)
+        share = max(sum(n for _, n in files) // MIN_TASKS, LEAST_BYTES)
+        share = min(self.range_bytes, share) if self.range_bytes else share
+        out, held, room = [], [], share
+        for file, size in files:
+            step = self.range_bytes and share or max(size, 1)
+            for lo in range(0, size, step):
+                hi = min(lo + step, size)
+                if held and hi - lo > room:
+                    out.append(Share(held))
+                    held, room = [], share
+                held.append(FileRange(file, lo, hi, size))
+                room -= hi - lo + OPEN_BYTES
+        return [*out, Share(held)] if held else out
+
+    def read(self, part: Share) -> Iterator[pa.RecordBatch]:
+        if isinstance(part, Share):  # without any file Spark reads once, without a partition
+            for r in part.ranges:
+                yield from self.read_range(r)
+
+    def read_range(self, part: FileRange) -> Iterator[pa.RecordBatch]:
         fs, p = filesystem(part.file)
         rows = _Rows(part.file, self.wanted.columns)
         with fs.open_input_file(p) as f:
