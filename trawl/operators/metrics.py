@@ -3,6 +3,10 @@ classification report, document frequency (A4-A9)."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,32 +70,82 @@ def classification_report(pred: DataFrame, label: str = "label",
 WORD_RE = r"[\p{L}\p{N}_]{2,}"
 
 
+#: Bytes of joined words whose terms are counted together.
+COUNT_BYTES = 1 << 23
+
+
+def _word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every word: prefix sums of a polynomial with an odd base."""
+    base, n = 0x9E3779B97F4A7C15, len(buf) + 1
+    power, back = np.full(n, base, dtype=np.uint64), np.full(n, pow(base, -1, 1 << 64), dtype=np.uint64)
+    power[0] = back[0] = 1
+    power, back = np.cumprod(power, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
+    total = np.zeros(n, dtype=np.uint64)
+    np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
+    h = (total[ends] - total[starts]) * back[starts] ^ ((ends - starts).astype(np.uint64) << np.uint64(50))
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(27))
+
+
+def count_terms(texts: list[bytes]) -> pa.RecordBatch:
+    """(term, tf, df) of the 1- and 2-grams of texts, which are words joined by single spaces."""
+    buf = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
+    at = np.cumsum([0] + [len(t) + 1 for t in texts])
+    edge = np.diff((buf != 32).astype(np.int8), prepend=np.int8(0))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    doc = np.searchsorted(at, starts, side="right")
+    words = _word_hashes(buf, starts, ends)
+    pair = np.flatnonzero(doc[:-1] == doc[1:])  # bigrams do not cross texts
+    both = (words[pair] * np.uint64(0xC2B2AE3D27D4EB4F) + (words[pair + 1] | np.uint64(1))) * np.uint64(0xD6E8FEB86659FD93)
+    key = np.concatenate([words, both ^ (both >> np.uint64(32))])
+    doc = np.concatenate([doc, doc[pair]])
+    first, last = np.concatenate([starts, starts[pair]]), np.concatenate([ends, ends[pair + 1]])
+    order = np.lexsort((doc, key))
+    key, doc = key[order], doc[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = key[1:] != key[:-1]
+    at = np.flatnonzero(new)
+    other = new.copy()
+    other[1:] |= doc[1:] != doc[:-1]
+    tf = np.diff(np.append(at, len(key)))
+    df = np.add.reduceat(other.astype(np.int64), at) if len(at) else at
+    first, last = first[order[at]], last[order[at]]
+    offsets = np.zeros(len(at) + 1, dtype=np.int32)
+    np.cumsum(last - first, out=offsets[1:])
+    spelled = buf[np.arange(offsets[-1]) + np.repeat(first - offsets[:-1], last - first)]
+    term = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets.tobytes()), pa.py_buffer(spelled.tobytes()))
+    return pa.RecordBatch.from_arrays([term, pa.array(tf.astype(np.int64)), pa.array(df.astype(np.int64))], ["term", "tf", "df"])
+
+
 def document_frequency(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        top_k: int | None = 50_000, stop_words: list[str] | None = None) -> DataFrame:
     """Corpus term frequency and document frequency of 1- and 2-grams.
 
     Tokens are maximal runs of >= 2 word characters of the lower-cased text;
-    stop words (optional) are removed before bigrams are formed. Terms are
-    counted inside the row (sorted array, run lengths), so a document sends
-    one row per distinct term into a single map-side combined aggregate;
-    top_k by tf (term breaks ties).
+    stop words (optional) are removed before bigrams are formed. A task counts the terms of
+    ``COUNT_BYTES`` of words at a time and sends a row per distinct term of them, not one per document and
+    term; one aggregate adds them up; top_k by tf (term breaks ties). A row is a document, whatever its id.
     """
     toks = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RE), 0)
     if stop_words:
         sw = F.array(*[F.lit(w) for w in stop_words])
         toks = F.filter(toks, lambda t: ~F.array_contains(sw, t))
-    t = df.select(F.col(id_col).alias("doc_id"), F.array_join(toks, " ").alias("ts"))
-    bigrams = F.regexp_extract_all("ts", F.lit(r"(?:^| )(?=([^ ]+ [^ ]+))"), 1)
-    unigrams = F.when(F.col("ts") == "", F.array().cast("array<string>")).otherwise(F.split("ts", " "))
-    t = t.select(F.sort_array(F.concat(unigrams, bigrams)).alias("s"))
-    # starts of runs of equal terms; a run's length is the distance to the next start
-    t = t.select("s", F.filter(F.sequence(F.lit(0), F.size("s") - 1), lambda i: (i == 0) | (
-        F.get("s", i) != F.get("s", F.greatest(i - 1, F.lit(0))))).alias("at")).where(F.size("s") > 0)
-    runs = t.select(F.explode(F.transform("at", lambda i, k: F.struct(
-        F.get("s", i).alias("term"),
-        (F.coalesce(F.get("at", k + 1), F.size("s")) - i).alias("c")))).alias("r"))
-    out = runs.groupBy("r.term").agg(F.sum("r.c").cast("bigint").alias("tf"),
-                                     F.count(F.lit(1)).cast("bigint").alias("df"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        size = 0
+        for b in batches:
+            for t in b.column(0).cast(pa.large_binary()).to_pylist():
+                if t:
+                    held.append(t)
+                    size += len(t)
+                if size >= COUNT_BYTES:
+                    yield count_terms(held)
+                    held, size = [], 0
+        if held:
+            yield count_terms(held)
+    out = (df.select(F.array_join(toks, " ").alias("ts")).mapInArrow(count, "term string, tf long, df long")
+           .groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df")))
     if top_k is not None:
         out = out.orderBy(F.col("tf").desc(), F.col("term")).limit(top_k)
     return out

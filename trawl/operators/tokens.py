@@ -17,8 +17,12 @@ K4: token budget arithmetic over the corpus token count.
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,15 +85,26 @@ def word_token_ids(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id
     The vocabulary has at most ``OTHER_WORD`` rows, so it is sent to the
     workers; documents are not shuffled.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(
-        {r["word"]: r["id"] for r in vocabulary.limit(OTHER_WORD).toLocalIterator()})
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def ids(s: pd.Series) -> pd.Series:
-        get = sent.value.get
-        return s.map(lambda ws: [get(w, OTHER_WORD) for w in ws] + [END_OF_TEXT])
-    t = docs.select(F.col(id_col).alias("doc_id"), ids(words(F.col(text_col))).alias("tokens"))
-    return t.withColumn("n_tokens", F.size("tokens").cast("bigint"))
+    rows = vocabulary.limit(OTHER_WORD).toPandas()  # OTHER_WORD rows at most
+    sent = docs.sparkSession.sparkContext.broadcast((pa.array(rows["word"].tolist(), type=pa.string()),
+                                                     rows["id"].to_numpy(dtype=np.int32)))
+
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, number = sent.value
+        for b in batches:
+            lists = b.column(1)
+            at = pc.index_in(lists.flatten(), value_set=known)
+            found = at.fill_null(-1).to_numpy(zero_copy_only=False)
+            one = np.append(number, np.int32(OTHER_WORD))[found]  # -1: the last, any other word
+            ends = lists.offsets.to_numpy()[1:] - lists.offsets.to_numpy()[0]
+            tokens = np.insert(one, ends, END_OF_TEXT)
+            starts = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]).astype(np.int32)
+            out = pa.ListArray.from_arrays(pa.array(starts), pa.array(tokens.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([b.column(0), out, pa.array(np.diff(starts).astype(np.int64))],
+                                             ["doc_id", "tokens", "n_tokens"])
+    few = docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("w"))
+    id_type = few.schema["doc_id"].dataType.simpleString()
+    return few.mapInArrow(ids, f"doc_id {id_type}, tokens array<int>, n_tokens long")
 
 
 def exclusive_offsets(df: DataFrame, order_col: str, value_col: str, out: str = "offset") -> DataFrame:

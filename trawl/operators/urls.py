@@ -1,5 +1,5 @@
 """Reference-URL extraction from dump lines (P11), distinct sorted names (U4),
-per-shard counts (A6), first shards (L4) and the URL-list sink (S8)."""
+per-shard counts (A6) and first shards (L4); the URL-list sink (S8) is in sources/url_list.py."""
 
 from __future__ import annotations
 
@@ -41,16 +41,3 @@ def first_n(names: DataFrame, col: str, n: int | None) -> DataFrame:
 def urls_per_shard(urls: DataFrame, shard_col: str = "shard") -> DataFrame:
     """URLs per shard plus the total (ROLLUP row with a null shard)."""
     return urls.rollup(shard_col).agg(F.count(F.lit(1)).alias("n_urls"))
-
-
-def write_url_list(urls: DataFrame, path: str, shard_col: str = "shard",
-                   order_cols: tuple[str, ...] = ("line_no", "url_pos")) -> int:
-    """One gzip text output, shards in sorted order, URLs in file order.
-
-    Written by the executors (range-partitioned sort, many part files whose
-    concatenation is the global order); the row count is that of the written
-    files. (An observation would save that small pass, but a session that made
-    one no longer serialises, and fitted models carry their session along.)
-    """
-    urls.orderBy(shard_col, *order_cols).select("url").write.mode("overwrite").text(path, compression="gzip")
-    return urls.sparkSession.read.text(path).count()

@@ -752,6 +752,7 @@ def q_filter_by(spark, sf):
 from ..session import materialize, scratch_path  # noqa: E402
 from ..sources import archive_format as AF  # noqa: E402
 from ..sources import files as FS  # noqa: E402
+from ..sources import url_list as UL  # noqa: E402
 from ..sources import warc as W  # noqa: E402
 from ..streaming import incremental as W_stream  # noqa: E402
 
@@ -1102,14 +1103,13 @@ def q_global_rank_documents(spark, sf):
 
 @register("write_url_list")
 def q_write_url_list(spark, sf):
-    """Extracted URLs written as one gzip list in (shard, line, position)
-    order by the executors, read back with the count of written rows."""
+    """Extracted URLs written as one gzip list in (shard, line, position) order by the executors, read back
+    with the count that the tasks reported."""
     lines = reference_lines(table(spark, sf, "pages"))
-    urls = U.extract_reference_urls(lines, keep=["shard", "line_no"])
     path = scratch_path(spark, "url-list")
-    n = U.write_url_list(urls, path)
-    back = spark.read.text(path)
-    return back.select(F.col("value").alias("url"), F.lit(n).cast("bigint").alias("n_written"))
+    shards = lines.groupBy("shard").agg(F.count(F.lit(1)).alias("lines"))
+    n, _ = UL.refresh_url_list(spark, shards, lambda: U.extract_reference_urls(lines, keep=["shard", "line_no"]), path)
+    return UL.read_url_list(spark, path).withColumn("n_written", F.lit(n).cast("bigint"))
 
 
 # =============================================================== flagship

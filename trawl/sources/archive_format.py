@@ -382,39 +382,39 @@ class Parts(WriterCommitMessage):
     files: list[tuple[str, str, int, int]]  # (staged, final, records, bytes)
 
 
-class ArchiveWriter(DataSourceArrowWriter):
-    """Staged parts, moved into place by the driver's commit."""
+class StagedWriter(DataSourceArrowWriter):
+    """Writes parts into a staging folder; the driver's commit moves those that tasks reported."""
 
-    def __init__(self, path: str, overwrite: bool, level: int):
-        self.path, self.overwrite, self.level = path, overwrite, level
+    def __init__(self, path: str, overwrite: bool):
+        self.path, self.overwrite = path.rstrip("/"), overwrite
         self.staging = f"_staging-{uuid.uuid4().hex[:12]}"
+        fs, base = filesystem(self.path)  # made by the driver alone: a task that outlives an abort finds no folder
+        fs.create_dir(f"{base}/{self.staging}", recursive=True)
+
+    def records(self, batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
+        """(folder below the target, stored bytes) of every row."""
+        raise NotImplementedError
+
+    def suffix(self) -> str:
+        return ".gz"
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Parts:
         from pyspark import TaskContext
 
         context = TaskContext.get()
         name = f"part-{context.partitionId():05d}-{context.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
-        fs, base = filesystem(self.path.rstrip("/"))
+        fs, base = filesystem(self.path)
         files: list = []
         out, at = None, None
         try:
             for b in batches:
-                columns = dict(zip(b.schema.names, b.columns, strict=True))
-                chunks = columns["chunk"].cast(pa.string()) if "chunk" in columns else [None] * b.num_rows
-                heads = columns.get("head", [None] * b.num_rows)
-                for chunk, head, kind, uri, block in zip(chunks, heads, columns["warc_type"], columns["uri"], columns["block"], strict=True):
-                    chunk = chunk.as_py() if chunk is not None else None
-                    if out is None or chunk != at:
+                for folder, data in self.records(b):
+                    if out is None or folder != at:
                         if out:
                             out.close()
-                        folder = f"chunk={quote(chunk, safe='')}/" if "chunk" in columns and chunk is not None else ""
-                        folder = "chunk=__HIVE_DEFAULT_PARTITION__/" if "chunk" in columns and chunk is None else folder
-                        final = f"{base}/{folder}{name}-{len(files)}.warc.gz"
                         staged = f"{base}/{self.staging}/{name}-{len(files)}"
-                        fs.create_dir(f"{base}/{self.staging}", recursive=True)
-                        out, at = fs.open_output_stream(staged, compression=None), chunk
-                        files.append([staged, final, 0, 0])
-                    data = member(head.as_py() if head is not None else None, kind.as_py(), uri.as_py(), block.as_py(), self.level)
+                        out, at = fs.open_output_stream(staged, compression=None), folder
+                        files.append([staged, f"{base}/{folder}{name}-{len(files)}{self.suffix()}", 0, 0])
                     out.write(data)
                     files[-1][2] += 1
                     files[-1][3] += len(data)
@@ -424,16 +424,11 @@ class ArchiveWriter(DataSourceArrowWriter):
         return Parts([tuple(x) for x in files])
 
     def commit(self, messages: list[Parts | None]) -> None:
-        fs, base = filesystem(self.path.rstrip("/"))
+        fs, base = filesystem(self.path)
         fs.create_dir(base, recursive=True)
+        old = [x for x in fs.get_file_info(pafs.FileSelector(base)) if x.path.rsplit("/", 1)[-1] != self.staging]
         if self.overwrite:
-            for x in fs.get_file_info(pafs.FileSelector(base)):
-                if x.path.rsplit("/", 1)[-1] == self.staging:
-                    continue
-                if x.type == pafs.FileType.Directory:
-                    fs.delete_dir(x.path)
-                else:
-                    fs.delete_file(x.path)
+            self.drop(fs, old)
         for staged, final, _, _ in (f for m in messages if m is not None for f in m.files):
             fs.create_dir(final.rsplit("/", 1)[0], recursive=True)
             fs.move(staged, final)
@@ -442,13 +437,43 @@ class ArchiveWriter(DataSourceArrowWriter):
             pass
 
     def abort(self, messages: list[Parts | None]) -> None:
-        self._drop_staging(*filesystem(self.path.rstrip("/")))
+        self._drop_staging(*filesystem(self.path))
+
+    @staticmethod
+    def drop(fs: pafs.FileSystem, infos: list[pafs.FileInfo]) -> None:
+        for x in infos:
+            if x.type == pafs.FileType.Directory:
+                fs.delete_dir(x.path)
+            else:
+                fs.delete_file(x.path)
 
     def _drop_staging(self, fs: pafs.FileSystem, base: str) -> None:
         if fs.get_file_info(f"{base}/{self.staging}").type == pafs.FileType.Directory:
             fs.delete_dir(f"{base}/{self.staging}")
 
 
+class ArchiveWriter(StagedWriter):
+    """A gzip member a record; a folder per chunk."""
+
+    def __init__(self, path: str, overwrite: bool, level: int):
+        super().__init__(path, overwrite)
+        self.level = level
+
+    def suffix(self) -> str:
+        return ".warc.gz"
+
+    def records(self, batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
+        columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+        nothing = pa.nulls(batch.num_rows, pa.string())
+        chunked = "chunk" in columns
+        rows = zip(columns["chunk"].cast(pa.string()) if chunked else nothing, columns.get("head", nothing),
+                   columns["warc_type"], columns["uri"], columns["block"], strict=True)
+        for chunk, head, kind, uri, block in rows:
+            chunk = chunk.as_py()
+            folder = f"chunk={'__HIVE_DEFAULT_PARTITION__' if chunk is None else quote(chunk, safe='')}/" if chunked else ""
+            yield folder, member(head.as_py(), kind.as_py(), uri.as_py(), block.as_py(), self.level)
+
+
 def member(head: bytes | None, warc_type: str | None, uri: str | None, block: bytes | None, level: int = 6) -> bytes:
     """One record as a gzip member. A given head is kept as it is; one is made of type and URI else."""
     block = block or b""
