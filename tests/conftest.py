@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,6 +14,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from trawl.session import get_spark
 
-    s = get_spark("trawl-tests", master="local[*]", shuffle_partitions=8)
+    s = get_spark("trawl-tests", master="local[*]", shuffle_partitions=8,
+                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="trawl-warehouse-")})
     yield s
     s.stop()

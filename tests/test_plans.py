@@ -63,3 +63,32 @@ def test_fast_signatures_normalise_once(spark):
     docs = table(spark, SF_SMALL, "documents")
     p = _plan(MH.signature_table(docs, MH.MinHashParams(mode="fast")))
     assert p.count("translate(") == 1
+
+
+def test_bucketed_store_spares_the_text_exchange(spark):
+    """Line dedup, shingle sets and survivors over a bucketed table: no exchange above the scan of the texts."""
+    from pyspark.sql import functions as F
+
+    from trawl.operators import dedup_lines as DL
+    from trawl.operators import minhash as MH
+    from trawl.sources import files as FS
+    from trawl.sources.tables import table
+
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    store = FS.write_document_store(docs, "plan_test_store", buckets=8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = store.where("doc_id % 3 = 0").select("doc_id").distinct()
+        jobs = {"lines": (DL.dedup_lines(store), DL.dedup_lines(docs)),
+                "sets": (MH.set_table(store, MH.MinHashParams(), ids), MH.set_table(docs, MH.MinHashParams(), ids)),
+                "survivors": (store.join(ids, "doc_id", "left_semi"), docs.join(ids, "doc_id", "left_semi"))}
+        for name, (bucketed, plain) in jobs.items():
+            rows = sorted(map(repr, bucketed.collect()))
+            assert rows == sorted(map(repr, plain.collect())), name
+            a, b = _final_plan(plain), _final_plan(bucketed)
+            assert a.count(" Exchange hashpartitioning(doc_id") == b.count(" Exchange hashpartitioning(doc_id") + 1, name
+            assert any("doc_id#" in x and ",text#" in x and "Bucketed: true" in x for x in b.split("\n")), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE plan_test_store")

@@ -6,7 +6,8 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from trawl.streaming.incremental import incremental_kept_ratio, incremental_language_filter
+from trawl.streaming.incremental import (incremental_file_shares, incremental_kept_ratio, incremental_language_filter, latest_totals,
+                                         running_kept_ratio)
 
 
 def _wet(path, items):
@@ -46,3 +47,27 @@ def test_rerun_processes_only_new_files(spark):
     r = stats.agg(F.sum("total_chars"), F.sum("skipped_chars")).first()
     assert tuple(r) == (6 + 5 + 6 + 8 + len(body), 5)
     assert stats.select("chunk").distinct().count() == 3     # one chunk per file here
+
+
+def test_a_chunk_in_three_batches_has_one_total_after_restarts(spark):
+    base = tempfile.mkdtemp(prefix="trawl-r2-")
+    src, shares, out, ck1, ck2 = (os.path.join(base, x) for x in ("src", "shares", "out", "ck1", "ck2"))
+    keep = F.col("text").startswith("EN ")
+    manifest = spark.createDataFrame([("a", 3), ("b", 1)], "chunk string, n_files int")
+    want = {}
+    for i, (chunk, texts) in enumerate([("a", ["EN one", "FR un"]), ("b", ["EN x"]), ("a", ["EN three"]), ("a", ["", "no"])]):
+        os.makedirs(os.path.join(src, f"chunk={chunk}"), exist_ok=True)
+        _wet(os.path.join(src, f"chunk={chunk}", f"{i}.warc.wet.gz"), [(f"http://{i}/{k}", t) for k, t in enumerate(texts)])
+        incremental_file_shares(spark, src + "/*", shares, ck1, keep)
+        assert running_kept_ratio(spark, shares, manifest, out, ck2) == 1      # each call is a stream started anew
+        n, skip, files = want.get(chunk, (0, 0, 0))
+        want[chunk] = (n + sum(map(len, texts)), skip + sum(len(t) for t in texts if not t.startswith("EN ")), files + 1)
+        got = {r.chunk: (r.total_chars, r.skipped_chars, r.files) for r in latest_totals(spark, out).collect()}
+        assert got == want
+    last = {r.chunk: r for r in latest_totals(spark, out).collect()}
+    assert last["a"].complete and last["b"].complete and last["a"].kept_pct == round(100 * 14 / 21, 2)
+    assert not spark.read.parquet(out).where("chunk = 'a' AND files = 2").first().complete
+    # the stage before replays a batch under another name: files counted already stay counted once
+    spark.read.parquet(shares).where("batch_id = 0").drop("batch_id").write.parquet(os.path.join(shares, "batch_id=77"))
+    running_kept_ratio(spark, shares, manifest, out, ck2)
+    assert {r.chunk: (r.total_chars, r.skipped_chars, r.files) for r in latest_totals(spark, out).collect()} == want

@@ -920,26 +920,52 @@ def q_sampled_archive_masks(spark, sf):
 @register("scan_path_manifest", """
 SELECT url AS wet_path, row_number() OVER (ORDER BY page_id) AS line_no FROM pages""")
 def q_scan_path_manifest(spark, sf):
-    """Page URLs written as one headerless gzip manifest in page order, read back with line numbers."""
+    """Page URLs written as a headerless gzip manifest in page order, in as many parts as the sort has partitions, read
+    back with line numbers through all parts."""
     path = scratch_path(spark, "manifest")
-    (table(spark, sf, "pages").repartition(1).sortWithinPartitions("page_id").select("url")  # a manifest is one file
+    (table(spark, sf, "pages").orderBy("page_id").select("url")
      .write.option("compression", "gzip").text(path))
-    return FS.scan_path_manifest(spark, path).select("wet_path", "line_no")
+    return FS.manifest_lines(spark, path).select("wet_path", "line_no")
 
 
-@register("scan_text_corpus", """
-SELECT substr(md5(CAST(doc_id AS VARCHAR)), 1, 2) AS part, string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS text
-FROM documents GROUP BY 1""")
+#: Bytes that a file of the text corpus holds at most, about (and at least 16^2 files).
+_FILE_BYTES = 1 << 20
+
+
+@register("scan_text_corpus", f"""
+WITH k AS (SELECT greatest(2, CAST(ceil(ln(greatest(sum(strlen(text)), 1) / {_FILE_BYTES}) / ln(16)) AS INTEGER)) AS digits FROM documents)
+SELECT substr(md5(CAST(doc_id AS VARCHAR)), 1, digits) AS part, string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS text
+FROM documents, k GROUP BY 1""")
 def q_scan_text_corpus(spark, sf):
-    """S3: documents written as text files by the executors, scanned back a row per file."""
+    """S3: documents written as text files by the executors, scanned back a row per file, decoded strictly. The number of
+    files follows the bytes of text, so a row stays small."""
     path = scratch_path(spark, "text-corpus")
-    part = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 2)
-    (table(spark, sf, "documents").select(part.alias("part"), "doc_id", "text").repartition("part")
+    docs = table(spark, sf, "documents")
+    total, digits = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0, 2
+    while total > _FILE_BYTES * 16 ** digits:
+        digits += 1
+    part = F.substring(F.md5(F.col("doc_id").cast("string")), 1, digits)
+    (docs.select(part.alias("part"), "doc_id", "text").repartition("part")
      .sortWithinPartitions("part", "doc_id").select("part", "text").write.partitionBy("part").text(path))
-    return FS.scan_text_corpus(spark, path + "/*").select(
+    return FS.scan_text_corpus(spark, path + "/*", strict=True).select(
         F.regexp_extract("path", r"part=([^/]+)/", 1).alias("part"), "text")
 
 
+@register("document_store", _LINES_SQL + """
+, freq AS (SELECT md5(line) AS h, count(*) AS c FROM lines GROUP BY 1)
+, keep AS (SELECT l.doc_id, l.pos, l.line FROM lines l JOIN freq f ON md5(l.line) = f.h WHERE f.c = 1)
+SELECT d.doc_id, md5(d.text) AS text_md5, coalesce(string_agg(k.line, '' ORDER BY k.pos), '') AS deduplicated
+FROM documents d LEFT JOIN keep k ON d.doc_id = k.doc_id GROUP BY d.doc_id, d.text""")
+def q_document_store(spark, sf):
+    """S7 as a bucketed table, read back; line dedup over it, with texts met by id where they lie."""
+    name = "documents_" + scratch_path(spark, "store").rsplit("-", 1)[1]
+    store = FS.write_document_store(table(spark, sf, "documents").select("doc_id", "text"), name)
+    clean = DL.dedup_lines(store).withColumnRenamed("text", "deduplicated")
+    out = materialize(store.select("doc_id", F.md5("text").alias("text_md5")).join(clean, "doc_id"), "store-out")
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 @register("write_documents", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END AS text FROM documents")
 def q_write_documents(spark, sf):
     """Surviving documents written with emptied ones as '', read back."""
@@ -1112,6 +1138,19 @@ def q_write_url_list(spark, sf):
     return UL.read_url_list(spark, path).withColumn("n_written", F.lit(n).cast("bigint"))
 
 
+@register("running_kept_ratio", _KEPT_SHARE_SQL + ", TRUE AS complete FROM w GROUP BY chunk")
+def q_running_kept_ratio(spark, sf):
+    """R2 over batches: kept share per chunk as keyed state of a stream, and whether all files of the chunk have come."""
+    src = scratch_path(spark, "r2-wet")
+    W.text_to_wet(_wet_texts(spark, sf).coalesce(32), src, partition_by="chunk")
+    names = spark.read.format("binaryFile").load(src + "/*").select(W_stream.chunk_of_file(F.col("path")).alias("chunk"))
+    manifest = materialize(names.groupBy("chunk").agg(F.count(F.lit(1)).alias("n_files")), "manifest")
+    shares, out, one, two = (scratch_path(spark, f"r2-{x}") for x in ("shares", "totals", "ck1", "ck2"))
+    W_stream.incremental_file_shares(spark, src + "/*", shares, one, LG.English(_language_model(spark, sf)), max_files=200)
+    W_stream.running_kept_ratio(spark, shares, manifest, out, two, max_files=8)
+    return W_stream.latest_totals(spark, out).select("chunk", "total_chars", "skipped_chars", "kept_pct", "complete")
+
+
 # =============================================================== flagship
 from . import curate as CU  # noqa: E402
 
