@@ -93,6 +93,50 @@ for _name, (_rule, _cols, _pred) in _RULES.items():
     register(_name, _GOPHER_STATS_SQL + f"SELECT {_sel} FROM r")(_rule_query(_rule, _cols))
 
 
+from ..operators import sentences as SE  # noqa: E402
+from ..session import materialize  # noqa: E402
+
+
+def _abbreviations_sql() -> str:
+    """CTEs ts(doc_id, ts) and learned(type, with_period, without_period, score, abbreviation)."""
+    word, words = S.lit(SE.WORD), S.lit(r"[^\x20\x09-\x0D]+")
+    return f"""
+WITH ts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {words}) AS ts FROM documents),
+w AS (SELECT lower(regexp_extract(t, {word}, 1)) AS type, regexp_extract(t, {word}, 2) = '.' AS k FROM (SELECT unnest(ts) AS t FROM ts)),
+c AS (SELECT type, CAST(count(*) FILTER (k) AS BIGINT) AS with_period, CAST(count(*) FILTER (NOT k) AS BIGINT) AS without_period
+      FROM w WHERE type <> '' GROUP BY type),
+p AS (SELECT least(greatest(sum(with_period) / greatest(sum(with_period + without_period), 1), 1e-9), 1 - 1e-9) AS p FROM c),
+l AS (SELECT c.*, p, length(replace(type, '.', '')) AS letters FROM c, p WHERE with_period > 0),
+learned AS (SELECT type, with_period, without_period, abbreviation, score FROM (SELECT *, score >= {SE.LEAST_SCORE} AS abbreviation FROM (SELECT *,
+  -2 * (with_period * ln(p) + without_period * ln(1 - p) - with_period * ln({SE.NEARLY_ALWAYS}) - without_period * ln(1 - {SE.NEARLY_ALWAYS}::DOUBLE))
+  * exp(-letters) * (length(type) - letters + 1) * pow(letters::DOUBLE, -without_period) AS score FROM l)))"""
+
+
+@register("abbreviations", _abbreviations_sql() + """
+SELECT type, with_period, without_period, round(score, 6) + 0.0::DOUBLE AS score, abbreviation FROM learned""")
+def q_abbreviations(spark, sf):
+    """Word types seen with a period, and which of them are abbreviations by collocation."""
+    counts = materialize(SE.type_counts(spread(table(spark, sf, "documents").select("text"))), "types")
+    return SE.learn_abbreviations(counts).withColumn("score", F.round("score", 6) + F.lit(0.0))
+
+
+@register("sentence_counts", _abbreviations_sql() + f""",
+e AS (SELECT doc_id, i, len(ts) AS n, t, regexp_matches(t, {S.lit(SE.TERMINAL)}) AS terminal,
+             regexp_matches(t, {S.lit(SE.TERMINAL.replace('.!?', '.'))}) AS period,
+             regexp_extract(t, {S.lit(SE.WORD)}, 2) = '.' AND lower(regexp_extract(t, {S.lit(SE.WORD)}, 1)) IN
+               (SELECT type FROM learned WHERE abbreviation) AS short
+      FROM (SELECT doc_id, ts, unnest(ts) AS t, generate_subscripts(ts, 1) AS i FROM ts))
+SELECT doc_id, CAST(len(ts) AS BIGINT) AS n_words, CAST(coalesce(s, 0) AS BIGINT) AS n_abbreviations,
+       CAST(coalesce(ends, 0) AS BIGINT) AS n_sentences, CAST(len(ts) + coalesce(periods, 0) AS BIGINT) AS n_tokens
+FROM ts LEFT JOIN (SELECT doc_id, count(*) FILTER (short) AS s, count(*) FILTER (period AND NOT short) AS periods,
+                          count(*) FILTER ((terminal AND NOT short) OR i = n) AS ends FROM e GROUP BY doc_id) USING (doc_id)""")
+def q_sentence_counts(spark, sf):
+    """Sentences and tokens of every document, with the abbreviations learned from all of them."""
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    counts = materialize(SE.type_counts(docs), "types")
+    return SE.sentence_counts(docs, SE.learn_abbreviations(counts))
+
+
 # =============================================================== 2.5 aggregations
 @register("text_kept_ratio", _GOPHER_STATS_SQL + f"""
 , k AS (SELECT r.doc_id, ({_GOPHER_REASON_SQL}) IS NULL AS keep FROM r)
