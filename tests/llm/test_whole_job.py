@@ -54,6 +54,15 @@ def test_shards_grow_in_number_and_not_in_size(spark):
         assert len(got) == n * 20 // 800 and max(r["count"] for r in got) < 2 * 800 / 20
 
 
+def test_held_out_texts_score_above_counting_words(spark):
+    """The smallest corpus on which the model could overfit or underfit: better than the unigram base on what it has not seen."""
+    from trawl.llm.catalog import QUERIES
+
+    r = QUERIES["op8_lm_scoring"](spark, "/root/testdata/sf0.01").where("held_out").agg(
+        F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert r[0] / r[2] > r[1] / r[2] + 0.005
+
+
 # ---------------------------------------------------------------- decontamination
 
 def test_blocks_remove_what_one_block_removes(spark):
