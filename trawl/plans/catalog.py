@@ -459,7 +459,7 @@ def q_lsh_recall_md5(spark, sf):
 @register("lsh_recall_fast")
 def q_lsh_recall_fast(spark, sf):
     """Of all similar pairs of distinct sets, those that the fast bands make candidates."""
-    return _recall(spark, sf, MH.MinHashParams(100, 10, 5, 0.8, "fast"))
+    return _recall(spark, sf, CU.FLAGSHIP_PARAMS)
 
 
 # =============================================================== 2.2/2.4/2.6/2.8 pages

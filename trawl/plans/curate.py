@@ -18,7 +18,8 @@ from ..operators import pii as PII
 from ..session import materialize
 from ..sources.tables import spread, table
 
-FLAGSHIP_PARAMS = MH.MinHashParams(num_hashes=100, num_bands=10, ngrams=5,
+#: Sixteen bands of seven rows: the exact join (``lsh_recall_fast``) finds that ten bands of ten miss one similar pair in six.
+FLAGSHIP_PARAMS = MH.MinHashParams(num_hashes=112, num_bands=16, ngrams=5,
                                    threshold=0.8, mode="fast")
 
 
