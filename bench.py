@@ -26,7 +26,7 @@ HEADLINE = ["gopher_filter", "text_kept_ratio", "mask_pii", "pii_totals", "norma
             "line_frequencies", "dedup_lines", "strip_tags", "pages_to_text", "dedup_minhash_fast",
             "curate_summary_fast", "dedup_minhash", "scan_warc", "scan_wet", "write_filtered_wet",
             "identify_language", "classify_toxic", "document_frequency", "pack_windows", "sample_windows",
-            "global_rank_documents"]
+            "global_rank_documents", "archive_records", "exact_jaccard_documents", "sample_half", "sentence_counts"]
 
 
 def main() -> None:
