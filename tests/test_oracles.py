@@ -14,7 +14,8 @@ FAST = ["gopher_filter", "text_kept_ratio", "mask_pii", "pii_totals", "normalize
         "word_ngrams", "line_frequencies", "dedup_lines", "strip_tags", "preview",
         "extract_reference_urls", "urls_per_shard", "assign_chunks", "train_test_split",
         "document_frequency", "last_record_per_uri", "common_uris", "minhash_signature",
-        "dedup_minhash"]
+        "dedup_minhash", "archive_records", "sampled_archive_masks", "sample_half", "exact_jaccard_documents",
+        "write_url_list", "scan_path_manifest", "sentence_counts", "document_store"]
 
 
 def _norm(v):
