@@ -177,6 +177,43 @@ def test_large_template_family_is_not_quadratic(spark):
     assert edges.count() < 2000 * MH.PIVOTS and time.time() - began < 120
 
 
+def test_bucket_of_many_strangers_takes_few_rounds_and_moves_no_sets(spark, monkeypatch):
+    """500 unrelated sets and three similar pairs in one bucket: rounds by doublings, and only pairs that may be similar are verified."""
+    rng = random.Random(6)
+    sets = {i: [rng.getrandbits(62) for _ in range(rng.randrange(80, 300))] for i in range(500)}
+    for i in (7, 140, 420):
+        sets[1000 + i] = sets[i][:-3] + [rng.getrandbits(62) for _ in range(3)]
+    table = spark.createDataFrame([(i, len(s), s) for i, s in sets.items()], "doc_id long, n_sh int, hs array<long>").cache()
+    asked, plain = [], MH.materialize
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name == "asked":
+            asked.append(out.count())
+        return out
+    monkeypatch.setattr(MH, "materialize", counted)
+    members = table.select(F.lit(0).alias("band"), F.lit("k").alias("key"), F.col("doc_id").alias("x"))
+    edges = MH.verified_edges(members, table, MH.MinHashParams(threshold=0.8))
+    assert sorted(tuple(r) for r in edges.collect()) == [(7, 1007), (140, 1140), (420, 1420)]
+    assert len(asked) <= 5 and sum(asked) < 100
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8])
+def test_marks_rule_out_no_similar_pair(spark, threshold):
+    """Sets of sizes from none to many tokens a cell, with overlaps around the threshold."""
+    rng = random.Random(9)
+    pairs = [([], []), ([], [1])]
+    for size in (1, 4, 9, 60, 700, 4000):
+        for share in (threshold - 0.02, threshold, threshold + 0.02):
+            a = [rng.getrandbits(63) for _ in range(size)]
+            common = round(2 * size * share / (1 + share))
+            pairs.append((a, a[:common] + [-rng.getrandbits(63) for _ in range(size - common)]))
+    df = spark.createDataFrame([(len(a), len(b), a, b) for a, b in pairs], "nx int, np int, a array<long>, b array<long>")
+    judged = df.select("nx", "np", MH._jaccard("a", "nx", "b", "np").alias("j"), MH._mark("a").alias("mx"), MH._mark("b").alias("mp"))
+    rows = judged.withColumn("may", MH._may_be_similar(("nx", "mx"), ("np", "mp"), threshold)).collect()
+    assert all(r.may for r in rows if r.j >= threshold) and any(not r.may for r in rows)
+
+
 def test_fast_clusters_are_sound(spark):
     """Fast mode over a whole table: every cluster is connected by exact Jaccard alone."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
