@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from trawl.operators import classify as C
 from trawl.operators import language as L
 from trawl.operators import tokens as K
 from trawl.operators.extraction import filter_by
@@ -100,3 +101,12 @@ def test_pack_and_sample_windows_brute_force(spark):
     for r in K.sample_windows(tok, 8, ctx, seed=5).collect():
         assert list(r.x) == stream[r.s:r.s + ctx] and list(r.y) == stream[r.s + 1:r.s + ctx + 1]
     assert max(stream) < K.VOCAB_SIZE and stream.count(K.END_OF_TEXT) == tok.count()
+
+
+def test_training_tasks_do_not_grow_with_the_rows(spark):
+    """A task sends a gradient per iteration: no more tasks than cores, fewer for few rows."""
+    cores = spark.sparkContext.defaultParallelism
+    for rows, tasks in ((1, 1), (C.ROWS_PER_PARTITION + 1, min(2, cores)), (3 * cores * C.ROWS_PER_PARTITION, cores)):
+        vectors = C._partitioned(spark.range(rows))
+        assert vectors.rdd.getNumPartitions() == tasks and vectors.count() == rows
+        vectors.unpersist()

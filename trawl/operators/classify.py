@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import preprocess_for_classifier
 
-#: Rows of feature vectors per training task.
+#: Rows of feature vectors that a training task has at least, when there are more.
 ROWS_PER_PARTITION = 2_000
 #: Words in fewer training documents carry no weight (they are memorised, not learned).
 MIN_DOCS = 4
@@ -44,9 +44,10 @@ def _balanced_weights(df: DataFrame, label: str) -> DataFrame:
 
 # ------------------------------------------------------------------ M2/M3 content
 def _partitioned(vectors: DataFrame) -> DataFrame:
-    """Feature vectors in tasks of ROWS_PER_PARTITION rows, kept for the iterations."""
-    n = vectors.count()
-    return vectors.repartition(max(1, -(-n // ROWS_PER_PARTITION))).persist()
+    """Feature vectors in a task per core at most, kept for the iterations: every task of an iteration
+    sends a gradient as long as the vocabulary, so their number must not grow with the rows."""
+    n, cores = vectors.count(), vectors.sparkSession.sparkContext.defaultParallelism
+    return vectors.repartition(max(1, min(cores, -(-n // ROWS_PER_PARTITION)))).persist()
 
 
 def train_binary_text(df: DataFrame, label_col: str, text_col: str = "text",
