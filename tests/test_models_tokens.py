@@ -110,3 +110,20 @@ def test_training_tasks_do_not_grow_with_the_rows(spark):
         vectors = C._partitioned(spark.range(rows))
         assert vectors.rdd.getNumPartitions() == tasks and vectors.count() == rows
         vectors.unpersist()
+
+
+def test_vocabulary_is_the_most_frequent_terms_ties_by_name(spark):
+    rows = [(["b", "a", "c", "a"],), (["c", "b"],), ([],), (None,), (["d"],)]
+    terms = spark.createDataFrame(rows, "terms array<string>")
+    assert C._most_frequent(terms, 3) == ["a", "b", "c"]
+    assert C._most_frequent(terms, 9) == ["a", "b", "c", "d"]
+
+
+def test_training_vectors_carry_no_feature_model(spark):
+    """The plan that the iterations read starts at a written table."""
+    from pyspark.ml.feature import CountVectorizerModel
+    words = spark.createDataFrame([(["a", "b"],)], "w array<string>")
+    vectors = C._partitioned(CountVectorizerModel.from_vocabulary(["a", "b"], "w", "f").transform(words).select("f"))
+    assert "ml_attr" not in vectors.schema["f"].metadata
+    assert "parquet" in vectors._jdf.queryExecution().analyzed().toString() and vectors.first().f.toArray().tolist() == [1.0, 1.0]
+    vectors.unpersist()

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer,
+from pyspark.ml.feature import (IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, NGram, Normalizer,
                                 RegexTokenizer, SQLTransformer, StopWordsRemover, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import preprocess_for_classifier
+from ..session import drop_table, materialize
 
 #: Rows of feature vectors that a training task has at least, when there are more.
 ROWS_PER_PARTITION = 2_000
@@ -45,11 +46,22 @@ def _balanced_weights(df: DataFrame, label: str) -> DataFrame:
 # ------------------------------------------------------------------ M2/M3 content
 def _partitioned(vectors: DataFrame) -> DataFrame:
     """Feature vectors in a task per core at most, kept for the iterations: every task of an iteration
-    sends a gradient as long as the vocabulary, so their number must not grow with the rows."""
+    sends a gradient as long as the vocabulary, so their number must not grow with the rows. They are
+    written once, without the names of features (which every task of every iteration would carry as
+    part of its schema), so that no task carries the feature models and a lost block costs no tokenising."""
+    unnamed = [F.col(c).alias(c, metadata={"comment": ""}) for c in vectors.columns]  # an empty one would keep the old
+    vectors = materialize(vectors.select(*unnamed), "train-vectors")
     n, cores = vectors.count(), vectors.sparkSession.sparkContext.defaultParallelism
     return vectors.repartition(max(1, min(cores, -(-n // ROWS_PER_PARTITION)))).persist()
 
 
+def _most_frequent(terms: DataFrame, size: int) -> list[str]:
+    """The ``size`` most frequent terms of an array column, by falling count, then term."""
+    name = terms.columns[0]
+    counts = terms.select(F.explode(name).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return [r["term"] for r in counts.orderBy(F.col("n").desc(), "term").limit(size).collect()]
+
+
 def train_binary_text(df: DataFrame, label_col: str, text_col: str = "text",
                       min_docs: int = MIN_DOCS) -> PipelineModel:
     """Presence of words (in at least ``min_docs`` training documents), class-balanced
@@ -113,14 +125,16 @@ def train_quality_classifier(train: DataFrame, text_col: str = "text", label_col
     terms neither converges nor finds the minority class among a few hundred labels."""
     x = train.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(label_col).cast("double").alias("label"))
-    x = with_look(x).persist()                        # read by the vocabulary, idf and count passes
+    x = with_look(x).persist()                        # read by the vocabulary and the term counts
     tok = RegexTokenizer(inputCol="text", outputCol="tok", pattern=r"(?U)\b\w\w+\b", gaps=False)
     sw = StopWordsRemover(inputCol="tok", outputCol="words")
     bi = NGram(n=2, inputCol="words", outputCol="bigrams")
     cat = SQLTransformer(statement="SELECT *, concat(words, bigrams) AS terms FROM __THIS__")
-    cv = CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=vocab_size)
-    feat = Pipeline(stages=[tok, sw, bi, cat, cv]).fit(x)
-    tfed = feat.transform(x)
+    split = PipelineModel(stages=[tok, sw, bi, cat])  # none of them learns anything
+    vocabulary = _most_frequent(split.transform(x).select("terms"), vocab_size)
+    feat = PipelineModel(stages=[*split.stages, CountVectorizerModel.from_vocabulary(vocabulary, "terms", "tf")])
+    tfed = materialize(feat.transform(x).select("tf", "label", *LOOK), "train-terms")
+    x.unpersist()
     idf = IDF(inputCol="tf", outputCol="_idf").fit(tfed)
     scale = ElementwiseProduct(inputCol="tf", outputCol="tfidf",
                                scalingVec=Vectors.dense([v + 1.0 for v in idf.idf.toArray()]))
@@ -133,11 +147,11 @@ def train_quality_classifier(train: DataFrame, text_col: str = "text", label_col
     if balanced:
         prepared = _balanced_weights(prepared, "label")
     prepared = _partitioned(prepared)  # iterations read vectors, not text
+    drop_table(tfed)
     try:
         lr_model = lr.fit(prepared)
     finally:
         prepared.unpersist()
-        x.unpersist()
     return PipelineModel(stages=[feat, scale, norm, both, lr_model])
 
 
