@@ -92,3 +92,23 @@ def test_bucketed_store_spares_the_text_exchange(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql("DROP TABLE plan_test_store")
+
+
+def test_python_workers_get_batches_of_bounded_bytes(spark):
+    """Rows of 100 kB: a batch is closed by its bytes, not by 10,000 rows; a smaller limit of the session stays."""
+    import pyarrow as pa
+    from trawl import session as S
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([b.num_rows])], ["bytes", "n"])
+    rows = spark.range(300, numPartitions=1).selectExpr("repeat('x', 100000) AS t").mapInArrow(sizes, "bytes long, n long").collect()
+    assert sum(r.n for r in rows) == 300 and max(r.bytes for r in rows) < 2 * S.BATCH_BYTES
+    old = spark.conf.get(S.BATCH_CONF)
+    try:
+        for given, kept in ((1 << 20, 1 << 20), (1 << 30, S.BATCH_BYTES)):
+            spark.conf.set(S.BATCH_CONF, str(given))
+            S.ship_package(spark)
+            assert int(spark.conf.get(S.BATCH_CONF).rstrip("bB")) == kept
+    finally:
+        spark.conf.set(S.BATCH_CONF, old)

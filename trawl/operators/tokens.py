@@ -52,10 +52,12 @@ def _encoder():
                              special_tokens={"<|endoftext|>": END_OF_TEXT})
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _encode(s: pd.Series) -> pd.Series:
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _encode(texts: pa.Array) -> pa.Array:
     enc = _encoder()
-    return pd.Series([enc.encode_ordinary(t or "") + [END_OF_TEXT] for t in s])
+    ids = [np.array([*enc.encode_ordinary(t.as_py() or ""), END_OF_TEXT], dtype=np.int32) for t in texts]
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, dtype=np.int32), *ids])))
 
 
 def tokenize_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
