@@ -360,13 +360,13 @@ def _remove_by_blocks(docs: DataFrame, matchers: list, max_coverage: float) -> D
                               .select(F.col("doc_id").alias("row"), "spans"), "spans-hits")
             hits = hit if hits is None else hits.unionByName(hit)
         spans = hits.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-        cut = materialize(_cut_once(left.join(spans, "row").select("row", "text", "spans"), limit), "spans-cut")
+        shorter = materialize(_cut_once(left.join(spans, "row").select("row", "text", "spans"), limit), "spans-cut")
         if done is not None:  # what was cut before and is clean now
             clean = materialize(left.join(hits.select("row").distinct(), "row", "left_anti"), "spans-clean")
             done = done.unionByName(clean)
         else:
-            done = cut.where(F.col("text").isNull())
-        left, limit = cut.where(F.col("text").isNotNull()), 1.0  # coverage is judged on the whole text alone
+            done = shorter.where(F.col("text").isNull())
+        left, limit = shorter.where(F.col("text").isNotNull()), 1.0  # coverage is judged on the whole text alone
         if left.isEmpty():
             break
     done = done.select(F.col("row").alias(row), F.col("text").alias(new), F.lit(True).alias(cut))
