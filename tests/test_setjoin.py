@@ -66,6 +66,29 @@ def test_all_similar_pairs_are_found(spark, n, t, block, sets, cells):
     assert {i: linked[i].component for i in reps} == {i: label[r] for i, r in reps.items()}
 
 
+def test_sets_are_written_once_and_a_small_component_moves_once(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(40):
+        body = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+        texts += [" ".join([*body, *(f"x{rng.randrange(10**6)}" for _ in range(2))]) for _ in range(4)]
+        half = [f"w{rng.randrange(10**6)}" for _ in range(40)]  # shares half: a candidate at most
+        texts.append(" ".join(body[:40] + half))
+    rng.shuffle(texts)
+    rows, tables = list(enumerate(texts)), {}
+
+    def write(df, name, real=SJ.materialize):
+        tables[name] = (df.columns, (out := real(df, name)).count())
+        return out
+    monkeypatch.setattr(SJ, "materialize", write)
+    found, _ = SJ.similar_pairs(spark.createDataFrame(rows, "doc_id long, text string"), sets_per_block=8)
+    pairs = expected(rows, 5, 0.8)[1]
+    assert {(r.x, r.y): (r.common, r.total) for r in found.collect()} == pairs and len(pairs) == 40 * 6
+    assert [name for name, (cols, _) in tables.items() if "tokens" in cols] == ["shingle-sets"]
+    assert tables["candidates"][1] == len(pairs)                       # the marks end the others
+    assert tables["asked-sets"][1] == len({i for p in pairs for i in p})
+
+
 def test_shingle_sets_match_word_tuples():
     texts = [t.lower() if t else "" for _, t in family_texts()] + ["é ü 你 x y z", "a a a a a a a"]
     for n in (1, 3, 5):

@@ -4,7 +4,8 @@ The reference verifies only pairs that share a hash band (U2, U3); this join fin
 what share of them the bands find (``lsh_recall``).
 
 1. ``set_rows``: one pass over the text gives every document its set of word n-grams as sorted 64-bit hashes and a
-   128-bit key of the set. Documents with one set are one *representative* (the smallest id); ``members`` keeps who belongs to it.
+   128-bit key of the set, written once. Documents with one set are one *representative* (the smallest id); ``members`` keeps
+   who belongs to it, and copies collapse by their prefixes, so whole sets are first exchanged when pairs are verified.
 2. Order: tokens are ranked rarest first. A fixed-size count sketch (``CELLS`` counters, summed over all sets) orders
    them: by the count of a token's cell, then by hash. Any order gives exact results, so what the sketch confuses costs candidates, never pairs.
 3. Prefix filter: two sets of n and m tokens with Jaccard >= t share at least o = t / (1 + t) * (n + m) tokens, so each set's
@@ -12,9 +13,11 @@ what share of them the bands find (``lsh_recall``).
 4. Candidates meet by token, under a length filter (t * max <= min) and a position filter (tokens left must suffice for o). A
    pair whose sets hold the same token right before is met there already and passed over. A token with more than
    ``BLOCK`` sets is dealt in blocks of them, a pair of blocks a group, so a boilerplate shingle is no task of its own.
-5. Verification: sets are numbered in the order of their rarest shared token, so that near copies are neighbours; 256 of
-   them are a block. A task holds the sets of two blocks and intersects the candidate pairs between them; a set moves
-   once per pair of blocks, not once per pair.
+   A mark of the set (1,024 bits) bounds the intersection and ends most pairs that are not similar before sets move.
+5. Verification: sets are numbered by the component that candidate pairs tie them to, inside it in the order of their rarest
+   shared token; 256 of them are a block. A task holds the sets of two blocks and intersects the candidate pairs between
+   them. A component that is no larger than a block lies in one, so its sets move once, however many pairs it has; in a
+   larger one a set moves once per pair of blocks.
 
 The empty set equals itself and no other; its documents are one representative without links.
 """
@@ -35,6 +38,7 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize_text
 from ..session import drop_table, materialize
 from .components import connected_components
+from .minhash import MARK, most_common
 from .sampling import global_rank
 
 NGRAMS, THRESHOLD = 5, 0.8
@@ -121,12 +125,6 @@ def members(sets: DataFrame) -> DataFrame:
     return sets.select("doc_id", "key1", "key2").join(reps, ["key1", "key2"]).select("doc_id", "rep")
 
 
-def distinct_sets(sets: DataFrame) -> DataFrame:
-    """(rep, n, tokens): one row per distinct set that is not empty; copies collapse before they are exchanged."""
-    return (sets.where("n > 0").groupBy("key1", "key2")
-            .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens")).drop("key1", "key2"))
-
-
 # ---------------------------------------------------------------- order and prefixes
 def _cell(tokens: np.ndarray, cells_log2: int) -> np.ndarray:
     return ((tokens.view(np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(64 - cells_log2)).astype(np.int64)
@@ -152,27 +150,37 @@ def needed(n: int, m: int, threshold: float) -> int:
     return math.ceil(round(threshold / (1 + threshold) * (n + m), 9))
 
 
-def prefix_rows(sets: DataFrame, cells: np.ndarray, threshold: float) -> DataFrame:
-    """(rep, n, token, place, before): the prefix of every set, rarest first; ``before`` is the token one place earlier."""
+def prefix_sets(sets: DataFrame, cells: np.ndarray, threshold: float) -> DataFrame:
+    """(rep, key1, key2, n, first, mark): the prefix of every distinct set that is not empty, rarest first, and a bit per
+    cell that the set has tokens in. Copies have one prefix and collapse by it; whole sets are not exchanged."""
     sent = sets.sparkSession.sparkContext.broadcast(cells)
     cells_log2 = int(len(cells)).bit_length() - 1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = sent.value
         for b in batches:
-            out = {k: [] for k in ("rep", "n", "token", "place", "before")}
-            for rep, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            first = [np.empty(0, dtype="<i8")]
+            cells_of = np.zeros((b.num_rows, 64 * MARK), dtype=np.uint8)
+            for i, raw in enumerate(b.column(4).to_pylist()):
                 t = np.frombuffer(raw, dtype="<i8")
                 size = len(t) - math.ceil(round(threshold * len(t), 9)) + 1
-                first = t[np.lexsort((t, count[_cell(t, cells_log2)]))[:size]]
-                out["rep"].append(np.full(len(first), rep))
-                out["n"].append(np.full(len(first), len(t), dtype=np.int32))
-                out["token"].append(first)
-                out["place"].append(np.arange(len(first), dtype=np.int32))
-                out["before"].append(np.append(0, first[:-1]))
-            if out["rep"]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in out.values()], list(out))
-    return sets.select("rep", "tokens").mapInArrow(cut, "rep long, n int, token long, place int, before long")
+                first.append(t[np.lexsort((t, count[_cell(t, cells_log2)]))[:size]])
+                cells_of[i, _cell(t, (64 * MARK).bit_length() - 1)] = 1
+            ends = np.cumsum([len(f) for f in first]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first)))
+            longs = np.packbits(cells_of, axis=1, bitorder="little").view("<i8").ravel()
+            marks = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * MARK), pa.array(longs))
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], lists, marks], ["doc_id", "key1", "key2", "n", "first", "mark"])
+    rows = sets.where("n > 0").select("doc_id", "key1", "key2", "n", "tokens").mapInArrow(
+        cut, "doc_id long, key1 long, key2 long, n int, first array<long>, mark array<long>")
+    return rows.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n", "first", "mark")))
+
+
+def prefix_rows(prefixes: DataFrame) -> DataFrame:
+    """(rep, n, token, place, before): a row per prefix token; ``before`` is the token one place earlier."""
+    rows = prefixes.select("rep", "n", "first", F.posexplode("first").alias("place", "token"))
+    before = F.coalesce(F.get("first", F.col("place") - 1), F.lit(0).cast("long"))
+    return rows.select("rep", "n", "token", "place", before.alias("before"))
 
 
 # ---------------------------------------------------------------- candidates
@@ -204,6 +212,15 @@ def candidate_pairs(shared: DataFrame, threshold: float, block: int = BLOCK) ->
     return left.join(right, group).where(fits).select("x", "y").distinct()
 
 
+def near_pairs(pairs: DataFrame, prefixes: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose sizes and marks leave room for Jaccard >= threshold (a bound: no similar pair fails it)."""
+    x = prefixes.select(F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("mark").alias("mx"))
+    y = prefixes.select(F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("mark").alias("my"))
+    most = most_common(("nx", "mx"), ("ny", "my"))
+    fits = most >= F.round(F.lit(threshold) * (F.col("nx") + F.col("ny") - most), 9)
+    return pairs.join(x, "x").join(y, "y").where(fits).select("x", "y")
+
+
 # ---------------------------------------------------------------- verification
 def _intersections(pairs: pd.DataFrame, sets: pd.DataFrame, threshold: float) -> pd.DataFrame:
     tokens = {r: np.frombuffer(t, dtype="<i8") for r, t in zip(sets["rep"], sets["tokens"], strict=True)}
@@ -229,33 +246,34 @@ def similar_pairs(docs: DataFrame, threshold: float = THRESHOLD, ngrams: int = N
     if not 0 < threshold <= 1:
         raise ValueError("the threshold lies above 0 and not above 1")
     rows = materialize(set_rows(docs, id_col, text_col, ngrams), "shingle-sets")
-    sets = materialize(distinct_sets(rows), "distinct-sets")
     who = materialize(members(rows), "set-members")
-    drop_table(rows)
-    prefixes = prefix_rows(sets, count_sketch(sets, cells_log2), threshold)
-    prefixes = materialize(prefixes, "prefixes")
-    shared = materialize(shared_prefixes(prefixes), "shared-prefixes")
-    drop_table(prefixes)
-    pairs = materialize(candidate_pairs(shared, threshold, block), "candidates")
-    # sets that are in a pair, numbered by the first token they share with another
-    asked = pairs.select(F.col("x").alias("rep")).unionByName(pairs.select(F.col("y").alias("rep"))).distinct()
-    first = shared.groupBy("rep").agg(F.min_by("token", "place").alias("token")).join(asked, "rep", "left_semi")
-    place = materialize(global_rank(first, [F.col("token"), F.col("rep")], "rank").select(
-        "rep", F.floor((F.col("rank") - 1) / sets_per_block).alias("block")), "set-places")
+    prefixes = materialize(prefix_sets(rows, count_sketch(rows, cells_log2), threshold), "prefixes")
+    shared = materialize(shared_prefixes(prefix_rows(prefixes)), "shared-prefixes")
+    pairs = materialize(near_pairs(candidate_pairs(shared, threshold, block), prefixes, threshold), "candidates")
+    # sets that are in a pair, numbered by what pairs connect, then by the first token they share with another
+    parts = connected_components(pairs, "x", "y", node_col="rep")
+    first = shared.groupBy("rep").agg(F.min_by("token", "place").alias("token")).join(parts, "rep")
+    ranked = global_rank(first, [F.col("component"), F.col("token"), F.col("rep")], "rank").withColumn("rank", F.col("rank") - 1)
+    ranked = materialize(ranked.select("rep", "component", "rank"), "set-ranks")
+    starts = ranked.groupBy("component").agg(F.min("rank").alias("start"), F.count(F.lit(1)).alias("size"))
+    at = F.when(F.col("size") <= sets_per_block, F.col("start")).otherwise(F.col("rank"))
+    place = materialize(ranked.join(starts, "component").select("rep", F.floor(at / sets_per_block).alias("block")), "set-places")
     at_x = place.select(F.col("rep").alias("x"), F.col("block").alias("bx"))
     at_y = place.select(F.col("rep").alias("y"), F.col("block").alias("by"))
     placed = materialize(pairs.join(at_x, "x").join(at_y, "y").select(
         F.least("bx", "by").alias("bi"), F.greatest("bx", "by").alias("bj"), "x", "y"), "placed-pairs")
     again = docs.sparkSession.read.parquet(placed.table_path)  # columns of its own for the co-group
     use = again.select("bi", "bj", F.explode(F.array("x", "y")).alias("rep")).distinct()
-    moved = use.join(sets, "rep").select("bi", "bj", "rep", "tokens")
+    # written for its size to be known: as long as it is small, sets are exchanged once
+    keyed = materialize(use.join(prefixes.select("rep", "key1"), "rep"), "asked-sets")
+    moved = rows.withColumnRenamed("doc_id", "rep").join(keyed, ["rep", "key1"]).select("bi", "bj", "rep", "tokens")
 
     def verify(pair_rows: pd.DataFrame, set_rows: pd.DataFrame) -> pd.DataFrame:
         return _intersections(pair_rows, set_rows, threshold)
     found = (placed.groupBy("bi", "bj").cogroup(moved.groupBy("bi", "bj"))
              .applyInPandas(verify, "x long, y long, common long, total long"))
     found = materialize(found.withColumn("jaccard", F.col("common") / F.col("total")), "similar-pairs")
-    for t in (shared, pairs, place, placed, sets):
+    for t in (rows, prefixes, shared, pairs, ranked, place, placed, keyed):
         drop_table(t)
     return found, who
 
@@ -276,9 +294,9 @@ def lsh_recall(found: DataFrame, who: DataFrame, bands: DataFrame) -> DataFrame:
 
     ``bands``: (band, key, doc_id) of the documents, as ``minhash.band_rows`` gives them.
     """
-    reps = bands.join(who.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi").select("band", "key", "doc_id")
-    one = reps.select("band", "key", F.col("doc_id").alias("x"))
-    two = reps.select("band", "key", F.col("doc_id").alias("y"))
-    met = (found.select("x", "y").join(one, "x").join(two, ["y", "band", "key"], "left_semi").select("x", "y").distinct()
-           .withColumn("met", F.lit(1)))
-    return found.join(met, ["x", "y"], "left").agg(F.count(F.lit(1)).alias("n_pairs"), F.count("met").alias("n_found"))
+    ends = found.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
+    one_key = F.concat(F.col("band").cast("string"), F.lit(" "), "key")
+    keys = bands.join(ends, "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_set(one_key).alias("keys"))
+    met = (found.select("x", "y").join(keys.select(F.col("doc_id").alias("x"), F.col("keys").alias("kx")), "x", "left")
+           .join(keys.select(F.col("doc_id").alias("y"), F.col("keys").alias("ky")), "y", "left"))
+    return met.agg(F.count(F.lit(1)).alias("n_pairs"), F.count(F.when(F.arrays_overlap("kx", "ky"), 1)).alias("n_found"))
