@@ -3,6 +3,7 @@
 import random
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,3 +223,14 @@ def test_fast_clusters_are_sound(spark):
     exact = jaccard_components(sets, [sorted(sets)], p.threshold)
     for r in MH.duplicate_clusters(docs, p).collect():
         assert exact[r.doc_id] == exact[r.component]
+
+
+def test_fast_minima_of_texts_longer_than_a_tile_and_of_none():
+    size = np.array([0, 3, MH.FAST_TILE + 5, 0, 0, 1, 3 * MH.FAST_TILE, 7, 0])
+    x = np.random.default_rng(2).integers(0, 1 << 63, size.sum(), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    got = MH.fast_minima(x, np.repeat(np.arange(len(size)), size), len(size), 14, 1)
+    a, b = MH._fast_coefficients(14, 1)
+    for i, part in enumerate(np.split(x, np.cumsum(size)[:-1])):
+        want = [int(((k * part + c) >> np.uint64(32)).min()) if len(part) else 0 for k, c in zip(a, b, strict=True)]
+        assert got[i].tolist() == want
+    assert MH.fast_minima(x[:0], np.arange(0), 2, 14, 1).tolist() == [[0] * 14] * 2
