@@ -37,3 +37,17 @@ def test_signatures_of_documents_without_a_row_per_shingle(spark):
     assert rows.count() == len(texts) + 1  # the repeated row is one
     for r in MH.shingle_table(docs, p).distinct().collect():
         assert got[r.doc_id] == [min((first_word(f"{i}-{s}".encode()) for s in r.sh), default=0) for i in range(20)]
+
+
+def test_few_hashes_take_tiles_of_as_many_values(monkeypatch):
+    sizes, made = [], md5._tile
+    monkeypatch.setattr(md5, "_tile", lambda *a: sizes.append((v := made(*a)).size) or v)
+    data = np.random.default_rng(3).integers(0, 256, 40_000, dtype=np.uint8)
+    n = 9_000
+    start, owner = np.arange(n), np.arange(n) // 100
+    for hashes in (8, 100):
+        sizes.clear()
+        got = md5.minima(data, start, np.full(n, 30), owner, 90, hashes)
+        assert len(sizes) <= 1.5 * n * hashes / md5.VALUES + 3 and max(sizes) <= md5.VALUES
+        for i in (0, hashes - 1):
+            assert got[89, i] == min(first_word(f"{i}-".encode() + data[j:j + 30].tobytes()) for j in range(8_900, n))
