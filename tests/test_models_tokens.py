@@ -1,5 +1,6 @@
 """Classifiers (held-out rows) and token windows (brute force)."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +128,18 @@ def test_training_vectors_carry_no_feature_model(spark):
     assert "ml_attr" not in vectors.schema["f"].metadata
     assert "parquet" in vectors._jdf.queryExecution().analyzed().toString() and vectors.first().f.toArray().tolist() == [1.0, 1.0]
     vectors.unpersist()
+
+
+def test_places_of_codes_by_table_and_by_search(monkeypatch):
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 7, 3000):
+        codes = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+        places = L.Places(codes, rng.permutation(len(codes)))
+        asked = np.concatenate([codes, codes[::-1], rng.integers(0, 1 << 62, 500, dtype=np.uint64)])
+        at, known = places.find(asked)
+        assert known.tolist() == np.isin(asked, codes).tolist()
+        assert (codes[at[known]] == asked[known]).all()
+    # what holds its slot is not searched: the last code put there, so at least the last one of all
+    model = L.LanguageModel(["a"], np.zeros(1), np.ones(1), codes, np.arange(len(codes), dtype=float)[:, None])
+    monkeypatch.setattr(L.np, "searchsorted", None)
+    assert model.places().find(codes[-1:])[0].tolist() == [len(codes) - 1]
