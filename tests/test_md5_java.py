@@ -4,7 +4,6 @@ import hashlib
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from trawl.operators import minhash as MH
 
@@ -35,23 +34,29 @@ def test_signatures_as_hashlib_makes_them(spark, n, hashes):
     p = MH.MinHashParams(num_hashes=hashes, num_bands=1, ngrams=n)
     rows = [t for t in texts() if hashes < 1000 or len(t or "") < 400]
     docs = spark.createDataFrame(list(enumerate(rows)), "i int, t string").repartition(3)
-    got = {r.i: r.s for r in docs.select("i", MH.md5_signature(spark, "t", p).alias("s")).collect()}
+    got = {r.i: r.s for r in docs.select("i", MH.md5_sets(spark, "t", p)["sig"].alias("s")).collect()}
     for i, t in enumerate(rows):
         assert got[i] == signature(t or "", n, hashes), (i, t)
 
 
-def test_numpy_form_and_other_sessions_agree(spark):
+def test_numpy_form_and_other_sessions_agree(spark, monkeypatch):
     p = MH.MinHashParams(num_hashes=110, num_bands=10, ngrams=4)
+    more = ["b a " * 40, "ab a b", "a\u00ff \u20ac \U00020000 a " * 5, "same word " * 9 + "same", "x" * 9 + " " + "x" * 8 + " " + "x" * 10]
+    rows = list(enumerate([*texts(), *more, *more]))
     for session in (spark, spark.newSession()):
-        docs = session.createDataFrame(list(enumerate(texts())), "i int, t string").repartition(2)
-        both = docs.select(MH.md5_signature(session, "t", p).alias("x"), MH.md5_signature_udf(110, 4)("t").alias("y"))
-        assert both.where(F.col("x") != F.col("y")).count() == 0 and both.where("size(x) = 110").count() == len(texts())
+        docs = session.createDataFrame(rows, "doc_id int, text string").repartition(2)
+        java = {r.doc_id: (r.set_key, r.n_sh, r.sig) for r in MH.signature_table(docs, p).collect()}
+        with monkeypatch.context() as m:
+            m.setattr(MH, "java_function", lambda *a: None)
+            assert java == {r.doc_id: (r.set_key, r.n_sh, r.sig) for r in MH.signature_table(docs, p).collect()}
+        assert len(java) == len(rows)
 
 
 def test_no_text_goes_to_python(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (2, None)], "doc_id long, text string")
     plan = MH.signature_table(docs, MH.MinHashParams())._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+    assert plan.count("trawl_md5minima(") == 1 and "regexp_extract_all" not in plan  # shingles are no strings
 
 
 def test_numpy_form_stands_in_without_a_compiler(spark, monkeypatch):
