@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from trawl.functions import text as TX
 from trawl.operators import minhash as MH
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzß€語"
@@ -20,6 +21,11 @@ def signature(text: str, n: int, hashes: int) -> list[int]:
     return [min((first_word(f"{i}-{g}".encode()) for g in grams), default=0) for i in range(hashes)]
 
 
+def normalised(spark, rows: list[str | None]) -> list[str]:
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, t string").select("i", TX.normalize_text("t").alias("n"))
+    return [r.n for r in df.orderBy("i").collect()]
+
+
 def texts() -> list[str | None]:
     rng = random.Random(8)
     word = lambda n: "".join(rng.choice(LETTERS) for _ in range(n))
@@ -35,13 +41,16 @@ def test_signatures_as_hashlib_makes_them(spark, n, hashes):
     rows = [t for t in texts() if hashes < 1000 or len(t or "") < 400]
     docs = spark.createDataFrame(list(enumerate(rows)), "i int, t string").repartition(3)
     got = {r.i: r.s for r in docs.select("i", MH.md5_sets(spark, "t", p)["sig"].alias("s")).collect()}
-    for i, t in enumerate(rows):
-        assert got[i] == signature(t or "", n, hashes), (i, t)
+    for i, t in enumerate(normalised(spark, rows)):
+        assert got[i] == signature(t, n, hashes), (i, t)
 
 
 def test_numpy_form_and_other_sessions_agree(spark, monkeypatch):
     p = MH.MinHashParams(num_hashes=110, num_bands=10, ngrams=4)
-    more = ["b a " * 40, "ab a b", "a\u00ff \u20ac \U00020000 a " * 5, "same word " * 9 + "same", "x" * 9 + " " + "x" * 8 + " " + "x" * 10]
+    rng = random.Random(4)
+    pool = [*map(chr, range(1, 0x180)), *"\u0301\u0130\u03a3\u03c2\u2003\u2028\ufb01\ud55c\u0958\u00bd\u2167\u0660\U0001d400\U0001f600\u01c5\u02b0 "]
+    wild = ["".join(rng.choice(pool) for _ in range(n)) for n in (1, 2, 30, 400, 3000)] + ["\x1c a\x1d\x1fb -\x85 c\x7f \x0b", " - ", *pool]
+    more = [*wild, "b a " * 40, "ab a b", "a\u00ff \u20ac \U00020000 a " * 5, "same word " * 9 + "same", "x" * 9 + " " + "x" * 8 + " " + "x" * 10]
     rows = list(enumerate([*texts(), *more, *more]))
     for session in (spark, spark.newSession()):
         docs = session.createDataFrame(rows, "doc_id int, text string").repartition(2)
